@@ -7,79 +7,94 @@ from pyspark.sql import Column, functions as F
 from ratesheet import fixed_values as fv
 
 # Whitespace and digits in the Unicode sense, not Java's ASCII default.
-WS = r"\s\x1c-\x1f\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+WS = r"\t-\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 DIGIT = r"\p{Nd}"
 NUMBER = rf"{DIGIT}+(?:\.{DIGIT}+)?"
 
-# One pass over a stripped description: (1) the words before the first word that holds
-# a digit, (2) that word, (3) and (4) the two words after it. Possessive quantifiers
+# Anything that is not printable ASCII. Most texts have none and take the short way.
+_UNUSUAL = "[^ -~]"
+
+# One pass over a trimmed text with plain spaces: (1) the words before the first word that
+# holds a digit, (2) that word, (3) and (4) the two words after it. Possessive quantifiers
 # keep the match linear in the text length.
 _PARTS = (
-    rf"(?s)^((?:[^{DIGIT}{WS}]++[{WS}]++)*+)"
-    rf"([^{DIGIT}{WS}]*+{DIGIT}[^{WS}]*+)"
-    rf"(?:[{WS}]++([^{WS}]++))?(?:[{WS}]++([^{WS}]++))?.*$"
+    rf"^((?:[^{DIGIT} ]++ ++)*+)([^{DIGIT} ]*+{DIGIT}[^ ]*+)(?: ++([^ ]++))?(?: ++([^ ]++))?.*$"
 )
 
 
+def spaced(c: Column) -> Column:
+    """Every whitespace character turned into a plain space."""
+    return F.when(c.rlike(_UNUSUAL), F.regexp_replace(c, f"[{WS}]", " ")).otherwise(c)
+
+
 def strip(c: Column) -> Column:
     """Remove all leading and trailing whitespace (``trim`` removes spaces only)."""
-    return F.regexp_replace(c, rf"^[{WS}]+|[{WS}]+$", "")
+    every = F.regexp_replace(c, f"^[{WS}]+|[{WS}]+$", "")
+    return F.when(c.rlike(_UNUSUAL), every).otherwise(F.trim(c))
 
 
 def blank_to_null(c: Column) -> Column:
-    return F.when(c != "", c)
+    return F.nullif(c, F.lit(""))
 
 
 def tokens(c: Column) -> Column:
     """Words separated by any run of whitespace; an empty text has none."""
-    return F.filter(F.split(c, rf"[{WS}]+"), lambda w: w != "")
+    return F.filter(F.split(spaced(c), " +"), lambda w: w != "")
 
 
 def strength_number(token: Column) -> Column:
     """First number in a token, as text; null when it holds no digit."""
-    return blank_to_null(F.regexp_extract(F.replace(token, F.lit("%"), F.lit("")), f"({NUMBER})", 1))
+    return F.when(token.rlike(DIGIT), _first_number(token))
+
 
+def _first_number(token: Column) -> Column:
+    return F.regexp_extract(F.replace(token, F.lit("%"), F.lit("")), f"({NUMBER})", 1)
 
-def parse_description(c: Column) -> Column:
-    """Split a product description into name, strength, dosage and form.
 
-    The strength word is the first word with a digit. One regular expression cuts the
-    text around it; the three words come first in the rewritten text because they can
-    hold no line break, so the split is unambiguous.
+def cut_description(c: Column) -> Column:
+    """A product description cut around its strength word, as an array.
+
+    The strength word is the first word with a digit. The array holds that word, the two
+    words after it and the text before it; a text without digits is left whole, in one
+    piece. The text holds no line break any more when it is split at one.
     """
-    text = strip(c)
-    cut = F.split(F.regexp_replace(text, _PARTS, "$2\n$3\n$4\n$1"), "\n", 4)
-    word, following, second = (cut.getItem(i) for i in range(3))
-    before = F.trim(F.regexp_replace(cut.getItem(3), rf"[{WS}]+", " "))
-    has_number = text.rlike(DIGIT)
+    return F.split(F.regexp_replace(F.trim(spaced(c)), _PARTS, "$2\n$3\n$4\n$1"), "\n", 4)
+
+
+def description_fields(cut: Column, c: Column) -> dict[str, Column]:
+    """Name, strength, dosage and form from a cut description.
+
+    ``cut`` should be a materialised column: it is read many times.
+    """
+    word, following, second, before = (F.get(cut, F.lit(i)) for i in range(4))
+    found = word.rlike(DIGIT)
     percent = F.contains(word, F.lit("%"))
-    return F.struct(
-        F.when(has_number, F.when(before == "", word).otherwise(before))
-        .otherwise(blank_to_null(text))
-        .alias("drug_name"),
-        F.when(has_number, strength_number(word)).alias("drug_strength"),
-        F.when(has_number, F.when(percent, word).otherwise(blank_to_null(following))).alias(
-            "drug_dosage"
-        ),
-        F.when(has_number, blank_to_null(F.when(percent, following).otherwise(second))).alias(
-            "drug_form"
-        ),
-    )
-
-
-def parse_description_legacy(c: Column) -> Column:
+    name = F.when(before != "", F.trim(F.regexp_replace(before, " +", " "))).otherwise(word)
+    form = F.when(percent, blank_to_null(following)).otherwise(blank_to_null(second))
+    return {
+        "drug_name": F.when(found, name).otherwise(blank_to_null(strip(c))),
+        "drug_strength": F.when(found, _first_number(word)),
+        "drug_dosage": F.when(found, F.when(percent, word).otherwise(blank_to_null(following))),
+        "drug_form": F.when(found, form),
+    }
+
+
+def legacy_cut(c: Column) -> Column:
+    return F.split(c, " ")
+
+
+def legacy_fields(words: Column, c: Column) -> dict[str, Column]:
     """The older positional rules: form, dosage and strength are the last three words."""
-    words = F.split(c, " ")
     n = F.size(words)
     name_words = F.when(n >= 4, n - 3).otherwise(1)
     name = F.when(n >= 2, F.array_join(F.slice(words, F.lit(1), name_words), " ")).otherwise(c)
     number = F.regexp_extract(F.get(words, n - 3), r"^(\d+)", 1)
-    return F.struct(
-        name.alias("drug_name"),
-        F.when(n >= 3, blank_to_null(number).try_cast("int")).alias("drug_strength"),
-        F.when(n >= 2, F.get(words, n - 2)).alias("drug_dosage"),
-        F.get(words, n - 1).alias("drug_form"),
-    )
+    return {
+        "drug_name": name,
+        "drug_strength": F.when(n >= 3, number.try_cast("int")),
+        "drug_dosage": F.when(n >= 2, F.get(words, n - 2)),
+        "drug_form": F.get(words, n - 1),
+    }
 
 
 def code_list(c: Column) -> Column:
@@ -95,7 +110,7 @@ def explain_codes(c: Column) -> Column:
     """Texts of the known codes, in order and with repeats; null when none is known."""
     names = _lookup(fv.EXPLANATION_CODES)
     known = F.filter(F.transform(code_list(c), lambda code: names[code]), lambda t: t.isNotNull())
-    return F.when(F.size(known) > 0, F.array_join(known, fv.EXPLANATION_SEPARATOR))
+    return blank_to_null(F.array_join(known, fv.EXPLANATION_SEPARATOR))
 
 
 def _decode(c: Column, names: dict[str, str]) -> Column:

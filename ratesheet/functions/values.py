@@ -7,19 +7,24 @@ import datetime as dt
 from pyspark.sql import Column, functions as F
 
 from ratesheet import fixed_values as fv
-from ratesheet.functions.text import DIGIT, blank_to_null, strip
+from ratesheet.functions.text import DIGIT, strip
 
 _NUMBER_TEXT = r"(?i)^[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:e[+-]?\d+)?|inf|infinity|nan)$"
 
+_ISO_DAY = r"^((?!0000)\d{4}-(?:\d{1,2}-\d{1,2}$|\d{2}-\d{2}))"
 
-def as_column(value) -> Column:
-    """Accept a Column, a date, a timestamp or a literal for a run parameter."""
-    return value if isinstance(value, Column) else F.lit(value)
+
+def has_ndc(c: Column) -> Column:
+    return c.rlike(DIGIT)
+
+
+def keep_digits(c: Column) -> Column:
+    return F.regexp_replace(c, rf"[^{DIGIT}]+", "")
 
 
 def ndc_digits(c: Column) -> Column:
     """Digits only, as text; null when there are none."""
-    return blank_to_null(F.regexp_replace(c, rf"[^{DIGIT}]", ""))
+    return F.when(has_ndc(c), keep_digits(c))
 
 
 def ndc_number(c: Column) -> Column:
@@ -33,21 +38,13 @@ def ndc_range_bucket(ndc: Column, width: int = 1_000_000) -> Column:
 def parse_date(c: Column) -> Column:
     """Date in one of the accepted text forms, else null; impossible dates are null.
 
-    The form is picked by pattern and rewritten to ISO, so no parse attempt fails by
-    exception on the way.
+    Month-first and slash forms are rewritten to ISO, then the ISO day is cut out: a whole
+    text of that form, or the first ten characters of a longer one. Each step reads the
+    text once, and nothing fails by exception on the way.
     """
-    s = strip(c)
-    iso = (
-        F.when(s.isin(*fv.NO_DATE_TEXTS), None)
-        .when(s.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), s)
-        .when(
-            s.rlike(r"^\d{1,2}/\d{1,2}/\d{4}$"),
-            F.regexp_replace(s, r"^(\d+)/(\d+)/(\d+)$", "$3-$1-$2"),
-        )
-        .when(s.rlike(r"^\d{4}/\d{1,2}/\d{1,2}$"), F.translate(s, "/", "-"))
-        .when(s.rlike(r"^\d{4}-\d{2}-\d{2}"), F.substring(s, 1, 10))
-    )
-    return F.when(~iso.startswith("0000"), iso.try_cast("date"))
+    iso = F.regexp_replace(strip(c), r"^(\d{1,2})/(\d{1,2})/(\d{4})$", "$3-$1-$2")
+    iso = F.regexp_replace(iso, r"^(\d{4})/(\d{1,2})/(\d{1,2})$", "$1-$2-$3")
+    return F.regexp_extract(iso, _ISO_DAY, 1).try_cast("date")
 
 
 def price_number(c: Column) -> Column:

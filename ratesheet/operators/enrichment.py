@@ -8,15 +8,24 @@ from ratesheet import fixed_values as fv
 from ratesheet.functions import text, values
 
 
+def _parsed(df: DataFrame, cut, fields) -> DataFrame:
+    """Parse in two projections: the cut is computed once per row and then read by all
+    fields. In one projection each field would compute it again."""
+    c = F.col("ndc_description")
+    return df.withColumn("_cut", cut(c)).withColumns(fields(F.col("_cut"), c)).drop("_cut")
+
+
+def parse_descriptions(df: DataFrame) -> DataFrame:
+    return _parsed(df, text.cut_description, text.description_fields)
+
+
+def parse_descriptions_legacy(df: DataFrame) -> DataFrame:
+    return _parsed(df, text.legacy_cut, text.legacy_fields)
+
+
 def _derive(df: DataFrame, parse, run_ts: Column | None) -> DataFrame:
-    trimmed = df.withColumn("ndc_description", F.trim("ndc_description"))
-    parts = parse(F.col("ndc_description"))
-    return trimmed.withColumns(
+    return parse(df.withColumn("ndc_description", F.trim("ndc_description"))).withColumns(
         {
-            "drug_name": parts["drug_name"],
-            "drug_strength": parts["drug_strength"],
-            "drug_dosage": parts["drug_dosage"],
-            "drug_form": parts["drug_form"],
             "explanation_code_description": text.explain_codes(F.col("explanation_code")),
             "enriched_timestamp": F.current_timestamp() if run_ts is None else run_ts,
         }
@@ -25,12 +34,12 @@ def _derive(df: DataFrame, parse, run_ts: Column | None) -> DataFrame:
 
 def enrich(staged: DataFrame, run_ts: Column | None = None) -> DataFrame:
     """Six derived columns; ``run_ts`` replaces the clock for repeatable runs."""
-    return _derive(staged, text.parse_description, run_ts)
+    return _derive(staged, parse_descriptions, run_ts)
 
 
 def enrich_legacy(staged: DataFrame, run_ts: Column | None = None) -> DataFrame:
     """Same columns by the older positional rules, with an integer strength."""
-    return _derive(staged, text.parse_description_legacy, run_ts)
+    return _derive(staged, parse_descriptions_legacy, run_ts)
 
 
 def code_table(spark: SparkSession) -> DataFrame:

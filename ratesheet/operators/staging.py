@@ -25,7 +25,8 @@ def conform(df: DataFrame) -> DataFrame:
 
 def drop_invalid_ndc(df: DataFrame) -> DataFrame:
     """Rows whose product code has at least one digit, with the code reduced to digits."""
-    return df.withColumn("ndc", values.ndc_digits(F.col("ndc"))).where(F.col("ndc").isNotNull())
+    valid = df.where(values.has_ndc(F.col("ndc")))
+    return valid.withColumn("ndc", values.keep_digits(F.col("ndc")))
 
 
 def stage_transform(df: DataFrame) -> DataFrame:
@@ -38,7 +39,7 @@ def stage_transform(df: DataFrame) -> DataFrame:
 
 def stage_metrics(df: DataFrame) -> DataFrame:
     """Rows read, removed and kept, counted in one pass."""
-    valid = values.ndc_digits(F.col("ndc")).isNotNull()
+    valid = F.coalesce(values.has_ndc(F.col("ndc")), F.lit(False))
     return df.agg(
         F.count(F.lit(1)).alias("rows_read"),
         F.count_if(~valid).alias("rows_removed"),

@@ -155,9 +155,7 @@ def strength_number(spark, sf):
 
 @query
 def parse_description(spark, sf):
-    return views.nadac_raw(spark, sf).select(
-        "ndc_description", text.parse_description(F.col("ndc_description")).alias("p")
-    ).select("ndc_description", "p.*")
+    return enrichment.parse_descriptions(views.nadac_raw(spark, sf).select("ndc_description"))
 
 
 @query

@@ -24,6 +24,9 @@ def build_session(app_name: str = "ratesheet", master: str | None = None, **conf
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # HotSpot leaves methods over 8,000 bytes of code uncompiled. Fall back to split
+        # methods for a stage that would generate one, instead of interpreting it.
+        "spark.sql.codegen.hugeMethodLimit": "8000",
         **conf,
     }
     for key, value in settings.items():
