@@ -13,7 +13,8 @@ def message_text(value: Column) -> Column:
 
 
 def encode(text: Column) -> Column:
-    return F.base64(text.cast("binary"))
+    """Base64 on one line (the built-in function may break it every 76 characters)."""
+    return F.translate(F.base64(text.cast("binary")), "\r\n", "")
 
 
 def decode_readings(messages: DataFrame, value: str = "value") -> DataFrame:
