@@ -28,7 +28,9 @@ def numbered_runs(df: DataFrame, columns: list[str]) -> DataFrame:
         .groupBy("record")
         .agg(F.count(F.lit(1)).alias("copies"))
         .withColumn("sort_key", F.md5("record"))
-        .withColumn("slot", F.substring("sort_key", 1, SLOT_DIGITS))
+        # Never null, and known as such: otherwise the join below pushes a null test on this
+        # expression down to the source rows and keeps the two uses from sharing one shuffle.
+        .withColumn("slot", F.coalesce(F.substring("sort_key", 1, SLOT_DIGITS), F.lit("")))
     )
     earlier = Window.orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
     # At most 16**SLOT_DIGITS rows: the window and the broadcast are bounded.

@@ -10,12 +10,13 @@ from __future__ import annotations
 
 import hashlib
 import re
+import sys
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
@@ -26,12 +27,16 @@ from ratesheet.session import shared_dir
 
 PLACES = 6
 MAX_BROADCAST_BYTES = 64 << 20
-MAX_BROADCAST_HITS = 100_000
+MAX_LOOKUP = 1000
 BLOCK_QUESTIONS = 2048
 CHUNK_VECTORS = 16384
 SCORE_CELLS = 1 << 22
 DEFAULT_DIM = 256
 BOUND_SLACK = 1e-5
+TRAIN_PER_LIST = 1024
+
+# The task functions below travel with the job, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 Embedder = Callable[[list[str]], np.ndarray]
 
@@ -39,17 +44,15 @@ Embedder = Callable[[list[str]], np.ndarray]
 # --- embedding hook --------------------------------------------------------------------
 
 
-@lru_cache(maxsize=1 << 16)
-def _bucket(word: str, dim: int) -> int:
-    return int(hashlib.md5(word.encode()).hexdigest()[:4], 16) % dim
-
-
 def hashed_words(texts: list[str], dim: int = DEFAULT_DIM) -> np.ndarray:
     """Offline default embedder: word counts by hash bucket. Scoring normalises."""
     out = np.zeros((len(texts), dim))
-    for row, words in zip(out, (re.findall("[a-z0-9]+", t.lower()) for t in texts)):
-        for word in words:
-            row[_bucket(word, dim)] += 1.0
+    buckets: dict[str, int] = {}
+    for row, text in zip(out, texts):
+        for word in re.findall("[a-z0-9]+", text.lower()):
+            if word not in buckets:
+                buckets[word] = int(hashlib.md5(word.encode()).hexdigest()[:4], 16) % dim
+            row[buckets[word]] += 1.0
     return out
 
 
@@ -305,7 +308,11 @@ def build_index(vectors: DataFrame, path: str, n_lists: int = 100, seed: int = 1
     """
     spark = vectors.sparkSession
     unit = unit_vectors(vectors).withColumn("features", array_to_vector("vector"))
-    model = KMeans(k=n_lists, seed=seed, maxIter=10, featuresCol="features").fit(unit)
+    # Centres only steer the search, so a bounded sample finds them; every vector is listed.
+    share = min(1.0, n_lists * TRAIN_PER_LIST / max(1, vectors.count()))
+    training = unit.select("features").sample(share, seed=seed).persist()
+    model = KMeans(k=n_lists, seed=seed, maxIter=10, featuresCol="features").fit(training)
+    training.unpersist()
     centres = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
     centre_table = unit_vectors(
         spark.createDataFrame(centres, "cell int, vector array<double>")
@@ -401,9 +408,11 @@ def search_index(
 def question_table(
     spark: SparkSession, texts: list[str], embedder: Embedder = hashed_words
 ) -> DataFrame:
-    """Question texts given by the caller, with id and vector."""
-    rows = spark.createDataFrame(list(enumerate(texts)), "question_id int, question string")
-    return embed(rows, "question", embedder)
+    """Questions typed in by the caller, with id and vector. A table of questions goes
+    through ``embed`` instead."""
+    matrix = embedder(texts)
+    rows = [(n, text, [float(x) for x in v]) for n, (text, v) in enumerate(zip(texts, matrix))]
+    return spark.createDataFrame(rows, "question_id int, question string, vector array<float>")
 
 
 def criteria_text(
@@ -423,11 +432,16 @@ def criteria_text(
 
 
 def build_store(documents: DataFrame, path: str, embedder: Embedder = hashed_words) -> None:
-    """Embed and write documents. Equal documents are reduced to one before the embedder
-    runs; ``doc_id`` is a hash of the content."""
+    """Embed and write documents, ordered by ``doc_id``.
+
+    Equal documents are reduced to one before the embedder runs; ``doc_id`` is a hash of the
+    content. Its even spread makes equal ranges, and the order lets a lookup of a few ids
+    skip all files but theirs.
+    """
     doc_id = F.md5(F.concat_ws("\n", "text", "ndc_description"))
     distinct = documents.withColumn("doc_id", doc_id).distinct()
-    embed(distinct, "text", embedder).write.mode("overwrite").parquet(path)
+    placed = distinct.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    embed(placed, "text", embedder).write.mode("overwrite").parquet(path)
 
 
 def load_store(spark: SparkSession, path: str) -> DataFrame:
@@ -435,12 +449,20 @@ def load_store(spark: SparkSession, path: str) -> DataFrame:
 
 
 def search(store: DataFrame, questions: DataFrame, k: int = 5) -> DataFrame:
-    """Stored documents of the ``k`` best hits of each question."""
+    """Stored documents of the ``k`` best hits of each question.
+
+    The ranking reads ids and vectors only. A few hits (the usual case: questions typed in
+    by someone) are then looked up by id, which the store's order serves from a few files;
+    many hits are joined.
+    """
     hits = topk(store.select(F.col("doc_id").alias("id"), "vector"), questions, k)
     hits = hits.withColumnRenamed("id", "doc_id")
-    if questions.count() * k <= MAX_BROADCAST_HITS:
-        hits = F.broadcast(hits)
-    return store.drop("vector").join(hits, "doc_id")
+    documents = store.drop("vector")
+    if questions.count() * k <= MAX_LOOKUP:
+        found = hits.collect()
+        documents = documents.where(F.col("doc_id").isin([row["doc_id"] for row in found]))
+        hits = F.broadcast(store.sparkSession.createDataFrame(found, hits.schema))
+    return documents.join(hits, "doc_id")
 
 
 def within_price(hits: DataFrame, max_price: float | None, min_price: float | None) -> DataFrame:

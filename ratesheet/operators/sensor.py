@@ -68,8 +68,8 @@ SUMMARY_COLUMNS = [
 ]
 
 
-def metric_rows(summary: DataFrame) -> DataFrame:
-    """Daily summary as generic metric rows with a JSON detail column."""
+def metric_rows(summary: DataFrame, *keep: str) -> DataFrame:
+    """Daily summary as generic metric rows with a JSON detail column, plus ``keep``."""
     return summary.select(
         "date",
         F.lit(fv.METRIC_NAME).alias("metric_name"),
@@ -77,6 +77,7 @@ def metric_rows(summary: DataFrame) -> DataFrame:
         F.lit(fv.METRIC_CATEGORY).alias("category"),
         F.col("location").alias("subcategory"),
         F.to_json(F.struct(*SUMMARY_COLUMNS)).alias("metadata"),
+        *keep,
     )
 
 

@@ -432,10 +432,9 @@ def sensor_daily(spark, sf):
     yesterday = views.events_as_of(spark, sf).date() - dt.timedelta(days=1)
     rows = sensor.process(views.sensor_raw(spark, sf), views.run_ts())
     summary = sensor.daily_summary(rows, yesterday, "reading_ts")
-    metric = sensor.metric_rows(summary).drop("metadata")
-    detail = summary.withColumnRenamed("location", "subcategory").drop("date")
+    metrics = sensor.metric_rows(summary, *sensor.SUMMARY_COLUMNS).drop("metadata")
     averages = [c for c in sensor.SUMMARY_COLUMNS if "avg" in c]
-    return _rounded(metric.join(detail, "subcategory"), "metric_value", *averages)
+    return _rounded(metrics, "metric_value", *averages)
 
 
 @query

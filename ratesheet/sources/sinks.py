@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from ratesheet.functions import values
 from ratesheet.operators.enrichment import with_quarter
+from ratesheet.sources.tables import CORRUPT
 
 ENRICHED_CLUSTERING = ["drug_name", "ndc", "drug_strength", "drug_form"]
 STAGING_CLUSTERING = ["ndc_description", "pricing_unit", "otc", "classification_for_rate_setting"]
@@ -57,7 +58,7 @@ def write_enriched(
 
 
 def write_staging(df: DataFrame, path: str, mode: str = "append", n: int | None = None) -> None:
-    """Staging rows, placed by code range and clustered; nothing is written for no rows.
+    """Staging rows, placed by code range and clustered.
 
     The code ranges order the files rather than name folders: 100,000 possible folders
     would leave tiny files.
@@ -87,3 +88,16 @@ def land_pages(pages: DataFrame, path: str, column: str = "body", one_file_per_p
 
 def land_lines(lines: DataFrame, path: str) -> None:
     lines.write.text(path)
+
+
+def write_or_quarantine(df: DataFrame, path: str, quarantine_path: str) -> None:
+    """Readable rows to ``path``, the text of broken lines to ``quarantine_path``.
+
+    The rows are kept while both are written: the JSON source does not parse a line for its
+    broken text alone.
+    """
+    kept = df.persist()
+    broken = F.col(CORRUPT).isNotNull()
+    kept.where(~broken).drop(CORRUPT).write.mode("append").parquet(path)
+    kept.where(broken).select(CORRUPT).write.mode("append").text(quarantine_path)
+    kept.unpersist()

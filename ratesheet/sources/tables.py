@@ -42,7 +42,3 @@ def read_or_quarantine(spark: SparkSession, path: str, schema: T.StructType) ->
         .option("columnNameOfCorruptRecord", CORRUPT)
         .json(path)
     )
-
-
-def broken_lines(df: DataFrame) -> DataFrame:
-    return df.where(F.col(CORRUPT).isNotNull()).select(CORRUPT)

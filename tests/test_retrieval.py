@@ -92,6 +92,8 @@ def test_store_search_and_prompt(spark, tmp_path):
     assert store.count() == 29
     asked = retrieval.question_table(spark, ["drug7 drug7?", "drug9 {context}"])
     hits = retrieval.search(store, asked, 3)
+    joined = monkeypatch_lookup(retrieval, lambda: retrieval.search(store, asked, 3).collect())
+    assert sorted(map(str, joined)) == sorted(map(str, hits.collect()))
     first = {r.question_id: r.drug_name for r in hits.where("rank = 1").collect()}
     assert first == {0: "DRUG7", 1: "DRUG9"}
     prompts = {r.question_id: r.prompt for r in retrieval.prompts(hits, asked).collect()}
@@ -102,6 +104,15 @@ def test_store_search_and_prompt(spark, tmp_path):
     assert [r.similarity_score for r in retrieval.sources(hits).collect()]
 
 
+def monkeypatch_lookup(module, run):
+    """``run`` with every lookup by id turned into a join."""
+    before, module.MAX_LOOKUP = module.MAX_LOOKUP, 0
+    try:
+        return run()
+    finally:
+        module.MAX_LOOKUP = before
+
+
 def test_criteria_text():
     assert retrieval.criteria_text() == "all drugs"
     assert retrieval.criteria_text("ibuprofen", "tablet", 1.0) == "Drug name: ibuprofen Form: tablet Price under $1.0"
