@@ -47,8 +47,35 @@ QUESTIONS = [
 ]
 
 
+# Columns handed out as text: dates and nullable integers, which table libraries represent
+# differently from engine to engine.
+_DATES = schemas.DATE_COLUMNS
+TEXT_OUTPUT = {
+    "scan_staging": _DATES,
+    "ndc_number": ["ndc_value"],
+    "parse_dates": ["parsed"],
+    "stage_transform": _DATES,
+    "enrich": _DATES,
+    "enrich_legacy": [*_DATES, "drug_strength"],
+    "load_enriched": _DATES,
+    "load_typed": _DATES,
+    "price_trend": ["d"],
+    "trend_by_ndc": ["d"],
+    "latest_rows": _DATES,
+    "drug_lookup": ["effective_date"],
+    "retention_filter": ["as_of_date"],
+    "sensor_daily": ["date"],
+}
+
+
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
+    """Register ``fn`` under its name."""
+    text_columns = TEXT_OUTPUT.get(fn.__name__, [])
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(spark, sf_dir).withColumns({c: F.col(c).cast("string") for c in text_columns})
+
+    QUERIES[fn.__name__] = run
     return fn
 
 

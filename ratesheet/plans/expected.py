@@ -222,7 +222,7 @@ _avg_price = f"""SELECT drug_name, round(avg({PRICE}), 6) AS avg_price FROM enri
   WHERE drug_name IS NOT NULL {{0}} GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT {{1}}"""
 _summary = """avg(avg_temperature), max(avg_temperature), min(avg_temperature)"""
 
-EXPECTED: dict[str, str] = {
+_TYPED: dict[str, str] = {
     "scan_staging": _with("SELECT * FROM staged", "staged"),
     "drop_invalid_ndc": _raw(f"SELECT * REPLACE ({NDC} AS ndc) FROM nadac_raw WHERE {NDC} IS NOT NULL"),
     "ndc_digits": _raw(f"SELECT ndc, {NDC} AS ndc_clean FROM nadac_raw"),
@@ -457,3 +457,14 @@ EXPECTED: dict[str, str] = {
         WINDOW w AS (PARTITION BY conv_id ORDER BY turn
           RANGE BETWEEN {conversation.HISTORY_TURNS} PRECEDING AND 1 PRECEDING)""",
 }
+
+
+def _as_text(name: str, sql: str) -> str:
+    columns = cat.TEXT_OUTPUT.get(name)
+    if not columns:
+        return sql
+    texts = ", ".join(f'CAST("{c}" AS VARCHAR) AS "{c}"' for c in columns)
+    return f"SELECT * REPLACE ({texts}) FROM ({sql})"
+
+
+EXPECTED: dict[str, str] = {name: _as_text(name, sql) for name, sql in _TYPED.items()}
