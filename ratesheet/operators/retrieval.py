@@ -257,12 +257,13 @@ def probe(
         "id",
         "vector",
     )
+    # Fresh names: vectors and questions may come from one and the same table.
     q = questions.join(F.broadcast(sizes), "cell").select(
-        "cell",
+        F.col("cell").alias("cell"),
         every("chunks").alias("chunk"),
         F.pmod(F.xxhash64("question_id"), F.col("blocks")).alias("block"),
-        "question_id",
-        "vector",
+        F.col("question_id").alias("question_id"),
+        F.col("vector").alias("asked"),
         floor.alias("floor"),
     )
     keys = ["cell", "chunk", "block"]
@@ -274,7 +275,7 @@ def probe(
             return pd.DataFrame({"question_id": question_ids[:0], "id": ids[:0], "similarity": []})
         at_q, at_v, similarity = _best(
             question_ids,
-            _as_matrix(right["vector"]),
+            _as_matrix(right["asked"]),
             ids,
             _as_matrix(left["vector"]),
             k,

@@ -67,9 +67,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def nadac_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(
-        NADAC_RAW_SQL, lineitem=table(spark, sf_dir, "lineitem"), part=table(spark, sf_dir, "part")
-    )
+    lineitem = tables.spread(table(spark, sf_dir, "lineitem"))
+    return spark.sql(NADAC_RAW_SQL, lineitem=lineitem, part=table(spark, sf_dir, "part"))
 
 
 def sensor_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,7 +124,7 @@ def _enrich_by_quarter(spark: SparkSession, source: str, path: str) -> None:
 
 
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(enriched_path(spark, sf_dir))
+    return spark.read.schema(schemas.ENRICHED).parquet(enriched_path(spark, sf_dir))
 
 
 def price_as_of(spark: SparkSession, sf_dir: str) -> dt.date:
