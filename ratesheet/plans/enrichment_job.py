@@ -20,11 +20,16 @@ def run(
     by: str = "enriched_date",
     mode: str = "replace",
 ) -> dict[str, int]:
-    """Enrich and write; returns the row count, observed during the write itself."""
+    """Enrich and write; returns the row count, observed during the write itself.
+
+    The output is cut into as many ranges as the input has splits, so the size of a range
+    follows the split size whatever the table size is.
+    """
     counts = Observation("enrichment")
+    staged = tables.read_staging(spark, staging_path)
     clock = None if run_ts is None else F.lit(run_ts.isoformat(sep=" ")).cast("timestamp")
-    enriched = enrich(tables.read_staging(spark, staging_path), clock)
-    sinks.write_enriched(enriched, enriched_path, by=by, mode=mode, counts=counts)
+    n = staged.rdd.getNumPartitions()
+    sinks.write_enriched(enrich(staged, clock), enriched_path, by=by, mode=mode, n=n, counts=counts)
     return counts.get
 
 

@@ -4,6 +4,10 @@ Partition columns are dates or quarters, never product codes. Rows are spread by
 the clustering columns plus the number of the task they come from: a clustering key (or a
 group of equal rows) holding a large share of the data is cut into several ranges, and the
 task number is the same again when a lost task is repeated.
+
+``n`` is the number of ranges; without it the session's shuffle setting applies. The range
+shuffle samples its input in a pass of its own: that is the price of files that a lookup by
+product can skip.
 """
 
 from __future__ import annotations

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ratesheet import schemas
 from ratesheet.operators import enrichment, quality, reports, sensor
 from ratesheet.operators.staging import stage_transform
-from ratesheet.plans import enrichment_job, views
+from ratesheet.plans import enrichment_job, sensor_jobs, views
 from ratesheet.session import shared_dir
 from ratesheet.sources import sinks, tables
 
@@ -93,15 +93,13 @@ SAMPLE = [
 def test_sensor_job(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "sample.json").write_text(json.dumps(SAMPLE, indent=2))
-    readings = tables.read_sensor(spark, f"{tmp_path}/in/*.json")
-    processed = sensor.process(readings)
-    sinks.append_rows(processed.select(*schemas.PROCESSED_SENSOR.fieldNames()), f"{tmp_path}/out")
+    counts = sensor_jobs.process(spark, f"{tmp_path}/in/*.json", f"{tmp_path}/out")
+    assert counts == {"rows_read": 4, "rows_written": 3}
     stored = tables.read_processed_sensor(spark, f"{tmp_path}/out")
     got = {r.sensor_id: (r.quality_score, r.anomaly_detected) for r in stored.collect()}
     assert got == {"sensor-001": (1.0, False), "sensor-002": (1.0, True), "sensor-003": (0.8, False)}
-    daily = sensor.metric_rows(sensor.daily_summary(stored, dt.date(2024, 1, 1)))
     for _ in range(2):
-        sinks.write_daily(daily, f"{tmp_path}/daily")
+        sensor_jobs.summarise_day(spark, f"{tmp_path}/out", f"{tmp_path}/daily", dt.date(2024, 1, 1))
         rows = spark.read.parquet(f"{tmp_path}/daily").orderBy("subcategory").collect()
         assert [(r.subcategory, r.metric_value) for r in rows] == [("office-1", 23.0), ("office-2", 36.5)]
     assert json.loads(rows[0].metadata) == {
