@@ -81,13 +81,19 @@ def embed(df: DataFrame, text_col: str = "text", embedder: Embedder = hashed_wor
 # --- scoring kernel --------------------------------------------------------------------
 
 
-def _unit(matrix: np.ndarray) -> np.ndarray:
-    lengths = np.linalg.norm(matrix, axis=1, keepdims=True)
-    return matrix / np.where(lengths > 0, lengths, 1.0)
+def _lengths(matrix: np.ndarray) -> np.ndarray:
+    """Row lengths; a zero row counts as length one and stays zero."""
+    lengths = np.sqrt(np.einsum("ij,ij->i", matrix, matrix))
+    return np.where(lengths > 0, lengths, 1.0)
 
 
-def _as_matrix(vectors) -> np.ndarray:
-    return _unit(np.stack([np.asarray(v, dtype=np.float64) for v in vectors]))
+def _units(vectors) -> np.ndarray:
+    matrix = _stacked(vectors)
+    return matrix / _lengths(matrix)[:, None]
+
+
+def _stacked(vectors) -> np.ndarray:
+    return np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
 
 
 def _sortable(ids: np.ndarray) -> np.ndarray:
@@ -106,14 +112,16 @@ def _trim(question: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) ->
 def _best(question_ids, questions, ids, vectors, k, skip_self, floor=None):
     """(question position, vector position, similarity) of the ``k`` best per question.
 
+    ``questions`` has unit rows; ``vectors`` may have any length.
     ``floor`` gives the lowest similarity still wanted per question. Questions are scored
     in slices so that a score matrix stays small whatever the two sizes are.
     """
     step = max(1, SCORE_CELLS // max(1, len(ids)))
+    lengths = _lengths(vectors)
     found = []
     for low in range(0, len(question_ids), step):
         part = slice(low, low + step)
-        scores = np.round(questions[part] @ vectors.T, PLACES) + 0.0
+        scores = np.round((questions[part] @ vectors.T) / lengths, PLACES) + 0.0
         if skip_self:
             scores[question_ids[part, None] == ids[None, :]] = -np.inf
         cut = np.full(len(scores), -2.0)
@@ -184,7 +192,7 @@ def _scan(vectors: DataFrame, questions: DataFrame, k: int, skip_self: bool) ->
     if rows.empty:
         return spark.createDataFrame([], schema)
     shared = spark.sparkContext.broadcast(
-        (rows["question_id"].to_numpy(), _as_matrix(rows["vector"]))
+        (rows["question_id"].to_numpy(), _units(rows["vector"]))
     )
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,8 +205,8 @@ def _scan(vectors: DataFrame, questions: DataFrame, k: int, skip_self: bool) ->
             lists = batch.column("vector")
             flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
             batch_ids = batch.column("id").to_numpy(zero_copy_only=False)
-            unit = _unit(flat.reshape(len(lists), -1))
-            nq, nv, ns = _best(question_ids, matrix, batch_ids, unit, k, skip_self, floor)
+            rows = flat.reshape(len(lists), -1)
+            nq, nv, ns = _best(question_ids, matrix, batch_ids, rows, k, skip_self, floor)
             if len(nq) == 0:
                 continue
             q, s = np.concatenate([q, nq]), np.concatenate([s, ns])
@@ -275,9 +283,9 @@ def probe(
             return pd.DataFrame({"question_id": question_ids[:0], "id": ids[:0], "similarity": []})
         at_q, at_v, similarity = _best(
             question_ids,
-            _as_matrix(right["asked"]),
+            _units(right["asked"]),
             ids,
-            _as_matrix(left["vector"]),
+            _stacked(left["vector"]),
             k,
             skip_self,
             right["floor"].to_numpy(),
@@ -353,7 +361,7 @@ def _routes(questions: DataFrame, centres: list, first: int, last: int) -> DataF
         for batch in batches:
             if batch.empty:
                 continue
-            angle = np.arccos(np.clip(_as_matrix(batch["vector"]) @ matrix.T, -1.0, 1.0))
+            angle = np.arccos(np.clip(_units(batch["vector"]) @ matrix.T, -1.0, 1.0))
             bound = np.cos(np.maximum(angle - radii, 0.0)) + BOUND_SLACK
             place = np.argsort(np.argsort(angle, axis=1, kind="stable"), axis=1)
             floor = batch["floor"].to_numpy()
