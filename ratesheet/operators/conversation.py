@@ -25,7 +25,9 @@ def conversation_context(turns: DataFrame, history: int = HISTORY_TURNS) -> Data
     )
     line = F.concat("role", F.lit(": "), "text")
     return (
-        placed.withColumn("earlier", F.collect_list(F.struct("turn", line.alias("line"))).over(memory))
+        placed.withColumn(
+            "earlier", F.collect_list(F.struct("turn", line.alias("line"))).over(memory)
+        )
         .where(F.col("block") == block)
         .select(
             "conv_id",

@@ -24,13 +24,14 @@ def drug_document(df: DataFrame) -> Column:
     Fixed values: the labels and their order.
     """
     c = F.col
+    route = [_line("Route of Administration: ", c("drug_route"))] if "drug_route" in df.columns else []
     return F.concat_ws(
         "\n",
         F.concat(F.lit("Drug Name: "), F.coalesce(c("drug_name"), F.lit("None"))),
         F.concat(F.lit("NDC Code: "), F.coalesce(c("ndc"), F.lit("None"))),
         _line("Strength: ", c("drug_strength")),
         _line("Form: ", c("drug_form")),
-        *([_line("Route of Administration: ", c("drug_route"))] if "drug_route" in df.columns else []),
+        *route,
         _line("Price per Unit: ", _price(c("nadac_per_unit"))),
         _line("Pricing Unit: ", c("pricing_unit")),
         _line("Effective Date: ", c("effective_date")),

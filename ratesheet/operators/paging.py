@@ -55,12 +55,10 @@ def page_contents(df: DataFrame, columns: list[str], page_size: int = fv.PAGE_SI
     """One row per page: number from 1, record count, records as a JSON list."""
     first = F.col("start")
     end = F.col("start") + F.col("copies")
+    pages = f"sequence(start div {page_size}, (start + copies - 1) div {page_size})"
     pieces = (
         numbered_runs(df, columns)
-        .withColumn(
-            "page",
-            F.explode(F.expr(f"sequence(start div {page_size}, (start + copies - 1) div {page_size})")),
-        )
+        .withColumn("page", F.explode(F.expr(pages)))
         .select(
             "page",
             "start",

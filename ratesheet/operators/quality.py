@@ -17,9 +17,9 @@ def _since(df: DataFrame, time_col: str, as_of: dt.datetime, age: dt.timedelta)
 def freshness(df: DataFrame, time_col: str, as_of: dt.datetime, name: str) -> DataFrame:
     """Newest time and row count of the last day; stale when there is no row."""
     recent = _since(df, time_col, as_of, dt.timedelta(hours=fv.FRESH_HOURS))
-    return recent.agg(
-        F.max(time_col).alias("latest"), F.count(F.lit(1)).alias("n_rows")
-    ).select(F.lit(name).alias("table_name"), "latest", "n_rows", (F.col("n_rows") == 0).alias("is_stale"))
+    found = recent.agg(F.max(time_col).alias("latest"), F.count(F.lit(1)).alias("n_rows"))
+    stale = (F.col("n_rows") == 0).alias("is_stale")
+    return found.select(F.lit(name).alias("table_name"), "latest", "n_rows", stale)
 
 
 def error_rate(df: DataFrame, status_col: str, time_col: str, as_of: dt.datetime) -> DataFrame:
@@ -29,12 +29,13 @@ def error_rate(df: DataFrame, status_col: str, time_col: str, as_of: dt.datetime
     statuses in one task.
     """
     recent = _since(df, time_col, as_of, dt.timedelta(hours=fv.FRESH_HOURS))
-    counts = recent.groupBy(F.col(status_col).alias("status")).agg(F.count(F.lit(1)).alias("n_rows"))
+    status = F.col(status_col).alias("status")
+    counts = recent.groupBy(status).agg(F.count(F.lit(1)).alias("n_rows"))
     total = counts.agg(F.sum("n_rows")).scalar()
     share = F.round(F.col("n_rows").cast("double") * 100.0 / total, 6)
+    alert = (F.col("status") == fv.ERROR_STATUS) & (F.col("percentage") > fv.ERROR_LIMIT_PERCENT)
     return counts.withColumn("percentage", share).withColumn(
-        "is_alert",
-        F.coalesce((F.col("status") == fv.ERROR_STATUS) & (F.col("percentage") > fv.ERROR_LIMIT_PERCENT), F.lit(False)),
+        "is_alert", F.coalesce(alert, F.lit(False))
     )
 
 
@@ -53,7 +54,9 @@ def retain(df: DataFrame, time_col: str, as_of: dt.datetime, max_age: dt.timedel
     return _since(df, time_col, as_of, max_age)
 
 
-def query_log_summary(log: DataFrame, elapsed: Column, answer: Column, sources: Column) -> DataFrame:
+def query_log_summary(
+    log: DataFrame, elapsed: Column, answer: Column, sources: Column
+) -> DataFrame:
     """Question count, mean time, mean answer length and mean number of sources."""
     return log.agg(
         F.count(F.lit(1)).alias("n_queries"),

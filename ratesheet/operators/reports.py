@@ -46,7 +46,8 @@ def form_distribution(enriched: DataFrame, n: int = 10) -> DataFrame:
     same counts; ``n`` bounds the broadcast.
     """
     counts = form_counts(enriched)
-    top = counts.orderBy(F.desc("cnt"), "drug_form").limit(n).select("drug_form", F.lit(True).alias("is_top"))
+    top = counts.orderBy(F.desc("cnt"), "drug_form").limit(n)
+    top = top.select("drug_form", F.lit(True).alias("is_top"))
     bucket = F.when(F.col("is_top"), F.col("drug_form")).otherwise("Other")
     return (
         counts.join(F.broadcast(top), "drug_form", "left")

@@ -81,7 +81,9 @@ def metric_rows(summary: DataFrame, *keep: str) -> DataFrame:
     )
 
 
-def validate(readings: DataFrame, time_col: str = "timestamp", present: dict | None = None) -> DataFrame:
+def validate(
+    readings: DataFrame, time_col: str = "timestamp", present: dict[str, Column] | None = None
+) -> DataFrame:
     """Add ``errors`` (array of messages) and ``is_valid``.
 
     ``present`` overrides how the presence of a field is tested: a message may carry a
@@ -102,7 +104,9 @@ def validate(readings: DataFrame, time_col: str = "timestamp", present: dict | N
     return checked.withColumn("is_valid", F.size("errors") == 0)
 
 
-def error_payloads(validated: DataFrame, original: Column, time_col: str = "timestamp") -> DataFrame:
+def error_payloads(
+    validated: DataFrame, original: Column, time_col: str = "timestamp"
+) -> DataFrame:
     """JSON payload of every rejected record: the record, its errors, its time."""
     payload = F.struct(
         original.alias("original_data"), "errors", F.col(time_col).alias("timestamp")

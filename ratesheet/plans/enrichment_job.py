@@ -37,7 +37,8 @@ def main() -> None:
     parser = argparse.ArgumentParser(description="Enrich the staging table")
     parser.add_argument("--staging-path", required=True)
     parser.add_argument("--enriched-path", required=True)
-    parser.add_argument("--partition-by", default="enriched_date", choices=["enriched_date", "effective_quarter"])
+    layouts = ["enriched_date", "effective_quarter"]
+    parser.add_argument("--partition-by", default=layouts[0], choices=layouts)
     args = parser.parse_args()
     spark = build_session("enrichment")
     try:

@@ -26,7 +26,8 @@ def process(
     readings = tables.read_sensor(spark, input_glob, whole_file)
     readings = readings.observe(read, F.count(F.lit(1)).alias("rows_read"))
     rows = sensor.process(readings, run_ts).select(*schemas.PROCESSED_SENSOR.fieldNames())
-    sinks.append_rows(rows.observe(written, F.count(F.lit(1)).alias("rows_written")), processed_path)
+    rows = rows.observe(written, F.count(F.lit(1)).alias("rows_written"))
+    sinks.append_rows(rows, processed_path)
     return {**read.get, **written.get}
 
 

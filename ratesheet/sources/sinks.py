@@ -82,7 +82,9 @@ def write_daily(df: DataFrame, path: str, day_col: str = "date") -> None:
     _write(df, path, day_col, "replace")
 
 
-def land_pages(pages: DataFrame, path: str, column: str = "body", one_file_per_page: bool = True) -> None:
+def land_pages(
+    pages: DataFrame, path: str, column: str = "body", one_file_per_page: bool = True
+) -> None:
     """Write page bodies, as one file per page or one line per page."""
     if one_file_per_page:
         pages.select("page_number", column).write.partitionBy("page_number").text(path)

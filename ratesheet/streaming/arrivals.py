@@ -2,21 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ratesheet import schemas
 from ratesheet.operators.staging import stage_transform
 from ratesheet.sources import pages
+from ratesheet.sources.tables import CORRUPT
 
 
 def page_stream(
-    spark: SparkSession, raw_dir: str, archive_dir: str | None = None, whole_file: bool = True
+    spark: SparkSession,
+    raw_dir: str,
+    archive_dir: str | None = None,
+    whole_file: bool = True,
+    schema: T.StructType = schemas.PAGE,
 ) -> DataFrame:
     """Page files as they arrive. With ``archive_dir`` the source moves a finished file
     there, once a later batch has started."""
     reader = (
-        spark.readStream.schema(schemas.PAGE)
+        spark.readStream.schema(schema)
+        .option("columnNameOfCorruptRecord", CORRUPT)
         .option("multiLine", whole_file)
         .option("pathGlobFilter", "*.json")
         .option("recursiveFileLookup", True)
@@ -46,3 +52,32 @@ def stage_arrivals(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def quarantine_arrivals(
+    spark: SparkSession,
+    raw_dir: str,
+    quarantine_dir: str,
+    checkpoint_dir: str,
+    whole_file: bool = True,
+) -> StreamingQuery:
+    """Keep the name and text of every arriving file that is no JSON document.
+
+    A second subscriber of the same folder with its own progress: ``stage_arrivals`` finds no
+    records in such a file and goes on. Run it before a stream that archives.
+    """
+    schema = T.StructType([*schemas.PAGE.fields, T.StructField(CORRUPT, T.StringType(), True)])
+    found = page_stream(spark, raw_dir, None, whole_file, schema)
+    # The JSON source parses nothing for the broken text alone: the page number, which is
+    # whatever was readable of it, goes along.
+    broken = found.where(F.col(CORRUPT).isNotNull()).select(
+        F.col("_metadata.file_path").alias("file_path"), "page_number", F.col(CORRUPT).alias("body")
+    )
+    return (
+        broken.writeStream.format("parquet")
+        .outputMode("append")
+        .option("path", quarantine_dir)
+        .option("checkpointLocation", checkpoint_dir)
+        .trigger(availableNow=True)
+        .start()
+    )

@@ -44,6 +44,20 @@ def test_arrivals(spark, tmp_path):
     assert {"a.json", "none.json"} <= archived
 
 
+def test_broken_page_files(spark, tmp_path):
+    raw, out, bad = (str(tmp_path / d) for d in ("raw", "staging", "bad"))
+    page(tmp_path / "raw/a.json", [1])
+    (tmp_path / "raw/broken.json").write_text('{"page_number": 1, "data": ')
+    for _ in range(2):
+        finish(arrivals.quarantine_arrivals(spark, raw, bad, str(tmp_path / "c1")))
+        finish(arrivals.stage_arrivals(spark, raw, out, str(tmp_path / "c2")))
+        rows = spark.read.parquet(bad).collect()
+        assert [(os.path.basename(r.file_path), r.body) for r in rows] == [
+            ("broken.json", '{"page_number": 1, "data": ')
+        ]
+        assert spark.read.schema(schemas.STAGING).parquet(out).count() == 1
+
+
 def message(**fields):
     return base64.b64encode(json.dumps(fields).encode()).decode()
 
