@@ -102,13 +102,14 @@ def code_list(c: Column) -> Column:
     return F.filter(F.transform(F.split(c, ","), strip), lambda code: code != "")
 
 
-def _lookup(names: dict[str, str]) -> Column:
+def lookup(names: dict[str, str]) -> Column:
+    """A fixed table of texts as a map literal."""
     return F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
 
 
 def explain_codes(c: Column) -> Column:
     """Texts of the known codes, in order and with repeats; null when none is known."""
-    names = _lookup(fv.EXPLANATION_CODES)
+    names = lookup(fv.EXPLANATION_CODES)
     known = F.filter(F.transform(code_list(c), lambda code: names[code]), lambda t: t.isNotNull())
     return blank_to_null(F.array_join(known, fv.EXPLANATION_SEPARATOR))
 

@@ -44,8 +44,8 @@ def enrich_legacy(staged: DataFrame, run_ts: Column | None = None) -> DataFrame:
 
 def code_table(spark: SparkSession) -> DataFrame:
     """The ten explanation codes as a table."""
-    return spark.createDataFrame(
-        list(fv.EXPLANATION_CODES.items()), "code string, code_text string"
+    return spark.range(1).select(
+        F.explode(text.lookup(fv.EXPLANATION_CODES)).alias("code", "code_text")
     )
 
 
