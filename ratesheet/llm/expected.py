@@ -8,7 +8,7 @@ WITH RECURSIVE words AS (
 ), sets AS (
   SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN []
     WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-    ELSE list_transform(range(1, len(w) - 3), i -> array_to_string(w[i : i + 4], ' ')) END) AS s
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' ')) END) AS s
   FROM words
 ), flat AS (
   SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets
@@ -16,9 +16,9 @@ WITH RECURSIVE words AS (
   SELECT a.doc_id AS u, b.doc_id AS v FROM flat a JOIN flat b ON a.g = b.g AND a.doc_id <> b.doc_id
   GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
 ), reach AS (
-  SELECT doc_id, doc_id AS at FROM documents
-  UNION SELECT reach.doc_id, links.v FROM reach JOIN links ON reach.at = links.u
+  SELECT doc_id, doc_id AS far FROM documents
+  UNION SELECT reach.doc_id, links.v FROM reach JOIN links ON reach.far = links.u
 )
 SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, c.component_id, s.doc_id = c.component_id AS kept
-FROM sets s JOIN (SELECT doc_id, min(at) AS component_id FROM reach GROUP BY doc_id) c USING (doc_id)
+FROM sets s JOIN (SELECT doc_id, min(far) AS component_id FROM reach GROUP BY doc_id) c USING (doc_id)
 """

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ratesheet.llm import expected, minhash_dedup
-from ratesheet.llm.common import documents
+from ratesheet.llm import expected, minhash_dedup, packing, token_counts
+from ratesheet.llm.common import documents, written
+from ratesheet.session import shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -20,6 +21,34 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four batches over all documents, one of them delivered twice.
+
+    All documents come; a second tokenizer version, which ends each with an id, is counted beside
+    the first; documents without a language move to the language "und"; empty documents go.
+    """
+    table = shared_dir(spark, "rollup")
+    docs = documents(spark, sf_dir)
+    first = written(token_counts.counted(docs, "byte-bpe-1"), "states")
+    second = first.withColumns({"version": F.lit("byte-bpe-2"), "n_tokens": F.col("n_tokens") + 1})
+    both = first.unionByName(second)
+    unnamed = both.where("lang is null")
+    moved = unnamed.withColumn("lang", F.lit("und"))
+    empty = both.withColumn("lang", F.coalesce("lang", F.lit("und"))).where("n_chars = 0")
+    token_counts.commit(token_counts.inserts(first), table, "1-load")
+    token_counts.commit(token_counts.inserts(second), table, "2-version")
+    token_counts.commit(token_counts.inserts(second), table, "2-version")
+    token_counts.commit(token_counts.revisions(unnamed, moved), table, "3-language")
+    token_counts.commit(token_counts.deletes(empty), table, "4-empty")
+    return token_counts.totals(spark, table)
+
+
 @query
 def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(documents(spark, sf_dir))
+
+
+@query
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(documents(spark, sf_dir))
