@@ -6,7 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ratesheet.llm import expected, minhash_dedup, packing, token_counts
+from ratesheet.llm import (
+    expected,
+    language_id,
+    minhash_dedup,
+    packing,
+    quality_classifier,
+    quality_rules,
+    token_counts,
+)
 from ratesheet.llm.common import documents, written
 from ratesheet.session import shared_dir
 
@@ -16,11 +24,31 @@ QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {"op9_minhash_dedup": expected.NEAR_DUPLICATES}
 
 
+def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
 def query(fn: Query) -> Query:
     QUERIES[fn.__name__] = fn
     return fn
 
 
+@query
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = language_id.train(docs, ~language_id.held_out())
+    found = language_id.predicted(docs, model)
+    return found.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = quality_classifier.train(docs, _labels(spark, sf_dir), ~quality_classifier.held_out())
+    found = quality_classifier.scored(docs, model)
+    return found.select("doc_id", quality_classifier.held_out().alias("held_out"), "score", "predicted")
+
+
 @query
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four batches over all documents, one of them delivered twice.
@@ -44,6 +72,12 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.totals(spark, table)
 
 
+@query
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return quality_rules.judged(docs, quality_rules.train(docs, _labels(spark, sf_dir)))
+
+
 @query
 def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(documents(spark, sf_dir))
