@@ -22,3 +22,22 @@ WITH RECURSIVE words AS (
 SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, c.component_id, s.doc_id = c.component_id AS kept
 FROM sets s JOIN (SELECT doc_id, min(far) AS component_id FROM reach GROUP BY doc_id) c USING (doc_id)
 """
+
+CONTAMINATED = rf"""
+WITH texts AS (
+  SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'i', item_id, text FROM benchmark
+), words AS (
+  SELECT kind, id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts
+), widths AS (
+  SELECT DISTINCT least(5, len(w)) AS n FROM words WHERE kind = 'i' AND len(w) > 0
+), flat AS (
+  SELECT kind, id, n, unnest(list_distinct(
+    list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i : i + n - 1], ' ')))) AS g
+  FROM words CROSS JOIN widths WHERE len(w) >= n AND (kind = 'd' OR n = least(5, len(w)))
+), items AS (
+  SELECT id, n, g, count(*) OVER (PARTITION BY id) AS n_item FROM flat WHERE kind = 'i'
+)
+SELECT d.id AS doc_id, i.id AS item_id, i.n_item, count(*) AS n_shared
+FROM flat d JOIN items i ON d.g = i.g AND d.n = i.n WHERE d.kind = 'd'
+GROUP BY d.id, i.id, i.n_item HAVING 100 * count(*) >= 80 * i.n_item
+"""

@@ -30,7 +30,7 @@ WORD_CACHE = 400_000
 CHUNK = 1_024
 
 
-class _WordHashes(dict):
+class WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         if len(self) >= WORD_CACHE:
             self.clear()
@@ -46,9 +46,8 @@ def _mix(x: np.ndarray) -> np.ndarray:
 _WEIGHTS = [_mix(np.array([i + 1], dtype=np.uint64))[0] | np.uint64(1) for i in range(WIDTH)]
 
 
-def shingle_hashes(text: str | None, words: _WordHashes, width: int = WIDTH) -> np.ndarray:
-    """Sorted distinct hashes of the text's shingles; all words as one if there are fewer."""
-    tokens = text.encode("utf-8", "surrogatepass").lower().split() if text else []
+def hashes_in_order(tokens: list[bytes], words: WordHashes, width: int = WIDTH) -> np.ndarray:
+    """Hashes of the shingles of a word list, in order; all words as one if there are fewer."""
     if not tokens:
         return np.empty(0, dtype=np.uint64)
     h = np.fromiter(map(words.__getitem__, tokens), dtype=np.uint64, count=len(tokens))
@@ -58,7 +57,13 @@ def shingle_hashes(text: str | None, words: _WordHashes, width: int = WIDTH) ->
         total = np.full(n, width, dtype=np.uint64)
         for i in range(width):
             total = _mix(total + h[i : i + n] * _WEIGHTS[i])
-    return np.unique(total)
+    return total
+
+
+def shingle_hashes(text: str | None, words: WordHashes, width: int = WIDTH) -> np.ndarray:
+    """Sorted distinct hashes of the text's shingles."""
+    tokens = text.encode("utf-8", "surrogatepass").lower().split() if text else []
+    return np.unique(hashes_in_order(tokens, words, width))
 
 
 def _functions(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -84,7 +89,7 @@ def signatures(docs: DataFrame, bands: int, rows: int, width: int) -> DataFrame:
     """(doc_id, n_shingles, s1, s2, keys): s1 and s2 are 128 bits of the whole set."""
 
     def sign(batch: pd.DataFrame) -> pd.DataFrame:
-        words, fns = _WordHashes(), _functions(bands * rows)
+        words, fns = WordHashes(), _functions(bands * rows)
         out = []
         for doc_id, text in zip(batch["doc_id"], batch["text"]):
             s = shingle_hashes(text, words, width)
@@ -102,7 +107,7 @@ def _full_sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
     """(node, shingles) of the given documents; others are passed over by a bitmap first."""
 
     def gather(batch: pd.DataFrame) -> pd.DataFrame:
-        words = _WordHashes()
+        words = WordHashes()
         sets = [shingle_hashes(t, words, width).view(np.int64) for t in batch["text"]]
         return pd.DataFrame({"node": batch["doc_id"], "shingles": sets})
 

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ratesheet.llm import (
+    decontamination,
     expected,
     language_id,
     minhash_dedup,
@@ -21,7 +22,10 @@ from ratesheet.session import shared_dir
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 #: DuckDB SQL of the queries that SQL can express.
-ORACLE_SQL: dict[str, str] = {"op9_minhash_dedup": expected.NEAR_DUPLICATES}
+ORACLE_SQL: dict[str, str] = {
+    "op5_benchmark_decontamination": expected.CONTAMINATED,
+    "op9_minhash_dedup": expected.NEAR_DUPLICATES,
+}
 
 
 def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,6 +76,12 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.totals(spark, table)
 
 
+@query
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontamination.contaminated(documents(spark, sf_dir), items)
+
+
 @query
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
