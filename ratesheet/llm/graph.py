@@ -60,30 +60,34 @@ def components(edges: DataFrame) -> DataFrame:
 def linked_components(members: DataFrame, verify: Verify) -> DataFrame:
     """(node, component) under all verified links between nodes that share a key.
 
-    ``members`` has (key, node: bigint); ``verify`` keeps the pairs (a, b) that are links. The
-    answer is that of testing all pairs of every bucket, without listing them:
-
-    1. each member is tested against one leader of its bucket (another leader in another bucket);
-    2. components of those links are taken;
-    3. buckets that lie in one component are done. In the others, the members outside the
+    ``members`` has (key, node, low, high, size): a link of a node is only possible to a node whose
+    size lies from ``low`` to ``high``. ``verify`` keeps the pairs (a, b) that are links. The answer
+    is that of testing all pairs of every bucket, without listing them:
+
+    1. members whose bucket holds no size in their range are left out;
+    2. each member is tested against one leader of its bucket (another leader in another bucket);
+    3. components of those links are taken;
+    4. buckets that lie in one component are done. In the others, the members outside the
        bucket's largest component are tested against the members of other components.
 
     Pairs inside a component can't change it, so no link between components is missed.
     """
+    sizes = members.groupBy("key").agg(F.min("size").alias("least"), F.max("size").alias("most"))
+    able = members.join(sizes, "key").where("low <= most and high >= least").drop("least", "most")
     leaders = (
-        members.groupBy("key")
+        able.groupBy("key")
         .agg(F.min(F.col("node").bitwiseXOR(F.col("key"))).alias("l"), F.count(F.lit(1)).alias("n"))
         .where("n > 1")
         .select("key", F.col("l").bitwiseXOR(F.col("key")).alias("leader"))
     )
-    shared = written(members.join(leaders, "key").distinct(), "shared")
+    shared = written(able.join(leaders, "key").distinct(), "shared")
     pair = F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")
     star = written(verify(shared.where("node <> leader").select(*pair).distinct()), "links")
-    first = components(star)
     placed = written(
-        shared.join(first, "node", "left").select(
-            "key", "node", F.coalesce("component", "node").alias("c")
-        ),
+        shared.drop("leader")
+        .join(components(star), "node", "left")
+        .withColumn("c", F.coalesce("component", "node"))
+        .drop("component"),
         "placed",
     )
     open_keys = placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi")
@@ -95,11 +99,14 @@ def linked_components(members: DataFrame, verify: Verify) -> DataFrame:
         .agg(F.max(F.struct("n", "c"))["c"].alias("big"))
     )
     still = still.join(big, "key")
-    small = still.where("c <> big").select("key", F.col("node").alias("x"), F.col("c").alias("cx"))
+    small = still.where("c <> big").select(
+        "key", *[F.col(v).alias(f"x_{v}") for v in ("node", "c", "low", "high", "size")]
+    )
     cross = (
         small.join(still, "key")
-        .where("cx <> c and (c = big or x < node)")
-        .select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b"))
+        .where("x_c <> c and (c = big or x_node < node)")
+        .where("size between x_low and x_high and x_size between low and high")
+        .select(F.least("x_node", "node").alias("a"), F.greatest("x_node", "node").alias("b"))
         .distinct()
     )
     more = written(verify(cross), "links")

@@ -116,6 +116,28 @@ def _full_sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
     return over_texts(texts, ["doc_id", "text"], "node bigint, shingles array<bigint>", gather)
 
 
+def _ranges(sets: DataFrame, percent: int) -> DataFrame:
+    """(node, low, high, size): how large a set a node's set can be similar enough to.
+
+    Shingles that no other candidate has can't be shared. With ``c`` others at most, a link needs
+    100 c >= percent * (size + other - c); in a large family of copies edited in many places this
+    leaves out the members that are too far from all others, before any pair is made.
+    """
+    each = sets.select("node", F.explode("shingles").alias("g"))
+    own = each.groupBy("g").agg(F.min("node").alias("node"), F.max("node").alias("hi")).where("node = hi")
+    own = own.groupBy("node").agg(F.count(F.lit(1)).alias("own"))
+    return (
+        sets.select("node", F.size("shingles").cast("bigint").alias("size"))
+        .join(own, "node", "left")
+        .select(
+            "node",
+            F.expr(f"(size * {percent} + 99) div 100").alias("low"),
+            F.expr(f"(size - coalesce(own, 0)) * {100 + percent} div {percent} - size").alias("high"),
+            "size",
+        )
+    )
+
+
 def near_duplicates(
     docs: DataFrame, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS, width: int = WIDTH
 ) -> DataFrame:
@@ -139,6 +161,7 @@ def near_duplicates(
     # A doc_id that occurs with several sets is one node: it also ties the classes together.
     nodes = members.select("node").distinct()
     sets = written(_full_sets(docs, nodes, width), "sets")
+    ranged = members.join(_ranges(sets, percent), "node")
 
     def verify(pairs: DataFrame) -> DataFrame:
         a = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
@@ -150,7 +173,7 @@ def near_duplicates(
             .select("a", "b").distinct()
         )
 
-    found = linked_components(members, verify)
+    found = linked_components(ranged, verify)
     placed = (
         doc_class.join(found, "node", "left")
         .groupBy("doc_id", "n_shingles")
@@ -168,6 +191,6 @@ def near_duplicates(
 def keep_first(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with all its columns, without documents that repeat one with a smaller id."""
     dropped = near_duplicates(docs, **options).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(dropped, docs.doc_id == F.col("_gone"), "left_anti")
+    return docs.join(dropped, docs["doc_id"] == dropped["_gone"], "left_anti")
 
 
