@@ -13,6 +13,17 @@ from ratesheet.session import shared_dir
 BITMAP_BITS = 1 << 23
 _CHUNK_BITS = 32_768  # bits of one bitmap that bitmap_construct_agg builds
 
+#: Byte -> itself if it is part of a plain word, lower-cased; else a space.
+_PLAIN = bytes(
+    c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c > 127 else 32
+    for c in range(256)
+)
+
+
+def plain_words(text: str | None) -> list[bytes]:
+    """Lower-cased (A-Z) runs of ASCII letters and digits and of code points beyond ASCII."""
+    return text.encode("utf-8", "surrogatepass").translate(_PLAIN).split() if isinstance(text, str) else []
+
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder, read back: cuts the lineage for good."""

@@ -142,14 +142,17 @@ def contaminated(docs: DataFrame, items: DataFrame, percent: int = PERCENT, bloc
     return docs.sparkSession.createDataFrame([], schema) if found is None else found
 
 
+def _holds(part: Block):
+    @F.pandas_udf("boolean")
+    def holds(texts: pd.Series) -> pd.Series:
+        hashes = WordHashes()
+        return pd.Series([bool(part.matches(t, hashes)) for t in texts], dtype=bool)
+
+    return holds
+
+
 def clean(docs: DataFrame, items: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
     """``docs`` with all their columns, without those that hold an item."""
     for part in blocks(items, percent, block):
-
-        @F.pandas_udf("boolean")
-        def holds(texts: pd.Series, part: Block = part) -> pd.Series:
-            hashes = WordHashes()
-            return pd.Series([bool(part.matches(t, hashes)) for t in texts], dtype=bool)
-
-        docs = docs.where(~holds("text"))
+        docs = docs.where(~_holds(part)("text"))
     return docs

@@ -10,10 +10,13 @@ from ratesheet.llm import (
     decontamination,
     expected,
     language_id,
+    license_scan,
+    line_dedup,
     minhash_dedup,
     packing,
     quality_classifier,
     quality_rules,
+    secret_scan,
     token_counts,
 )
 from ratesheet.llm.common import documents, written
@@ -37,6 +40,11 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.summary(documents(spark, sf_dir))
+
+
 @query
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
@@ -82,12 +90,23 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontamination.contaminated(documents(spark, sf_dir), items)
 
 
+@query
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scanned(documents(spark, sf_dir))
+
+
 @query
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return quality_rules.judged(docs, quality_rules.train(docs, _labels(spark, sf_dir)))
 
 
+@query
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return secret_scan.scanned(docs, secret_scan.train(docs))
+
+
 @query
 def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(documents(spark, sf_dir))
