@@ -28,8 +28,7 @@ PHARMACY_NAMES = {
 }
 OTC_YES, OTC_OTHER = "Over-the-counter", "Prescription"
 
-# Texts read as "no date", and the page file format.
-NO_DATE_TEXTS = ("", "None", "null")
+# The page file format.
 PAGE_SIZE = 5000
 PAGE_FILE_FORMAT = "medicaid_drug_data_page_%04d_%s.json"
 PAGE_FILE_TIME = "yyyyMMdd_HHmmss"
@@ -49,6 +48,16 @@ ANOMALY_ABOVE = 35
 REQUIRED_FIELDS = ("sensor_id", "timestamp", "temperature")
 MISSING_FIELD_TEXT = "Missing required field: "
 OUT_OF_RANGE_TEXT = "Temperature out of valid range (-50 to 100)"
+# Measures of the daily summary: name, how, of which column.
+DAILY_MEASURES = [
+    ("daily_avg_temperature", "avg", "avg_temperature"),
+    ("daily_max_temperature", "max", "avg_temperature"),
+    ("daily_min_temperature", "min", "avg_temperature"),
+    ("daily_avg_humidity", "avg", "avg_humidity"),
+    ("daily_avg_pressure", "avg", "avg_pressure"),
+    ("anomaly_count", "count_if", "anomaly_detected"),
+    ("total_readings", "count", "*"),
+]
 METRIC_NAME, METRIC_CATEGORY = "daily_sensor_summary", "sensors"
 ALERT_FORMAT = "NOTIFICATION [%s]: %s - %s"
 ALERT_TYPE, ALERT_MESSAGE, ALERT_SEVERITY = "general", "No message provided", "info"

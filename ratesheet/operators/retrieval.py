@@ -9,7 +9,6 @@ question.
 from __future__ import annotations
 
 import hashlib
-import re
 import sys
 from collections.abc import Callable, Iterator
 
@@ -26,14 +25,19 @@ from ratesheet.functions.vectors import dot, normalise
 from ratesheet.session import shared_dir
 
 PLACES = 6
-MAX_BROADCAST_BYTES = 64 << 20
-MAX_LOOKUP = 1000
+#: Bytes of questions that go to the tasks at once; a larger set is asked in several blocks.
+BLOCK_BYTES = 64 << 20
 BLOCK_QUESTIONS = 2048
 CHUNK_VECTORS = 16384
 SCORE_CELLS = 1 << 22
 DEFAULT_DIM = 256
 BOUND_SLACK = 1e-5
-TRAIN_PER_LIST = 1024
+#: Texts an embedder gets at once, unless the caller says otherwise.
+EMBED_BATCH = 256
+#: Groups that the hits of one question are merged in before the final merge.
+MERGE_WAYS = 32
+#: Largest table of centres, in bytes: every task holds it.
+MAX_CENTRE_BYTES = 64 << 20
 
 # The task functions below travel with the job, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -45,39 +49,57 @@ Embedder = Callable[[list[str]], np.ndarray]
 
 
 def hashed_words(texts: list[str], dim: int = DEFAULT_DIM) -> np.ndarray:
-    """Offline default embedder: word counts by hash bucket. Scoring normalises."""
-    out = np.zeros((len(texts), dim))
-    buckets: dict[str, int] = {}
-    for row, text in zip(out, texts):
-        for word in re.findall("[a-z0-9]+", text.lower()):
-            if word not in buckets:
-                buckets[word] = int(hashlib.md5(word.encode()).hexdigest()[:4], 16) % dim
-            row[buckets[word]] += 1.0
-    return out
-
-
-def embed(df: DataFrame, text_col: str = "text", embedder: Embedder = hashed_words) -> DataFrame:
-    """Add a ``vector`` column. ``embedder`` maps a batch of texts to a matrix; a hosted or
-    local model plugs in here and is called once per Arrow batch."""
+    """Offline default embedder: word counts by hash bucket, words of any script. Scoring
+    normalises. All words of the batch are counted together."""
+    words = pd.Series(texts, dtype=object).str.lower().str.findall(r"[^\W_]+").explode().dropna()
+    numbers, known = pd.factorize(words)
+    buckets = [int(hashlib.md5(w.encode()).hexdigest()[:4], 16) % dim for w in known]
+    cells = words.index.to_numpy() * dim + np.array(buckets, dtype=np.int64)[numbers]
+    return np.bincount(cells, minlength=len(texts) * dim).reshape(len(texts), dim).astype(float)
+
+
+def embed(
+    df: DataFrame,
+    text_col: str = "text",
+    embedder: Embedder = hashed_words,
+    batch_size: int = EMBED_BATCH,
+) -> DataFrame:
+    """Add a ``vector`` column. ``embedder`` maps a list of texts to a matrix; a hosted or
+    local model plugs in here and gets at most ``batch_size`` texts a call."""
     schema = T.StructType(
         df.schema.fields + [T.StructField("vector", T.ArrayType(T.FloatType()), True)]
     )
 
     def add_vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = ["" if t is None else t for t in batch.column(text_col).to_pylist()]
-            if not texts:
-                continue
-            matrix = np.ascontiguousarray(embedder(texts), dtype=np.float32)
-            offsets = np.arange(0, matrix.size + 1, matrix.shape[1], dtype=np.int32)
-            vectors = pa.ListArray.from_arrays(pa.array(offsets), pa.array(matrix.ravel()))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, vectors], [*batch.schema.names, "vector"]
-            )
+            for low in range(0, batch.num_rows, batch_size):
+                part = batch.slice(low, batch_size)
+                texts = ["" if t is None else t for t in part.column(text_col).to_pylist()]
+                matrix = np.ascontiguousarray(embedder(texts), dtype=np.float32)
+                offsets = np.arange(0, matrix.size + 1, matrix.shape[1], dtype=np.int32)
+                vectors = pa.ListArray.from_arrays(pa.array(offsets), pa.array(matrix.ravel()))
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, vectors], [*part.schema.names, "vector"]
+                )
 
     return df.mapInArrow(add_vectors, schema)
 
 
+def _whole(dim: int) -> Column:
+    sound = F.col("vector").isNotNull() & (F.size("vector") == dim)
+    return F.coalesce(sound & ~F.exists("vector", lambda x: x.isNull()), F.lit(False))
+
+
+def sound_vectors(vectors: DataFrame, dim: int) -> DataFrame:
+    """Rows whose vector is there, ``dim`` long and without nulls."""
+    return vectors.where(_whole(dim))
+
+
+def unsound_vectors(vectors: DataFrame, dim: int) -> DataFrame:
+    """The other rows, for quarantine."""
+    return vectors.where(~_whole(dim))
+
+
 # --- scoring kernel --------------------------------------------------------------------
 
 
@@ -150,44 +172,62 @@ def _hit_schema(questions: DataFrame, vectors: DataFrame) -> T.StructType:
 
 
 def _keep_best(hits: DataFrame, k: int) -> DataFrame:
-    """Final ``k`` per question. The rank limit is applied before the shuffle as well, so
-    a question's group holds at most ``k`` rows per task."""
-    order = Window.partitionBy("question_id").orderBy(F.desc("similarity"), "id")
-    return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    """Final ``k`` per question, merged in two levels: a question's hits come from every task
+    that met it, and no group holds more than ``k`` rows of each task it merges."""
+
+    def best(df: DataFrame, *groups: str) -> DataFrame:
+        order = Window.partitionBy(*groups).orderBy(F.desc("similarity"), "id")
+        return df.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+    dealt = hits.withColumn("_way", F.spark_partition_id() % MERGE_WAYS)
+    return best(best(dealt, "question_id", "_way").drop("rank", "_way"), "question_id")
 
 
 # --- exact search ----------------------------------------------------------------------
 
 
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back, so that it is evaluated once."""
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def topk(
     vectors: DataFrame,
     questions: DataFrame,
     k: int = 5,
     skip_self: bool = False,
-    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """Exact ``k`` nearest ``vectors(id, vector)`` of each ``questions(question_id, vector)``.
 
-    A question set whose size is measured to fit ``max_broadcast_bytes`` goes to every task
-    and the vectors are scanned once, unshuffled. A larger set is matched block by chunk
-    (see ``probe``). Both give the same rows.
+    The questions are evaluated once and asked in blocks of at most about ``block_bytes``; for
+    each block the vectors are scanned, unshuffled, and a task passes on ``k`` rows a question.
+    Vectors that are null, of another length or hold nulls are no candidates; see
+    ``unsound_vectors`` for them. Questions like that get no hits.
     """
-    measured = questions.agg(
+    asked = _kept(questions.select("question_id", "vector"), "questions")
+    measured = asked.agg(
         F.count(F.lit(1)).alias("n"), F.max(F.size("vector")).alias("dim")
     ).first()
-    if measured.n * (measured.dim or 0) * 8 <= max_broadcast_bytes:
-        hits = _scan(vectors, questions, k, skip_self)
-    else:
-        cell = F.lit(0)
-        hits = probe(
-            vectors.withColumn("cell", cell), questions.withColumn("cell", cell), k, skip_self
-        )
-    return _keep_best(hits, k)
+    dim = measured.dim or 0
+    n_blocks = measured.n * dim * 8 // block_bytes + 1
+    block = F.pmod(F.xxhash64("question_id"), F.lit(n_blocks))
+    sound = sound_vectors(vectors.select("id", "vector"), dim)
+    found = None
+    for number in range(n_blocks):
+        some = sound_vectors(asked, dim).where(block == number)
+        hits = _scan(sound, some, k, skip_self)
+        if n_blocks > 1:  # a block's questions leave the driver before the next block's come
+            hits = _kept(hits, "hits")
+        found = hits if found is None else found.unionByName(hits)
+    return _keep_best(found, k)
 
 
 def _scan(vectors: DataFrame, questions: DataFrame, k: int, skip_self: bool) -> DataFrame:
     spark = vectors.sparkSession
-    rows = questions.select("question_id", "vector").toPandas()
+    rows = questions.select("question_id", "vector").toPandas()  # one block
     schema = _hit_schema(questions, vectors)
     if rows.empty:
         return spark.createDataFrame([], schema)
@@ -231,21 +271,20 @@ def probe(
     vectors: DataFrame,
     questions: DataFrame,
     k: int,
-    skip_self: bool = False,
+    skip_self: bool,
+    sizes: DataFrame,
     block: int = BLOCK_QUESTIONS,
     chunk: int = CHUNK_VECTORS,
 ) -> DataFrame:
     """``k`` best per question and piece, matching only rows with the same ``cell``.
 
-    Cells are counted first. A cell with many vectors is cut into chunks, one with many
+    ``sizes`` has (cell, n_vectors), one row a list of the index. A cell with many vectors is cut into chunks, one with many
     questions into blocks, by hash of the unique id; each (block, chunk) piece is one group
     of bounded size, so a cell holding a third of all rows is simply more pieces.
     ``questions`` may carry a ``floor`` similarity below which hits are not wanted.
     """
-    # One row per cell: bounded by the number of lists of the index.
     sizes = (
-        vectors.groupBy("cell")
-        .agg(F.count(F.lit(1)).alias("n_vectors"))
+        sizes.select("cell", "n_vectors")
         .join(questions.groupBy("cell").agg(F.count(F.lit(1)).alias("n_questions")), "cell")
         .select(
             "cell",
@@ -308,18 +347,24 @@ def _angle(cosine: Column) -> Column:
     return F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cosine)))
 
 
-def build_index(vectors: DataFrame, path: str, n_lists: int = 100, seed: int = 1) -> None:
+def build_index(
+    vectors: DataFrame, path: str, n_lists: int = 100, seed: int = 1, train_share: float = 1.0
+) -> None:
     """Write ``vectors(id, vector)`` as lists around k-means centres, with a centre table.
 
-    Each centre records the widest angle of its list, which bounds how similar a vector of
-    that list can be to any question. The rebalance before the write splits a list that
-    holds a large share of all vectors over several tasks and files.
+    The centres are fitted on all vectors, or on the share of them that the caller names, chosen
+    by the hash of the id. Each centre records its list's size and widest angle, which bounds how
+    similar a vector of that list can be to any question. The rebalance before the write splits a
+    list that holds a large share of all vectors over several tasks and files. Unsound vectors are
+    left out. Centres must fit ``MAX_CENTRE_BYTES``.
     """
     spark = vectors.sparkSession
-    unit = unit_vectors(vectors).withColumn("features", array_to_vector("vector"))
-    # Centres only steer the search, so a bounded sample finds them; every vector is listed.
-    share = min(1.0, n_lists * TRAIN_PER_LIST / max(1, vectors.count()))
-    training = unit.select("features").sample(share, seed=seed).persist()
+    dim = vectors.agg(F.max(F.size("vector"))).first()[0] or 0
+    if n_lists * dim * 8 > MAX_CENTRE_BYTES:
+        raise ValueError(f"{n_lists} lists of {dim} numbers exceed {MAX_CENTRE_BYTES} bytes")
+    unit = unit_vectors(sound_vectors(vectors, dim)).withColumn("features", array_to_vector("vector"))
+    hashed = F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1_000_000))
+    training = unit.where(hashed < train_share * 1_000_000).select("features").persist()
     model = KMeans(k=n_lists, seed=seed, maxIter=10, featuresCol="features").fit(training)
     training.unpersist()
     centres = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
@@ -330,14 +375,17 @@ def build_index(vectors: DataFrame, path: str, n_lists: int = 100, seed: int = 1
     listed.hint("rebalance", "cell").write.mode("overwrite").partitionBy("cell").parquet(
         f"{path}/lists"
     )
-    widest = (
+    measured = (
         spark.read.parquet(f"{path}/lists")
         .join(F.broadcast(centre_table), "cell")
         .groupBy("cell")
-        .agg(F.max(_angle(dot(F.col("vector"), F.col("centre")))).alias("radius"))
+        .agg(
+            F.max(_angle(dot(F.col("vector"), F.col("centre")))).alias("radius"),
+            F.count(F.lit(1)).alias("n_vectors"),
+        )
     )
     # One row per list.
-    centre_table.join(widest, "cell").coalesce(1).write.mode("overwrite").parquet(
+    centre_table.join(measured, "cell").coalesce(1).write.mode("overwrite").parquet(
         f"{path}/centres"
     )
 
@@ -387,27 +435,32 @@ def search_index(
     then every list whose bound still reaches that similarity is read as well.
     """
     lists = spark.read.parquet(f"{path}/lists")
-    # One row per list of the index.
-    centres = spark.read.parquet(f"{path}/centres").collect()
-    open_floor = questions.select("question_id", "vector", F.lit(-2.0).alias("floor"))
+    sizes = spark.read.parquet(f"{path}/centres")
+    centres = sizes.collect()  # MAX_CENTRE_BYTES at most
+    asked = _kept(questions.select("question_id", "vector"), "questions")
+
+    def visit(open_questions: DataFrame, first: int, last: int) -> DataFrame:
+        """Routes first; then only the lists that a route names are read."""
+        routes = _kept(_routes(open_questions, centres, first, last), "routes")
+        cells = [row[0] for row in routes.select("cell").distinct().collect()]  # lists at most
+        return probe(lists.where(F.col("cell").isin(cells)), routes, k, skip_self, sizes)
+
+    open_floor = asked.withColumn("floor", F.lit(-2.0))
     first_lists = n_probe or 1
-    near = _routes(open_floor, centres, 0, first_lists)
-    best = _keep_best(probe(lists, near, k, skip_self), k)
+    best = _keep_best(visit(open_floor, 0, first_lists), k)
     if n_probe is not None:
         return best
     # Both the bounds and the final merge need the first round: keep it as a table.
-    kept = shared_dir(spark, "first_round")
-    best.drop("rank").write.parquet(kept)
-    best = spark.read.parquet(kept)
+    best = _kept(best.drop("rank"), "first_round")
     reached = (
         best.groupBy("question_id")
         .agg(F.count(F.lit(1)).alias("n"), F.min("similarity").alias("lowest"))
         .select("question_id", F.when(F.col("n") == k, F.col("lowest")).alias("floor"))
     )
-    floors = questions.join(reached, "question_id", "left").select(
+    floors = asked.join(reached, "question_id", "left").select(
         "question_id", "vector", F.coalesce("floor", F.lit(-2.0)).alias("floor")
     )
-    rest = probe(lists, _routes(floors, centres, first_lists, len(centres)), k, skip_self)
+    rest = visit(floors, first_lists, len(centres))
     return _keep_best(best.unionByName(rest), k)
 
 
@@ -440,17 +493,34 @@ def criteria_text(
     return " ".join(words for value, words in parts if value) or fv.EMPTY_CRITERIA
 
 
-def build_store(documents: DataFrame, path: str, embedder: Embedder = hashed_words) -> None:
-    """Embed and write documents, ordered by ``doc_id``.
-
-    Equal documents are reduced to one before the embedder runs; ``doc_id`` is a hash of the
-    content. Its even spread makes equal ranges, and the order lets a lookup of a few ids
-    skip all files but theirs.
+def build_store(
+    documents: DataFrame,
+    path: str,
+    embedder: Embedder = hashed_words,
+    batch_size: int = EMBED_BATCH,
+) -> None:
+    """Embed and write documents, one entry for each row, ordered by ``doc_id``.
+
+    Each text is embedded once, however many rows have it. ``doc_id`` is a hash of the text
+    columns and a number that tells rows apart which agree in all of them, by price and then by
+    copy. The order lets a lookup of a few ids skip all files but theirs.
     """
-    doc_id = F.md5(F.concat_ws("\n", "text", "ndc_description"))
-    distinct = documents.withColumn("doc_id", doc_id).distinct()
-    placed = distinct.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
-    embed(placed, "text", embedder).write.mode("overwrite").parquet(path)
+    columns = documents.columns
+    texts = _kept(documents.select("text").distinct(), "texts")
+    vectors = _kept(embed(texts, "text", embedder, batch_size), "text_vectors")
+    rows = documents.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
+    key = F.md5(F.concat_ws("\n", *[F.coalesce(c, F.lit("")) for c in columns if c != "price"]))
+    before = Window.partitionBy("_key").orderBy("price").rowsBetween(Window.unboundedPreceding, -1)
+    numbered = rows.withColumn("_key", key).withColumn(
+        "_first", F.coalesce(F.sum("_copies").over(before), F.lit(0))
+    )
+    copies = F.explode(F.sequence("_first", F.col("_first") + F.col("_copies") - 1))
+    stored = numbered.withColumn("_copy", copies).select(
+        *columns, F.concat_ws("-", "_key", F.lpad(F.col("_copy").cast("string"), 12, "0")).alias("doc_id")
+    )
+    placed = stored.join(vectors, stored["text"].eqNullSafe(vectors["text"])).drop(vectors["text"])
+    placed = placed.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    placed.write.mode("overwrite").parquet(path)
 
 
 def load_store(spark: SparkSession, path: str) -> DataFrame:
@@ -460,18 +530,10 @@ def load_store(spark: SparkSession, path: str) -> DataFrame:
 def search(store: DataFrame, questions: DataFrame, k: int = 5) -> DataFrame:
     """Stored documents of the ``k`` best hits of each question.
 
-    The ranking reads ids and vectors only. A few hits (the usual case: questions typed in
-    by someone) are then looked up by id, which the store's order serves from a few files;
-    many hits are joined.
+    The ranking reads ids and vectors only; the documents of the hits are joined by id.
     """
     hits = topk(store.select(F.col("doc_id").alias("id"), "vector"), questions, k)
-    hits = hits.withColumnRenamed("id", "doc_id")
-    documents = store.drop("vector")
-    if questions.count() * k <= MAX_LOOKUP:
-        found = hits.collect()
-        documents = documents.where(F.col("doc_id").isin([row["doc_id"] for row in found]))
-        hits = F.broadcast(store.sparkSession.createDataFrame(found, hits.schema))
-    return documents.join(hits, "doc_id")
+    return store.drop("vector").join(hits.withColumnRenamed("id", "doc_id"), "doc_id")
 
 
 def within_price(hits: DataFrame, max_price: float | None, min_price: float | None) -> DataFrame:

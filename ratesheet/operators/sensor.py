@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ratesheet import fixed_values as fv
 
 
+_MEASURES = {"avg": F.avg, "max": F.max, "min": F.min, "count_if": F.count_if, "count": F.count}
+
+
 def clean(readings: DataFrame) -> DataFrame:
     """Readings with a temperature inside the accepted range."""
     return readings.where(
@@ -44,28 +47,12 @@ def daily_summary(processed: DataFrame, day: dt.date, time_col: str = "timestamp
     return (
         processed.where((F.col(time_col) >= start) & (F.col(time_col) < end))
         .groupBy("location")
-        .agg(
-            F.avg("avg_temperature").alias("daily_avg_temperature"),
-            F.max("avg_temperature").alias("daily_max_temperature"),
-            F.min("avg_temperature").alias("daily_min_temperature"),
-            F.avg("avg_humidity").alias("daily_avg_humidity"),
-            F.avg("avg_pressure").alias("daily_avg_pressure"),
-            F.sum(F.when(F.col("anomaly_detected"), 1).otherwise(0)).alias("anomaly_count"),
-            F.count(F.lit(1)).alias("total_readings"),
-        )
+        .agg(*[_MEASURES[how](c).alias(name) for name, how, c in fv.DAILY_MEASURES])
         .withColumn("date", F.lit(day))
     )
 
 
-SUMMARY_COLUMNS = [
-    "daily_avg_temperature",
-    "daily_max_temperature",
-    "daily_min_temperature",
-    "daily_avg_humidity",
-    "daily_avg_pressure",
-    "anomaly_count",
-    "total_readings",
-]
+SUMMARY_COLUMNS = [name for name, *_ in fv.DAILY_MEASURES]
 
 
 def metric_rows(summary: DataFrame, *keep: str) -> DataFrame:
@@ -104,14 +91,21 @@ def validate(
     return checked.withColumn("is_valid", F.size("errors") == 0)
 
 
-def error_payloads(
-    validated: DataFrame, original: Column, time_col: str = "timestamp"
-) -> DataFrame:
-    """JSON payload of every rejected record: the record, its errors, its time."""
-    payload = F.struct(
-        original.alias("original_data"), "errors", F.col(time_col).alias("timestamp")
-    )
-    return validated.where(~F.col("is_valid")).select(F.to_json(payload).alias("value"))
+def error_payloads(validated: DataFrame, original: Column, sent_time: Column) -> DataFrame:
+    """JSON payload of every rejected record: the record, its errors, its time.
+
+    ``original`` is the record's text and goes in as the object it is; a text that is no JSON
+    goes in as a string. ``sent_time`` is the JSON value of the record's own time, if any.
+    """
+    quoted = F.regexp_extract(F.to_json(F.struct(original.alias("v"))), r'^\{"v":(.*)\}$', 1)
+    record = F.when(F.try_parse_json(original).isNotNull(), original).otherwise(quoted)
+    null = F.lit("null")
+    payload = F.concat(
+        F.lit('{"original_data":'), F.coalesce(F.nullif(record, F.lit("")), null),
+        F.lit(',"errors":'), F.to_json("errors"),
+        F.lit(',"timestamp":'), F.coalesce(sent_time, null), F.lit("}"),
+    )
+    return validated.where(~F.col("is_valid")).select(payload.alias("value"))
 
 
 def message_rows(readings: DataFrame, run_ts: Column | None = None) -> DataFrame:

@@ -24,7 +24,6 @@ from ratesheet.operators import (
     staging,
 )
 from ratesheet.plans import views
-from ratesheet.session import shared_dir
 from ratesheet.sources import messages, pages, sinks, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,23 +34,25 @@ LOOKUP_NAME, LOOKUP_FORM = "RING", "CREAM"
 TREND_DAYS = 365
 QUARTER = "1998Q2"
 TOP_K = 5
-CRITERIA = {"drug_name": "red widget", "drug_form": "cream", "max_price": 1000.0}
-CRITERIA_K = 10
-SOURCE_QUESTION = "What is the price of red widget cream?"
+CRITERIA = {"drug_form": "CREAM 0.7%", "min_price": 905.0}
+CRITERIA_K = 25
+SOURCE_QUESTION = "hot gear, counted in ml"
 QUESTIONS = [
-    "What is the price of small ring?",
-    "What are the different forms of red widget?",
-    "Compare generic and brand name drug prices",
-    "What drugs are available at a community pharmacy?",
-    "Which over the counter cream carries note reserved?",
+    "list every old bolt with a strength of 12 MG",
+    "plate, new",
+    "blue anvil near nine hundred",
+    "entries last priced in 1996 that carry code 99",
+    "gizmo gizmo gizmo",
+    "anything large for an unknown pharmacy",
+    "small ring 7 brand",
 ]
 
-
 # Columns handed out as text: dates and nullable integers, which table libraries represent
 # differently from engine to engine.
 _DATES = schemas.DATE_COLUMNS
 TEXT_OUTPUT = {
     "scan_staging": _DATES,
+    "arrived_records": _DATES,
     "ndc_number": ["ndc_value"],
     "parse_dates": ["parsed"],
     "stage_transform": _DATES,
@@ -307,6 +308,19 @@ def retention_filter(spark, sf):
     return kept.groupBy("as_of_date").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+@query
+def two_loads(spark, sf):
+    """Rows per name of a table that two loads of one day, one of them repeated, have filled."""
+    rows = tables.read_enriched(spark, views.two_loads_path(spark, sf))
+    return rows.groupBy("drug_name").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query
+def arrived_records(spark, sf):
+    """Page files landed, picked up by the arrival job, staged and archived."""
+    return tables.read_staging(spark, views.arrived_path(spark, sf))
+
+
 # --- documents -------------------------------------------------------------------------
 
 
@@ -368,7 +382,7 @@ def read_pages(spark, sf):
     path = views.stored(
         spark, sf, "page_files", lambda p: sinks.land_pages(views.pages(spark, sf), p)
     )
-    landed = pages.read_pages(spark, path).drop("page_number")
+    landed = pages.read_pages(spark, path)
     found = pages.records_text(F.col("data"), F.col("raw_response"), F.col("results"))
     return landed.select(
         (F.col("offset") / F.col("limit") + 1).cast("bigint").alias("page_number"),
@@ -379,7 +393,7 @@ def read_pages(spark, sf):
     )
 
 
-def _shapes(spark, sf, name, shapes):
+def _shapes(spark, sf, shapes):
     """Pages rewritten into the given payload shapes, landed one page a line."""
     rows = views.pages(spark, sf).withColumn("n", F.col("page_number") % len(shapes))
     body = F.lit(None).cast("string")
@@ -403,7 +417,7 @@ def extract_records(spark, sf):
     ]
 
     def land(path):
-        sinks.land_pages(_shapes(spark, sf, "extract", shapes), path, one_file_per_page=False)
+        sinks.land_page_lines(_shapes(spark, sf, shapes), path)
 
     path = views.stored(spark, sf, "shaped_pages", land)
     return pages.extract_records(pages.read_pages(spark, path, whole_file=False))
@@ -421,7 +435,7 @@ def locate_records(spark, sf):
         '{"results":[],"data":@}',
         '{"data":{"results":@},"items":[]}',
     ]
-    return pages.locate_records(_shapes(spark, sf, "locate", shapes), "body", "page_number")
+    return pages.locate_records(_shapes(spark, sf, shapes), "body", "page_number")
 
 
 # --- sensors ---------------------------------------------------------------------------
@@ -519,6 +533,29 @@ def quarantine(spark, sf):
     )
 
 
+@query
+def routed_messages(spark, sf):
+    """Messages that the routing stream found valid."""
+    lines = spark.read.text(f"{views.routed_path(spark, sf)}/valid").select("value")
+    rows = messages.decode_readings(lines)
+    event = F.get_json_object("body", "$.event_id").cast("bigint").alias("event_id")
+    sent_at = F.get_json_object("body", "$.timestamp").alias("sent_at")
+    return rows.select(event, "sensor_id", sent_at, "temperature")
+
+
+@query
+def error_payloads(spark, sf):
+    """Payloads of the messages that the routing stream rejected."""
+    lines = spark.read.text(f"{views.routed_path(spark, sf)}/errors")
+    at = lambda path: F.get_json_object("value", path)
+    return lines.select(
+        at("$.original_data.event_id").cast("bigint").alias("event_id"),
+        at("$.original_data.sensor_id").alias("sensor_id"),
+        F.array_join(F.from_json(at("$.errors"), "array<string>"), "; ").alias("errors"),
+        at("$.timestamp").alias("sent_at"),
+    )
+
+
 # --- monitoring ------------------------------------------------------------------------
 
 
@@ -607,7 +644,7 @@ def criteria_search(spark, sf):
     """Criteria turned into a question; the price bound applies to what came back."""
     asked = retrieval.question_table(spark, [retrieval.criteria_text(**CRITERIA)])
     hits = retrieval.search(views.document_store(spark, sf), asked, CRITERIA_K)
-    kept = retrieval.within_price(hits, CRITERIA["max_price"], None)
+    kept = retrieval.within_price(hits, None, CRITERIA["min_price"])
     return kept.select(
         "rank", "ndc", "drug_name", "drug_form", "price", "effective_date", "similarity"
     )

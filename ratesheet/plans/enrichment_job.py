@@ -18,18 +18,23 @@ def run(
     enriched_path: str,
     run_ts: dt.datetime | None = None,
     by: str = "enriched_date",
-    mode: str = "replace",
+    load_id: str | None = None,
 ) -> dict[str, int]:
-    """Enrich and write; returns the row count, observed during the write itself.
+    """Enrich and add as one load; returns the row count, observed during the write itself.
+
+    A load is named after its run time unless the caller names it: running it again replaces
+    it, and any other run adds.
 
     The output is cut into as many ranges as the input has splits, so the size of a range
     follows the split size whatever the table size is.
     """
     counts = Observation("enrichment")
     staged = tables.read_staging(spark, staging_path)
-    clock = None if run_ts is None else F.lit(run_ts.isoformat(sep=" ")).cast("timestamp")
+    run_ts = run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    clock = F.lit(run_ts.isoformat(sep=" ")).cast("timestamp")
+    load_id = load_id or f"{run_ts:%Y%m%dT%H%M%S.%f}"
     n = staged.rdd.getNumPartitions()
-    sinks.write_enriched(enrich(staged, clock), enriched_path, by=by, mode=mode, n=n, counts=counts)
+    sinks.write_enriched(enrich(staged, clock), enriched_path, load_id, by=by, n=n, counts=counts)
     return counts.get
 
 
@@ -39,10 +44,11 @@ def main() -> None:
     parser.add_argument("--enriched-path", required=True)
     layouts = ["enriched_date", "effective_quarter"]
     parser.add_argument("--partition-by", default=layouts[0], choices=layouts)
+    parser.add_argument("--load-id", help="default: the run time")
     args = parser.parse_args()
     spark = build_session("enrichment")
     try:
-        print(run(spark, args.staging_path, args.enriched_path, by=args.partition_by))
+        print(run(spark, args.staging_path, args.enriched_path, by=args.partition_by, load_id=args.load_id))
     finally:
         spark.stop()
 

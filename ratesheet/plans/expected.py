@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from ratesheet import fixed_values as fv
-from ratesheet.operators import conversation, retrieval
+from ratesheet.operators import retrieval
 from ratesheet.plans import catalog as cat
-from ratesheet.plans.views import EXTRACTED_AT, NADAC_RAW_SQL, RUN_TS, SENSOR_RAW_SQL
+from ratesheet.plans.views import EXTRACTED_AT, MESSAGES_SQL, NADAC_RAW_SQL, RUN_TS, SENSOR_RAW_SQL
 from ratesheet.schemas import STAGING_COLUMNS
 
 NL = "chr(10)"
@@ -92,6 +92,9 @@ _document = f"""concat_ws({NL},
  {_line("Explanation Code: ", "explanation_code")}, {_line("Note: ", "explanation_code_description")},
  {_line("Generic Drug Price: ", _money("corresponding_generic_drug_nadac_per_unit"))})"""
 
+_store_columns = ["ndc", "drug_name", "drug_form", "effective_date", "source", "ndc_description", "pricing_unit", "text"]
+_store_key = f" || {NL} || ".join(f"coalesce({c}, '')" for c in _store_columns)
+
 # Named parts, each built on the ones before it.
 PARTS = {
     "nadac_raw": NADAC_RAW_SQL.format(lineitem="lineitem", part="part"),
@@ -108,7 +111,8 @@ PARTS = {
     "documented": f"""SELECT ndc, drug_name, coalesce(drug_form, '') AS drug_form,
       coalesce(nadac_per_unit, 0.0) AS price, coalesce(CAST(effective_date AS VARCHAR), '') AS effective_date,
       '{fv.DOCUMENT_SOURCE}' AS source, ndc_description, pricing_unit, {_document} AS text FROM typed""",
-    "store": f"SELECT DISTINCT *, md5(concat_ws({NL}, text, ndc_description)) AS doc_id FROM documented",
+    "store": f"""SELECT * EXCLUDE (key), key || '-' || lpad(CAST(row_number() OVER (PARTITION BY key ORDER BY price) - 1
+      AS VARCHAR), 12, '0') AS doc_id FROM (SELECT *, md5({_store_key}) AS key FROM documented)""",
     "numbered": f"""SELECT *, row_number() OVER (ORDER BY md5(record), record) - 1 AS rn
       FROM (SELECT *, '{{' || {_json} || '}}' AS record FROM nadac_raw)""",
     "paged": f"""SELECT rn // {fv.PAGE_SIZE} + 1 AS page_number, count(*) AS records_count,
@@ -121,6 +125,13 @@ PARTS = {
       || records_count || ',"parameters":{{"limit":{fv.PAGE_SIZE},"offset":' || (page_number - 1) * {fv.PAGE_SIZE}
       || '}},"data":{{"results":' || records || '}}}}' AS body FROM paged""",
     "sensor_raw": SENSOR_RAW_SQL.format(events="events"),
+    "sent": MESSAGES_SQL.format(events="events"),
+    "judged": f"""SELECT *, array_to_string(list_filter([
+      CASE WHEN sensor_id IS NULL THEN '{fv.MISSING_FIELD_TEXT}sensor_id' END,
+      CASE WHEN sent_at IS NULL THEN '{fv.MISSING_FIELD_TEXT}timestamp' END,
+      CASE WHEN temperature IS NULL THEN '{fv.MISSING_FIELD_TEXT}temperature' END,
+      CASE WHEN temperature NOT BETWEEN -50 AND 100 THEN '{fv.OUT_OF_RANGE_TEXT}' END],
+      lambda e: e IS NOT NULL), '; ') AS errors FROM sent""",
     "processed": f"""SELECT sensor_id, reading_ts, temperature AS avg_temperature, humidity AS avg_humidity,
       pressure AS avg_pressure, location,
       CASE WHEN temperature BETWEEN 0 AND 40 AND humidity BETWEEN 0 AND 100 AND pressure BETWEEN 900 AND 1100
@@ -144,6 +155,7 @@ _NEEDS = {
     "paged": ["numbered"],
     "enveloped": ["paged"],
     "processed": ["sensor_raw"],
+    "judged": ["sent"],
     "nearest": ["pairwise"],
 }
 
@@ -172,7 +184,7 @@ def _search(questions: list[str], k: int, sql: str) -> str:
         number = f"CAST('0x' || substr(md5(w), 1, 4) AS INTEGER) % {retrieval.DEFAULT_DIM}"
         return (
             f"SELECT {key}, {number} AS b, count(*) AS c FROM (SELECT {key}, "
-            f"unnest(regexp_extract_all(lower({words}), '[a-z0-9]+')) AS w FROM {source}) GROUP BY ALL"
+            f"unnest(regexp_extract_all(lower({words}), '[\\p{{L}}\\p{{N}}]+')) AS w FROM {source}) GROUP BY ALL"
         )
 
     asked = " UNION ALL ".join(
@@ -395,6 +407,13 @@ _TYPED: dict[str, str] = {
         {_run_ts} AS processing_timestamp FROM sensor_raw""",
         "sensor_raw",
     ),
+    "two_loads": _with("SELECT drug_name, count(*) AS n_rows FROM enriched WHERE ndc_description IS NOT NULL AND drug_name IS NOT NULL GROUP BY 1", "enriched"),
+    "arrived_records": _with("SELECT * FROM staged", "staged"),
+    "routed_messages": _with(
+        "SELECT event_id, sensor_id, sent_at, CAST(temperature AS DOUBLE) AS temperature FROM judged WHERE errors = ''",
+        "judged",
+    ),
+    "error_payloads": _with("SELECT event_id, sensor_id, errors, sent_at FROM judged WHERE errors <> ''", "judged"),
     "alert_lines": f"""SELECT event_id, 'NOTIFICATION [' || CASE WHEN event_type = 'error' THEN 'CRITICAL' ELSE 'INFO' END
         || ']: ' || CASE WHEN event_id % 3 <> 0 THEN coalesce(event_type, '{fv.ALERT_TYPE}') ELSE '{fv.ALERT_TYPE}' END
         || ' - ' || CASE WHEN event_id % 5 <> 0 THEN coalesce(props, '{fv.ALERT_MESSAGE}') ELSE '{fv.ALERT_MESSAGE}' END
@@ -442,7 +461,7 @@ _TYPED: dict[str, str] = {
         [retrieval.criteria_text(**cat.CRITERIA)],
         cat.CRITERIA_K,
         f"""SELECT rank, ndc, drug_name, drug_form, price, effective_date, similarity FROM hits
-        WHERE price <= {cat.CRITERIA["max_price"]}""",
+        WHERE price >= {cat.CRITERIA["min_price"]}""",
     ),
     "prompt_context": _search(
         cat.QUESTIONS,
@@ -451,11 +470,10 @@ _TYPED: dict[str, str] = {
         || string_agg(text, {NL} || {NL} ORDER BY rank) || {_text(_middle)} || question || {_text(_after)} AS prompt
         FROM hits JOIN asked USING (question_id) GROUP BY 1, 2""",
     ),
-    "conversation_context": f"""SELECT conv_id, turn, role, text, CAST(count(*) OVER w AS INTEGER) AS n_context_turns,
-        coalesce(string_agg(role || ': ' || text, {NL} ORDER BY turn) OVER w, '') AS context
-        FROM (SELECT DISTINCT conv_id, turn, role, text FROM conversations)
-        WINDOW w AS (PARTITION BY conv_id ORDER BY turn
-          RANGE BETWEEN {conversation.HISTORY_TURNS} PRECEDING AND 1 PRECEDING)""",
+    "conversation_context": f"""WITH said AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations)
+        SELECT a.conv_id, a.turn, a.role, a.text, CAST(count(b.turn) AS INTEGER) AS n_context_turns,
+        coalesce(string_agg(b.role || ': ' || b.text, {NL} ORDER BY b.turn, b.role || ': ' || b.text), '') AS context
+        FROM said a LEFT JOIN said b ON b.conv_id = a.conv_id AND b.turn < a.turn GROUP BY ALL""",
 }
 
 

@@ -17,17 +17,18 @@ def process(
     spark: SparkSession,
     input_glob: str,
     processed_path: str,
+    load_id: str,
     run_ts: Column | None = None,
     whole_file: bool = True,
 ) -> dict[str, int]:
-    """Clean, score and append the readings of the input files; returns the row counts,
-    observed while the rows are written."""
+    """Clean, score and add the readings of the input files as one load; returns the row
+    counts, observed while the rows are written. A repeated load replaces itself."""
     read, written = Observation("read"), Observation("written")
     readings = tables.read_sensor(spark, input_glob, whole_file)
     readings = readings.observe(read, F.count(F.lit(1)).alias("rows_read"))
     rows = sensor.process(readings, run_ts).select(*schemas.PROCESSED_SENSOR.fieldNames())
     rows = rows.observe(written, F.count(F.lit(1)).alias("rows_written"))
-    sinks.append_rows(rows, processed_path)
+    sinks.write_load(rows, processed_path, load_id)
     return {**read.get, **written.get}
 
 
@@ -43,6 +44,7 @@ def main() -> None:
     one = jobs.add_parser("process")
     one.add_argument("--input", required=True)
     one.add_argument("--processed-path", required=True)
+    one.add_argument("--load-id", required=True)
     two = jobs.add_parser("daily")
     two.add_argument("--processed-path", required=True)
     two.add_argument("--daily-path", required=True)
@@ -51,7 +53,7 @@ def main() -> None:
     spark = build_session("sensor")
     try:
         if args.job == "process":
-            print(process(spark, args.input, args.processed_path))
+            print(process(spark, args.input, args.processed_path, args.load_id))
         else:
             day = args.day or dt.date.today() - dt.timedelta(days=1)
             summarise_day(spark, args.processed_path, args.daily_path, day)

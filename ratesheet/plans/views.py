@@ -12,12 +12,13 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ratesheet import schemas
+from ratesheet import fixed_values as fv, schemas
 from ratesheet.operators import documents, enrichment, paging, retrieval, sensor
 from ratesheet.operators.staging import stage_transform
 from ratesheet.plans import enrichment_job
 from ratesheet.session import shared_dir
-from ratesheet.sources import sinks, tables
+from ratesheet.sources import messages, sinks, tables
+from ratesheet.streaming import arrivals, topics
 
 # One text for both engines; {lineitem}, {part} and {events} name the inputs.
 NADAC_RAW_SQL = """
@@ -67,8 +68,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def nadac_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lineitem = tables.spread(table(spark, sf_dir, "lineitem"))
-    return spark.sql(NADAC_RAW_SQL, lineitem=lineitem, part=table(spark, sf_dir, "part"))
+    return spark.sql(NADAC_RAW_SQL, lineitem=table(spark, sf_dir, "lineitem"), part=table(spark, sf_dir, "part"))
 
 
 def sensor_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,7 +104,7 @@ def clock(spark: SparkSession, sf_dir: str, name: str, newest: Callable[[], Data
 
 def staging_path(spark: SparkSession, sf_dir: str) -> str:
     def write(path: str) -> None:
-        sinks.write_staging(stage_transform(nadac_raw(spark, sf_dir)), path)
+        sinks.write_staging(stage_transform(nadac_raw(spark, sf_dir)), path, "first")
 
     return stored(spark, sf_dir, "staging", write)
 
@@ -124,7 +124,7 @@ def _enrich_by_quarter(spark: SparkSession, source: str, path: str) -> None:
 
 
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.schema(schemas.ENRICHED).parquet(enriched_path(spark, sf_dir))
+    return spark.read.schema(schemas.ENRICHED).parquet(enriched_path(spark, sf_dir)).drop("load_id")
 
 
 def price_as_of(spark: SparkSession, sf_dir: str) -> dt.date:
@@ -157,8 +157,58 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def arrived_path(spark: SparkSession, sf_dir: str) -> str:
+    """Staging table of the landed page files, filled by the arrival job."""
+
+    def run(path: str) -> None:
+        sinks.land_pages(pages(spark, sf_dir), f"{path}/bucket/{fv.RAW_PREFIX}")
+        places = [f"{path}/{name}" for name in ("staging", "quarantine", "handled", "checkpoint")]
+        arrivals.stage_arrivals(spark, f"{path}/bucket", *places).awaitTermination()
+        arrivals.archive_handled(spark, f"{path}/bucket", f"{path}/handled")
+
+    return stored(spark, sf_dir, "arrived", run) + "/staging"
+
+
+def two_loads_path(spark: SparkSession, sf_dir: str) -> str:
+    """Enriched table made of two loads of one day, the first of which was run again."""
+
+    def write(path: str) -> None:
+        rows = staging(spark, sf_dir)
+        first = F.coalesce(F.col("ndc").cast("bigint") % 2 == 0, F.lit(False))
+        for load_id, part in (("a", first), ("b", ~first), ("a", first)):
+            done = enrichment.enrich(rows.where(part), run_ts())
+            sinks.write_enriched(done, path, load_id)
+
+    return stored(spark, sf_dir, "two_loads", write)
+
+
 # --- sensors ---------------------------------------------------------------------------
 
+# Messages with fields missing, odd times, and numbers sent as text.
+MESSAGES_SQL = """
+SELECT event_id, CASE WHEN event_id % 17 > 0 THEN CAST(user_id AS VARCHAR(19)) END AS sensor_id,
+ CASE WHEN event_id % 11 = 0 THEN concat('day ', CAST(event_id AS VARCHAR(19)))
+   WHEN event_id % 19 > 0 THEN '2024-01-30T10:00:00Z' END AS sent_at,
+ CASE WHEN event_id % 29 > 0 THEN CAST(event_id % 400 - 100 AS INTEGER) END AS temperature,
+ event_id % 13 = 0 AS is_text FROM {events}
+"""
+
+
+def routed_path(spark: SparkSession, sf_dir: str) -> str:
+    """Topic folders that the routing stream filled: ``valid`` and ``errors``."""
+
+    def run(path: str) -> None:
+        sent = spark.sql(MESSAGES_SQL, events=table(spark, sf_dir, "events"))
+        fields = ["event_id", "sensor_id", F.col("sent_at").alias("timestamp")]
+        number = F.to_json(F.struct(*fields, "temperature"))
+        words = F.to_json(F.struct(*fields, F.col("temperature").cast("string").alias("temperature")))
+        body = F.when(F.col("is_text"), words).otherwise(number)
+        sinks.land_lines(sent.select(messages.encode(body).alias("value")), f"{path}/topic")
+        folders = [f"{path}/{name}" for name in ("topic", "valid", "errors", "checkpoint")]
+        topics.route_messages(spark, *folders).awaitTermination()
+
+    return stored(spark, sf_dir, "routed", run)
+
 
 def sensor_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sensor readings as JSON text, one column ``body``, with the reading they hold."""
@@ -174,7 +224,7 @@ def processed_sensor(spark: SparkSession, sf_dir: str) -> DataFrame:
     def write(path: str) -> None:
         readings = sensor_raw(spark, sf_dir).withColumn("timestamp", F.col("reading_ts").cast("timestamp"))
         rows = sensor.process(readings, run_ts()).select(*schemas.PROCESSED_SENSOR.fieldNames())
-        sinks.append_rows(rows, path)
+        sinks.write_load(rows, path, "first")
 
     return tables.read_processed_sensor(spark, stored(spark, sf_dir, "processed_sensor", write))
 

@@ -18,15 +18,26 @@ def encode(text: Column) -> Column:
 
 
 def decode_readings(messages: DataFrame, value: str = "value") -> DataFrame:
-    """Sensor readings of the messages, with the message text and what the temperature
-    field held as text (a temperature may be present without being a number)."""
+    """Sensor readings of the messages, with the message as it was ``sent``, its text ``body``
+    and what the temperature field held as text. A number sent as text is a number; a
+    temperature may be present without being one."""
     text = message_text(F.col(value))
-    return (
+    readings = (
         messages.withColumn("body", text)
         .withColumn("_reading", F.from_json("body", schemas.SENSOR))
         .withColumn("temperature_text", F.get_json_object("body", "$.temperature"))
         .select("*", "_reading.*")
-        .drop("_reading", value)
+        .drop("_reading")
+        .withColumnRenamed(value, "sent")
+    )
+    number = F.coalesce("temperature", F.col("temperature_text").try_cast("double"))
+    return readings.withColumn("temperature", number)
+
+
+def is_object(text: Column) -> Column:
+    """Whether a text is a JSON object."""
+    return F.coalesce(
+        F.try_parse_json(text).isNotNull() & F.startswith(F.ltrim(text), F.lit("{")), F.lit(False)
     )
 
 

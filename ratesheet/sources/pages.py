@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ratesheet import fixed_values as fv, schemas
+from ratesheet.sources import storage
 
 RECORDS = T.ArrayType(schemas.RECORD)
 
@@ -14,9 +17,22 @@ def read_pages(spark: SparkSession, path: str, whole_file: bool = True) -> DataF
     return spark.read.schema(schemas.PAGE).option("multiLine", whole_file).json(path)
 
 
-def only_raw(df: DataFrame, prefix: str = fv.RAW_PREFIX) -> DataFrame:
-    """Rows that came from an object below the raw prefix."""
-    return df.where(F.contains(F.col("_metadata.file_path"), F.lit(prefix)))
+def plain_root(path: str) -> str:
+    """A qualified path with one slash after its scheme, as ``object_name`` compares it."""
+    return re.sub("^([a-z0-9]+):/+", r"\1:/", path)
+
+
+def object_name(file_path: Column, root: str) -> Column:
+    """Name of an object relative to the qualified ``root``; null outside of it."""
+    plain = F.regexp_replace(F.url_decode(file_path), "^([a-z0-9]+):/+", "$1:/")
+    below = plain_root(root).rstrip("/") + "/"
+    return F.when(plain.startswith(below), F.substring(plain, F.lit(len(below) + 1), F.length(plain)))
+
+
+def only_raw(df: DataFrame, root: str, prefix: str = fv.RAW_PREFIX) -> DataFrame:
+    """Rows that came from an object whose name below ``root`` starts with the raw prefix."""
+    name = object_name(F.col("_metadata.file_path"), storage.qualified(df.sparkSession, root))
+    return df.where(F.coalesce(F.startswith(name, F.lit(prefix)), F.lit(False)))
 
 
 def _is_list(json_text: Column) -> Column:

@@ -1,6 +1,8 @@
 """Writers and table layouts.
 
-Partition columns are dates or quarters, never product codes. Rows are spread by range over
+A table is a set of loads, one folder each: adding a load never touches another, and repeating
+one replaces what its first try left. Partition columns inside a load are dates or quarters,
+never product codes. Rows are spread by range over
 the clustering columns plus the number of the task they come from: a clustering key (or a
 group of equal rows) holding a large share of the data is cut into several ranges, and the
 task number is the same again when a lost task is repeated.
@@ -12,12 +14,16 @@ product can skip.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from ratesheet.functions import values
 from ratesheet.operators.enrichment import with_quarter
+from ratesheet.sources import storage
 from ratesheet.sources.tables import CORRUPT
 
+LOAD = "load_id"
 ENRICHED_CLUSTERING = ["drug_name", "ndc", "drug_strength", "drug_form"]
 STAGING_CLUSTERING = ["ndc_description", "pricing_unit", "otc", "classification_for_rate_setting"]
 
@@ -29,27 +35,24 @@ def _clustered(df: DataFrame, keys: list[str], n: int | None) -> DataFrame:
     return ranged.sortWithinPartitions(*keys).drop("_task")
 
 
-def _write(df: DataFrame, path: str, partition: str, mode: str) -> None:
-    writer = df.write.partitionBy(partition)
-    if mode == "replace":
-        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
-    else:
-        writer.mode(mode).parquet(path)
+def load_dir(path: str, load_id: str) -> str:
+    """Folder of one load in a table. A repeated load replaces its own folder and no other."""
+    if not re.fullmatch(r"[A-Za-z0-9_.-]+", load_id):
+        raise ValueError(f"not a load id: {load_id!r}")
+    return f"{path}/{LOAD}={load_id}"
 
 
 def write_enriched(
     df: DataFrame,
     path: str,
+    load_id: str,
     by: str = "enriched_date",
-    mode: str = "replace",
     n: int | None = None,
     counts: Observation | None = None,
 ) -> None:
-    """Enriched rows by run day, or by ``effective_quarter`` for the price reports.
+    """Adds a load of enriched rows, by run day or by ``effective_quarter`` for the price reports.
 
-    The default mode replaces the partitions of this run only, so repeating a run does not
-    duplicate rows; ``append`` adds. ``counts`` observes the rows on their way to the files,
-    behind the shuffle: the sampling pass of the range shuffle must not be counted.
+    ``counts`` observes the rows on their way to the files.
     """
     if by == "enriched_date":
         laid_out = df.withColumn(by, F.to_date("enriched_timestamp"))
@@ -58,11 +61,11 @@ def write_enriched(
     rows = _clustered(laid_out, [by, *ENRICHED_CLUSTERING], n)
     if counts is not None:
         rows = rows.observe(counts, F.count(F.lit(1)).alias("rows_written"))
-    _write(rows, path, by, mode)
+    rows.write.partitionBy(by).mode("overwrite").parquet(load_dir(path, load_id))
 
 
-def write_staging(df: DataFrame, path: str, mode: str = "append", n: int | None = None) -> None:
-    """Staging rows, placed by code range and clustered.
+def write_staging(df: DataFrame, path: str, load_id: str, n: int | None = None) -> None:
+    """Adds a load of staging rows, placed by code range and clustered.
 
     The code ranges order the files rather than name folders: 100,000 possible folders
     would leave tiny files.
@@ -70,40 +73,54 @@ def write_staging(df: DataFrame, path: str, mode: str = "append", n: int | None
     keys = ["ndc_bucket", *STAGING_CLUSTERING]
     bucket = values.ndc_range_bucket(F.col("ndc"))
     placed = _clustered(df.withColumn("ndc_bucket", bucket), keys, n)
-    placed.drop("ndc_bucket").write.mode(mode).parquet(path)
+    write_load(placed.drop("ndc_bucket"), path, load_id)
 
 
-def append_rows(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
+def write_load(df: DataFrame, path: str, load_id: str) -> None:
+    """Adds a load of rows as they are."""
+    df.write.mode("overwrite").parquet(load_dir(path, load_id))
 
 
 def write_daily(df: DataFrame, path: str, day_col: str = "date") -> None:
     """Rows of a daily job, replacing that day only."""
-    _write(df, path, day_col, "replace")
+    writer = df.write.partitionBy(day_col).option("partitionOverwriteMode", "dynamic")
+    writer.mode("overwrite").parquet(path)
 
 
-def land_pages(
-    pages: DataFrame, path: str, column: str = "body", one_file_per_page: bool = True
-) -> None:
-    """Write page bodies, as one file per page or one line per page."""
-    if one_file_per_page:
-        pages.select("page_number", column).write.partitionBy("page_number").text(path)
-    else:
-        pages.select(column).write.text(path)
+def land_pages(pages: DataFrame, path: str, column: str = "body") -> int:
+    """Page files by their own names (``file_name``); the number landed.
+
+    Every file is written by a task and then named with one move, so this is for the pages of a
+    load. Masses of pages go into few files with ``land_page_lines``.
+    """
+    spark = pages.sparkSession
+    made = f"{path}/_landing"
+    pages.select("file_name", column).write.mode("overwrite").partitionBy("file_name").text(made)
+    landed = 0
+    for folder, _ in storage.folders(spark, made):
+        name = folder.removeprefix("file_name=")
+        landed += storage.move_only_file(spark, f"{made}/{folder}", f"{path}/{name}")
+    storage.remove(spark, [made])
+    return landed
+
+
+def land_page_lines(pages: DataFrame, path: str, column: str = "body") -> None:
+    """Page bodies as lines, many to a file."""
+    pages.select(column).write.text(path)
 
 
 def land_lines(lines: DataFrame, path: str) -> None:
     lines.write.text(path)
 
 
-def write_or_quarantine(df: DataFrame, path: str, quarantine_path: str) -> None:
-    """Readable rows to ``path``, the text of broken lines to ``quarantine_path``.
+def write_or_quarantine(df: DataFrame, path: str, quarantine_path: str, load_id: str) -> None:
+    """Readable rows as a load of ``path``, the text of broken lines as one of ``quarantine_path``.
 
     The rows are kept while both are written: the JSON source does not parse a line for its
     broken text alone.
     """
     kept = df.persist()
     broken = F.col(CORRUPT).isNotNull()
-    kept.where(~broken).drop(CORRUPT).write.mode("append").parquet(path)
-    kept.where(broken).select(CORRUPT).write.mode("append").text(quarantine_path)
+    write_load(kept.where(~broken).drop(CORRUPT), path, load_id)
+    kept.where(broken).select(CORRUPT).write.mode("overwrite").text(load_dir(quarantine_path, load_id))
     kept.unpersist()

@@ -9,18 +9,8 @@ from ratesheet import schemas
 CORRUPT = "_corrupt_record"
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows of a source with fewer splits than the session has cores, spread over all cores.
-
-    Meant for the input of row-by-row parsing: a file of one row group, or a whole-file JSON
-    document, is one task otherwise. Any larger source is left as it is, unshuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def read_staging(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.STAGING).parquet(path)
+    return spark.read.schema(schemas.STAGING).parquet(path).select(*schemas.STAGING_COLUMNS)
 
 
 def read_enriched(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
@@ -28,7 +18,7 @@ def read_enriched(spark: SparkSession, path: str, limit: int | None = None) -> D
 
     Layout columns (``enriched_date``, ``effective_quarter``) come from the folder names.
     """
-    stored = spark.read.schema(schemas.ENRICHED).parquet(path)
+    stored = spark.read.schema(schemas.ENRICHED).parquet(path).drop("load_id")
     rows = stored.where(F.col("ndc_description").isNotNull() & F.col("drug_name").isNotNull())
     return rows.limit(limit) if limit else rows
 
@@ -40,7 +30,7 @@ def read_sensor(spark: SparkSession, path: str, whole_file: bool = True) -> Data
 
 
 def read_processed_sensor(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.PROCESSED_SENSOR).parquet(path)
+    return spark.read.schema(schemas.PROCESSED_SENSOR).parquet(path).drop("load_id")
 
 
 def read_or_quarantine(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

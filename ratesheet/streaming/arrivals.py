@@ -1,83 +1,113 @@
-"""Arriving page files -> staging table."""
+"""Arriving page files -> staging table, then out of the raw prefix."""
 
 from __future__ import annotations
 
+import argparse
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ratesheet import schemas
+from ratesheet import fixed_values as fv, schemas
 from ratesheet.operators.staging import stage_transform
-from ratesheet.sources import pages
+from ratesheet.session import build_session
+from ratesheet.sources import pages, sinks, storage
 from ratesheet.sources.tables import CORRUPT
+from ratesheet.streaming.batches import stream_load_id
+
+FILES_PER_BATCH = 10_000
 
 
 def page_stream(
-    spark: SparkSession,
-    raw_dir: str,
-    archive_dir: str | None = None,
-    whole_file: bool = True,
-    schema: T.StructType = schemas.PAGE,
+    spark: SparkSession, root: str, whole_file: bool = True, files_per_batch: int = FILES_PER_BATCH
 ) -> DataFrame:
-    """Page files as they arrive. With ``archive_dir`` the source moves a finished file
-    there, once a later batch has started."""
-    reader = (
+    """Every object below the raw prefix of ``root`` as it arrives, with its ``file_path``.
+
+    What is no JSON document keeps its text in the column for broken records.
+    """
+    schema = T.StructType([*schemas.PAGE.fields, T.StructField(CORRUPT, T.StringType(), True)])
+    return (
         spark.readStream.schema(schema)
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("multiLine", whole_file)
-        .option("pathGlobFilter", "*.json")
         .option("recursiveFileLookup", True)
-        .option("maxFilesPerTrigger", 10_000)
+        .option("maxFilesPerTrigger", files_per_batch)
+        .json(f"{root}/{fv.RAW_PREFIX}")
+        .withColumn("file_path", F.col("_metadata.file_path"))
     )
-    if archive_dir:
-        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    return reader.json(raw_dir)
 
 
 def stage_arrivals(
     spark: SparkSession,
-    raw_dir: str,
+    root: str,
     staging_dir: str,
+    quarantine_dir: str,
+    handled_dir: str,
     checkpoint_dir: str,
-    archive_dir: str | None = None,
     whole_file: bool = True,
+    files_per_batch: int = FILES_PER_BATCH,
 ) -> StreamingQuery:
-    """Extract, clean and append the records of every new page file, once."""
-    records = pages.extract_records(page_stream(spark, raw_dir, archive_dir, whole_file))
+    """Records of every new page file to staging, unreadable files to quarantine, once.
+
+    Each batch is one load of each table, named after the stream and the batch, so a batch that
+    is repeated replaces what it left. ``handled_dir`` lists the files for ``archive_handled``.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        load_id = stream_load_id(batch.sparkSession, checkpoint_dir, batch_id)
+        kept = batch.persist()
+        broken = F.col(CORRUPT).isNotNull()
+        records = pages.extract_records(kept.where(~broken))
+        sinks.write_staging(stage_transform(records), staging_dir, load_id)
+        texts = kept.where(broken).select("file_path", "page_number", F.col(CORRUPT).alias("body"))
+        sinks.write_load(texts, quarantine_dir, load_id)
+        sinks.write_load(kept.select("file_path").distinct(), handled_dir, load_id)
+        kept.unpersist()
+
     return (
-        stage_transform(records)
-        .writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", staging_dir)
+        page_stream(spark, root, whole_file, files_per_batch)
+        .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint_dir)
         .trigger(availableNow=True)
         .start()
     )
 
 
-def quarantine_arrivals(
-    spark: SparkSession,
-    raw_dir: str,
-    quarantine_dir: str,
-    checkpoint_dir: str,
-    whole_file: bool = True,
-) -> StreamingQuery:
-    """Keep the name and text of every arriving file that is no JSON document.
+def archive_handled(spark: SparkSession, root: str, handled_dir: str) -> int:
+    """Moves the handled files to the processed prefix; the number moved.
 
-    A second subscriber of the same folder with its own progress: ``stage_arrivals`` finds no
-    records in such a file and goes on. Run it before a stream that archives.
+    Run it when the stream has ended: all its batches are committed then. A file that has been
+    moved before is passed over, so it is safe to repeat. Names come in partitions, not at once.
     """
-    schema = T.StructType([*schemas.PAGE.fields, T.StructField(CORRUPT, T.StringType(), True)])
-    found = page_stream(spark, raw_dir, None, whole_file, schema)
-    # The JSON source parses nothing for the broken text alone: the page number, which is
-    # whatever was readable of it, goes along.
-    broken = found.where(F.col(CORRUPT).isNotNull()).select(
-        F.col("_metadata.file_path").alias("file_path"), "page_number", F.col(CORRUPT).alias("body")
-    )
-    return (
-        broken.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", quarantine_dir)
-        .option("checkpointLocation", checkpoint_dir)
-        .trigger(availableNow=True)
-        .start()
+    base = storage.qualified(spark, root)
+    if not storage.folders(spark, handled_dir):
+        return 0
+    names = spark.read.schema("file_path string").parquet(handled_dir)
+    moves = names.select(pages.object_name(F.col("file_path"), base).alias("old")).where(
+        F.startswith("old", F.lit(fv.RAW_PREFIX))
     )
+    swapped = F.replace("old", F.lit(fv.RAW_PREFIX), F.lit(fv.PROCESSED_PREFIX))
+    moved = 0
+    for row in moves.select("old", swapped.alias("new")).toLocalIterator():
+        moved += storage.move(spark, f"{root}/{row.old}", f"{root}/{row.new}")
+    return moved
+
+
+def main() -> None:
+    parser = argparse.ArgumentParser(description="Stage the page files that have arrived")
+    for name in ("root", "staging", "quarantine", "handled", "checkpoint"):
+        parser.add_argument(f"--{name}-dir", required=True)
+    parser.add_argument("--files-per-batch", type=int, default=FILES_PER_BATCH)
+    args = parser.parse_args()
+    spark = build_session("arrivals")
+    try:
+        stage_arrivals(
+            spark, args.root_dir, args.staging_dir, args.quarantine_dir, args.handled_dir,
+            args.checkpoint_dir, files_per_batch=args.files_per_batch,
+        ).awaitTermination()
+        print({"files_moved": archive_handled(spark, args.root_dir, args.handled_dir)})
+    finally:
+        spark.stop()
+
+
+if __name__ == "__main__":
+    main()

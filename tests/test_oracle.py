@@ -14,10 +14,12 @@ def duck(sf_dir):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(SQL)
+    """Those of the corpus package are tested with it, some against brute force."""
+    assert set(entry.queries()) - set(entry.CORPUS) == set(SQL) - set(entry.CORPUS)
+    assert set(SQL) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(SQL))
+@pytest.mark.parametrize("name", sorted(set(SQL) - set(entry.CORPUS)))
 def test_matches_sql(spark, sf_dir, duck, name):
     ours = entry.queries()[name](spark, sf_dir)
     assert difference(ours, duck.execute(SQL[name])) is None

@@ -2,6 +2,7 @@
 
 import collections
 import json
+import os
 
 from pyspark.sql import functions as F
 
@@ -39,8 +40,12 @@ def test_pages_are_full_and_lose_nothing(spark):
 
 def test_page_files_round_trip(spark, tmp_path):
     envelopes = paging.page_envelopes(records(spark, 25), schemas.STAGING_COLUMNS, at(), 10)
-    sinks.land_pages(envelopes, f"{tmp_path}/files")
-    sinks.land_pages(envelopes, f"{tmp_path}/lines", one_file_per_page=False)
+    assert sinks.land_pages(envelopes, f"{tmp_path}/files") == 3
+    names = sorted(os.listdir(tmp_path / "files"))
+    assert [n for n in names if n.endswith(".json")] == [
+        f"medicaid_drug_data_page_{n:04d}_20240102_030405.json" for n in (1, 2, 3)
+    ]
+    sinks.land_page_lines(envelopes, f"{tmp_path}/lines")
     for path, whole in ((f"{tmp_path}/files", True), (f"{tmp_path}/lines", False)):
         found = pages.extract_records(pages.read_pages(spark, path, whole_file=whole))
         assert sorted(int(r.ndc) for r in found.collect()) == list(range(25))
@@ -91,7 +96,14 @@ def test_only_raw(spark, tmp_path):
         (tmp_path / folder).mkdir(parents=True)
         (tmp_path / folder / "a.json").write_text(json.dumps({"source": folder}))
     df = pages.read_pages(spark, f"{tmp_path}/drug_data/*/*.json")
-    assert [r.source for r in pages.only_raw(df).select("source").collect()] == ["drug_data/raw"]
+    assert [r.source for r in pages.only_raw(df, str(tmp_path)).select("source").collect()] == ["drug_data/raw"]
+    # An archive that keeps the whole old path inside is not below the prefix.
+    kept = tmp_path / "archive/drug_data/raw"
+    kept.mkdir(parents=True)
+    (kept / "a.json").write_text("{}")
+    archived = pages.read_pages(spark, str(kept))
+    assert pages.only_raw(archived, str(tmp_path)).count() == 0
+    assert pages.only_raw(archived, f"{tmp_path}/archive").count() == 1
 
 
 def test_stage_and_conform(spark):

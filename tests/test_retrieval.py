@@ -1,5 +1,7 @@
 """Vector search against brute force, on small fixtures."""
 
+import uuid
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -42,14 +44,15 @@ def test_scan_and_blocks_match_brute_force(spark, points, skip_self):
     ids = list(range(len(points)))
     expected = brute_force(ids, points.astype(np.float32).astype(float), ids, points.astype(np.float32).astype(float), 5, skip_self)
     assert as_set(retrieval.topk(vectors, questions, 5, skip_self)) == expected
-    assert as_set(retrieval.topk(vectors, questions, 5, skip_self, max_broadcast_bytes=0)) == expected
+    assert as_set(retrieval.topk(vectors, questions, 5, skip_self, block_bytes=8_000)) == expected
 
 
 def test_small_pieces_match(spark, points):
     vectors, questions = frame(spark, points, "id"), frame(spark, points, "question_id")
     cell = F.lit(0)
+    sizes = spark.createDataFrame([(0, len(points))], "cell int, n_vectors long")
     pieces = retrieval.probe(
-        vectors.withColumn("cell", cell), questions.withColumn("cell", cell), 5, block=50, chunk=60
+        vectors.withColumn("cell", cell), questions.withColumn("cell", cell), 5, False, sizes, block=50, chunk=60
     )
     ids = list(range(len(points)))
     p = points.astype(np.float32).astype(float)
@@ -69,6 +72,50 @@ def test_index_is_exact_or_close(spark, points, tmp_path):
     assert 0.6 < recall <= 1.0
 
 
+def test_index_reads_only_the_lists_it_routes_to(spark, points, tmp_path):
+    path = str(tmp_path / "index")
+    retrieval.build_index(frame(spark, points, "id"), path, n_lists=12)
+    one = frame(spark, points[200:201], "question_id")
+    plan = retrieval.search_index(spark, path, one, 5, n_probe=2)._jdf.queryExecution().toString()
+    filters = plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    assert "cell" in filters
+    sizes = {r.cell: r.n_vectors for r in spark.read.parquet(f"{path}/centres").collect()}
+    assert sum(sizes.values()) == len(points)
+    with pytest.raises(ValueError):
+        retrieval.build_index(frame(spark, points, "id"), path, n_lists=2_000_000)
+
+
+def test_unsound_vectors_are_set_aside(spark):
+    rows = [(0, [1.0, 0.0]), (1, None), (2, [1.0]), (3, [0.0, 1.0, 0.0]), (4, [None, 1.0]), (5, [0.0, 1.0])]
+    vectors = spark.createDataFrame(rows, "id long, vector array<float>")
+    asked = spark.createDataFrame([(0, [0.0, 2.0])], "question_id long, vector array<float>")
+    got = {(r.id, r.similarity) for r in retrieval.topk(vectors, asked, 5).collect()}
+    assert got == {(5, 1.0), (0, 0.0)}
+    assert {r.id for r in retrieval.unsound_vectors(vectors, 2).collect()} == {1, 2, 3, 4}
+
+
+def test_embedder_is_called_once_a_text_in_batches(spark, tmp_path):
+    log = tmp_path / "calls"
+    log.mkdir()
+
+    def counting(texts):
+        (log / uuid.uuid4().hex).write_text("\n".join(texts))
+        return np.array([[len(t), 1.0] for t in texts])
+
+    asked = spark.createDataFrame([(i, f"words {i}") for i in range(20)], "question_id int, text string")
+    vectors = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(50)], "id int, vector array<double>")
+    embedded = retrieval.embed(asked, "text", counting, batch_size=3)
+    assert retrieval.topk(vectors, embedded, 2).count() == 40
+    calls = [f.read_text().split("\n") for f in log.iterdir()]
+    assert sum(map(len, calls)) == 20 and max(map(len, calls)) <= 3
+
+
+def test_words_of_every_script_count():
+    matrix = retrieval.hashed_words(["Größe größe", "цена", "", "цена лекарства"])
+    assert matrix.sum(axis=1).tolist() == [2.0, 1.0, 0.0, 2.0]
+    assert matrix[1] @ matrix[3] >= 1.0
+
+
 def test_fewer_vectors_than_k(spark):
     vectors = frame(spark, np.eye(3), "id")
     asked = frame(spark, np.array([[1.0, 1.0, 0.0]]), "question_id")
@@ -90,11 +137,10 @@ def test_store_search_and_prompt(spark, tmp_path):
     path = str(tmp_path / "store")
     retrieval.build_store(documents.doc_metadata(typed), path)
     store = retrieval.load_store(spark, path)
-    assert store.count() == 29
+    assert store.count() == 87 == store.select("doc_id").distinct().count()
     asked = retrieval.question_table(spark, ["drug7 drug7?", "drug9 {context}"])
     hits = retrieval.search(store, asked, 3)
-    joined = monkeypatch_lookup(retrieval, lambda: retrieval.search(store, asked, 3).collect())
-    assert sorted(map(str, joined)) == sorted(map(str, hits.collect()))
+    assert hits.select("question_id", "rank").distinct().count() == hits.count() == 6
     first = {r.question_id: r.drug_name for r in hits.where("rank = 1").collect()}
     assert first == {0: "DRUG7", 1: "DRUG9"}
     prompts = {r.question_id: r.prompt for r in retrieval.prompts(hits, asked).collect()}
@@ -105,18 +151,19 @@ def test_store_search_and_prompt(spark, tmp_path):
     assert [r.similarity_score for r in retrieval.sources(hits).collect()]
 
 
-def monkeypatch_lookup(module, run):
-    """``run`` with every lookup by id turned into a join."""
-    before, module.MAX_LOOKUP = module.MAX_LOOKUP, 0
-    try:
-        return run()
-    finally:
-        module.MAX_LOOKUP = before
+def test_prices_beyond_two_decimals_are_rows_of_their_own(spark, tmp_path):
+    """The text shows two decimals, so these rows share it; each is one entry, with one rank."""
+    rows = [("7", "SALVE", "", price, "", "s", "SALVE 2 MG", "GM", "the same text") for price in (0.02104, 0.02409, 0.02409)]
+    columns = "ndc string, drug_name string, drug_form string, price double, effective_date string, source string, ndc_description string, pricing_unit string, text string"
+    path = str(tmp_path / "store")
+    retrieval.build_store(spark.createDataFrame(rows, columns), path)
+    hits = retrieval.search(retrieval.load_store(spark, path), retrieval.question_table(spark, ["same"]), 5)
+    assert sorted((r["rank"], r.price) for r in hits.collect()) == [(1, 0.02104), (2, 0.02409), (3, 0.02409)]
 
 
 def test_criteria_text():
     assert retrieval.criteria_text() == "all drugs"
-    assert retrieval.criteria_text("ibuprofen", "tablet", 1.0) == "Drug name: ibuprofen Form: tablet Price under $1.0"
+    assert retrieval.criteria_text("SALVE", max_price=3) == "Drug name: SALVE Price under $3"
     assert retrieval.criteria_text(max_price=0, min_price=2.5) == "Price over $2.5"
 
 
@@ -143,8 +190,23 @@ def test_long_conversation(spark):
     """Context across block borders, with repeated deliveries, against plain Python."""
     turns = [(1, t, "user" if t % 2 == 0 else "assistant", f"text {t}") for t in range(300)]
     df = spark.createDataFrame(turns + turns[:100] * 5, "conv_id long, turn long, role string, text string")
-    got = {r.turn: r.context for r in conversation_context(df, history=8).collect()}
-    expected = {
-        t: "\n".join(f"{r}: {x}" for _, n, r, x in turns[max(0, t - 8) : t]) for t in range(300)
-    }
-    assert got == expected
+    for history in (None, 8, 100):
+        got = {r.turn: r.context for r in conversation_context(df, history).collect()}
+        first = 0 if history is None else history
+        expected = {
+            t: "\n".join(f"{r}: {x}" for _, n, r, x in turns[max(0, t - first) if history else 0 : t])
+            for t in range(300)
+        }
+        assert got == expected
+
+
+def test_turn_numbers_with_gaps_and_ties(spark):
+    numbers = [0, 10, 20, 500, 500, 90_000]
+    turns = [(1, n, "user", f"text {k}") for k, n in enumerate(numbers)] + [(2, 7, "user", None)]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    got = {(r.conv_id, r.text): (r.n_context_turns, r.context.split("\n")) for r in conversation_context(df).collect()}
+    assert got[1, "text 5"] == (5, [f"user: text {k}" for k in range(5)])
+    assert got[1, "text 3"] == got[1, "text 4"] == (3, [f"user: text {k}" for k in range(3)])
+    assert got[2, None] == (0, [""])
+    last = {r.text: r.context.split("\n") for r in conversation_context(df, history=2).collect()}
+    assert last["text 5"] == ["user: text 2", "user: text 3", "user: text 4"]

@@ -7,7 +7,9 @@ import os
 
 import pytest
 
-from ratesheet import schemas
+from ratesheet.operators.staging import stage_transform
+from ratesheet.plans import views
+from ratesheet.sources import sinks, tables
 from ratesheet.streaming import arrivals, topics
 
 
@@ -23,46 +25,62 @@ def finish(*queries):
         assert q.exception() is None
 
 
-def test_arrivals(spark, tmp_path):
-    raw, out, chk, arc = (str(tmp_path / d) for d in ("drug_data/raw", "staging", "chk", "archive"))
+def staged(spark, out):
+    return sorted(r.ndc for r in tables.read_staging(spark, out).collect())
 
-    def run():
-        finish(arrivals.stage_arrivals(spark, raw, out, chk, arc))
-        return sorted(r.ndc for r in spark.read.schema(schemas.STAGING).parquet(out).collect())
-
-    page(tmp_path / "drug_data/raw/a.json", [1, 2])
-    page(tmp_path / "drug_data/raw/none.json", [])
-    (tmp_path / "drug_data/raw/.keep").write_text("")
-    (tmp_path / "drug_data/raw/notes.txt").write_text("no page")
-    assert run() == ["0000101", "0000201"]
-    assert run() == ["0000101", "0000201"]
-    page(tmp_path / "drug_data/raw/b.json", [3])
-    assert run() == ["0000101", "0000201", "0000301"]
-    page(tmp_path / "drug_data/raw/c.json", [4])
-    assert len(run()) == 4
-    archived = {os.path.basename(p) for p in glob.glob(f"{arc}/**/*.json", recursive=True)}
-    assert {"a.json", "none.json"} <= archived
-
-
-def test_broken_page_files(spark, tmp_path):
-    raw, out, bad = (str(tmp_path / d) for d in ("raw", "staging", "bad"))
-    page(tmp_path / "raw/a.json", [1])
-    (tmp_path / "raw/broken.json").write_text('{"page_number": 1, "data": ')
+
+def arrive(spark, tmp_path, **options):
+    root, out, bad, done = (str(tmp_path / d) for d in ("bucket", "staging", "bad", "done"))
+    finish(arrivals.stage_arrivals(spark, root, out, bad, done, str(tmp_path / "chk"), **options))
+    return out, bad, arrivals.archive_handled(spark, root, done)
+
+
+def test_arrivals(spark, tmp_path):
+    raw, processed = tmp_path / "bucket/drug_data/raw", tmp_path / "bucket/drug_data/processed"
+    page(raw / "a.json", [1, 2])
+    page(raw / "deep/none.json", [])
+    page(raw / "named otherwise.dat", [5])
+    page(tmp_path / "bucket/drug_data/other/x.json", [9])
+    (raw / "notes.txt").write_text("no page")
+    (raw / "broken.json").write_text('{"page_number": 1, "data": ')
     for _ in range(2):
-        finish(arrivals.quarantine_arrivals(spark, raw, bad, str(tmp_path / "c1")))
-        finish(arrivals.stage_arrivals(spark, raw, out, str(tmp_path / "c2")))
-        rows = spark.read.parquet(bad).collect()
-        assert [(os.path.basename(r.file_path), r.body) for r in rows] == [
-            ("broken.json", '{"page_number": 1, "data": ')
-        ]
-        assert spark.read.schema(schemas.STAGING).parquet(out).count() == 1
+        out, bad, _ = arrive(spark, tmp_path)
+        assert staged(spark, out) == ["0000101", "0000201", "0000501"]
+        rows = {os.path.basename(r.file_path): r.body for r in spark.read.parquet(bad).collect()}
+        assert rows == {"notes.txt": "no page", "broken.json": '{"page_number": 1, "data": '}
+    names = {str(f.relative_to(processed)) for f in processed.rglob("*") if f.is_file() and f.name[0] != "."}
+    assert names == {"a.json", "deep/none.json", "named otherwise.dat", "notes.txt", "broken.json"}
+    assert not [f for f in raw.rglob("*") if f.is_file() and f.name[0] != "."]
+    page(raw / "b.json", [3])
+    out, _, moved = arrive(spark, tmp_path)
+    assert moved == 1 and staged(spark, out) == ["0000101", "0000201", "0000301", "0000501"]
+
+
+def test_batches_of_few_files(spark, tmp_path):
+    for n in range(5):
+        page(tmp_path / f"bucket/drug_data/raw/{n}.json", [n])
+    out, _, moved = arrive(spark, tmp_path, files_per_batch=2)
+    assert moved == 5 and len(staged(spark, out)) == 5
+    assert len(glob.glob(f"{out}/load_id=*")) == 3
+
+
+def test_landed_pages_arrive(spark, tmp_path, sf_dir):
+    """What the landing sink writes is what the arrival job reads, record by record."""
+    found = views.pages(spark, sf_dir)
+    landed = sinks.land_pages(found, f"{tmp_path}/bucket/drug_data/raw")
+    out, bad, moved = arrive(spark, tmp_path)
+    assert moved == landed == found.count()
+    want = stage_transform(views.nadac_raw(spark, sf_dir))
+    got = tables.read_staging(spark, out)
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
+    assert spark.read.parquet(bad).count() == 0
 
 
 def message(**fields):
     return base64.b64encode(json.dumps(fields).encode()).decode()
 
 
-GOOD = {"sensor_id": "s1", "timestamp": "2024-01-01T12:00:00Z", "temperature": 23.5, "humidity": 65.2, "pressure": 1013.25, "location": "office-1"}
+GOOD = dict(sensor_id="pump/4", timestamp="2022-07-30T04:15:00Z", temperature=17.0, humidity=51, location="well")
 
 
 @pytest.fixture
@@ -73,6 +91,8 @@ def topic(tmp_path):
         message(**GOOD),
         message(**{**GOOD, "temperature": 101}),
         message(**{**GOOD, "temperature": "hot"}),
+        message(**{**GOOD, "temperature": "19.5"}),
+        message(**{**GOOD, "timestamp": "30 July, early"}),
         message(sensor_id="s2", temperature=None),
         "!!!",
     ]
@@ -80,6 +100,9 @@ def topic(tmp_path):
     return folder
 
 
+MISSING = [f"Missing required field: {c}" for c in ("sensor_id", "timestamp", "temperature")]
+
+
 def test_routing(spark, tmp_path, topic):
     valid, bad, chk = (str(tmp_path / d) for d in ("valid", "bad", "chk"))
 
@@ -91,27 +114,28 @@ def test_routing(spark, tmp_path, topic):
 
     for _ in range(2):
         good, errors = run()
-        # A temperature that is present but no number is not range-checked.
-        assert sorted(str(g["temperature"]) for g in good) == ["23.5", "hot"]
-        found = sorted(e["errors"] for e in errors)
-        missing = ["Missing required field: sensor_id", "Missing required field: timestamp", "Missing required field: temperature"]
-        assert found == sorted([["Temperature out of valid range (-50 to 100)"], missing[1:], missing])
-        assert any(json.loads(e.get("original_data") or "{}").get("temperature") == 101 for e in errors)
+        # A temperature that is no number is not range-checked; a time is there in any form.
+        assert sorted(str(g["temperature"]) for g in good) == ["17.0", "17.0", "19.5", "hot"]
+        want = [
+            {"original_data": {**GOOD, "temperature": 101}, "errors": ["Temperature out of valid range (-50 to 100)"], "timestamp": GOOD["timestamp"]},
+            {"original_data": {"sensor_id": "s2", "temperature": None}, "errors": MISSING[1:], "timestamp": None},
+            {"original_data": "!!!", "errors": MISSING, "timestamp": None},
+        ]
+        assert sorted(errors, key=str) == sorted(want, key=str)
     (topic / "2.txt").write_text(message(**GOOD) + "\n")
-    assert len(run()[0]) == 3
+    assert len(run()[0]) == 5
 
 
-def test_two_subscribers(spark, tmp_path):
-    topic = tmp_path / "topic"
-    topic.mkdir()
-    (topic / "1.txt").write_text(message(**GOOD) + "\n")
-    table, archive, chk = (str(tmp_path / d) for d in ("table", "archive", "chk"))
+def test_two_subscribers(spark, tmp_path, topic):
+    table, bad, archive, chk = (str(tmp_path / d) for d in ("table", "bad", "archive", "chk"))
     for _ in range(2):
-        finish(*topics.process_and_archive(spark, str(topic), table, archive, chk))
-        row = spark.read.schema(schemas.PROCESSED_SENSOR).parquet(table).collect()
-        assert len(row) == 1
-        assert (row[0].avg_temperature, row[0].quality_score, row[0].anomaly_detected) == (23.5, 0.95, False)
-        assert spark.read.parquet(archive).count() == 1
+        finish(*topics.process_and_archive(spark, str(topic), table, bad, archive, chk))
+        rows = tables.read_processed_sensor(spark, table).collect()
+        assert {(r.quality_score, r.anomaly_detected) for r in rows} == {(0.95, False)}
+        got = sorted(str(r.avg_temperature) for r in rows)
+        assert got == ["101.0", "17.0", "17.0", "19.5", "None", "None"]
+        assert [json.loads(r.value)["original_data"] for r in spark.read.text(bad).collect()] == ["!!!"]
+        assert spark.read.parquet(archive).count() == 7
 
 
 def test_alerts(spark, tmp_path):

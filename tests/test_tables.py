@@ -3,6 +3,8 @@
 import datetime as dt
 import glob
 import json
+import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 from ratesheet import schemas
 from ratesheet.operators import enrichment, quality, reports, sensor
 from ratesheet.operators.staging import stage_transform
-from ratesheet.plans import enrichment_job, sensor_jobs, views
+from ratesheet.plans import enrichment_job, retention_job, sensor_jobs, views
 from ratesheet.session import shared_dir
 from ratesheet.sources import sinks, tables
 
@@ -22,26 +24,26 @@ def staged(spark, sf_dir):
 
 def test_staging_layout(spark, staged, tmp_path):
     path = str(tmp_path / "staging")
-    sinks.write_staging(staged, path, n=4)
+    sinks.write_staging(staged, path, "one", n=4)
     stored = tables.read_staging(spark, path)
     assert stored.schema == schemas.STAGING
     assert stored.exceptAll(staged).count() == 0 and stored.count() == staged.count()
     low_high = [
         spark.read.parquet(f).agg(F.min(F.col("ndc").cast("long")), F.max(F.col("ndc").cast("long"))).first()
-        for f in sorted(glob.glob(f"{path}/*.parquet"))
+        for f in sorted(glob.glob(f"{path}/load_id=one/*.parquet"))
     ]
     assert all(a[1] // 10**6 <= b[0] // 10**6 for a, b in zip(low_high, low_high[1:]))
 
 
 def test_enrichment_job_is_repeatable(spark, staged, tmp_path):
     source, target = str(tmp_path / "staging"), str(tmp_path / "enriched")
-    sinks.write_staging(staged, source)
+    sinks.write_staging(staged, source, "one")
     n = staged.count()
     for day, total in ((1, n), (1, n), (2, 2 * n)):
         counts = enrichment_job.run(spark, source, target, dt.datetime(2024, 1, day, 6))
         assert counts == {"rows_written": n}
         assert spark.read.parquet(target).count() == total
-    days = {p.rsplit("=", 1)[1] for p in glob.glob(f"{target}/enriched_date=*")}
+    days = {p.rsplit("=", 1)[1] for p in glob.glob(f"{target}/load_id=*/enriched_date=*")}
     assert days == {"2024-01-01", "2024-01-02"}
     stored = tables.read_enriched(spark, target, limit=7)
     assert stored.count() == 7
@@ -54,16 +56,16 @@ def test_equal_rows_spread_over_tasks(spark, staged, tmp_path):
     copies = F.explode(F.sequence(F.lit(1), F.lit(n)))
     hot = staged.limit(1).withColumn("n", copies).drop("n").repartition(8)
     path = str(tmp_path / "hot")
-    sinks.write_staging(staged.unionByName(hot), path, n=8)
+    sinks.write_staging(staged.unionByName(hot), path, "one", n=8)
     ndc = hot.first().ndc
-    sizes = [spark.read.parquet(f).where(F.col("ndc") == ndc).count() for f in glob.glob(f"{path}/*.parquet")]
+    sizes = [spark.read.parquet(f).where(F.col("ndc") == ndc).count() for f in glob.glob(f"{path}/*/*.parquet")]
     assert sum(sizes) >= n and max(sizes) < 0.7 * n
 
 
 def test_filters_reach_the_scan(spark, staged, tmp_path):
     path = str(tmp_path / "enriched")
     run_ts = F.lit("2024-01-31 06:00:00").cast("timestamp")
-    sinks.write_enriched(enrichment.enrich(staged, run_ts), path, by="effective_quarter")
+    sinks.write_enriched(enrichment.enrich(staged, run_ts), path, "one", by="effective_quarter")
     rows = spark.read.parquet(path)
     trend = reports.price_trend(rows, dt.date(2001, 12, 1), 90)
     plan = trend._jdf.queryExecution().executedPlan().toString()
@@ -83,29 +85,60 @@ def test_form_distribution_keeps_a_real_other(spark):
     assert got["Other"] == 20 + sum(14 - i for i in range(9, 14))
 
 
-SAMPLE = [
-    {"sensor_id": "sensor-001", "timestamp": "2024-01-01T12:00:00Z", "temperature": 23.5, "humidity": 65.2, "pressure": 1013.25, "location": "office-1"},
-    {"sensor_id": "sensor-002", "timestamp": "2024-01-01T12:01:00Z", "temperature": 36.5, "humidity": 63.8, "pressure": 1012.95, "location": "office-2"},
-    {"sensor_id": "sensor-003", "timestamp": "2024-01-01T12:02:00Z", "temperature": 22.5, "humidity": None, "pressure": 1013.45, "location": "office-1"},
-    {"sensor_id": "sensor-004", "timestamp": "2024-01-02T12:02:00Z", "temperature": None},
-]
+READINGS = [
+    ["north-7", "2023-11-05T00:00:00Z", -3.25, 88.0, 990.5, "roof"],
+    ["north-8", "2023-11-05T08:30:00Z", 41.75, 12.5, 1001.0, "kiln"],
+    ["north-9", "2023-11-05T23:59:59Z", 8.25, None, 987.5, "roof"],
+    ["south-1", "2023-11-06T00:00:00Z", None, None, None, None],
+    ["south-2", "2023-11-06T10:00:00Z", 150.0, 40.0, 1000.0, "roof"],
+]
+FIELDS = ["sensor_id", "timestamp", "temperature", "humidity", "pressure", "location"]
+SAMPLE = [{k: v for k, v in zip(FIELDS, r) if v is not None} for r in READINGS]
+
+
+def test_loads_add_and_repeat(spark, staged, tmp_path):
+    """Two loads of one day both stay, in either layout; a repeated load counts once."""
+    first, second = staged.limit(10), staged.limit(3)
+    at = dt.datetime(2024, 3, 1, 6)
+    for by in ("enriched_date", "effective_quarter"):
+        target = str(tmp_path / by)
+        for load_id, rows in (("a", first), ("b", second), ("a", first)):
+            source = str(tmp_path / f"staging-{by}-{load_id}")
+            sinks.write_staging(rows, source, "only")
+            enrichment_job.run(spark, source, target, at, by=by, load_id=load_id)
+        assert spark.read.parquet(target).count() == 13
+        assert spark.read.parquet(target).groupBy("load_id").count().count() == 2
+
+
+def test_retention(spark, staged, tmp_path):
+    table, enriched = str(tmp_path / "staging"), str(tmp_path / "enriched")
+    for load_id in ("old", "new"):
+        sinks.write_staging(staged.limit(5), table, load_id)
+    os.utime(f"{table}/load_id=old", (0, 0))
+    assert retention_job.expire_loads(spark, table, time.time()) == 1
+    assert tables.read_staging(spark, table).count() == 5
+    for day in (1, 2, 3):
+        enrichment_job.run(spark, table, enriched, dt.datetime(2024, 5, day))
+    assert retention_job.drop_days(spark, enriched, dt.date(2024, 5, 3)) == 2
+    assert spark.read.parquet(enriched).count() == 5
 
 
 def test_sensor_job(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "sample.json").write_text(json.dumps(SAMPLE, indent=2))
-    counts = sensor_jobs.process(spark, f"{tmp_path}/in/*.json", f"{tmp_path}/out")
-    assert counts == {"rows_read": 4, "rows_written": 3}
-    stored = tables.read_processed_sensor(spark, f"{tmp_path}/out")
-    got = {r.sensor_id: (r.quality_score, r.anomaly_detected) for r in stored.collect()}
-    assert got == {"sensor-001": (1.0, False), "sensor-002": (1.0, True), "sensor-003": (0.8, False)}
     for _ in range(2):
-        sensor_jobs.summarise_day(spark, f"{tmp_path}/out", f"{tmp_path}/daily", dt.date(2024, 1, 1))
+        counts = sensor_jobs.process(spark, f"{tmp_path}/in/*.json", f"{tmp_path}/out", "monday")
+        assert counts == {"rows_read": 5, "rows_written": 3}
+        stored = tables.read_processed_sensor(spark, f"{tmp_path}/out")
+        got = {r.sensor_id: (r.quality_score, r.anomaly_detected) for r in stored.collect()}
+        assert got == {"north-7": (0.8, False), "north-8": (0.8, True), "north-9": (0.8, False)}
+    for _ in range(2):
+        sensor_jobs.summarise_day(spark, f"{tmp_path}/out", f"{tmp_path}/daily", dt.date(2023, 11, 5))
         rows = spark.read.parquet(f"{tmp_path}/daily").orderBy("subcategory").collect()
-        assert [(r.subcategory, r.metric_value) for r in rows] == [("office-1", 23.0), ("office-2", 36.5)]
-    assert json.loads(rows[0].metadata) == {
-        "daily_avg_temperature": 23.0, "daily_max_temperature": 23.5, "daily_min_temperature": 22.5,
-        "daily_avg_humidity": 65.2, "daily_avg_pressure": 1013.35, "anomaly_count": 0, "total_readings": 2,
+        assert [(r.subcategory, r.metric_value) for r in rows] == [("kiln", 41.75), ("roof", 2.5)]
+    assert json.loads(rows[1].metadata) == {
+        "daily_avg_temperature": 2.5, "daily_max_temperature": 8.25, "daily_min_temperature": -3.25,
+        "daily_avg_humidity": 88.0, "daily_avg_pressure": 989.0, "anomaly_count": 0, "total_readings": 2,
     }
 
 
@@ -114,17 +147,19 @@ def test_validation_and_payload(spark):
         [("s1", None, 150.0), ("s2", "t", 20.0)], "sensor_id string, timestamp string, temperature double"
     )
     checked = sensor.validate(df)
-    payload = json.loads(sensor.error_payloads(checked, F.lit("x")).first().value)
+    payload = json.loads(sensor.error_payloads(checked, F.lit("x"), F.lit("5")).first().value)
     assert payload == {
         "original_data": "x",
         "errors": ["Missing required field: timestamp", "Temperature out of valid range (-50 to 100)"],
+        "timestamp": 5,
     }
 
 
 def test_quarantine_keeps_the_text(spark, tmp_path):
     (tmp_path / "l.json").write_text('{"sensor_id":"a","temperature":1.5}\n{"sensor_id":"b"\nno json\n')
     df = tables.read_or_quarantine(spark, f"{tmp_path}/l.json", schemas.SENSOR)
-    sinks.write_or_quarantine(df, f"{tmp_path}/good", f"{tmp_path}/bad")
+    for _ in range(2):
+        sinks.write_or_quarantine(df, f"{tmp_path}/good", f"{tmp_path}/bad", "one")
     assert [r.sensor_id for r in spark.read.parquet(f"{tmp_path}/good").collect()] == ["a"]
     assert sorted(r.value for r in spark.read.text(f"{tmp_path}/bad").collect()) == ["no json", '{"sensor_id":"b"']
 
