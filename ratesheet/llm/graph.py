@@ -98,14 +98,17 @@ def linked_components(members: DataFrame, verify: Verify) -> DataFrame:
         .groupBy("key")
         .agg(F.max(F.struct("n", "c"))["c"].alias("big"))
     )
-    still = still.join(big, "key")
+    # A pair that meets in several buckets is made in the one with the smallest key only.
+    keys = still.groupBy("node").agg(F.collect_set("key").alias("keys"))
+    still = still.join(big, "key").join(keys, "node")
     small = still.where("c <> big").select(
-        "key", *[F.col(v).alias(f"x_{v}") for v in ("node", "c", "low", "high", "size")]
+        "key", *[F.col(v).alias(f"x_{v}") for v in ("node", "c", "low", "high", "size", "keys")]
     )
     cross = (
         small.join(still, "key")
         .where("x_c <> c and (c = big or x_node < node)")
         .where("size between x_low and x_high and x_size between low and high")
+        .where("key = array_min(array_intersect(keys, x_keys))")
         .select(F.least("x_node", "node").alias("a"), F.greatest("x_node", "node").alias("b"))
         .distinct()
     )
