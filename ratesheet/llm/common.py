@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -64,6 +65,20 @@ def with_maybe(df: DataFrame, column: str, keys: DataFrame, flag: str = "_maybe"
     )
 
 
+def importable(df: DataFrame) -> DataFrame:
+    """``df``; Python workers started for it also look for this package where the driver found it.
+
+    That serves sessions on one machine whose driver runs from elsewhere. A cluster has the
+    package installed or given with --py-files.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    environment = df.sparkSession.sparkContext.environment
+    known = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([*filter(None, known), root])
+    return df
+
+
 def over_texts(
     df: DataFrame,
     columns: list[str],
@@ -76,4 +91,4 @@ def over_texts(
         for batch in batches:
             yield fn(batch)
 
-    return df.select(*columns).mapInPandas(run, schema)
+    return importable(df).select(*columns).mapInPandas(run, schema)

@@ -24,18 +24,11 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from ratesheet.llm.common import over_texts, written
+from ratesheet.llm.common import importable, over_texts, plain_words as words, written
 from ratesheet.llm.minhash_dedup import WIDTH, WordHashes, hashes_in_order
 
 PERCENT = 80
 BLOCK = 400_000
-_KEPT = bytes(
-    c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c > 127 else 32 for c in range(256)
-)
-
-
-def words(text: str | None) -> list[bytes]:
-    return text.encode("utf-8", "surrogatepass").translate(_KEPT).split() if isinstance(text, str) else []
 
 
 def shingles(tokens: list[bytes], width: int) -> set[bytes]:
@@ -154,5 +147,5 @@ def _holds(part: Block):
 def clean(docs: DataFrame, items: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
     """``docs`` with all their columns, without those that hold an item."""
     for part in blocks(items, percent, block):
-        docs = docs.where(~_holds(part)("text"))
+        docs = importable(docs).where(~_holds(part)("text"))
     return docs

@@ -19,7 +19,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ratesheet.llm.common import over_texts
+from ratesheet.llm.common import importable, over_texts
 from ratesheet.llm.statistics import COUNTS, FEATURES, described, labelled_sample
 
 #: Labelled documents to learn from, at most.
@@ -150,4 +150,4 @@ def keep_good(docs: DataFrame, forest: Forest | None, keep_from: float = KEEP_FR
     def good(texts: pd.Series) -> pd.Series:
         return _verdicts(texts, forest, keep_from)["kept"]
 
-    return docs.where(good("text"))
+    return importable(docs).where(good("text"))

@@ -1,3 +1,5 @@
+import os
+
 import pytest
 
 COLUMNS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -42,3 +44,9 @@ def docs(spark, sf_dir):
 @pytest.fixture(scope="session")
 def labels(spark, sf_dir):
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+@pytest.fixture(scope="session")
+def learn_dir(sf_dir):
+    """Data with enough labelled documents to learn from."""
+    return os.path.join(os.path.dirname(sf_dir), "sf0.01")
