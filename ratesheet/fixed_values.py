@@ -4,6 +4,8 @@ Texts, codes, formats and thresholds that results must carry exactly. They are
 data, not logic, and are kept here in one place.
 """
 
+import datetime as dt
+
 # Explanation code -> text. Codes 7 to 10 share one text.
 EXPLANATION_CODES = {
     "1": "Calculated from most recent pharmacy survey",
@@ -28,7 +30,8 @@ PHARMACY_NAMES = {
 }
 OTC_YES, OTC_OTHER = "Over-the-counter", "Prescription"
 
-# The page file format.
+# The first and last day that counts as a date, and the page file format.
+DATE_RANGE = (dt.date(1677, 9, 22), dt.date(2262, 4, 11))
 PAGE_SIZE = 5000
 PAGE_FILE_FORMAT = "medicaid_drug_data_page_%04d_%s.json"
 PAGE_FILE_TIME = "yyyyMMdd_HHmmss"

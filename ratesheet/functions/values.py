@@ -32,7 +32,9 @@ def ndc_number(c: Column) -> Column:
 
 
 def ndc_range_bucket(ndc: Column, width: int = 1_000_000) -> Column:
-    return F.floor(ndc.try_cast("bigint") / F.lit(width)).cast("bigint")
+    """Number of the range of ``width`` codes; whole-number division keeps long codes exact."""
+    number = ndc.try_cast("bigint")
+    return F.call_function("div", number, F.lit(width).cast("bigint"))
 
 
 def parse_date(c: Column) -> Column:
@@ -40,11 +42,13 @@ def parse_date(c: Column) -> Column:
 
     Month-first and slash forms are rewritten to ISO, then the ISO day is cut out: a whole
     text of that form, or the first ten characters of a longer one. Each step reads the
-    text once, and nothing fails by exception on the way.
+    text once, and nothing fails by exception on the way. Days that a 64-bit count of
+    nanoseconds can't hold are no dates, as in the source's conversion.
     """
     iso = F.regexp_replace(strip(c), r"^(\d{1,2})/(\d{1,2})/(\d{4})$", "$3-$1-$2")
     iso = F.regexp_replace(iso, r"^(\d{4})/(\d{1,2})/(\d{1,2})$", "$1-$2-$3")
-    return F.regexp_extract(iso, _ISO_DAY, 1).try_cast("date")
+    day = F.regexp_extract(iso, _ISO_DAY, 1).try_cast("date")
+    return F.when(day.between(*map(F.lit, fv.DATE_RANGE)), day)
 
 
 def price_number(c: Column) -> Column:

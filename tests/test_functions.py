@@ -112,6 +112,10 @@ def test_dates(spark):
         "2/30/2024": None,
         "13/1/2024": None,
         "0000-01-01": None,
+        "1677-09-22": d(1677, 9, 22),
+        "1600-01-01": None,
+        "9999-12-31": None,
+        "4/11/2262": d(2262, 4, 11),
         "24-01-05": None,
         "2024/01/05T00": None,
         "None": None,
