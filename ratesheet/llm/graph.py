@@ -60,12 +60,13 @@ def components(edges: DataFrame) -> DataFrame:
 def linked_components(members: DataFrame, verify: Verify) -> DataFrame:
     """(node, component) under all verified links between nodes that share a key.
 
-    ``members`` has (key, node, low, high, size): a link of a node is only possible to a node whose
-    size lies from ``low`` to ``high``. ``verify`` keeps the pairs (a, b) that are links. The answer
+    ``members`` has (key, node, low, high, size, apart): a link of a node is only possible to a node
+    whose size lies from ``low`` to ``high``; ``apart`` tells how little it has in common with
+    others, and the least apart leads its bucket. ``verify`` keeps the pairs (a, b) that are links. The answer
     is that of testing all pairs of every bucket, without listing them:
 
     1. members whose bucket holds no size in their range are left out;
-    2. each member is tested against one leader of its bucket (another leader in another bucket);
+    2. each member is tested against the leader of its bucket (ties: another one in another bucket);
     3. components of those links are taken;
     4. buckets that lie in one component are done. In the others, the members outside the
        bucket's largest component are tested against the members of other components.
@@ -76,11 +77,14 @@ def linked_components(members: DataFrame, verify: Verify) -> DataFrame:
     able = members.join(sizes, "key").where("low <= most and high >= least").drop("least", "most")
     leaders = (
         able.groupBy("key")
-        .agg(F.min(F.col("node").bitwiseXOR(F.col("key"))).alias("l"), F.count(F.lit(1)).alias("n"))
+        .agg(
+            F.min(F.struct("apart", F.col("node").bitwiseXOR(F.col("key")).alias("x"))).alias("l"),
+            F.count(F.lit(1)).alias("n"),
+        )
         .where("n > 1")
-        .select("key", F.col("l").bitwiseXOR(F.col("key")).alias("leader"))
+        .select("key", F.col("l.x").bitwiseXOR(F.col("key")).alias("leader"))
     )
-    shared = written(able.join(leaders, "key").distinct(), "shared")
+    shared = written(able.drop("apart").join(leaders, "key").distinct(), "shared")
     pair = F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")
     star = written(verify(shared.where("node <> leader").select(*pair).distinct()), "links")
     placed = written(

@@ -117,7 +117,7 @@ def _full_sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
 
 
 def _ranges(sets: DataFrame, percent: int) -> DataFrame:
-    """(node, low, high, size): how large a set a node's set can be similar enough to.
+    """(node, low, high, size, apart): how large a set a node's set can be similar enough to.
 
     Shingles that no other candidate has can't be shared. With ``c`` others at most, a link needs
     100 c >= percent * (size + other - c); in a large family of copies edited in many places this
@@ -134,6 +134,7 @@ def _ranges(sets: DataFrame, percent: int) -> DataFrame:
             F.expr(f"(size * {percent} + 99) div 100").alias("low"),
             F.expr(f"(size - coalesce(own, 0)) * {100 + percent} div {percent} - size").alias("high"),
             "size",
+            F.coalesce("own", F.lit(0)).alias("apart"),
         )
     )
 

@@ -26,8 +26,8 @@ def test_linking_buckets_misses_no_link(spark):
     """Links that leaders don't see: nodes are linked if they differ by one or two."""
     rng = random.Random(2)
     nodes = rng.sample(range(1, 400), 150)
-    members = [(key, n, 0, 10, 5) for n in nodes for key in (n // 50, 1_000 + (n + 25) // 50)]
-    frame = spark.createDataFrame(members, "key bigint, node bigint, low bigint, high bigint, size bigint")
+    members = [(key, n, 0, 10, 5, n % 3) for n in nodes for key in (n // 50, 1_000 + (n + 25) // 50)]
+    frame = spark.createDataFrame(members, "key bigint, node bigint, low bigint, high bigint, size bigint, apart bigint")
     got = graph.linked_components(frame, lambda pairs: pairs.where("b - a <= 2"))
     links = [(a, b) for a in nodes for b in nodes if 0 < b - a <= 2 and (a // 50 == b // 50 or (a + 25) // 50 == (b + 25) // 50)]
     want = plain.components(nodes, links)
