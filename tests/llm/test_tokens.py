@@ -38,10 +38,10 @@ def checked(packed, docs, capacity):
     rows = sorted(packed.collect(), key=lambda r: (str(r.doc_id), r.piece))
     texts = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
     assert {r.doc_id for r in rows} == set(texts)
+    ids = {i: [*theirs.encode(t or "", add_special_tokens=False).ids, 2] for i, t in texts.items()}
     at: dict = {}
     for r in rows:
-        ids = theirs.encode(texts[r.doc_id] or "", add_special_tokens=False).ids + [2]
-        part = np.array(ids[r.start : r.start + r.length], dtype="<u4").tobytes()
+        part = np.array(ids[r.doc_id][r.start : r.start + r.length], dtype="<u4").tobytes()
         assert zlib.crc32(part) == r.ids_crc32 and 0 < r.length <= capacity
         assert r.piece == 0 or r.length == capacity
         at.setdefault(r.sequence_id, []).append((r.offset, r.length))
