@@ -99,7 +99,7 @@ def fit_repeats(counts: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...]
                 break
             chosen = chosen[x > 0]
         rest = target - (m @ x if len(chosen) else 0)
-        gain = rest[patterns].min(axis=1, where=patterns > 0, initial=np.inf)
+        gain = rest[patterns].sum(axis=1)  # the gradient; length 0 has none left
         gain[chosen] = 0
         used: Counter = Counter()
         batch = []
