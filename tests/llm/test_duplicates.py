@@ -8,6 +8,7 @@ import plain
 from oracle import connect, difference
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from ratesheet.llm import expected, graph, line_dedup, minhash_dedup, queries
 from ratesheet.llm.common import with_maybe
 
@@ -74,6 +75,23 @@ def test_large_family_of_copies(spark, tmp_path):
     assert ours.where("not kept").count() > 20
 
 
+def test_pipeline_stage_links_from_eighty_percent(spark, sf_dir):
+    """Pairs between 0.80 and 0.85 lose their second document, pairs below 0.80 keep both."""
+    rng = random.Random(9)
+    rows, gone = [], set()
+    for k in range(40):
+        words = [f"w{rng.randrange(1 << 30)}" for _ in range(104)]
+        changed = list(words)
+        for j in range(k % 4):  # each takes five of 100 shingles: 100, 90.5, 81.8 and 73.9 percent
+            changed[20 + 30 * j] = f"x{k}y{j}"
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(changed))]
+        if k % 4 < 3:
+            gone.add(2 * k + 1)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, sf_dir).collect()}
+    assert kept == {i for i, _ in rows} - gone
+
+
 def test_near_duplicates_of_edge_cases(edge, empty, clashing):
     got = minhash_dedup.near_duplicates(edge)
     rows = {(r.doc_id, r.n_shingles): r for r in got.collect()}
