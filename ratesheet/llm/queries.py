@@ -42,7 +42,7 @@ def query(fn: Query) -> Query:
 
 @query
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.summary(documents(spark, sf_dir))
+    return line_dedup.summary(documents(spark, sf_dir), bits=None)
 
 
 @query

@@ -130,6 +130,46 @@ def test_fuzzy_lines_against_plain(spark):
     assert sum(v[1] for v in got.values()) > 5
 
 
+def _edited(rng, text, edits):
+    """The text with so many letters changed, added or taken out."""
+    out = list(text)
+    for _ in range(edits):
+        at = rng.randrange(len(out))
+        out[at : at + rng.randrange(2)] = rng.choice(["", "q", "zq"])
+    return "".join(out)
+
+
+def test_edit_similarity_alone_links_lines(spark):
+    """Against edit distances of each line and its changed copy (other lines are random), no bit bound."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choices("abcdefghijklmnoprstuvw", k=rng.randrange(2, 9)))
+    rows, sizes = [], {}
+    for n in (4, 6, 10, 20, 30, 60):
+        for _ in range(40):
+            words = [word() for _ in range(n)]
+            changed = list(words)
+            for at in rng.sample(range(n), max(1, n // 10)):
+                changed[at] = _edited(rng, changed[at], 1)
+            for w in (words, changed):
+                sizes[len(rows)] = n
+                rows.append((len(rows), " ".join(w)))
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    norms = [plain.normal_line(t) for _, t in rows]
+    links = []
+    for i in range(len(rows)):
+        for j in range(i + 1, len(rows)):
+            longer = max(len(norms[i]), len(norms[j]))
+            if j == i + 1 or sizes[i] == sizes[j] == 4:
+                if plain.edit_distance(norms[i], norms[j]) * 5 <= longer:
+                    links.append((i, j))
+    want = {i for i, c in plain.components(range(len(rows)), links).items() if c != i}
+    got = {r.doc_id for r in line_dedup.summary(frame, bits=None).where("n_removed > 0").collect()}
+    assert got <= want
+    for n in set(sizes.values()):
+        due = {i for i in want if sizes[i] == n}
+        assert len(due) > 30 and len(got & due) >= (0.85 if n == 4 else 0.95) * len(due), (n, len(due), len(got & due))
+
+
 def test_line_dedup_of_edge_cases(edge, empty, clashing):
     rows = [(r.doc_id, r.n_lines, r.n_removed) for r in line_dedup.summary(edge).collect()]
     assert len(rows) == edge.count()
