@@ -1,10 +1,10 @@
 """Secret scan: grammars inferred from labelled credentials judge all candidates by their format.
 
-Base rules find assignments, access keys and hexadecimal strings. What they find in a bounded
-sample of documents are credentials labelled by kind. Each kind's strings build a prefix tree with
+Base rules find assignments, access keys and hexadecimal strings. What they find in
+all documents are credentials labelled by kind, and a bounded number of each is learned from. Each kind's strings build a prefix tree with
 counts; states whose futures are statistically compatible (Hoeffding bound on the shares of ending
 and of each next class of characters, and on all that follows) are merged and folded, in the order
-of the tree, which leaves a probabilistic automaton. Ordinary words of the same sample give one
+of the tree, which leaves a probabilistic automaton. Ordinary words of the same documents give one
 more automaton, of what is no credential.
 
 Every run of credential characters of at least ``SHORTEST`` with a letter and a digit is a
@@ -24,12 +24,13 @@ import math
 import re
 import zlib
 from collections import Counter
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from ratesheet.llm.common import over_texts
+from ratesheet.llm.common import over_texts, written
 
 #: The base patterns, in the order of their kinds; the shortest match (or value).
 BASE = {
@@ -43,8 +44,8 @@ BASE = {
 SHORTEST_VALUE = {"assign": 6, "access": 20, "hex": 24}
 KINDS = [*BASE, "format"]
 
-#: Documents and strings of each kind to learn from, at most.
-TRAIN_DOCS, TRAIN_EACH = 20_000, 400
+#: Strings of each kind to learn from, at most, and the longest of them.
+TRAIN_EACH, LONGEST = 400, 256
 #: Significance of the merge test; states seen less often than this are merged with any.
 ALPHA, LEAST_SEEN = 0.05, 8
 SHORTEST, MARGIN = 16, 12.0
@@ -187,34 +188,48 @@ def _joined(spans: list[tuple[int, int, str]]) -> str:
     return ",".join(f"{kind}:{start}:{end}" for start, end, kind in spans)
 
 
-def train(docs: DataFrame, rows: int = TRAIN_DOCS, each: int = TRAIN_EACH) -> dict[str, Automaton]:
+def labelled(texts: Iterable[str], words: int) -> set[tuple[str, str]]:
+    """(kind, value) of all credentials the base rules find; of ordinary words outside of them, under
+    the empty kind, those with the smallest crc32, ``words`` at most."""
+    out: set[tuple[str, str]] = set()
+    least: set[tuple[int, str]] = set()
+    bound = 1 << 32
+    for text in texts:
+        if not isinstance(text, str):
+            continue
+        spans = base_spans(text)
+        for start, end, kind in spans:
+            value = BASE[kind].fullmatch(text[start:end])
+            value = value[2] if kind == "assign" else value[0]
+            if len(value) <= LONGEST:
+                out.add((kind, value))
+        inside = lambda m: any(a < m.end() and m.start() < b for a, b, _ in spans)
+        found = {m[0] for m in _WORD.finditer(text) if not inside(m)} if spans else set(_WORD.findall(text))
+        for word in found:
+            if (crc := zlib.crc32(word.encode())) <= bound and len(word) <= LONGEST:
+                least.add((crc, word))
+        if len(least) > 2 * words:
+            least = set(sorted(least)[:words])
+            bound = max(least)[0]
+    return out | {("", word) for _, word in sorted(least)[:words]}
+
+
+def train(docs: DataFrame, each: int = TRAIN_EACH) -> dict[str, Automaton]:
     """Automata by kind, that of ordinary words under the empty name.
 
-    The documents with the smallest hashes of their ids are searched, ``rows`` at most, and of
-    each kind the ``each`` strings with the smallest hashes are used.
+    The base rules label all documents in one pass. Of each kind the ``each`` distinct strings with
+    the smallest hashes are used, of ordinary words five times as many.
     """
-    ids = docs.where("doc_id is not null").select("doc_id").distinct()
-    picked = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    texts = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
 
     def label(batch: pd.DataFrame) -> pd.DataFrame:
-        out = set()
-        for text in batch["text"]:
-            if not isinstance(text, str):
-                continue
-            spans = base_spans(text)
-            for start, end, kind in spans:
-                value = BASE[kind].fullmatch(text[start:end])
-                out.add((kind, value[2] if kind == "assign" else value[0]))
-            inside = lambda m: any(a < m.end() and m.start() < b for a, b, _ in spans)
-            words = (m for m in _WORD.finditer(text) if zlib.crc32(m[0].encode()) % 64 == 0)
-            out |= {("", m[0]) for m in words if not inside(m)}
-        return pd.DataFrame(sorted(out), columns=["kind", "value"])
-
-    found = over_texts(texts, ["text"], "kind string, value string", label).where("length(value) <= 256").distinct()
+        return pd.DataFrame(sorted(labelled(batch["text"], 5 * each)), columns=["kind", "value"])
+
+    found = over_texts(docs, ["text"], "kind string, value string", label).distinct()
+    found = written(found, "labelled")
     automata = {}
     for kind in ["", *BASE]:
-        some = found.where(F.col("kind") == kind).orderBy(F.xxhash64("value"), "value").limit(each * (5 if not kind else 1))
+        some = found.where(F.col("kind") == kind).orderBy(F.xxhash64("value") if kind else F.crc32(F.col("value").cast("binary")), "value")
+        some = some.limit(each if kind else 5 * each)
         values = [r[0] for r in some.select("value").collect()]
         if values:
             automata[kind] = infer(values)

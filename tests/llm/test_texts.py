@@ -189,6 +189,27 @@ def test_inferred_automata_know_their_format(spark):
     assert not any(got[100 + k].spans for k in range(100))
 
 
+def test_rare_credentials_are_learned(spark):
+    """A kind that only documents beyond the 20,000 smallest id hashes hold; few ordinary words."""
+    docs = spark.range(20_060).select(F.col("id").alias("doc_id"), F.lit("nothing ordinary here").alias("text"))
+    last = docs.orderBy(F.xxhash64("doc_id").desc()).limit(40).select("doc_id").collect()
+    rng = random.Random(6)
+    keys = {r.doc_id: "AKIA" + "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", k=16)) for r in last}
+    rare = spark.createDataFrame([(i, f"see {k} there") for i, k in keys.items()], "doc_id bigint, text string")
+    automata = secret_scan.train(docs.join(rare, "doc_id", "left_anti").unionByName(rare))
+    assert {"", "access"} <= set(automata)
+    assert all(zlib.crc32(w) % 64 for w in (b"nothing", b"ordinary"))
+    found = secret_scan.format_spans("odd ASIA" + "BCDEFGH234567XYZ" + " one", automata, [])
+    assert found == [(4, 24, "format")]
+
+
+def test_ordinary_words_are_those_with_the_smallest_hashes():
+    words = [f"word{k}x" for k in range(500)]
+    texts = [" ".join(words[k : k + 5]) + " token=abcdefgh9" for k in range(0, 500, 5)]
+    want = set(sorted(words, key=lambda w: zlib.crc32(w.encode()))[:20])
+    assert secret_scan.labelled(texts, 20) == {("", w) for w in want} | {("assign", "abcdefgh9")}
+
+
 def test_contamination_matches_sql_and_plain(spark, sf_dir, hard):
     ours = queries.QUERIES["op5_benchmark_decontamination"](spark, sf_dir)
     assert difference(ours, connect(sf_dir).execute(expected.CONTAMINATED)) is None
