@@ -21,7 +21,7 @@ class Rule(NamedTuple):
     score: float
 
 
-#: label, keyword, identifiers, names. Words stand for their plain forms; \s* lets lines wrap.
+#: label, keyword, identifiers, names. Words stand for their plain forms; the scan folds wrapped lines.
 _LICENCES = [
     ("apache-1.0", "apache", r"apache-1\.0", r"apache (?:software )?license,? ?(?:version|v\.?)? ?1\.0"),
     ("apache-1.1", "apache", r"apache-1\.1", r"apache (?:software )?license,? ?(?:version|v\.?)? ?1\.1"),

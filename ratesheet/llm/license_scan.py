@@ -3,7 +3,9 @@
 A text is looked at for a rule only if it holds the rule's gate and its keyword; the gates are few
 and most texts hold none. Detections are taken in the order of priority, then of length; one that
 lies within a detection already taken is suppressed, so "GNU General Public License, version 3"
-is not also a plain mention of that license. What overlaps only in part stays.
+is not also a plain mention of that license. What overlaps only in part stays. Rules read the text
+with white space, and comment marks at the starts of lines, folded to one space, so lines may wrap
+anywhere between words; positions are those of the text itself.
 
 Three base phrases are found besides, as words that stand consecutively. Words are lower-cased
 (A-Z only) runs of ASCII letters and digits and of code points beyond ASCII. A null text is an
@@ -13,6 +15,7 @@ get equal results; only doc_id and text are read.
 
 from __future__ import annotations
 
+import re
 from bisect import bisect_right
 from itertools import groupby
 
@@ -31,6 +34,11 @@ BASE = [
 _BY_GATE = {
     gate: list(rules) for gate, rules in groupby(sorted(RULES, key=lambda r: r.gate), key=lambda r: r.gate)
 }
+#: White space that is not one plain space, with the comment marks of wrapped lines. Nothing in it
+#: is tried twice, so it is linear.
+_GAP = re.compile(
+    r"[^\S\n]*+(?:\n[^\S\n]*+(?:(?://+|/\*+|\*+(?!/)|#+|;+|--+|%+|>+|!+|(?:dnl|rem)(?=\s))[^\S\n]*+)?)++|\s{2,}+|[^\S ]"
+)
 
 
 def lower_ascii(text: str) -> str:
@@ -52,8 +60,33 @@ def base_places(tokens: list[bytes]) -> list[tuple[int, str]]:
     return out
 
 
-def detections(lowered: str) -> list[tuple[int, int, Rule]]:
-    """(start, end, rule) of what stays, by start."""
+def folded(text: str) -> tuple[str, list[int], list[int]]:
+    """The text with each gap as one space, and where its pieces start: there, and in the text.
+
+    A gap is a run of white space, together with comment marks at the starts of its lines.
+    """
+    pieces, here, there, at, size = [], [0], [0], 0, 0
+    for m in _GAP.finditer(text):
+        pieces += [text[at : m.start()], " "]
+        size += m.start() - at + 1
+        at = m.end()
+        here.append(size)
+        there.append(at)
+    return "".join([*pieces, text[at:]]), here, there
+
+
+def detections(text: str) -> list[tuple[int, int, Rule]]:
+    """(start, end, rule) of what stays, by start; found in the folded text, placed in ``text``."""
+    lowered, here, there = folded(text)
+
+    def place(at: int) -> int:
+        k = bisect_right(here, at) - 1
+        return there[k] + at - here[k]
+
+    return [(place(a), place(b - 1) + 1, rule) for a, b, rule in _detected(lowered)]
+
+
+def _detected(lowered: str) -> list[tuple[int, int, Rule]]:
     found = []
     for gate, rules in _BY_GATE.items():
         if gate not in lowered:

@@ -156,6 +156,38 @@ def test_license_rules_and_their_gates():
             assert not rule.pattern.search(text) or (rule.gate in text and rule.keyword in text)
 
 
+def test_wrapped_licences_are_found():
+    """A break, with or without comment marks, or two spaces between any words of a licence's name."""
+    cases = {
+        "licensed under the gnu general public license, version 2": "gpl-2.0",
+        "released under the apache license, version 2.0": "apache-2.0",
+        "creative commons attribution 4.0": "cc-by-4.0",
+        "all rights reserved": "reserved",
+        "redistribution and use in source and binary forms, with or without modification": "bsd-2-clause",
+    }
+    for text, label in cases.items():
+        for gap in ("\n", "  ", "\r\n", "\n * ", "\n# ", "\n// ", "\n  ;; ", "\n\t", "\n *\n * "):
+            for k in [i for i, c in enumerate(text) if c == " "]:
+                wrapped = f"x\n\n{text[:k]}{gap}{text[k + 1 :]}\ny"
+                found = license_scan.detections(wrapped)
+                assert [(a, b, r.label) for a, b, r in found] == [(3, len(wrapped) - 2, label)], wrapped
+    header = """/*
+ * Permission to use, copy, modify, and/or distribute this software for any
+ * purpose with or without fee is hereby granted, provided that the above
+ * copyright notice appears.
+ *
+ * This program is distributed under the terms of the GNU Lesser General
+ * Public License, version 2.1. Some
+ * parts: Mozilla Public
+ * License, v. 2.0
+ */""".lower()
+    found = license_scan.detections(header)
+    assert [r.label for *_, r in found] == ["isc", "lgpl-2.1", "mpl-2.0"]
+    assert header[found[0][0] : found[0][1]].startswith("permission") and header[: found[0][1]].endswith("purpose")
+    assert license_scan.folded("a b\n# c  d\n\n")[0] == "a b c d "
+    assert license_scan.folded(" " * 200_000 + "\n" * 200_000)[0] == " "
+
+
 def test_contained_detections_are_suppressed():
     text = "mit license " * 300 + "licensed under the mit license " * 200
     spans = [(a, b) for a, b, _ in license_scan.detections(text)]
