@@ -12,6 +12,7 @@ from ratesheet.llm import (
     language_id,
     license_scan,
     line_dedup,
+    merkle_manifest,
     minhash_dedup,
     packing,
     quality_classifier,
@@ -28,6 +29,7 @@ QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {
     "op5_benchmark_decontamination": expected.CONTAMINATED,
     "op9_minhash_dedup": expected.NEAR_DUPLICATES,
+    "op12_merkle_manifest": expected.MERKLE,
 }
 
 
@@ -115,3 +117,8 @@ def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir))
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest.audited(documents(spark, sf_dir))
