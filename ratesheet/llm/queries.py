@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ratesheet.llm import (
     decontamination,
     expected,
+    html_extraction,
     language_id,
     license_scan,
     line_dedup,
@@ -18,6 +19,7 @@ from ratesheet.llm import (
     quality_classifier,
     quality_rules,
     secret_scan,
+    token_alignment,
     token_counts,
 )
 from ratesheet.llm.common import documents, written
@@ -119,6 +121,16 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir))
 
 
+@query
+def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.aligned(documents(spark, sf_dir))
+
+
 @query
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle_manifest.audited(documents(spark, sf_dir))
+
+
+@query
+def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extracted(spark.read.parquet(f"{sf_dir}/pages.parquet"))
