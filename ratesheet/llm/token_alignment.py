@@ -12,8 +12,9 @@ The second pass aligns the documents again and looks the counts up, by slot and
 A block of at most ``BLOCK`` pairs (or one shard) is in memory at a time: with more pairs there are
 as many second passes as blocks, and their sums are added.
 
-Texts are cut at single spaces between visible characters, which no token of either vocabulary
-crosses; the parts repeat and are remembered. Other texts are aligned as a whole.
+Tokens are found for parts of texts between single spaces, which no token of either vocabulary
+crosses; the parts repeat and are remembered. Other texts are encoded as a whole. The offsets of some
+megabytes of text are then compared at once.
 
 Rules: a null or empty text, and one that the tokens of either side do not spell out byte by byte
 (such as one holding U+2581), has no tokens. Its numbers are 0 and its digest is empty. Rows are
@@ -26,7 +27,10 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
+from collections import ChainMap
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -43,7 +47,9 @@ from ratesheet.llm.common import importable, written
 from ratesheet.llm.perfect_hash import PerfectHash, build, shard_of
 
 #: Parts of texts that a task remembers, then it starts anew; longer ones are not remembered.
-PART_CACHE, LONGEST_CACHED = 200_000, 48
+PART_CACHE, LONGEST_CACHED = 300_000, 48
+#: Characters of texts that are aligned at once (or a single text).
+AT_ONCE = 2_000_000
 #: Distinct pairs of a block: 64 MB of keys and counts.
 BLOCK = 4_000_000
 #: Pairs a task holds before it passes them on.
@@ -61,70 +67,124 @@ def piece_model(path: str | None = None) -> str:
     return path or public_tokenizers.path("piece_bpe_32k.model")
 
 
-class Aligner(dict):
-    """Part of a text, without the space before it -> its alignment, or None if it has none.
+@dataclass
+class Aligned:
+    """Texts aligned together. Counts are by text; links stand by text in no order within it."""
 
-    An alignment is (A tokens, B tokens, groups, the groups as text, the links as 64-bit pairs).
-    """
+    n_a: np.ndarray
+    n_b: np.ndarray
+    n_groups: np.ndarray
+    links: np.ndarray
+    text_of_link: np.ndarray
+    groups: list[bytes]
 
+
+def _bytes_of(encoding) -> list[bytes]:
+    return [encoding.decode_single_token_bytes(i) for i in range(encoding.n_vocab)]
+
+
+class Aligner:
     def __init__(self, a_path: str, b_path: str):
-        super().__init__()
-        self.a = tokens.encoder(a_path).encoding
-        self.a_length = [len(self.a.decode_single_token_bytes(i)) for i in range(self.a.n_vocab)]
+        self.a = tokens.encoder(a_path)
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [
             bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(_MARK, " ").encode()
             for i, p in enumerate(pieces)
         ]
+        self.a_length = np.array(list(map(len, _bytes_of(self.a.encoding))), dtype=np.int64)
+        self.b_length = np.array(list(map(len, self.b_bytes)), dtype=np.int64)
         self.by_parts = not any(_MARK in p.lstrip(_MARK) for p in pieces)
-
-    def __missing__(self, part: str) -> tuple | None:
-        value = self.whole(part)
-        if len(part) <= LONGEST_CACHED:
-            if len(self) >= PART_CACHE:
-                self.clear()
-            self[part] = value
-        return value
-
-    def whole(self, text: str) -> tuple | None:
-        a, b = self.a.encode_ordinary(" " + text), self.b.encode(text)
-        raw = (" " + text).encode("utf-8", "surrogatepass")
-        b_parts = [self.b_bytes[i] for i in b]
-        if b"".join(b_parts) != raw or self.a.decode_bytes(a) != raw:
-            return None
-        links, groups, group_a, group_b = [], [], [], []
-        i = j = 0
-        a_end, b_end = self.a_length[a[0]], len(b_parts[0])
-        while True:
-            links.append(a[i] << 32 | b[j])
-            step_a, step_b = a_end <= b_end, b_end <= a_end
-            if step_a:
-                group_a.append(str(a[i]))
-                i += 1
-            if step_b:
-                group_b.append(str(b[j]))
-                j += 1
-            if step_a and step_b:
-                groups.append(f"{','.join(group_a)}|{','.join(group_b)}")
-                group_a, group_b = [], []
-                if i == len(a):
-                    break
-            if step_a:
-                a_end += self.a_length[a[i]]
-            if step_b:
-                b_end += len(b_parts[j])
-        return len(a), len(b), len(groups), ";".join(groups), np.array(links, dtype=np.int64).tobytes()
-
-    def parts(self, text: str | None) -> list[tuple] | None:
-        """The alignments of a text's parts; None for a text without tokens."""
-        if not text:
+        # What stands behind a token: another of its side, the other side, the next group, nothing.
+        self.told = [b"%d%s" % (i, mark) for n in (len(self.a_length), len(pieces)) for i in range(n) for mark in (b",", b"|", b";", b"")]
+        self.parts: dict[str, bytes] = {}
+
+    def _spelt(self, text: str, ids: list[int]) -> bytes | None:
+        """The ids as 32-bit integers, if their bytes are a space and the text."""
+        told = b"".join(map(self.b_bytes.__getitem__, ids))
+        same = told == (" " + text).encode("utf-8", "surrogatepass")
+        return array("I", ids).tobytes() if same else None
+
+    def _b_ids(self, texts: list[str]) -> list[bytes]:
+        """B ids of each text, none if they do not spell it out. New parts are encoded in one call."""
+        cut = [
+            t.split(" ") if self.by_parts and t[-1] != " " and not _ODD_SPACE.search(" " + t) else None
+            for t in texts
+        ]
+        if len(self.parts) > PART_CACHE:
+            self.parts.clear()
+        new = list({p for parts in cut if parts for p in parts} - self.parts.keys())
+        fresh = {p: self._spelt(p, ids) for p, ids in zip(new, self.b.encode(new))} if new else {}
+        known, long = self.parts, {p: ids for p, ids in fresh.items() if len(p) > LONGEST_CACHED}
+        known.update((p, ids) for p, ids in fresh.items() if p not in long)
+        if long:
+            known = ChainMap(long, self.parts)
+
+        def ids(text: str, parts: list[str] | None) -> bytes:
+            if not parts:
+                return self._spelt(text, self.b.encode(text)) or b""
+            found = list(map(known.__getitem__, parts))
+            return b"" if None in found else b"".join(found)
+
+        return [ids(t, parts) for t, parts in zip(texts, cut)]
+
+    def align(self, texts: list[str], told: bool) -> Aligned | None:
+        """The texts aligned, none of which is empty; None if the tokens of one do not spell it out.
+
+        A tokens stand for the bytes they were cut from, so their lengths tell whether all are there.
+        The groups are written out if they are to be ``told``.
+        """
+        raw = [(" " + t).encode("utf-8", "surrogatepass") for t in texts]
+        a_each = [self.a.ids(" " + t) for t in texts]
+        b_each = self._b_ids(texts)
+        a, b = (np.frombuffer(b"".join(x), dtype=np.uint32).astype(np.int64) for x in (a_each, b_each))
+        n_a, n_b = (np.array([len(x) // 4 for x in each], dtype=np.int64) for each in (a_each, b_each))
+        a_end, b_end = np.cumsum(self.a_length[a]), np.cumsum(self.b_length[b])
+        ends = np.cumsum([len(r) for r in raw])
+        cuts_a, cuts_b = np.cumsum(n_a), np.cumsum(n_b)
+        if not (n_a.all() and n_b.all() and (a_end[cuts_a - 1] == ends).all() and (b_end[cuts_b - 1] == ends).all()):
             return None
-        if not self.by_parts or text[-1] == " " or _ODD_SPACE.search(" " + text):
-            found = [self.whole(text)]
-        else:
-            found = list(map(self.__getitem__, text.split(" ")))
-        return None if None in found else found
+        at_b, at_a = np.searchsorted(b_end, a_end), np.searchsorted(a_end, b_end)
+        a_last, b_last = b_end[at_b] == a_end, a_end[at_a] == b_end
+        # Each stretch between two ends of either side lies in one token of A and one of B.
+        text_a, text_b = (np.repeat(np.arange(len(texts)), n) for n in (n_a, n_b))
+        inner = ~b_last
+        links = np.concatenate([a << 32 | b[at_b], a[at_a[inner]] << 32 | b[inner]])
+        text_of_link = np.concatenate([text_a, text_b[inner]])
+        n_groups = np.bincount(text_a[a_last], minlength=len(texts))
+        groups = self._groups(a, b, a_last, b_last, cuts_a, cuts_b) if told else []
+        return Aligned(n_a, n_b, n_groups, links, text_of_link, groups)
+
+    def _groups(self, a, b, a_last, b_last, cuts_a, cuts_b) -> list[bytes]:
+        """``a1,a2|b1;a3|b2`` of each text: A and B tokens of a group, then the next group."""
+        group_a, group_b = np.cumsum(a_last) - a_last, np.cumsum(b_last) - b_last
+        b_start = np.concatenate([[0], np.flatnonzero(b_last) + 1])
+        a_stop = np.flatnonzero(a_last) + 1
+        told = np.empty(len(a) + len(b), dtype=np.int64)
+        told[np.arange(len(a)) + b_start[group_a]] = 4 * a + a_last
+        behind_b = 2 * b_last
+        behind_b[cuts_b - 1] = 3
+        told[np.arange(len(b)) + a_stop[group_b]] = 4 * (len(self.a_length) + b) + behind_b
+        cuts = [0, *(cuts_a + cuts_b).tolist()]
+        words = list(map(self.told.__getitem__, told.tolist()))
+        return [b"".join(words[low:high]) for low, high in zip(cuts, cuts[1:])]
+
+    def over(self, texts: list[str | None], told: bool = True) -> Iterator[tuple[list[int], Aligned]]:
+        """(positions, alignment) of the texts that have tokens, some megabytes at a time."""
+        held, size = [], 0
+        for at, text in enumerate(texts):
+            if text:
+                held.append(at)
+                size += len(text)
+            if held and (size >= AT_ONCE or at + 1 == len(texts)):
+                found = self.align([texts[k] for k in held], told)
+                if found:
+                    yield held, found
+                else:
+                    for k in held:
+                        if found := self.align([texts[k]], told):
+                            yield [k], found
+                held, size = [], 0
 
 
 @lru_cache(maxsize=2)
@@ -133,12 +193,19 @@ def aligner(a_path: str, b_path: str) -> Aligner:
     return Aligner(a_path, b_path)
 
 
-def _links(parts: list[tuple]) -> np.ndarray:
-    return np.frombuffer(b"".join([p[4] for p in parts]), dtype=np.int64)
+def _distinct_links(found: Aligned) -> tuple[np.ndarray, np.ndarray]:
+    """(pairs, texts that hold them)."""
+    order = np.lexsort((found.text_of_link, found.links))
+    links, texts = found.links[order], found.text_of_link[order]
+    new = np.ones(len(links), dtype=bool)
+    new[1:] = (links[1:] != links[:-1]) | (texts[1:] != texts[:-1])
+    return np.unique(links[new], return_counts=True)
 
 
-def _summed(held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    return np.unique(np.concatenate(held), return_counts=True)
+def _added(keys: np.ndarray, counts: np.ndarray, more: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+    both, at = np.unique(np.concatenate([keys, *[k for k, _ in more]]), return_inverse=True)
+    weight = np.concatenate([counts, *[c for _, c in more]])
+    return both, np.bincount(at, weight, len(both)).astype(np.int64)
 
 
 def pairs(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
@@ -155,21 +222,16 @@ def pairs(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
         align, held, many = aligner(a_path, b_path), [], 0
         keys = counts = np.empty(0, dtype=np.int64)
         for batch in batches:
-            for text in batch["text"]:
-                if parts := align.parts(text):
-                    held.append(np.unique(_links(parts)))
-                    many += len(held[-1])
+            for _, found in align.over(batch["text"].tolist(), told=False):
+                held.append(_distinct_links(found))
+                many += len(held[-1][0])
                 if many >= HELD:
-                    k, c = _summed(held)
-                    both, at = np.unique(np.concatenate([keys, k]), return_inverse=True)
-                    counts = np.bincount(at, np.concatenate([counts, c]), len(both)).astype(np.int64)
-                    keys, held, many = both, [], 0
+                    keys, counts = _added(keys, counts, held)
+                    held, many = [], 0
                     if len(keys) >= HELD:
                         yield rows(keys, counts)
                         keys = counts = np.empty(0, dtype=np.int64)
-        if held:
-            k, c = _summed(held)
-            yield rows(k, c)
+        keys, counts = _added(keys, counts, held)
         if len(keys):
             yield rows(keys, counts)
 
@@ -256,7 +318,7 @@ def aligned(docs: DataFrame, a_path: str | None = None, b_path: str | None = Non
     partial = written(pairs(docs, a_path, b_path), "pairs")
     built = written(hashes(partial), "hashes")
     tables = []
-    best = np.zeros(aligner(a_path, b_path).a.n_vocab, dtype=np.int64)
+    best = np.zeros(len(aligner(a_path, b_path).a_length), dtype=np.int64)
     blocks = _blocks(built) or [[]]
     for shards in blocks:
         lookup = _hash_of(built, shards)
@@ -275,25 +337,23 @@ def _looked_up(
     """The second pass over one block: n_best and count_sum are of its pairs only."""
 
     def look(batch: pa.RecordBatch) -> pa.RecordBatch:
-        align, out, links = aligner(a_path, b_path), [], []
-        for text in batch.column("text").to_pylist():
-            if parts := align.parts(text):
-                links.append(_links(parts))
-                digest = hashlib.sha256(";".join([p[3] for p in parts]).encode()).hexdigest()
-                out.append((*[sum(p[k] for p in parts) for k in range(3)], digest))
-            else:
-                links.append(np.empty(0, dtype=np.int64))
-                out.append((0, 0, 0, ""))
-        keys = np.concatenate([np.empty(0, dtype=np.int64), *links])
-        slots = index.value.slots(keys)
-        here = slots >= 0
-        counts = np.zeros(len(keys), dtype=np.int64)
-        counts[here] = counted.value[slots[here]]
-        top = here & (counts == highest.value[keys >> 32])
-        lengths = np.array([len(x) for x in links], dtype=np.int64)
-        ends = np.cumsum([0, *lengths])
-        n_best, count_sum = (np.diff(np.concatenate([[0], np.cumsum(v, dtype=np.int64)])[ends]) for v in (top, counts))
-        n_a, n_b, n_groups, digests = zip(*out) if out else ([],) * 4
+        align, n = aligner(a_path, b_path), batch.num_rows
+        n_a, n_b, n_groups, lengths, n_best, count_sum = np.zeros((6, n), dtype=np.int64)
+        digests = [""] * n
+        for at, found in align.over(batch.column("text").to_pylist()):
+            slots = index.value.slots(found.links)
+            here = slots >= 0
+            counts = np.zeros(len(slots), dtype=np.int64)
+            counts[here] = counted.value[slots[here]]
+            top = here & (counts == highest.value[found.links >> 32])
+            n_a[at], n_b[at], n_groups[at] = found.n_a, found.n_b, found.n_groups
+            lengths[at] = np.bincount(found.text_of_link, minlength=len(at))
+            n_best[at] = np.bincount(found.text_of_link[top], minlength=len(at))
+            sums = np.zeros(len(at), dtype=np.int64)
+            np.add.at(sums, found.text_of_link, counts)
+            count_sum[at] = sums
+            for k, told in zip(at, found.groups):
+                digests[k] = hashlib.sha256(told).hexdigest()
         columns = [batch.column("doc_id"), n_a, n_b, n_groups, lengths, n_best, count_sum, digests]
         kinds = [pa.int64()] * 7 + [pa.string()]
         arrays = [c if isinstance(c, pa.Array) else pa.array(c, kind) for c, kind in zip(columns, kinds)]
