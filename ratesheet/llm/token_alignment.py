@@ -29,9 +29,10 @@ import hashlib
 import re
 from array import array
 from collections import ChainMap
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -47,7 +48,7 @@ from ratesheet.llm.common import importable, written
 from ratesheet.llm.perfect_hash import PerfectHash, build, shard_of
 
 #: Parts of texts that a task remembers, then it starts anew; longer ones are not remembered.
-PART_CACHE, LONGEST_CACHED = 300_000, 48
+PART_CACHE, LONGEST_CACHED = 500_000, 48
 #: Characters of texts that are aligned at once (or a single text).
 AT_ONCE = 2_000_000
 #: Distinct pairs of a block: 64 MB of keys and counts.
@@ -97,7 +98,7 @@ class Aligner:
         self.by_parts = not any(_MARK in p.lstrip(_MARK) for p in pieces)
         # What stands behind a token: another of its side, the other side, the next group, nothing.
         self.told = [b"%d%s" % (i, mark) for n in (len(self.a_length), len(pieces)) for i in range(n) for mark in (b",", b"|", b";", b"")]
-        self.parts: dict[str, bytes] = {}
+        self.parts: dict[str, tuple[bytes, bytes | None]] = {}
 
     def _spelt(self, text: str, ids: list[int]) -> bytes | None:
         """The ids as 32-bit integers, if their bytes are a space and the text."""
@@ -105,28 +106,55 @@ class Aligner:
         same = told == (" " + text).encode("utf-8", "surrogatepass")
         return array("I", ids).tobytes() if same else None
 
-    def _b_ids(self, texts: list[str]) -> list[bytes]:
-        """B ids of each text, none if they do not spell it out. New parts are encoded in one call."""
-        cut = [
-            t.split(" ") if self.by_parts and t[-1] != " " and not _ODD_SPACE.search(" " + t) else None
-            for t in texts
-        ]
+    def _cut(self, text: str) -> list[str] | None:
+        """The parts of a text between single spaces; None if it has other spaces."""
+        if not self.by_parts or text[-1] == " " or _ODD_SPACE.search(" " + text):
+            return None
+        return text.split(" ")
+
+    def _learn(self, parts: list[str]) -> dict[str, tuple[bytes, bytes | None]]:
+        """A and B ids of parts that end in a visible character, encoded in one call each."""
+        text = " " + " ".join(parts)
+        raw = text.encode("utf-8", "surrogatepass")
+        ends = np.cumsum([len(p.encode("utf-8", "surrogatepass")) + 1 for p in parts])
+        a = np.array(self.a.encoding.encode_ordinary(text), dtype=np.uint32)
+        at = np.cumsum(self.a_length[a])
+        cut = np.minimum(np.searchsorted(at, ends), len(at) - 1)
+        lists = self.b.encode(parts)
+        b = list(chain.from_iterable(lists))
+        if (at[cut] != ends).any() or b"".join(map(self.b_bytes.__getitem__, b)) != raw:
+            return {p: self._alone(p) for p in parts}
+        a_ids, b_ids = a.tobytes(), array("I", b).tobytes()
+        cut_a, cut_b = (4 * (cut + 1)).tolist(), (4 * np.cumsum(list(map(len, lists)))).tolist()
+        cuts_a, cuts_b = zip([0, *cut_a], cut_a), zip([0, *cut_b], cut_b)
+        return {p: (a_ids[i:j], b_ids[k:m]) for p, (i, j), (k, m) in zip(parts, cuts_a, cuts_b)}
+
+    def _alone(self, text: str) -> tuple[bytes, bytes | None]:
+        a = array("I", self.a.encoding.encode_ordinary(" " + text)).tobytes()
+        return a, self._spelt(text, self.b.encode(text))
+
+    def _ids(self, texts: list[str]) -> tuple[list[bytes], list[bytes]]:
+        """A and B ids of each text; no B ids where they do not spell it out. New parts are encoded
+        in one call."""
+        cut = [self._cut(t) for t in texts]
         if len(self.parts) > PART_CACHE:
             self.parts.clear()
-        new = list({p for parts in cut if parts for p in parts} - self.parts.keys())
-        fresh = {p: self._spelt(p, ids) for p, ids in zip(new, self.b.encode(new))} if new else {}
-        known, long = self.parts, {p: ids for p, ids in fresh.items() if len(p) > LONGEST_CACHED}
-        known.update((p, ids) for p, ids in fresh.items() if p not in long)
-        if long:
-            known = ChainMap(long, self.parts)
-
-        def ids(text: str, parts: list[str] | None) -> bytes:
-            if not parts:
-                return self._spelt(text, self.b.encode(text)) or b""
-            found = list(map(known.__getitem__, parts))
-            return b"" if None in found else b"".join(found)
-
-        return [ids(t, parts) for t, parts in zip(texts, cut)]
+        new = {p for parts in cut if parts for p in parts} - self.parts.keys()
+        known: Mapping = self.parts
+        if new:
+            plain = [p for p in new if not p[-1].isspace()]
+            fresh = self._learn(plain) if plain else {}
+            fresh |= {p: self._alone(p) for p in new if p[-1].isspace()}
+            long = {p: fresh.pop(p) for p in new if len(p) > LONGEST_CACHED}
+            self.parts.update(fresh)
+            known = ChainMap(long, self.parts) if long else known
+        a_each, b_each = [], []
+        for text, parts in zip(texts, cut):
+            found = [self._alone(text)] if parts is None else list(map(known.__getitem__, parts))
+            a, b = zip(*found)
+            a_each.append(b"".join(a))
+            b_each.append(b"" if None in b else b"".join(b))
+        return a_each, b_each
 
     def align(self, texts: list[str], told: bool) -> Aligned | None:
         """The texts aligned, none of which is empty; None if the tokens of one do not spell it out.
@@ -135,8 +163,7 @@ class Aligner:
         The groups are written out if they are to be ``told``.
         """
         raw = [(" " + t).encode("utf-8", "surrogatepass") for t in texts]
-        a_each = [self.a.ids(" " + t) for t in texts]
-        b_each = self._b_ids(texts)
+        a_each, b_each = self._ids(texts)
         a, b = (np.frombuffer(b"".join(x), dtype=np.uint32).astype(np.int64) for x in (a_each, b_each))
         n_a, n_b = (np.array([len(x) // 4 for x in each], dtype=np.int64) for each in (a_each, b_each))
         a_end, b_end = np.cumsum(self.a_length[a]), np.cumsum(self.b_length[b])
