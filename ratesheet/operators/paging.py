@@ -1,10 +1,11 @@
 """Cut a table into numbered pages of a fixed size, without a global sort.
 
-Records are ordered by the MD5 of their JSON text. Its first four hex digits are an even
-split of that order into 65,536 slots whatever the data looks like, so a record's row
-number is (rows in earlier slots) + (rows before it in its slot). Copies are counted
-before anything is ordered: a record with a billion copies is one line until its pages
-are written out.
+Records are ordered by the MD5 of their JSON text. Its first hex digits (``slot_digits``, four
+unless the caller says otherwise: 65,536 slots) are an even split of that order whatever the data
+looks like, so a record's row number is (rows in earlier slots) + (rows before it in its slot).
+Copies are counted before anything is ordered: a record with a billion copies is one line until its
+pages are written out. Counting and numbering move hashes alone; the text of each distinct record
+joins its numbers when the pages are put together.
 """
 
 from __future__ import annotations
@@ -21,43 +22,36 @@ def record_json(columns: list[str]) -> Column:
     return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
 
 
-def numbered_runs(df: DataFrame, columns: list[str]) -> DataFrame:
+def numbered_runs(df: DataFrame, columns: list[str], slot_digits: int = SLOT_DIGITS) -> DataFrame:
     """Distinct records with their ``copies`` and the row number (from 0) of the first."""
-    runs = (
-        df.select(record_json(columns).alias("record"))
-        .groupBy("record")
-        .agg(F.count(F.lit(1)).alias("copies"))
-        .withColumn("sort_key", F.md5("record"))
-        # Never null, and known as such: otherwise the join below pushes a null test on this
-        # expression down to the source rows and keeps the two uses from sharing one shuffle.
-        .withColumn("slot", F.coalesce(F.substring("sort_key", 1, SLOT_DIGITS), F.lit("")))
-    )
+    records = df.select(record_json(columns).alias("record")).withColumn("sort_key", F.md5("record"))
+    # Never null, and known as such: otherwise the join below pushes a null test on this
+    # expression down to the source rows and keeps the two uses from sharing one shuffle.
+    slot = F.coalesce(F.substring("sort_key", 1, slot_digits), F.lit(""))
+    runs = records.groupBy("sort_key").agg(F.count(F.lit(1)).alias("copies")).withColumn("slot", slot)
     earlier = Window.orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
-    # At most 16**SLOT_DIGITS rows: the window and the broadcast are bounded.
+    # At most 16**slot_digits rows: the window and the broadcast are bounded.
     slot_starts = (
         runs.groupBy("slot")
         .agg(F.sum("copies").alias("n"))
         .select("slot", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("slot_start"))
     )
-    within = (
-        Window.partitionBy("slot")
-        .orderBy("sort_key", "record")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    return runs.join(F.broadcast(slot_starts), "slot").select(
-        "record",
-        "copies",
-        (F.col("slot_start") + F.coalesce(F.sum("copies").over(within), F.lit(0))).alias("start"),
-    )
+    within = Window.partitionBy("slot").orderBy("sort_key").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.col("slot_start") + F.coalesce(F.sum("copies").over(within), F.lit(0))
+    numbers = runs.join(F.broadcast(slot_starts), "slot").select("sort_key", "copies", start.alias("start"))
+    texts = records.groupBy("sort_key").agg(F.any_value("record").alias("record"))
+    return texts.join(numbers, "sort_key").select("record", "copies", "start")
 
 
-def page_contents(df: DataFrame, columns: list[str], page_size: int = fv.PAGE_SIZE) -> DataFrame:
+def page_contents(
+    df: DataFrame, columns: list[str], page_size: int = fv.PAGE_SIZE, slot_digits: int = SLOT_DIGITS
+) -> DataFrame:
     """One row per page: number from 1, record count, records as a JSON list."""
     first = F.col("start")
     end = F.col("start") + F.col("copies")
     pages = f"sequence(start div {page_size}, (start + copies - 1) div {page_size})"
     pieces = (
-        numbered_runs(df, columns)
+        numbered_runs(df, columns, slot_digits)
         .withColumn("page", F.explode(F.expr(pages)))
         .select(
             "page",
@@ -99,6 +93,7 @@ def page_envelopes(
     extracted_at: Column,
     page_size: int = fv.PAGE_SIZE,
     endpoint: str = "",
+    slot_digits: int = SLOT_DIGITS,
 ) -> DataFrame:
     """Pages with their envelope: file name, JSON body and its size in bytes."""
     page = F.col("page_number")
@@ -118,7 +113,7 @@ def page_envelopes(
     body = F.concat(
         F.regexp_replace(head, r"\}$", ""), F.lit(',"data":{"results":'), "records", F.lit("}}")
     )
-    return page_contents(df, columns, page_size).select(
+    return page_contents(df, columns, page_size, slot_digits).select(
         "page_number",
         offset.alias("offset"),
         F.lit(page_size).alias("limit"),

@@ -1,16 +1,19 @@
-"""Vector search: embedding hook, exact top-k, clustered index, prompts.
+"""Vector search: embedding hook, exact top-k, clustered index, resident searcher, prompts.
 
 Similarities are rounded to six places before ranking and ties go to the smaller id, so a
-result does not depend on summation order. No operator here emits question x vector pairs:
-tasks score Arrow batches with one matrix product and pass on at most ``k`` rows per
-question.
+result does not depend on summation order. No operator here emits question x vector pairs, and
+no question set passes the driver: tasks walk through files of questions or vectors
+(``vector_blocks``) and pass on at most ``k`` rows per question.
 """
 
 from __future__ import annotations
 
 import hashlib
 import sys
+import uuid
 from collections.abc import Callable, Iterator
+from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -18,18 +21,19 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ratesheet import fixed_values as fv
 from ratesheet.functions.vectors import dot, normalise
+from ratesheet.operators import vector_blocks as vb
 from ratesheet.session import shared_dir
+from ratesheet.sources import storage
 
-PLACES = 6
-#: Bytes of questions that go to the tasks at once; a larger set is asked in several blocks.
+#: Bytes of vectors, and of questions, that a task holds at a time.
 BLOCK_BYTES = 64 << 20
-BLOCK_QUESTIONS = 2048
-CHUNK_VECTORS = 16384
-SCORE_CELLS = 1 << 22
+#: Vectors of a matrix block of a store or an index.
+BLOCK_ROWS = 16384
 DEFAULT_DIM = 256
 BOUND_SLACK = 1e-5
 #: Texts an embedder gets at once, unless the caller says otherwise.
@@ -38,6 +42,8 @@ EMBED_BATCH = 256
 MERGE_WAYS = 32
 #: Largest table of centres, in bytes: every task holds it.
 MAX_CENTRE_BYTES = 64 << 20
+#: Hits whose documents are looked up by their ids on the scan; more are joined.
+LOOKUP_IDS = 500
 
 # The task functions below travel with the job, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -100,72 +106,14 @@ def unsound_vectors(vectors: DataFrame, dim: int) -> DataFrame:
     return vectors.where(~_whole(dim))
 
 
-# --- scoring kernel --------------------------------------------------------------------
+# --- merging ---------------------------------------------------------------------------
 
 
-def _lengths(matrix: np.ndarray) -> np.ndarray:
-    """Row lengths; a zero row counts as length one and stays zero."""
-    lengths = np.sqrt(np.einsum("ij,ij->i", matrix, matrix))
-    return np.where(lengths > 0, lengths, 1.0)
-
-
-def _units(vectors) -> np.ndarray:
-    matrix = _stacked(vectors)
-    return matrix / _lengths(matrix)[:, None]
-
-
-def _stacked(vectors) -> np.ndarray:
-    return np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
-
-
-def _sortable(ids: np.ndarray) -> np.ndarray:
-    return ids.astype(str) if ids.dtype == object else ids
-
-
-def _trim(question: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
-    """Positions of the ``k`` best entries of each question, ties by smaller id."""
-    order = np.lexsort((_sortable(ids), -scores, question))
-    ranked = question[order]
-    starts = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]])
-    place = np.arange(len(order)) - np.repeat(starts, np.diff(np.r_[starts, len(order)]))
-    return order[place < k]
-
-
-def _best(question_ids, questions, ids, vectors, k, skip_self, floor=None):
-    """(question position, vector position, similarity) of the ``k`` best per question.
-
-    ``questions`` has unit rows; ``vectors`` may have any length.
-    ``floor`` gives the lowest similarity still wanted per question. Questions are scored
-    in slices so that a score matrix stays small whatever the two sizes are.
-    """
-    step = max(1, SCORE_CELLS // max(1, len(ids)))
-    lengths = _lengths(vectors)
-    found = []
-    for low in range(0, len(question_ids), step):
-        part = slice(low, low + step)
-        scores = np.round((questions[part] @ vectors.T) / lengths, PLACES) + 0.0
-        if skip_self:
-            scores[question_ids[part, None] == ids[None, :]] = -np.inf
-        cut = np.full(len(scores), -2.0)
-        if len(ids) > k:
-            cut = np.maximum(cut, np.partition(scores, -k, axis=1)[:, -k])
-        if floor is not None:
-            cut = np.maximum(cut, floor[part])
-        q, v = np.nonzero(scores >= cut[:, None])
-        if len(q):
-            s = scores[q, v]
-            keep = _trim(q, ids[v], s, k)
-            found.append((q[keep] + low, v[keep], s[keep]))
-    if not found:
-        return np.empty(0, dtype=int), np.empty(0, dtype=int), np.empty(0)
-    return tuple(np.concatenate(columns) for columns in zip(*found))
-
-
-def _hit_schema(questions: DataFrame, vectors: DataFrame) -> T.StructType:
+def _hit_schema(question_id: T.DataType, vector_id: T.DataType) -> T.StructType:
     return T.StructType(
         [
-            T.StructField("question_id", questions.schema["question_id"].dataType),
-            T.StructField("id", vectors.schema["id"].dataType),
+            T.StructField("question_id", question_id),
+            T.StructField("id", vector_id),
             T.StructField("similarity", T.DoubleType()),
         ]
     )
@@ -193,6 +141,18 @@ def _kept(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _asked(questions: DataFrame, *more: str) -> tuple[str, int]:
+    """Folder of the questions in the shared folder, and how long their vectors are.
+
+    They are evaluated once, into files of even size, and measured on the way.
+    """
+    measured = Observation("questions")
+    path = shared_dir(questions.sparkSession, "questions")
+    rows = questions.select("question_id", "vector", *more).hint("rebalance")
+    rows.observe(measured, F.max(F.size("vector")).alias("dim")).write.parquet(path)
+    return path, measured.get["dim"] or 0
+
+
 def topk(
     vectors: DataFrame,
     questions: DataFrame,
@@ -202,138 +162,86 @@ def topk(
 ) -> DataFrame:
     """Exact ``k`` nearest ``vectors(id, vector)`` of each ``questions(question_id, vector)``.
 
-    The questions are evaluated once and asked in blocks of at most about ``block_bytes``; for
-    each block the vectors are scanned, unshuffled, and a task passes on ``k`` rows a question.
-    Vectors that are null, of another length or hold nulls are no candidates; see
-    ``unsound_vectors`` for them. Questions like that get no hits.
+    The vectors are scanned once, unshuffled, whatever the number of questions: a task holds at
+    most about ``block_bytes`` of them and walks through the question files, as much at a time,
+    keeping ``k`` hits a question. Vectors that are null, of another length or hold nulls are no
+    candidates; see ``unsound_vectors`` for them. Questions like that get no hits.
     """
-    asked = _kept(questions.select("question_id", "vector"), "questions")
-    measured = asked.agg(
-        F.count(F.lit(1)).alias("n"), F.max(F.size("vector")).alias("dim")
-    ).first()
-    dim = measured.dim or 0
-    n_blocks = measured.n * dim * 8 // block_bytes + 1
-    block = F.pmod(F.xxhash64("question_id"), F.lit(n_blocks))
-    sound = sound_vectors(vectors.select("id", "vector"), dim)
-    found = None
-    for number in range(n_blocks):
-        some = sound_vectors(asked, dim).where(block == number)
-        hits = _scan(sound, some, k, skip_self)
-        if n_blocks > 1:  # a block's questions leave the driver before the next block's come
-            hits = _kept(hits, "hits")
-        found = hits if found is None else found.unionByName(hits)
-    return _keep_best(found, k)
+    spark = vectors.sparkSession
+    schema = _hit_schema(questions.schema["question_id"].dataType, vectors.schema["id"].dataType)
+    path, dim = _asked(questions)
+    if not dim:
+        return _keep_best(spark.createDataFrame([], schema), k)
+    files, hit_schema = storage.data_files(spark, path), to_arrow_schema(schema)
+    at_once = max(1, block_bytes // (8 * dim))
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, rows, held = [], [], 0
+        for batch in chain(batches, [None]):
+            if batch is not None and batch.num_rows:
+                ids.append(batch.column("id").to_numpy(zero_copy_only=False))
+                rows.append(vb._matrix(batch.column("vector"), dim)[0])
+                held += rows[-1].nbytes
+            if held and (batch is None or held >= block_bytes):
+                matrix = np.concatenate(rows)
+                block = vb.Block(np.concatenate(ids), matrix, vb.lengths_of(matrix))
+                ids, rows, held = [], [], 0
+                for asked in vb.question_blocks(files, dim, at_once):
+                    heaps = vb.Heaps(asked, k)
+                    heaps.add(block, skip_self)
+                    if (hits := heaps.hits(hit_schema)) is not None:
+                        yield hits
 
+    sound = sound_vectors(vectors.select("id", "vector"), dim)
+    return _keep_best(sound.mapInArrow(walk, schema), k)
 
-def _scan(vectors: DataFrame, questions: DataFrame, k: int, skip_self: bool) -> DataFrame:
-    spark = vectors.sparkSession
-    rows = questions.select("question_id", "vector").toPandas()  # one block
-    schema = _hit_schema(questions, vectors)
-    if rows.empty:
-        return spark.createDataFrame([], schema)
-    shared = spark.sparkContext.broadcast(
-        (rows["question_id"].to_numpy(), _units(rows["vector"]))
-    )
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        question_ids, matrix = shared.value
-        q, ids, s = np.empty(0, dtype=int), None, np.empty(0)
-        floor = np.full(len(question_ids), -2.0)
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            lists = batch.column("vector")
-            flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-            batch_ids = batch.column("id").to_numpy(zero_copy_only=False)
-            rows = flat.reshape(len(lists), -1)
-            nq, nv, ns = _best(question_ids, matrix, batch_ids, rows, k, skip_self, floor)
-            if len(nq) == 0:
-                continue
-            q, s = np.concatenate([q, nq]), np.concatenate([s, ns])
-            ids = batch_ids[nv] if ids is None else np.concatenate([ids, batch_ids[nv]])
-            keep = _trim(q, ids, s, k)
-            q, ids, s = q[keep], ids[keep], s[keep]
-            # Later batches need to reach the k-th similarity already held.
-            last = np.bincount(q, minlength=len(question_ids)) == k
-            lowest = np.full(len(question_ids), np.inf)
-            np.minimum.at(lowest, q, s)
-            floor[last] = lowest[last]
-        if len(q):
-            yield pa.RecordBatch.from_pandas(
-                pd.DataFrame({"question_id": question_ids[q], "id": ids, "similarity": s}),
-                preserve_index=False,
-            )
-
-    return vectors.select("id", "vector").mapInArrow(score, schema)
-
-
-def probe(
-    vectors: DataFrame,
-    questions: DataFrame,
-    k: int,
-    skip_self: bool,
-    sizes: DataFrame,
-    block: int = BLOCK_QUESTIONS,
-    chunk: int = CHUNK_VECTORS,
-) -> DataFrame:
-    """``k`` best per question and piece, matching only rows with the same ``cell``.
+# --- matrix blocks ---------------------------------------------------------------------
 
-    ``sizes`` has (cell, n_vectors), one row a list of the index. A cell with many vectors is cut into chunks, one with many
-    questions into blocks, by hash of the unique id; each (block, chunk) piece is one group
-    of bounded size, so a cell holding a third of all rows is simply more pieces.
-    ``questions`` may carry a ``floor`` similarity below which hits are not wanted.
-    """
-    sizes = (
-        sizes.select("cell", "n_vectors")
-        .join(questions.groupBy("cell").agg(F.count(F.lit(1)).alias("n_questions")), "cell")
-        .select(
-            "cell",
-            F.ceil(F.col("n_vectors") / chunk).alias("chunks"),
-            F.ceil(F.col("n_questions") / block).alias("blocks"),
-        )
-    )
-    floor = F.col("floor") if "floor" in questions.columns else F.lit(-2.0)
 
-    def every(n: str) -> Column:
-        return F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
+def _write_blocks(rows: DataFrame, folder: str, block_rows: int) -> None:
+    """Lays out ``rows(id, vector, cell, angle)``, in their order, as matrix blocks below ``folder``.
 
-    v = vectors.join(F.broadcast(sizes), "cell").select(
-        "cell",
-        F.pmod(F.xxhash64("id"), F.col("chunks")).alias("chunk"),
-        every("blocks").alias("block"),
-        "id",
-        "vector",
-    )
-    # Fresh names: vectors and questions may come from one and the same table.
-    q = questions.join(F.broadcast(sizes), "cell").select(
-        F.col("cell").alias("cell"),
-        every("chunks").alias("chunk"),
-        F.pmod(F.xxhash64("question_id"), F.col("blocks")).alias("block"),
-        F.col("question_id").alias("question_id"),
-        F.col("vector").alias("asked"),
-        floor.alias("floor"),
-    )
-    keys = ["cell", "chunk", "block"]
-    schema = _hit_schema(questions, vectors)
-
-    def match(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        question_ids, ids = right["question_id"].to_numpy(), left["id"].to_numpy()
-        if left.empty or right.empty:
-            return pd.DataFrame({"question_id": question_ids[:0], "id": ids[:0], "similarity": []})
-        at_q, at_v, similarity = _best(
-            question_ids,
-            _units(right["asked"]),
-            ids,
-            _stacked(left["vector"]),
-            k,
-            skip_self,
-            right["floor"].to_numpy(),
-        )
-        return pd.DataFrame(
-            {"question_id": question_ids[at_q], "id": ids[at_v], "similarity": similarity}
-        )
+    A block ends where the cell changes, or when it is full. The manifest, one file a task, is what
+    makes the blocks part of the table: a task that is lost and repeated leaves blocks that no
+    manifest names.
+    """
+    base = storage.qualified(rows.sparkSession, f"{folder}/blocks")
+
+    def lay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def flush() -> pa.RecordBatch:
+            table = pa.Table.from_batches(held).combine_chunks()
+            angles = table.column("angle").to_numpy()
+            ids = table.column("id").combine_chunks()
+            lists = table.column("vector").combine_chunks()
+            matrix = lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), -1)
+            row = {
+                "path": vb.write_block(base, ids, matrix), "cell": table.column("cell")[0].as_py(),
+                "n": len(ids), "low": float(angles.min()), "high": float(angles.max()),
+            }
+            held.clear()
+            return pa.RecordBatch.from_pylist([row], schema=manifest)
 
-    return v.groupBy(*keys).cogroup(q.groupBy(*keys)).applyInPandas(match, schema)
+        for batch in batches:
+            cells = batch.column("cell").to_numpy()
+            cuts = [0, *(np.flatnonzero(cells[1:] != cells[:-1]) + 1), len(cells)]
+            for low, high in zip(cuts, cuts[1:]):
+                while low < high:
+                    room = block_rows - sum(map(len, held))
+                    if held and (room <= 0 or held[0].column("cell")[0].as_py() != cells[low]):
+                        yield flush()
+                        room = block_rows
+                    part = batch.slice(low, min(room, high - low))
+                    held.append(part)
+                    low += len(part)
+        if held:
+            yield flush()
+
+    manifest = to_arrow_schema(T._parse_datatype_string(vb.MANIFEST))
+    laid = rows.select("id", "vector", "cell", "angle").mapInArrow(lay, vb.MANIFEST)
+    laid.write.mode("overwrite").parquet(f"{folder}/manifest")
 
 
 # --- clustered index -------------------------------------------------------------------
@@ -348,15 +256,21 @@ def _angle(cosine: Column) -> Column:
 
 
 def build_index(
-    vectors: DataFrame, path: str, n_lists: int = 100, seed: int = 1, train_share: float = 1.0
+    vectors: DataFrame,
+    path: str,
+    n_lists: int = 100,
+    seed: int = 1,
+    train_share: float = 1.0,
+    block_rows: int = BLOCK_ROWS // 16,
 ) -> None:
     """Write ``vectors(id, vector)`` as lists around k-means centres, with a centre table.
 
     The centres are fitted on all vectors, or on the share of them that the caller names, chosen
-    by the hash of the id. Each centre records its list's size and widest angle, which bounds how
-    similar a vector of that list can be to any question. The rebalance before the write splits a
-    list that holds a large share of all vectors over several tasks and files. Unsound vectors are
-    left out. Centres must fit ``MAX_CENTRE_BYTES``.
+    by the hash of the id. A list is ordered by the angle to its centre and cut into sub-lists of
+    ``block_rows`` vectors, each a matrix block with its smallest and widest angle; together with
+    a question's own angle these bound how similar any vector in it can be. Ranges of (list,
+    angle, id) deal out the rows, so a list, or an angle, with a large share of all vectors is
+    laid out by several tasks. Unsound vectors are left out. Centres must fit ``MAX_CENTRE_BYTES``.
     """
     spark = vectors.sparkSession
     dim = vectors.agg(F.max(F.size("vector"))).first()[0] or 0
@@ -371,53 +285,18 @@ def build_index(
     centre_table = unit_vectors(
         spark.createDataFrame(centres, "cell int, vector array<double>")
     ).withColumnRenamed("vector", "centre")
-    listed = model.transform(unit).select("id", "vector", F.col("prediction").alias("cell"))
-    listed.hint("rebalance", "cell").write.mode("overwrite").partitionBy("cell").parquet(
-        f"{path}/lists"
-    )
-    measured = (
-        spark.read.parquet(f"{path}/lists")
+    centre_table.coalesce(1).write.mode("overwrite").parquet(f"{path}/centres")
+    vectors.select("id").limit(0).write.mode("overwrite").parquet(f"{path}/ids")  # their type
+    angle = _angle(dot(F.col("vector"), F.col("centre")))
+    listed = (
+        model.transform(unit)
+        .select("id", "vector", F.col("prediction").alias("cell"))
         .join(F.broadcast(centre_table), "cell")
-        .groupBy("cell")
-        .agg(
-            F.max(_angle(dot(F.col("vector"), F.col("centre")))).alias("radius"),
-            F.count(F.lit(1)).alias("n_vectors"),
-        )
+        .select("id", "vector", "cell", angle.alias("angle"))
     )
-    # One row per list.
-    centre_table.join(measured, "cell").coalesce(1).write.mode("overwrite").parquet(
-        f"{path}/centres"
-    )
-
-
-def _routes(questions: DataFrame, centres: list, first: int, last: int) -> DataFrame:
-    """The lists to read for each question: those ranked ``first`` to ``last - 1`` by
-    nearness whose bound reaches the question's ``floor``. Only these rows are emitted."""
-    matrix = np.array([c["centre"] for c in centres])
-    cells = np.array([c["cell"] for c in centres], dtype=np.int32)
-    radii = np.array([c["radius"] for c in centres])
-    schema = T.StructType(
-        [
-            questions.schema["question_id"],
-            T.StructField("vector", T.ArrayType(T.DoubleType())),
-            T.StructField("floor", T.DoubleType()),
-            T.StructField("cell", T.IntegerType()),
-        ]
-    )
-
-    def plan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if batch.empty:
-                continue
-            angle = np.arccos(np.clip(_units(batch["vector"]) @ matrix.T, -1.0, 1.0))
-            bound = np.cos(np.maximum(angle - radii, 0.0)) + BOUND_SLACK
-            place = np.argsort(np.argsort(angle, axis=1, kind="stable"), axis=1)
-            floor = batch["floor"].to_numpy()
-            q, c = np.nonzero((place >= first) & (place < last) & (bound >= floor[:, None]))
-            yield batch.iloc[q].assign(cell=cells[c])[["question_id", "vector", "floor", "cell"]]
-
-    doubles = F.col("vector").cast("array<double>").alias("vector")
-    return questions.select("question_id", doubles, "floor").mapInPandas(plan, schema)
+    # Kept, so that the sample for the ranges does not assign all vectors a second time.
+    placed = _kept(listed, "listed").repartitionByRange("cell", "angle", "id")
+    _write_blocks(placed.sortWithinPartitions("cell", "angle", "id"), path, block_rows)
 
 
 def search_index(
@@ -431,37 +310,60 @@ def search_index(
     """Top-k from a stored index.
 
     With ``n_probe`` only the nearest lists are read: fast and approximate. Without it the
-    result is exact: the nearest list of each question gives a first k-th similarity, and
-    then every list whose bound still reaches that similarity is read as well.
+    result is exact: the nearest list of each question gives a first k-th similarity, and then
+    every sub-list whose bound still reaches that similarity is read as well. Tasks hold some
+    blocks each and walk through the question files; neither side is copied for the other.
     """
-    lists = spark.read.parquet(f"{path}/lists")
-    sizes = spark.read.parquet(f"{path}/centres")
-    centres = sizes.collect()  # MAX_CENTRE_BYTES at most
-    asked = _kept(questions.select("question_id", "vector"), "questions")
-
-    def visit(open_questions: DataFrame, first: int, last: int) -> DataFrame:
-        """Routes first; then only the lists that a route names are read."""
-        routes = _kept(_routes(open_questions, centres, first, last), "routes")
-        cells = [row[0] for row in routes.select("cell").distinct().collect()]  # lists at most
-        return probe(lists.where(F.col("cell").isin(cells)), routes, k, skip_self, sizes)
-
-    open_floor = asked.withColumn("floor", F.lit(-2.0))
-    first_lists = n_probe or 1
-    best = _keep_best(visit(open_floor, 0, first_lists), k)
     if n_probe is not None:
-        return best
-    # Both the bounds and the final merge need the first round: keep it as a table.
-    best = _kept(best.drop("rank"), "first_round")
+        return _keep_best(_visit(spark, path, questions, k, skip_self, 0, n_probe), k)
+    first = _kept(_keep_best(_visit(spark, path, questions, k, skip_self, 0, 1), k).drop("rank"), "first_round")
     reached = (
-        best.groupBy("question_id")
+        first.groupBy("question_id")
         .agg(F.count(F.lit(1)).alias("n"), F.min("similarity").alias("lowest"))
         .select("question_id", F.when(F.col("n") == k, F.col("lowest")).alias("floor"))
     )
-    floors = asked.join(reached, "question_id", "left").select(
+    floors = questions.join(reached, "question_id", "left").select(
         "question_id", "vector", F.coalesce("floor", F.lit(-2.0)).alias("floor")
     )
-    rest = visit(floors, first_lists, len(centres))
-    return _keep_best(best.unionByName(rest), k)
+    rest = _visit(spark, path, floors, k, skip_self, 1, None)
+    return _keep_best(first.unionByName(rest), k)
+
+
+def _visit(
+    spark: SparkSession, path: str, questions: DataFrame, k: int, skip_self: bool, first: int, last: int | None
+) -> DataFrame:
+    """Hits in the lists that rank from ``first`` to before ``last`` by nearness to a question,
+    in sub-lists whose bound reaches the question's ``floor`` (if it has one)."""
+    manifest = spark.read.schema(vb.MANIFEST).parquet(f"{path}/manifest")
+    centres = sorted(spark.read.parquet(f"{path}/centres").collect())  # MAX_CENTRE_BYTES at most
+    matrix = np.array([c["centre"] for c in centres])
+    dim = matrix.shape[1]
+    asked_path, _ = _asked(questions, *(["floor"] if "floor" in questions.columns else []))
+    files = storage.data_files(spark, asked_path)
+    base = storage.qualified(spark, f"{path}/blocks")
+    id_type = spark.read.parquet(f"{path}/ids").schema["id"].dataType
+    schema = _hit_schema(questions.schema["question_id"].dataType, id_type)
+    hit_schema = to_arrow_schema(schema)
+    at_once = max(1, BLOCK_BYTES // (8 * max(dim, len(centres))))
+
+    def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [row for batch in batches for row in batch.to_pylist()]
+        for asked in vb.question_blocks(files, dim, at_once) if held else ():
+            angle = np.arccos(np.clip(asked.units @ matrix.T, -1.0, 1.0))
+            place = np.argsort(np.argsort(angle, axis=1, kind="stable"), axis=1)
+            heaps = vb.Heaps(asked, k)
+            for row in held:
+                own = angle[:, row["cell"]]
+                gap = np.maximum(np.maximum(own - row["high"], row["low"] - own), 0.0)
+                nth = place[:, row["cell"]]
+                wanted = (nth >= first) & (nth < (last or len(centres)))
+                wanted &= np.cos(gap) + BOUND_SLACK >= heaps.floor
+                if wanted.any():
+                    heaps.add(vb.read_block(f"{base}/{row['path']}"), skip_self, np.flatnonzero(wanted))
+            if (hits := heaps.hits(hit_schema)) is not None:
+                yield hits
+
+    return manifest.mapInArrow(visit, schema)
 
 
 # --- questions, sources, prompts -------------------------------------------------------
@@ -498,37 +400,77 @@ def build_store(
     path: str,
     embedder: Embedder = hashed_words,
     batch_size: int = EMBED_BATCH,
+    cache: str | None = None,
 ) -> None:
-    """Embed and write documents, one entry for each row, ordered by ``doc_id``.
-
-    Each text is embedded once, however many rows have it. ``doc_id`` is a hash of the text
-    columns and a number that tells rows apart which agree in all of them, by price and then by
-    copy. The order lets a lookup of a few ids skip all files but theirs.
+    """Embed and write documents, one entry for each row, ordered by ``doc_id`` in each file.
+
+    Vectors are kept by the 128-bit hash of their text in the table ``cache``, which outlives the
+    build: a text that is in it is not embedded again. Rows are counted and numbered by hashes
+    alone, and join their vectors by them; the texts move once, to their place (and once more, the
+    new ones, to the embedder). ``doc_id`` is a hash of the text columns and a number that tells
+    rows apart which agree in all of them, by price and then by copy. The vectors are also laid
+    out as matrix blocks for ``Searcher``.
     """
-    columns = documents.columns
-    texts = _kept(documents.select("text").distinct(), "texts")
-    vectors = _kept(embed(texts, "text", embedder, batch_size), "text_vectors")
-    rows = documents.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
-    key = F.md5(F.concat_ws("\n", *[F.coalesce(c, F.lit("")) for c in columns if c != "price"]))
-    before = Window.partitionBy("_key").orderBy("price").rowsBetween(Window.unboundedPreceding, -1)
-    numbered = rows.withColumn("_key", key).withColumn(
-        "_first", F.coalesce(F.sum("_copies").over(before), F.lit(0))
+    spark, columns = documents.sparkSession, documents.columns
+    cache = cache or shared_dir(spark, "text_vectors")
+    body = [c for c in columns if c != "price"]
+    keyed = documents.withColumns(
+        {
+            "_key": F.md5(F.concat_ws("\n", *[F.coalesce(c, F.lit("")) for c in body])),
+            "_row": F.md5(F.to_json(F.struct(*body))),
+            "_text": F.md5(F.coalesce("text", F.lit(""))),
+        }
     )
+    light = _kept(keyed.select("_key", "_row", "_text", "price"), "keys")
+    vectors = _cached_vectors(keyed, light, cache, embedder, batch_size)
+    before = Window.partitionBy("_key").orderBy("price", "_row").rowsBetween(Window.unboundedPreceding, -1)
+    numbered = (
+        light.groupBy("_key", "_row", "_text", "price")
+        .agg(F.count(F.lit(1)).alias("_copies"))
+        .withColumn("_first", F.coalesce(F.sum("_copies").over(before), F.lit(0)))
+        .join(vectors, "_text")
+        .drop("_text")
+    )
+    bodies = keyed.groupBy("_row").agg(*[F.any_value(c).alias(c) for c in body])
     copies = F.explode(F.sequence("_first", F.col("_first") + F.col("_copies") - 1))
-    stored = numbered.withColumn("_copy", copies).select(
-        *columns, F.concat_ws("-", "_key", F.lpad(F.col("_copy").cast("string"), 12, "0")).alias("doc_id")
+    doc_id = F.concat_ws("-", "_key", F.lpad(F.col("_copy").cast("string"), 12, "0"))
+    placed = (
+        bodies.join(numbered, "_row")
+        .withColumn("_copy", copies)
+        .select(*columns, doc_id.alias("doc_id"), "vector")
+        .sortWithinPartitions("doc_id")
+    )
+    placed.write.mode("overwrite").parquet(f"{path}/documents")
+    rows = load_store(spark, path).select(
+        F.col("doc_id").alias("id"), "vector", F.lit(0).alias("cell"), F.lit(0.0).alias("angle")
     )
-    placed = stored.join(vectors, stored["text"].eqNullSafe(vectors["text"])).drop(vectors["text"])
-    placed = placed.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
-    placed.write.mode("overwrite").parquet(path)
+    _write_blocks(rows, path, BLOCK_ROWS)
+
+
+def _cached_vectors(
+    keyed: DataFrame, light: DataFrame, cache: str, embedder: Embedder, batch_size: int
+) -> DataFrame:
+    """(_text, vector) of all texts, after embedding those whose hash the cache does not have."""
+    spark, schema = keyed.sparkSession, "_text string, vector array<float>"
+    wanted = light.select("_text").distinct()
+    if storage.folders(spark, cache):
+        known = spark.read.schema(schema).parquet(cache).select("_text")
+        wanted = wanted.join(known, "_text", "left_anti")
+    wanted = _kept(wanted, "wanted")
+    if not wanted.isEmpty():
+        texts = keyed.select("_text", F.coalesce("text", F.lit("")).alias("text")).dropDuplicates(["_text"])
+        fresh = embed(texts.join(wanted, "_text", "left_semi"), "text", embedder, batch_size)
+        fresh.select("_text", "vector").write.parquet(f"{cache}/load_id={uuid.uuid4().hex}")
+    # Two builds at once may both have embedded a text: one of its vectors counts.
+    return spark.read.schema(schema).parquet(cache).select("_text", "vector").dropDuplicates(["_text"])
 
 
 def load_store(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    return spark.read.parquet(f"{path}/documents")
 
 
 def search(store: DataFrame, questions: DataFrame, k: int = 5) -> DataFrame:
-    """Stored documents of the ``k`` best hits of each question.
+    """Stored documents of the ``k`` best hits of each question of a table.
 
     The ranking reads ids and vectors only; the documents of the hits are joined by id.
     """
@@ -536,6 +478,49 @@ def search(store: DataFrame, questions: DataFrame, k: int = 5) -> DataFrame:
     return store.drop("vector").join(hits.withColumnRenamed("id", "doc_id"), "doc_id")
 
 
+class Searcher:
+    """Answers questions typed in by a caller over a built store.
+
+    The matrix blocks are listed once; a search is one pass over them (mapped into memory where the
+    store lies on a mounted file system), with the questions in the task closure, one merge, and a
+    lookup of the hits' documents by id on the scan.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, embedder: Embedder = hashed_words):
+        self.spark, self.embedder = spark, embedder
+        self.store = load_store(spark, path).drop("vector")
+        self.manifest = spark.read.schema(vb.MANIFEST).parquet(f"{path}/manifest")
+        self.base = storage.qualified(spark, f"{path}/blocks")
+
+    def rank(self, texts: list[str], k: int = 5) -> DataFrame:
+        """(question_id, id, similarity, rank); questions are numbered from 0."""
+        base, schema = self.base, _hit_schema(T.IntegerType(), T.StringType())
+        hit_schema, units = to_arrow_schema(schema), vb.units(np.asarray(self.embedder(texts), dtype=np.float32))
+        asked = vb.Questions(np.arange(len(texts), dtype=np.int32), units, np.full(len(texts), -2.0))
+
+        def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            heaps = vb.Heaps(asked, k)
+            for batch in batches:
+                for name in batch.column("path").to_pylist():
+                    heaps.add(vb.read_block(f"{base}/{name}"), False)
+            if (hits := heaps.hits(hit_schema)) is not None:
+                yield hits
+
+        order = Window.partitionBy("question_id").orderBy(F.desc("similarity"), "id")
+        found = self.manifest.select("path").mapInArrow(score, schema)
+        return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+    def ask(self, texts: list[str], k: int = 5) -> DataFrame:
+        """Stored documents of the ``k`` best hits of each question, with similarity and rank."""
+        ranked = self.rank(texts, k)
+        if len(texts) * k > LOOKUP_IDS:
+            return self.store.join(ranked.withColumnRenamed("id", "doc_id"), "doc_id")
+        hits = self.spark.createDataFrame(ranked.collect(), ranked.schema).withColumnRenamed("id", "doc_id")
+        wanted = sorted({row["doc_id"] for row in hits.select("doc_id").collect()})
+        by_id = reduce(Column.__or__, [F.col("doc_id") == i for i in wanted], F.lit(False))
+        return self.store.where(by_id).join(F.broadcast(hits), "doc_id")
+
+
 def within_price(hits: DataFrame, max_price: float | None, min_price: float | None) -> DataFrame:
     """Price bounds applied after retrieval; a bound of zero or none is no bound."""
     if max_price:

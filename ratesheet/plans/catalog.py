@@ -36,6 +36,9 @@ QUARTER = "1998Q2"
 TOP_K = 5
 CRITERIA = {"drug_form": "CREAM 0.7%", "min_price": 905.0}
 CRITERIA_K = 25
+ROW_LIMITS = 100, 1_000_000_000
+#: Lists that the approximate search reads, of twenty.
+N_PROBE = 8
 SOURCE_QUESTION = "hot gear, counted in ml"
 QUESTIONS = [
     "list every old bolt with a strength of 12 MG",
@@ -308,6 +311,28 @@ def retention_filter(spark, sf):
     return kept.groupBy("as_of_date").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+@query
+def enriched_once(spark, sf):
+    """Rows of three staging loads after three runs of the enrichment job, and its ledger."""
+    path = views.enriched_once_path(spark, sf)
+    made = sinks.ledger(spark, path).groupBy("load_id").agg(F.count("source").alias("n_sources"))
+    rows = spark.read.parquet(path).join(F.broadcast(made), "load_id")
+    return rows.groupBy("load_id", "n_sources", "drug_name", "drug_form").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("ndc").alias("n_ndc")
+    )
+
+
+@query
+def limited_rows(spark, sf):
+    """How many rows a read with a limit hands out, for limits below and above the table's size."""
+    path = views.enriched_path(spark, sf)
+    counts = [
+        tables.read_enriched(spark, path, limit=n).agg(F.lit(n).alias("row_limit"), F.count(F.lit(1)).alias("n_rows"))
+        for n in ROW_LIMITS
+    ]
+    return counts[0].unionByName(counts[1])
+
+
 @query
 def two_loads(spark, sf):
     """Rows per name of a table that two loads of one day, one of them repeated, have filled."""
@@ -505,14 +530,8 @@ def sensor_message_row(spark, sf):
 
 @query
 def alert_lines(spark, sf):
-    """Notifications made of the events; fields that do not apply are absent."""
-    events = views.table(spark, sf, "events")
-    note = F.struct(
-        F.when(F.col("event_id") % 3 != 0, F.col("event_type")).alias("type"),
-        F.when(F.col("event_id") % 5 != 0, F.col("props")).alias("message"),
-        F.when(F.col("event_type") == "error", "critical").alias("severity"),
-    )
-    encoded = events.select("event_id", messages.encode(F.to_json(note)).alias("value"))
+    """A line for each notification."""
+    encoded = views.notifications(spark, sf)
     return sensor.alert_lines(messages.decode_notifications(encoded)).select("event_id", "line")
 
 
@@ -556,6 +575,47 @@ def error_payloads(spark, sf):
     )
 
 
+@query
+def processed_messages(spark, sf):
+    """Rows that the processing subscriber of the topic has added."""
+    rows = tables.read_processed_sensor(spark, f"{views.subscribed_path(spark, sf)}/table")
+    return rows.select(
+        "sensor_id", "avg_temperature", "quality_score", "anomaly_detected",
+        F.col("timestamp").isNotNull().alias("has_time"), F.col("processing_timestamp").isNotNull().alias("is_stamped"),
+    )
+
+
+@query
+def archived_messages(spark, sf):
+    """Messages that the other subscriber has archived, as they were sent."""
+    rows = spark.read.parquet(f"{views.subscribed_path(spark, sf)}/archive")
+    body = messages.message_text(F.col("value"))
+    return rows.select(
+        F.get_json_object(body, "$.event_id").cast("bigint").alias("event_id"),
+        F.get_json_object(body, "$.sensor_id").alias("sensor_id"),
+        F.col("received_at").isNotNull().alias("is_stamped"),
+    )
+
+
+@query
+def alert_stream(spark, sf):
+    """The alert table by line."""
+    rows = spark.read.parquet(views.alerts_path(spark, sf))
+    return rows.groupBy("line").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def daily_metrics(spark, sf):
+    """The daily table, its JSON detail taken apart again."""
+    rows = spark.read.parquet(views.daily_path(spark, sf))
+    detail = F.from_json("metadata", ", ".join(f"{c} double" for c in sensor.SUMMARY_COLUMNS))
+    parts = [F.round(F.col("detail")[c], 6).alias(c) for c in sensor.SUMMARY_COLUMNS]
+    value = F.round("metric_value", 6).alias("metric_value")
+    return rows.withColumn("detail", detail).select(
+        F.col("date").cast("string").alias("date"), "metric_name", value, "category", "subcategory", *parts
+    )
+
+
 # --- monitoring ------------------------------------------------------------------------
 
 
@@ -606,9 +666,7 @@ def cosine_pairs(spark, sf):
 @query
 def topk_search(spark, sf):
     """One question in words against the document store, as source records."""
-    asked = retrieval.question_table(spark, [SOURCE_QUESTION])
-    hits = retrieval.search(views.document_store(spark, sf), asked, TOP_K)
-    return retrieval.sources(hits)
+    return retrieval.sources(views.searcher(spark, sf).ask([SOURCE_QUESTION], TOP_K))
 
 
 @query
@@ -622,14 +680,29 @@ def batch_topk(spark, sf):
 @query
 def clustered_topk(spark, sf):
     """The same answer through the clustered index."""
-    path = views.stored(
-        spark,
-        sf,
-        "vector_index",
-        lambda p: retrieval.build_index(views.vectors(spark, sf), p, n_lists=20),
-    )
-    return retrieval.search_index(
-        spark, path, views.vector_questions(spark, sf), TOP_K, skip_self=True
+    path, asked = views.index_path(spark, sf), views.vector_questions(spark, sf)
+    return retrieval.search_index(spark, path, asked, TOP_K, skip_self=True)
+
+
+@query
+def table_search(spark, sf):
+    """The questions as a table, against the same documents."""
+    asked = retrieval.question_table(spark, QUESTIONS)
+    hits = retrieval.search(retrieval.load_store(spark, views.store_path(spark, sf)), asked, TOP_K)
+    return hits.select("question_id", "rank", "ndc", "price", "similarity")
+
+
+@query
+def index_recall(spark, sf):
+    """Whether a search of ``N_PROBE`` lists finds at least nine tenths of the true hits."""
+    path, asked = views.index_path(spark, sf), views.vector_questions(spark, sf)
+    close = retrieval.search_index(spark, path, asked, TOP_K, N_PROBE, skip_self=True)
+    true = batch_topk(spark, sf).select("question_id", "id", F.lit(1).alias("found"))
+    both = true.join(close.select("question_id", "id", F.lit(1).alias("close")), ["question_id", "id"], "left")
+    return both.agg(
+        F.lit(N_PROBE).alias("n_probe"),
+        F.sum("found").alias("n_true"),
+        (F.count("close") >= 0.9 * F.sum("found")).alias("recall_reached"),
     )
 
 
@@ -642,8 +715,7 @@ def recall_at_k(spark, sf):
 @query
 def criteria_search(spark, sf):
     """Criteria turned into a question; the price bound applies to what came back."""
-    asked = retrieval.question_table(spark, [retrieval.criteria_text(**CRITERIA)])
-    hits = retrieval.search(views.document_store(spark, sf), asked, CRITERIA_K)
+    hits = views.searcher(spark, sf).ask([retrieval.criteria_text(**CRITERIA)], CRITERIA_K)
     kept = retrieval.within_price(hits, None, CRITERIA["min_price"])
     return kept.select(
         "rank", "ndc", "drug_name", "drug_form", "price", "effective_date", "similarity"
@@ -653,8 +725,7 @@ def criteria_search(spark, sf):
 @query
 def prompt_context(spark, sf):
     asked = retrieval.question_table(spark, QUESTIONS)
-    hits = retrieval.search(views.document_store(spark, sf), asked, TOP_K)
-    return retrieval.prompts(hits, asked)
+    return retrieval.prompts(views.searcher(spark, sf).ask(QUESTIONS, TOP_K), asked)
 
 
 @query

@@ -1,4 +1,4 @@
-"""Staging table -> enriched table, as one action."""
+"""Staging loads -> enriched table, each load once."""
 
 from __future__ import annotations
 
@@ -9,7 +9,19 @@ from pyspark.sql import Observation, SparkSession, functions as F
 
 from ratesheet.operators.enrichment import enrich
 from ratesheet.session import build_session
-from ratesheet.sources import sinks, tables
+from ratesheet.sources import sinks, storage, tables
+
+
+def pending(spark: SparkSession, staging_path: str, enriched_path: str) -> list[str]:
+    """Staging loads that the ledger of the enriched table does not have."""
+    loads = sinks.load_dirs(spark, staging_path)
+    named = [(load, storage.qualified(spark, load)) for load in loads]
+    if not named:
+        return []
+    left = spark.createDataFrame(named, "load string, source string").join(
+        sinks.ledger(spark, enriched_path), "source", "left_anti"
+    )
+    return sorted(row.load for row in left.select("load").collect())
 
 
 def run(
@@ -20,21 +32,26 @@ def run(
     by: str = "enriched_date",
     load_id: str | None = None,
 ) -> dict[str, int]:
-    """Enrich and add as one load; returns the row count, observed during the write itself.
+    """Enrich the staging loads that are not enriched yet and add them as one load.
 
-    A load is named after its run time unless the caller names it: running it again replaces
-    it, and any other run adds.
+    Returns the row count, observed during the write itself. The names of the staging loads are
+    published with the rows, so a run that breaks off leaves neither, and a run that finds nothing
+    new adds nothing. A load is named after its run time unless the caller names it.
 
     The output is cut into as many ranges as the input has splits, so the size of a range
     follows the split size whatever the table size is.
     """
+    loads = pending(spark, staging_path, enriched_path)
+    if not loads:
+        return {"rows_written": 0}
     counts = Observation("enrichment")
-    staged = tables.read_staging(spark, staging_path)
+    staged = tables.read_staging_loads(spark, loads)
     run_ts = run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     clock = F.lit(run_ts.isoformat(sep=" ")).cast("timestamp")
     load_id = load_id or f"{run_ts:%Y%m%dT%H%M%S.%f}"
     n = staged.rdd.getNumPartitions()
-    sinks.write_enriched(enrich(staged, clock), enriched_path, load_id, by=by, n=n, counts=counts)
+    rows = enrich(staged, clock)
+    sinks.write_enriched(rows, enriched_path, load_id, by=by, n=n, counts=counts, sources=loads)
     return counts.get
 
 

@@ -9,6 +9,8 @@ from ratesheet.plans.views import EXTRACTED_AT, MESSAGES_SQL, NADAC_RAW_SQL, RUN
 from ratesheet.schemas import STAGING_COLUMNS
 
 NL = "chr(10)"
+#: How a load that is named after its run time is written.
+LOAD_TIME = "%Y%m%dT%H%M%S.%f"
 
 
 def _text(value: str) -> str:
@@ -234,6 +236,11 @@ _avg_price = f"""SELECT drug_name, round(avg({PRICE}), 6) AS avg_price FROM enri
   WHERE drug_name IS NOT NULL {{0}} GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT {{1}}"""
 _summary = """avg(avg_temperature), max(avg_temperature), min(avg_temperature)"""
 
+_alerts = f"""SELECT event_id, 'NOTIFICATION [' || CASE WHEN event_type = 'error' THEN 'CRITICAL' ELSE 'INFO' END
+        || ']: ' || CASE WHEN event_id % 3 <> 0 THEN coalesce(event_type, '{fv.ALERT_TYPE}') ELSE '{fv.ALERT_TYPE}' END
+        || ' - ' || CASE WHEN event_id % 5 <> 0 THEN coalesce(props, '{fv.ALERT_MESSAGE}') ELSE '{fv.ALERT_MESSAGE}' END
+        AS line FROM events"""
+
 _TYPED: dict[str, str] = {
     "scan_staging": _with("SELECT * FROM staged", "staged"),
     "drop_invalid_ndc": _raw(f"SELECT * REPLACE ({NDC} AS ndc) FROM nadac_raw WHERE {NDC} IS NOT NULL"),
@@ -288,6 +295,13 @@ _TYPED: dict[str, str] = {
     "load_enriched": _enriched(
         "SELECT * FROM enriched WHERE ndc_description IS NOT NULL AND drug_name IS NOT NULL"
     ),
+    "limited_rows": _enriched(
+        " UNION ALL ".join(
+            f"""SELECT CAST({n} AS INTEGER) AS row_limit, least({n}, count(*)) AS n_rows FROM enriched
+            WHERE ndc_description IS NOT NULL AND drug_name IS NOT NULL"""
+            for n in cat.ROW_LIMITS
+        )
+    ),
     "load_typed": _with("SELECT * FROM typed", "typed"),
     "top_drugs": _enriched(_top_names.format("")),
     "top_drugs_by_form": _enriched(_top_names.format(f"AND drug_form = '{cat.LOOKUP_FORM}'")),
@@ -408,16 +422,38 @@ _TYPED: dict[str, str] = {
         "sensor_raw",
     ),
     "two_loads": _with("SELECT drug_name, count(*) AS n_rows FROM enriched WHERE ndc_description IS NOT NULL AND drug_name IS NOT NULL GROUP BY 1", "enriched"),
+    "enriched_once": _with(
+        f"""SELECT CASE part WHEN 2 THEN '{RUN_TS.replace(day=2):{LOAD_TIME}}' ELSE '{RUN_TS.replace(day=1):{LOAD_TIME}}' END AS load_id,
+        CAST(CASE part WHEN 2 THEN 1 ELSE 2 END AS BIGINT) AS n_sources, drug_name, drug_form, count(*) AS n_rows,
+        count(DISTINCT ndc) AS n_ndc FROM (SELECT *, coalesce(CAST(ndc AS BIGINT) % 3, 0) AS part FROM enriched)
+        GROUP BY 1, 2, 3, 4""",
+        "enriched",
+    ),
     "arrived_records": _with("SELECT * FROM staged", "staged"),
     "routed_messages": _with(
         "SELECT event_id, sensor_id, sent_at, CAST(temperature AS DOUBLE) AS temperature FROM judged WHERE errors = ''",
         "judged",
     ),
     "error_payloads": _with("SELECT event_id, sensor_id, errors, sent_at FROM judged WHERE errors <> ''", "judged"),
-    "alert_lines": f"""SELECT event_id, 'NOTIFICATION [' || CASE WHEN event_type = 'error' THEN 'CRITICAL' ELSE 'INFO' END
-        || ']: ' || CASE WHEN event_id % 3 <> 0 THEN coalesce(event_type, '{fv.ALERT_TYPE}') ELSE '{fv.ALERT_TYPE}' END
-        || ' - ' || CASE WHEN event_id % 5 <> 0 THEN coalesce(props, '{fv.ALERT_MESSAGE}') ELSE '{fv.ALERT_MESSAGE}' END
-        AS line FROM events""",
+    "alert_lines": _alerts,
+    "alert_stream": f"SELECT line, count(*) AS n FROM ({_alerts}) GROUP BY line",
+    "processed_messages": _with(
+        """SELECT sensor_id, CAST(temperature AS DOUBLE) AS avg_temperature, 0.95::DOUBLE AS quality_score,
+        false AS anomaly_detected, coalesce(sent_at NOT LIKE 'day%', false) AS has_time, true AS is_stamped FROM sent""",
+        "sent",
+    ),
+    "archived_messages": _with("SELECT event_id, sensor_id, true AS is_stamped FROM sent", "sent"),
+    "daily_metrics": _with(
+        f"""SELECT strftime(day, '%Y-%m-%d') AS "date", location AS subcategory, '{fv.METRIC_NAME}' AS metric_name,
+        round(avg(avg_temperature), 6) AS metric_value, '{fv.METRIC_CATEGORY}' AS category,
+        round(avg(avg_temperature), 6) AS daily_avg_temperature, round(max(avg_temperature), 6) AS daily_max_temperature,
+        round(min(avg_temperature), 6) AS daily_min_temperature, round(avg(avg_humidity), 6) AS daily_avg_humidity,
+        round(avg(avg_pressure), 6) AS daily_avg_pressure,
+        CAST(count(*) FILTER (anomaly_detected) AS DOUBLE) AS anomaly_count, CAST(count(*) AS DOUBLE) AS total_readings
+        FROM (SELECT *, CAST(reading_ts AS DATE) AS day FROM processed)
+        WHERE day IN ({_day}, {_day} - INTERVAL 1 DAY) GROUP BY day, location""",
+        "processed",
+    ),
     "quarantine": _with(
         """SELECT pressure % 7 = 0 AS is_broken, sensor_id,
         CASE WHEN pressure % 7 <> 0 THEN location END AS location FROM sensor_raw""",
@@ -451,6 +487,11 @@ _TYPED: dict[str, str] = {
     ),
     "batch_topk": _with("SELECT * FROM nearest", "nearest"),
     "clustered_topk": _with("SELECT * FROM nearest", "nearest"),
+    "table_search": _search(
+        cat.QUESTIONS, cat.TOP_K, "SELECT question_id, rank, ndc, price, similarity FROM hits"
+    ),
+    "index_recall": f"""SELECT {cat.N_PROBE} AS n_probe, CAST({cat.TOP_K} * count(*) AS BIGINT) AS n_true,
+        true AS recall_reached FROM embeddings""",
     "recall_at_k": _with(
         f"""SELECT CAST({cat.TOP_K} AS INTEGER) AS k, count(*) AS n_questions, round(avg(share), 6) AS recall FROM (
         SELECT question_id, count(*) FILTER (a.label = b.label) / {cat.TOP_K}.0::DOUBLE AS share

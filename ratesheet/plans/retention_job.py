@@ -14,15 +14,25 @@ from ratesheet.sources import sinks, storage
 
 
 def expire_loads(
-    spark: SparkSession, table: str, now: float, max_age: int = fv.STAGING_EXPIRY_SECONDS
+    spark: SparkSession,
+    table: str,
+    now: float,
+    max_age: int = fv.STAGING_EXPIRY_SECONDS,
+    enriched: str | None = None,
 ) -> int:
-    """Removes the loads of a table that were written more than ``max_age`` seconds ago."""
-    old = [
-        f"{table}/{name}"
+    """Removes the loads of a table that were written more than ``max_age`` seconds ago.
+
+    With the ``enriched`` table made of it, only those that its ledger has: a load that is not
+    enriched yet stays, whatever its age.
+    """
+    old = {
+        storage.qualified(spark, f"{table}/{name}")
         for name, changed in storage.folders(spark, table)
         if name.startswith(f"{sinks.LOAD}=") and changed < now - max_age
-    ]
-    return storage.remove(spark, old)
+    }
+    if enriched is not None:
+        old &= {row.source for row in sinks.ledger(spark, enriched).collect()}
+    return storage.remove(spark, sorted(old))
 
 
 def drop_days(
@@ -46,7 +56,7 @@ def main() -> None:
     args = parser.parse_args()
     spark = build_session("retention")
     try:
-        loads = expire_loads(spark, args.staging_path, time.time())
+        loads = expire_loads(spark, args.staging_path, time.time(), enriched=args.enriched_path)
         bound = dt.date.today() - dt.timedelta(days=args.keep_days)
         print({"loads": loads, "days": drop_days(spark, args.enriched_path, bound)})
     finally:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ratesheet import fixed_values as fv, schemas
 from ratesheet.operators import documents, enrichment, paging, retrieval, sensor
 from ratesheet.operators.staging import stage_transform
-from ratesheet.plans import enrichment_job
+from ratesheet.plans import enrichment_job, sensor_jobs
 from ratesheet.session import shared_dir
 from ratesheet.sources import messages, sinks, tables
 from ratesheet.streaming import arrivals, topics
@@ -48,6 +48,11 @@ SELECT
 FROM {lineitem} l JOIN {part} p ON l.l_partkey = p.p_partkey
 """
 
+#: What the text above reads of the first input.
+LINE_COLUMNS = [
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate", "l_linestatus", "l_returnflag",
+]
+
 SENSOR_RAW_SQL = """
 SELECT CAST(user_id AS VARCHAR(19)) AS sensor_id, ts AS reading_ts,
  CASE WHEN event_id % 29 = 0 THEN NULL ELSE value * 0.5 - 60 END AS temperature,
@@ -60,6 +65,7 @@ EXTRACTED_AT = dt.datetime(2024, 1, 31, 5, 0, 0)
 SENSOR_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 _written: dict[tuple[str, str, str], str] = {}
+_searchers: dict[str, retrieval.Searcher] = {}
 _clocks: dict[tuple[str, str, str], dt.datetime | dt.date] = {}
 
 
@@ -68,7 +74,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def nadac_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(NADAC_RAW_SQL, lineitem=table(spark, sf_dir, "lineitem"), part=table(spark, sf_dir, "part"))
+    """The fixture's rows, dealt out: its file may be a single row group, which one task reads."""
+    rows = table(spark, sf_dir, "lineitem").select(*LINE_COLUMNS)
+    dealt = rows.repartition(spark.sparkContext.defaultParallelism)
+    return spark.sql(NADAC_RAW_SQL, lineitem=dealt, part=table(spark, sf_dir, "part"))
 
 
 def sensor_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -164,7 +173,7 @@ def arrived_path(spark: SparkSession, sf_dir: str) -> str:
         sinks.land_pages(pages(spark, sf_dir), f"{path}/bucket/{fv.RAW_PREFIX}")
         places = [f"{path}/{name}" for name in ("staging", "quarantine", "handled", "checkpoint")]
         arrivals.stage_arrivals(spark, f"{path}/bucket", *places).awaitTermination()
-        arrivals.archive_handled(spark, f"{path}/bucket", f"{path}/handled")
+        arrivals.archive_handled(spark, f"{path}/bucket", f"{path}/handled", f"{path}/journal")
 
     return stored(spark, sf_dir, "arrived", run) + "/staging"
 
@@ -182,6 +191,21 @@ def two_loads_path(spark: SparkSession, sf_dir: str) -> str:
     return stored(spark, sf_dir, "two_loads", write)
 
 
+def enriched_once_path(spark: SparkSession, sf_dir: str) -> str:
+    """Enriched table of three staging loads: the job runs after two, after all, and again."""
+
+    def run(path: str) -> None:
+        rows = staging(spark, sf_dir)
+        part = F.coalesce(F.pmod(F.col("ndc").cast("bigint"), F.lit(3)), F.lit(0))
+        for load, days in (((0, 1), 1), ((2,), 2), ((), 3)):
+            for k in load:
+                sinks.write_staging(rows.where(part == k), f"{path}/staging", f"part-{k}")
+            at = RUN_TS.replace(day=days)
+            enrichment_job.run(spark, f"{path}/staging", f"{path}/enriched", at, by="effective_quarter")
+
+    return stored(spark, sf_dir, "enriched_once", run) + "/enriched"
+
+
 # --- sensors ---------------------------------------------------------------------------
 
 # Messages with fields missing, odd times, and numbers sent as text.
@@ -194,22 +218,66 @@ SELECT event_id, CASE WHEN event_id % 17 > 0 THEN CAST(user_id AS VARCHAR(19)) E
 """
 
 
-def routed_path(spark: SparkSession, sf_dir: str) -> str:
-    """Topic folders that the routing stream filled: ``valid`` and ``errors``."""
+def topic_path(spark: SparkSession, sf_dir: str) -> str:
+    """Messages of the events, as lines of base64 text."""
 
-    def run(path: str) -> None:
+    def land(path: str) -> None:
         sent = spark.sql(MESSAGES_SQL, events=table(spark, sf_dir, "events"))
         fields = ["event_id", "sensor_id", F.col("sent_at").alias("timestamp")]
         number = F.to_json(F.struct(*fields, "temperature"))
         words = F.to_json(F.struct(*fields, F.col("temperature").cast("string").alias("temperature")))
         body = F.when(F.col("is_text"), words).otherwise(number)
-        sinks.land_lines(sent.select(messages.encode(body).alias("value")), f"{path}/topic")
-        folders = [f"{path}/{name}" for name in ("topic", "valid", "errors", "checkpoint")]
-        topics.route_messages(spark, *folders).awaitTermination()
+        sinks.land_lines(sent.select(messages.encode(body).alias("value")), path)
+
+    return stored(spark, sf_dir, "topic", land)
+
+
+def routed_path(spark: SparkSession, sf_dir: str) -> str:
+    """Topic folders that the routing stream filled: ``valid`` and ``errors``."""
+    topic = topic_path(spark, sf_dir)
+
+    def run(path: str) -> None:
+        folders = [f"{path}/{name}" for name in ("valid", "errors", "checkpoint")]
+        topics.route_messages(spark, topic, *folders).awaitTermination()
 
     return stored(spark, sf_dir, "routed", run)
 
 
+def subscribed_path(spark: SparkSession, sf_dir: str) -> str:
+    """What two subscribers of the topic, each run twice, have left: ``table`` and ``archive``."""
+    topic = topic_path(spark, sf_dir)
+
+    def run(path: str) -> None:
+        folders = [f"{path}/{name}" for name in ("table", "errors", "archive", "checkpoint")]
+        for _ in range(2):
+            for stream in topics.process_and_archive(spark, topic, *folders):
+                stream.awaitTermination()
+
+    return stored(spark, sf_dir, "subscribed", run)
+
+
+def notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(event_id, value): notifications made of the events; fields that do not apply are absent."""
+    events = table(spark, sf_dir, "events")
+    note = F.struct(
+        F.when(F.col("event_id") % 3 != 0, F.col("event_type")).alias("type"),
+        F.when(F.col("event_id") % 5 != 0, F.col("props")).alias("message"),
+        F.when(F.col("event_type") == "error", "critical").alias("severity"),
+    )
+    return events.select("event_id", messages.encode(F.to_json(note)).alias("value"))
+
+
+def alerts_path(spark: SparkSession, sf_dir: str) -> str:
+    """The alert table that the stream fills from the notification topic."""
+
+    def run(path: str) -> None:
+        sinks.land_lines(notifications(spark, sf_dir).select("value"), f"{path}/topic")
+        folders = [f"{path}/{name}" for name in ("topic", "alerts", "checkpoint")]
+        topics.alert_messages(spark, *folders).awaitTermination()
+
+    return stored(spark, sf_dir, "alerts", run) + "/alerts"
+
+
 def sensor_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sensor readings as JSON text, one column ``body``, with the reading they hold."""
     readings = sensor_raw(spark, sf_dir)
@@ -220,13 +288,28 @@ def sensor_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readings.withColumn("body", F.to_json(F.struct(*fields)))
 
 
-def processed_sensor(spark: SparkSession, sf_dir: str) -> DataFrame:
+def processed_sensor_path(spark: SparkSession, sf_dir: str) -> str:
     def write(path: str) -> None:
         readings = sensor_raw(spark, sf_dir).withColumn("timestamp", F.col("reading_ts").cast("timestamp"))
         rows = sensor.process(readings, run_ts()).select(*schemas.PROCESSED_SENSOR.fieldNames())
         sinks.write_load(rows, path, "first")
 
-    return tables.read_processed_sensor(spark, stored(spark, sf_dir, "processed_sensor", write))
+    return stored(spark, sf_dir, "processed_sensor", write)
+
+
+def processed_sensor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.read_processed_sensor(spark, processed_sensor_path(spark, sf_dir))
+
+
+def daily_path(spark: SparkSession, sf_dir: str) -> str:
+    """Daily metric rows of the last two whole days, the first of which was run again."""
+    source, last = processed_sensor_path(spark, sf_dir), events_as_of(spark, sf_dir).date()
+
+    def run(path: str) -> None:
+        for back in (1, 2, 1):
+            sensor_jobs.summarise_day(spark, source, path, last - dt.timedelta(days=back))
+
+    return stored(spark, sf_dir, "daily", run)
 
 
 # --- documents and vectors -------------------------------------------------------------
@@ -237,11 +320,19 @@ def typed_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrichment.typed(enrichment.clean_price_texts(enriched(spark, sf_dir)))
 
 
-def document_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+def store_path(spark: SparkSession, sf_dir: str) -> str:
     def write(path: str) -> None:
         retrieval.build_store(documents.doc_metadata(typed_prices(spark, sf_dir)), path)
 
-    return retrieval.load_store(spark, stored(spark, sf_dir, "documents", write))
+    return stored(spark, sf_dir, "documents", write)
+
+
+def searcher(spark: SparkSession, sf_dir: str) -> retrieval.Searcher:
+    """The searcher over the document store, opened once."""
+    path = store_path(spark, sf_dir)
+    if path not in _searchers:
+        _searchers[path] = retrieval.Searcher(spark, path)
+    return _searchers[path]
 
 
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -250,6 +341,13 @@ def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def index_path(spark: SparkSession, sf_dir: str, n_lists: int = 20) -> str:
+    def write(path: str) -> None:
+        retrieval.build_index(vectors(spark, sf_dir), path, n_lists=n_lists)
+
+    return stored(spark, sf_dir, f"vector_index_{n_lists}", write)
+
+
 def vector_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every stored vector asked as a question."""
     return vectors(spark, sf_dir).withColumnRenamed("id", "question_id")

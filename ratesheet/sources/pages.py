@@ -13,8 +13,9 @@ RECORDS = T.ArrayType(schemas.RECORD)
 
 
 def read_pages(spark: SparkSession, path: str, whole_file: bool = True) -> DataFrame:
-    """Page files. Each is one JSON document; ``whole_file=False`` reads one page a line."""
-    return spark.read.schema(schemas.PAGE).option("multiLine", whole_file).json(path)
+    """Page files below ``path``. Each is one JSON document; ``whole_file=False`` reads one page a line."""
+    reader = spark.read.schema(schemas.PAGE).option("recursiveFileLookup", True)
+    return reader.option("multiLine", whole_file).json(path)
 
 
 def plain_root(path: str) -> str:

@@ -1,38 +1,51 @@
 """Writers and table layouts.
 
 A table is a set of loads, one folder each: adding a load never touches another, and repeating
-one replaces what its first try left. Partition columns inside a load are dates or quarters,
-never product codes. Rows are spread by range over
-the clustering columns plus the number of the task they come from: a clustering key (or a
-group of equal rows) holding a large share of the data is cut into several ranges, and the
-task number is the same again when a lost task is repeated.
-
-``n`` is the number of ranges; without it the session's shuffle setting applies. The range
-shuffle samples its input in a pass of its own: that is the price of files that a lookup by
-product can skip.
+one replaces what its first try left. A load is made aside and published with one move, so readers
+see all of it or none. Partition columns inside a load are dates or quarters, never product codes.
+
+Rows are placed by ranges of the clustering columns, whose bounds come from sketches that earlier
+loads left (``ranges``): the rows are then read and parsed once. Without any, the range shuffle
+samples its input in a pass of its own. Either way a clustering key (or a group of equal rows)
+holding a large share of the data is cut into several ranges by the task its rows come from, which
+is the same again when a lost task is repeated.
+
+``n`` is the number of ranges; without it the session's shuffle setting applies.
+
+An enriched load also says which staging loads it was made of: together these are the ledger
+(``ledger``), published with the rows.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from ratesheet.functions import values
 from ratesheet.operators.enrichment import with_quarter
-from ratesheet.sources import storage
+from ratesheet.sources import ranges, storage
+from ratesheet.sources.named_files import NamedFiles
 from ratesheet.sources.tables import CORRUPT
 
 LOAD = "load_id"
+#: Where loads are made, and where a load keeps the names of those it was made of.
+INCOMING, SOURCES = "_incoming", "_sources"
+LEDGER = "source string"
 ENRICHED_CLUSTERING = ["drug_name", "ndc", "drug_strength", "drug_form"]
 STAGING_CLUSTERING = ["ndc_description", "pricing_unit", "otc", "classification_for_rate_setting"]
 
 
-def _clustered(df: DataFrame, keys: list[str], n: int | None) -> DataFrame:
+def _ranges(df: DataFrame, n: int | None) -> int:
+    return n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _clustered(df: DataFrame, keys: list[str], n: int, number: Column, limits: list[int] | None) -> DataFrame:
+    if limits is not None:
+        return ranges.deal(df, number, limits).sortWithinPartitions(*keys)
     spread = df.withColumn("_task", F.spark_partition_id())
-    columns: list[str | Column] = [*keys, "_task"]
-    ranged = spread.repartitionByRange(n, *columns) if n else spread.repartitionByRange(*columns)
-    return ranged.sortWithinPartitions(*keys).drop("_task")
+    return spread.repartitionByRange(n, *keys, "_task").sortWithinPartitions(*keys).drop("_task")
 
 
 def load_dir(path: str, load_id: str) -> str:
@@ -42,6 +55,20 @@ def load_dir(path: str, load_id: str) -> str:
     return f"{path}/{LOAD}={load_id}"
 
 
+def load_dirs(spark: SparkSession, path: str) -> list[str]:
+    """Folders of the loads of a table, by name."""
+    return sorted(f"{path}/{name}" for name, _ in storage.folders(spark, path) if name.startswith(f"{LOAD}="))
+
+
+def _by_price_key(text: str) -> Column:
+    day = F.col("effective_date")
+    return ranges.sort_number(F.year(day) * 4 + F.quarter(day), F.ltrim(text))
+
+
+def _by_name(text: str) -> Column:
+    return ranges.sort_number(F.lit(0), F.ltrim(text))
+
+
 def write_enriched(
     df: DataFrame,
     path: str,
@@ -49,31 +76,67 @@ def write_enriched(
     by: str = "enriched_date",
     n: int | None = None,
     counts: Observation | None = None,
+    sources: list[str] | None = None,
 ) -> None:
     """Adds a load of enriched rows, by run day or by ``effective_quarter`` for the price reports.
 
-    ``counts`` observes the rows on their way to the files.
+    ``counts`` observes the rows on their way to the files. ``sources`` names the staging loads
+    that the rows were made of, for the ledger; their sketches of descriptions, which begin with
+    the name, give the bounds of the ranges.
     """
+    spark = df.sparkSession
     if by == "enriched_date":
-        laid_out = df.withColumn(by, F.to_date("enriched_timestamp"))
+        laid_out, name, number = df.withColumn(by, F.to_date("enriched_timestamp")), "name", _by_name
     else:
-        laid_out = with_quarter(df)
-    rows = _clustered(laid_out, [by, *ENRICHED_CLUSTERING], n)
+        laid_out, name, number = with_quarter(df), "price_key", _by_price_key
+    n = _ranges(df, n)
+    limits = ranges.bounds(spark, sources or [], name, n)
+    rows = _clustered(laid_out, [by, *ENRICHED_CLUSTERING], n, number("ndc_description"), limits)
     if counts is not None:
         rows = rows.observe(counts, F.count(F.lit(1)).alias("rows_written"))
-    rows.write.partitionBy(by).mode("overwrite").parquet(load_dir(path, load_id))
+    made = f"{path}/{INCOMING}/{load_id}"
+    rows.write.partitionBy(by).mode("overwrite").parquet(made)
+    if sources is not None:
+        named = [(storage.qualified(spark, s),) for s in sources]
+        spark.createDataFrame(named, LEDGER).coalesce(1).write.mode("overwrite").parquet(f"{made}/{SOURCES}")
+    storage.publish(spark, made, load_dir(path, load_id))
+
+
+def ledger(spark: SparkSession, path: str) -> DataFrame:
+    """(source, load_id): the staging loads that an enriched table holds, and in which load."""
+    found = [f"{load}/{SOURCES}" for load in load_dirs(spark, path)]
+    found = [place for place in found if storage.exists(spark, place)]
+    if not found:
+        return spark.createDataFrame([], f"{LEDGER}, load_id string")
+    load_id = F.regexp_extract(F.col("_metadata.file_path"), f"/{LOAD}=([^/]+)/{SOURCES}/", 1)
+    return spark.read.schema(LEDGER).parquet(*found).select("source", load_id.alias("load_id"))
 
 
 def write_staging(df: DataFrame, path: str, load_id: str, n: int | None = None) -> None:
     """Adds a load of staging rows, placed by code range and clustered.
 
     The code ranges order the files rather than name folders: 100,000 possible folders
-    would leave tiny files.
+    would leave tiny files. The latest load with a sketch gives the bounds; this one leaves
+    sketches of its own codes, names and price keys, observed as it is written.
     """
+    spark = df.sparkSession
     keys = ["ndc_bucket", *STAGING_CLUSTERING]
-    bucket = values.ndc_range_bucket(F.col("ndc"))
-    placed = _clustered(df.withColumn("ndc_bucket", bucket), keys, n)
-    write_load(placed.drop("ndc_bucket"), path, load_id)
+    placed = df.withColumn("ndc_bucket", values.ndc_range_bucket(F.col("ndc")))
+    by_code = ranges.sort_number(F.col("ndc_bucket"), F.col("ndc_description"), text_bytes=5)
+    n = _ranges(df, n)
+    latest = sorted(storage.folders(spark, path), key=lambda found: found[1])[-1:]
+    limits = ranges.bounds(spark, [f"{path}/{name}" for name, _ in latest], "code", n)
+    sketches = Observation("sketches")
+    rows = _clustered(placed, keys, n, by_code, limits).observe(
+        sketches,
+        ranges.observed("code", by_code),
+        ranges.observed("name", _by_name("ndc_description")),
+        ranges.observed("price_key", _by_price_key("ndc_description")),
+    )
+    made = f"{path}/{INCOMING}/{load_id}"
+    rows.drop("ndc_bucket").write.mode("overwrite").parquet(made)
+    ranges.keep_sketches(spark, made, sketches.get)
+    storage.publish(spark, made, load_dir(path, load_id))
 
 
 def write_load(df: DataFrame, path: str, load_id: str) -> None:
@@ -87,21 +150,23 @@ def write_daily(df: DataFrame, path: str, day_col: str = "date") -> None:
     writer.mode("overwrite").parquet(path)
 
 
-def land_pages(pages: DataFrame, path: str, column: str = "body") -> int:
-    """Page files by their own names (``file_name``); the number landed.
+def land_pages(pages: DataFrame, path: str, column: str = "body", landing: str | None = None) -> int:
+    """Page files by their own names (``file_name``) in a folder of this landing; the number landed.
 
-    Every file is written by a task and then named with one move, so this is for the pages of a
-    load. Masses of pages go into few files with ``land_page_lines``.
+    Tasks write the files; all of them appear with one move. A landing of the same name is replaced.
+    Masses of small pages go into few files with ``land_page_lines``.
     """
-    spark = pages.sparkSession
-    made = f"{path}/_landing"
-    pages.select("file_name", column).write.mode("overwrite").partitionBy("file_name").text(made)
-    landed = 0
-    for folder, _ in storage.folders(spark, made):
-        name = folder.removeprefix("file_name=")
-        landed += storage.move_only_file(spark, f"{made}/{folder}", f"{path}/{name}")
-    storage.remove(spark, [made])
-    return landed
+    spark, landed = pages.sparkSession, Observation("landing")
+    spark.dataSource.register(NamedFiles)
+    named = pages.select("file_name", column).observe(landed, F.count(F.lit(1)).alias("n"))
+    (
+        named.write.format("named_files")
+        .mode("append")
+        .option("path", storage.qualified(spark, path))
+        .option("landing", landing or uuid.uuid4().hex)
+        .save()
+    )
+    return landed.get["n"]
 
 
 def land_page_lines(pages: DataFrame, path: str, column: str = "body") -> None:

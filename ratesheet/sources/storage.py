@@ -27,16 +27,27 @@ def folders(spark: SparkSession, path: str) -> list[tuple[str, int]]:
     return [(s.getPath().getName(), s.getModificationTime() // 1000) for s in found]
 
 
-def move(spark: SparkSession, source: str, target: str) -> bool:
-    """Moves a file, replacing one of that name; false if there is nothing to move."""
-    files, old = _open(spark, source)
+def exists(spark: SparkSession, path: str) -> bool:
+    files, place = _open(spark, path)
+    return files.exists(place)
+
+
+def publish(spark: SparkSession, made: str, target: str) -> None:
+    """Puts the finished folder ``made`` in the place of ``target``, with one move."""
+    files, old = _open(spark, made)
     _, new = _open(spark, target)
-    if not files.exists(old):
-        return False
     files.mkdirs(new.getParent())
-    if files.exists(new):
-        files.delete(new, False)
-    return files.rename(old, new)
+    files.delete(new, True)
+    if not files.rename(old, new):
+        raise OSError(f"{made} could not be moved to {target}")
+
+
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """The files of a table in a folder, by full name; without folders, markers and hidden files."""
+    files, place = _open(spark, path)
+    found = [s for s in files.listStatus(place) if not s.isDirectory() and s.getLen()]
+    names = [s.getPath().toString() for s in found]
+    return sorted(n for n in names if n.rsplit("/", 1)[1][0] not in "._")
 
 
 def remove(spark: SparkSession, paths: Iterable[str]) -> int:
@@ -46,11 +57,3 @@ def remove(spark: SparkSession, paths: Iterable[str]) -> int:
         files, place = _open(spark, path)
         done += bool(files.delete(place, True))
     return done
-
-
-def move_only_file(spark: SparkSession, folder: str, target: str) -> bool:
-    """Moves the one data file that a task left in ``folder``."""
-    files, place = _open(spark, folder)
-    names = [s.getPath().toString() for s in files.listStatus(place)]
-    (name,) = [n for n in names if n.rsplit("/", 1)[1].startswith("part-")]
-    return move(spark, name, target)

@@ -13,6 +13,11 @@ def read_staging(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.STAGING).parquet(path).select(*schemas.STAGING_COLUMNS)
 
 
+def read_staging_loads(spark: SparkSession, loads: list[str]) -> DataFrame:
+    """The rows of some loads of a staging table, by their folders."""
+    return spark.read.schema(schemas.STAGING).parquet(*loads).select(*schemas.STAGING_COLUMNS)
+
+
 def read_enriched(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
     """Rows that have a text and a name, all columns, optionally the first ``limit``.
 

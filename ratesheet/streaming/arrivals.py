@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import argparse
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ratesheet import fixed_values as fv, schemas
+from ratesheet.functions import values
 from ratesheet.operators.staging import stage_transform
 from ratesheet.session import build_session
 from ratesheet.sources import pages, sinks, storage
+from ratesheet.sources.named_files import MOVES, moved
 from ratesheet.sources.tables import CORRUPT
 from ratesheet.streaming.batches import stream_load_id
 
@@ -72,29 +75,34 @@ def stage_arrivals(
     )
 
 
-def archive_handled(spark: SparkSession, root: str, handled_dir: str) -> int:
+def archive_handled(spark: SparkSession, root: str, handled_dir: str, journal_dir: str) -> int:
     """Moves the handled files to the processed prefix; the number moved.
 
-    Run it when the stream has ended: all its batches are committed then. A file that has been
-    moved before is passed over, so it is safe to repeat. Names come in partitions, not at once.
+    Run it when the stream has ended: all its batches are committed then. Tasks move the files, and
+    each run adds what it has done to the journal, one load a run; names in the journal are not
+    looked at again. A run that breaks off leaves no entry: the next one finds some files moved,
+    which does no harm, and enters them.
     """
     base = storage.qualified(spark, root)
     if not storage.folders(spark, handled_dir):
         return 0
     names = spark.read.schema("file_path string").parquet(handled_dir)
-    moves = names.select(pages.object_name(F.col("file_path"), base).alias("old")).where(
+    named = names.select(pages.object_name(F.col("file_path"), base).alias("old")).where(
         F.startswith("old", F.lit(fv.RAW_PREFIX))
     )
-    swapped = F.replace("old", F.lit(fv.RAW_PREFIX), F.lit(fv.PROCESSED_PREFIX))
-    moved = 0
-    for row in moves.select("old", swapped.alias("new")).toLocalIterator():
-        moved += storage.move(spark, f"{root}/{row.old}", f"{root}/{row.new}")
-    return moved
+    if storage.folders(spark, journal_dir):
+        known = spark.read.schema(MOVES).parquet(journal_dir)
+        named = named.join(known.select("old"), "old", "left_anti")
+    swapped = values.archive_path(F.col("old")).alias("new")
+    done = moved(named.distinct().select("old", swapped), base)
+    counts, load_id = Observation("moves"), uuid.uuid4().hex
+    sinks.write_load(done.observe(counts, F.count_if("moved").alias("n")), journal_dir, load_id)
+    return counts.get["n"]
 
 
 def main() -> None:
     parser = argparse.ArgumentParser(description="Stage the page files that have arrived")
-    for name in ("root", "staging", "quarantine", "handled", "checkpoint"):
+    for name in ("root", "staging", "quarantine", "handled", "journal", "checkpoint"):
         parser.add_argument(f"--{name}-dir", required=True)
     parser.add_argument("--files-per-batch", type=int, default=FILES_PER_BATCH)
     args = parser.parse_args()
@@ -104,7 +112,7 @@ def main() -> None:
             spark, args.root_dir, args.staging_dir, args.quarantine_dir, args.handled_dir,
             args.checkpoint_dir, files_per_batch=args.files_per_batch,
         ).awaitTermination()
-        print({"files_moved": archive_handled(spark, args.root_dir, args.handled_dir)})
+        print({"files_moved": archive_handled(spark, args.root_dir, args.handled_dir, args.journal_dir)})
     finally:
         spark.stop()
 

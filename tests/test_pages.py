@@ -38,10 +38,22 @@ def test_pages_are_full_and_lose_nothing(spark):
     assert tuple(totals) == (11, 101, 11)
 
 
+def test_numbers_come_without_texts(spark):
+    """The exchanges that count and number hold no record; fewer slots give the same pages."""
+    df = records(spark, 40, copies=61)
+    few = paging.page_envelopes(df, schemas.STAGING_COLUMNS, at(), 10, slot_digits=1).drop("file_name")
+    many = paging.page_envelopes(df, schemas.STAGING_COLUMNS, at(), 10, slot_digits=3).drop("file_name")
+    assert few.exceptAll(many).count() == 0 and few.count() == 11
+    runs = paging.numbered_runs(df, schemas.STAGING_COLUMNS)
+    tree = runs._jdf.queryExecution().executedPlan().toString()
+    counting = [line for line in tree.split("\n") if "hashpartitioning(slot" in line or "hashpartitioning(sort_key" in line]
+    assert len(counting) >= 3 and tree.count("any_value") + tree.count("first(record") == 2
+
+
 def test_page_files_round_trip(spark, tmp_path):
     envelopes = paging.page_envelopes(records(spark, 25), schemas.STAGING_COLUMNS, at(), 10)
     assert sinks.land_pages(envelopes, f"{tmp_path}/files") == 3
-    names = sorted(os.listdir(tmp_path / "files"))
+    names = sorted(f.name for f in (tmp_path / "files").rglob("*.json"))
     assert [n for n in names if n.endswith(".json")] == [
         f"medicaid_drug_data_page_{n:04d}_20240102_030405.json" for n in (1, 2, 3)
     ]

@@ -4,9 +4,9 @@ import uuid
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from ratesheet.operators import documents, retrieval
+from ratesheet.operators import documents, retrieval, vector_blocks
 from ratesheet.operators.conversation import conversation_context
 
 
@@ -47,44 +47,79 @@ def test_scan_and_blocks_match_brute_force(spark, points, skip_self):
     assert as_set(retrieval.topk(vectors, questions, 5, skip_self, block_bytes=8_000)) == expected
 
 
-def test_small_pieces_match(spark, points):
-    vectors, questions = frame(spark, points, "id"), frame(spark, points, "question_id")
-    cell = F.lit(0)
-    sizes = spark.createDataFrame([(0, len(points))], "cell int, n_vectors long")
-    pieces = retrieval.probe(
-        vectors.withColumn("cell", cell), questions.withColumn("cell", cell), 5, False, sizes, block=50, chunk=60
-    )
+@pytest.mark.parametrize("skip_self", [False, True])
+def test_ten_blocks_in_one_scan(spark, points, tmp_path, skip_self, monkeypatch):
+    """Ten blocks of questions and several of vectors: one scan, and no question in the driver."""
+    frame(spark, points, "id").coalesce(2).write.parquet(f"{tmp_path}/vectors")
+    vectors = spark.read.parquet(f"{tmp_path}/vectors")
+    questions = frame(spark, points, "question_id")
+    monkeypatch.setattr(DataFrame, "toPandas", None)
+    hits = retrieval.topk(vectors, questions, 5, skip_self, block_bytes=40 * 8 * 8)
+    plan = hits._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and "Join" not in plan
     ids = list(range(len(points)))
     p = points.astype(np.float32).astype(float)
-    assert as_set(retrieval._keep_best(pieces, 5)) == brute_force(ids, p, ids, p, 5, False)
+    assert as_set(hits) == brute_force(ids, p, ids, p, 5, skip_self)
+
+
+def test_coarse_scores_decide_nothing(spark):
+    """Vectors closer to each other than single precision can tell."""
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=300)
+    points = base + rng.normal(size=(200, 300)) * np.geomspace(1e-9, 1e-2, 200)[:, None]
+    rows = [(i, [float(x) for x in p]) for i, p in enumerate(points)]
+    vectors = spark.createDataFrame(rows, "id long, vector array<double>")
+    ids = list(range(200))
+    expected = brute_force(ids, points, ids[:20], points[:20], 7, False)
+    asked = vectors.where("id < 20").withColumnRenamed("id", "question_id")
+    assert as_set(retrieval.topk(vectors, asked, 7)) == expected
 
 
-def test_index_is_exact_or_close(spark, points, tmp_path):
+@pytest.mark.parametrize("skip_self", [False, True])
+def test_index_is_exact_or_close(spark, points, tmp_path, skip_self):
     vectors, questions = frame(spark, points, "id"), frame(spark, points, "question_id")
     ids = list(range(len(points)))
     p = points.astype(np.float32).astype(float)
-    expected = brute_force(ids, p, ids, p, 5, False)
+    expected = brute_force(ids, p, ids, p, 5, skip_self)
     path = str(tmp_path / "index")
-    retrieval.build_index(vectors, path, n_lists=12)
-    assert as_set(retrieval.search_index(spark, path, questions, 5)) == expected
-    close = as_set(retrieval.search_index(spark, path, questions, 5, n_probe=4))
+    retrieval.build_index(vectors, path, n_lists=12, block_rows=20)
+    assert as_set(retrieval.search_index(spark, path, questions, 5, skip_self=skip_self)) == expected
+    close = as_set(retrieval.search_index(spark, path, questions, 5, n_probe=8, skip_self=skip_self))
     recall = len({h[:2] for h in close} & {h[:2] for h in expected}) / len(expected)
-    assert 0.6 < recall <= 1.0
+    assert 0.9 <= recall <= 1.0
 
 
-def test_index_reads_only_the_lists_it_routes_to(spark, points, tmp_path):
+def test_index_lists_are_cut_and_bounded(spark, points, tmp_path):
     path = str(tmp_path / "index")
-    retrieval.build_index(frame(spark, points, "id"), path, n_lists=12)
-    one = frame(spark, points[200:201], "question_id")
-    plan = retrieval.search_index(spark, path, one, 5, n_probe=2)._jdf.queryExecution().toString()
-    filters = plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
-    assert "cell" in filters
-    sizes = {r.cell: r.n_vectors for r in spark.read.parquet(f"{path}/centres").collect()}
-    assert sum(sizes.values()) == len(points)
+    retrieval.build_index(frame(spark, points, "id"), path, n_lists=12, block_rows=20)
+    manifest = spark.read.parquet(f"{path}/manifest").collect()
+    assert sum(r.n for r in manifest) == len(points) and max(r.n for r in manifest) <= 20
+    centres = {r.cell: np.array(r.centre) for r in spark.read.parquet(f"{path}/centres").collect()}
+    for r in manifest:
+        block = vector_blocks.read_block(f"{path}/blocks/{r.path}")
+        angle = np.arccos(np.clip(vector_blocks.units(block.rows) @ centres[r.cell], -1, 1))
+        assert abs(angle.min() - r.low) < 1e-4 and abs(angle.max() - r.high) < 1e-4
     with pytest.raises(ValueError):
         retrieval.build_index(frame(spark, points, "id"), path, n_lists=2_000_000)
 
 
+def test_index_opens_only_blocks_that_can_matter(spark, points, tmp_path):
+    """Blocks that a search must not need are taken away."""
+    path = str(tmp_path / "index")
+    retrieval.build_index(frame(spark, points, "id"), path, n_lists=12, block_rows=20)
+    one = frame(spark, points[200:201], "question_id")
+    nearest = as_set(retrieval.search_index(spark, path, one, 3, n_probe=1))
+    cell = next(
+        r.cell
+        for r in spark.read.parquet(f"{path}/manifest").collect()
+        if {h[1] for h in nearest} & set(vector_blocks.read_block(f"{path}/blocks/{r.path}").ids)
+    )
+    for r in spark.read.parquet(f"{path}/manifest").collect():
+        if r.cell != cell:
+            (tmp_path / "index" / "blocks" / r.path).unlink()
+    assert as_set(retrieval.search_index(spark, path, one, 3, n_probe=1)) == nearest
+
+
 def test_unsound_vectors_are_set_aside(spark):
     rows = [(0, [1.0, 0.0]), (1, None), (2, [1.0]), (3, [0.0, 1.0, 0.0]), (4, [None, 1.0]), (5, [0.0, 1.0])]
     vectors = spark.createDataFrame(rows, "id long, vector array<float>")
@@ -161,6 +196,47 @@ def test_prices_beyond_two_decimals_are_rows_of_their_own(spark, tmp_path):
     assert sorted((r["rank"], r.price) for r in hits.collect()) == [(1, 0.02104), (2, 0.02409), (3, 0.02409)]
 
 
+def test_searcher_equals_search(spark, tmp_path):
+    """The resident searcher, the table search and brute force agree; many hits are joined."""
+    rows = [(str(i), float(i % 7), f"word{i % 13} colour{i % 5} size{i}" if i % 9 else None) for i in range(200)]
+    documents_ = spark.createDataFrame(rows, "ndc string, price double, text string")
+    path = str(tmp_path / "store")
+    retrieval.build_store(documents_, path)
+    texts = ["word3 colour2", "size17 word4", "nothing alike"]
+    searcher = retrieval.Searcher(spark, path)
+    told = lambda df: sorted((r.question_id, r["rank"], r.ndc, r.doc_id, r.similarity) for r in df.collect())
+    table = retrieval.search(retrieval.load_store(spark, path), retrieval.question_table(spark, texts), 4)
+    assert told(searcher.ask(texts, 4)) == told(table) and len(told(table)) == 12
+    assert len(told(searcher.ask(texts, 190))) == 570
+    assert searcher.ask([], 4).count() == 0
+
+
+def test_second_build_embeds_only_new_texts(spark, tmp_path):
+    log = tmp_path / "calls"
+    log.mkdir()
+
+    def counting(texts):
+        (log / uuid.uuid4().hex).write_text("\n".join(texts))
+        return retrieval.hashed_words(texts)
+
+    def build(n):
+        rows = [(str(i % 10), float(i), f"text {i % n}") for i in range(60)]
+        df = spark.createDataFrame(rows, "ndc string, price double, text string")
+        path = str(tmp_path / f"store{n}-{uuid.uuid4().hex}")
+        retrieval.build_store(df, path, counting, cache=str(tmp_path / "cache"))
+        called = [line for f in log.iterdir() for line in f.read_text().split("\n")]
+        store = retrieval.load_store(spark, path)
+        assert store.count() == 60 == store.select("doc_id").distinct().count()
+        expected = {f"text {k}": retrieval.hashed_words([f"text {k}"])[0].tolist() for k in range(n)}
+        assert all(list(r.vector) == expected[r.text] for r in store.collect())
+        return sorted(called)
+
+    first = sorted(f"text {k}" for k in range(12))
+    assert build(12) == first
+    assert build(12) == first
+    assert build(15) == sorted(f"text {k}" for k in range(15))
+
+
 def test_criteria_text():
     assert retrieval.criteria_text() == "all drugs"
     assert retrieval.criteria_text("SALVE", max_price=3) == "Drug name: SALVE Price under $3"

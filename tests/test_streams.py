@@ -6,10 +6,11 @@ import json
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from ratesheet.operators.staging import stage_transform
 from ratesheet.plans import views
-from ratesheet.sources import sinks, tables
+from ratesheet.sources import pages, sinks, tables
 from ratesheet.streaming import arrivals, topics
 
 
@@ -32,7 +33,7 @@ def staged(spark, out):
 def arrive(spark, tmp_path, **options):
     root, out, bad, done = (str(tmp_path / d) for d in ("bucket", "staging", "bad", "done"))
     finish(arrivals.stage_arrivals(spark, root, out, bad, done, str(tmp_path / "chk"), **options))
-    return out, bad, arrivals.archive_handled(spark, root, done)
+    return out, bad, arrivals.archive_handled(spark, root, done, str(tmp_path / "journal"))
 
 
 def test_arrivals(spark, tmp_path):
@@ -64,6 +65,46 @@ def test_batches_of_few_files(spark, tmp_path):
     assert len(glob.glob(f"{out}/load_id=*")) == 3
 
 
+def test_a_broken_move_is_finished_later(spark, tmp_path, monkeypatch):
+    """Some files are moved and no journal is written: the next run moves the rest, and enters all."""
+    raw, processed = tmp_path / "bucket/drug_data/raw", tmp_path / "bucket/drug_data/processed"
+    for n in range(7):
+        page(raw / f"{n}.json", [n])
+
+    def broken(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(arrivals, "moved", broken)
+        with pytest.raises(OSError):
+            arrive(spark, tmp_path)
+    (processed).mkdir(parents=True)
+    for n in range(3):
+        (raw / f"{n}.json").rename(processed / f"{n}.json")
+    out, _, moved = arrive(spark, tmp_path)
+    assert moved == 4 and len(staged(spark, out)) == 7
+    assert {f.name for f in processed.glob("*.json")} == {f"{n}.json" for n in range(7)}
+    journal = spark.read.parquet(str(tmp_path / "journal"))
+    assert sorted(r.moved for r in journal.collect()) == [False] * 3 + [True] * 4
+    # A file of the same name that comes later is not in question: names in the journal are done.
+    assert arrive(spark, tmp_path)[2] == 0
+    assert spark.read.parquet(str(tmp_path / "journal")).count() == 7
+
+
+def test_a_landing_appears_at_once(spark, tmp_path):
+    """A repeated landing replaces itself; one that fails leaves no file where readers look."""
+    rows = spark.createDataFrame([(f"p{k}.json", f'{{"page_number": {k}}}') for k in range(40)], "file_name string, body string")
+    path = f"{tmp_path}/files"
+    for _ in range(2):
+        assert sinks.land_pages(rows.repartition(4), path, landing="monday") == 40
+    assert sorted(f.name for f in (tmp_path / "files/monday").iterdir()) == sorted(f"p{k}.json" for k in range(40))
+    wrong = rows.withColumn("body", F.when(F.col("file_name") == "p7.json", F.raise_error(F.lit("x"))).otherwise("b"))
+    with pytest.raises(Exception, match="x"):
+        sinks.land_pages(wrong.repartition(4), path, landing="tuesday")
+    assert not (tmp_path / "files/tuesday").exists()
+    assert pages.read_pages(spark, path).count() == 40
+
+
 def test_landed_pages_arrive(spark, tmp_path, sf_dir):
     """What the landing sink writes is what the arrival job reads, record by record."""
     found = views.pages(spark, sf_dir)

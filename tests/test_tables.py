@@ -14,7 +14,7 @@ from ratesheet.operators import enrichment, quality, reports, sensor
 from ratesheet.operators.staging import stage_transform
 from ratesheet.plans import enrichment_job, retention_job, sensor_jobs, views
 from ratesheet.session import shared_dir
-from ratesheet.sources import sinks, tables
+from ratesheet.sources import ranges, sinks, tables
 
 
 @pytest.fixture(scope="module")
@@ -39,11 +39,15 @@ def test_enrichment_job_is_repeatable(spark, staged, tmp_path):
     source, target = str(tmp_path / "staging"), str(tmp_path / "enriched")
     sinks.write_staging(staged, source, "one")
     n = staged.count()
-    for day, total in ((1, n), (1, n), (2, 2 * n)):
+    for day, written, total in ((1, n, n), (1, 0, n), (2, 0, n), (2, 7, n + 7)):
+        if written == 7:
+            sinks.write_staging(staged.limit(7), source, "two")
         counts = enrichment_job.run(spark, source, target, dt.datetime(2024, 1, day, 6))
-        assert counts == {"rows_written": n}
+        assert counts == {"rows_written": written}
         assert spark.read.parquet(target).count() == total
     days = {p.rsplit("=", 1)[1] for p in glob.glob(f"{target}/load_id=*/enriched_date=*")}
+    held = {(r.source.rsplit("=", 1)[1], r.load_id) for r in sinks.ledger(spark, target).collect()}
+    assert held == {("one", "20240101T060000.000000"), ("two", "20240102T060000.000000")}
     assert days == {"2024-01-01", "2024-01-02"}
     stored = tables.read_enriched(spark, target, limit=7)
     assert stored.count() == 7
@@ -112,15 +116,83 @@ def test_loads_add_and_repeat(spark, staged, tmp_path):
 
 def test_retention(spark, staged, tmp_path):
     table, enriched = str(tmp_path / "staging"), str(tmp_path / "enriched")
-    for load_id in ("old", "new"):
+    for day, load_id in enumerate(("old", "older", "new"), 1):
         sinks.write_staging(staged.limit(5), table, load_id)
-    os.utime(f"{table}/load_id=old", (0, 0))
+        if load_id != "older":
+            enrichment_job.run(spark, table, enriched, dt.datetime(2024, 5, day))
+    for load_id in ("old", "older"):
+        os.utime(f"{table}/load_id={load_id}", (0, 0))
+    sinks.write_staging(staged.limit(2), table, "late")
+    os.utime(f"{table}/load_id=late", (0, 0))
+    # All but the late one are enriched; of these, two are old.
+    assert retention_job.expire_loads(spark, table, time.time(), enriched=enriched) == 2
+    assert tables.read_staging(spark, table).count() == 7
     assert retention_job.expire_loads(spark, table, time.time()) == 1
     assert tables.read_staging(spark, table).count() == 5
-    for day in (1, 2, 3):
-        enrichment_job.run(spark, table, enriched, dt.datetime(2024, 5, day))
-    assert retention_job.drop_days(spark, enriched, dt.date(2024, 5, 3)) == 2
-    assert spark.read.parquet(enriched).count() == 5
+    assert spark.read.parquet(enriched).count() == 15
+    assert retention_job.drop_days(spark, enriched, dt.date(2024, 5, 3)) == 1
+    assert spark.read.parquet(enriched).count() == 10
+
+
+def test_a_broken_run_leaves_nothing(spark, staged, tmp_path, monkeypatch):
+    """Rows and ledger come with one move: without it neither is there, and the next run does all."""
+    source, target = str(tmp_path / "staging"), str(tmp_path / "enriched")
+    sinks.write_staging(staged.limit(9), source, "one")
+
+    def broken(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(sinks.storage, "publish", broken)
+        with pytest.raises(OSError):
+            enrichment_job.run(spark, source, target, dt.datetime(2024, 5, 1))
+    assert sinks.ledger(spark, target).count() == 0 and not glob.glob(f"{target}/load_id=*")
+    assert enrichment_job.run(spark, source, target, dt.datetime(2024, 5, 2)) == {"rows_written": 9}
+    assert spark.read.parquet(target).count() == 9 and sinks.ledger(spark, target).count() == 1
+
+
+def test_sketches_place_rows_without_a_sample(spark, staged, tmp_path):
+    """The enriched load is dealt by the staging sketches: ranges of names, and no row lost."""
+    source, target = str(tmp_path / "staging"), str(tmp_path / "enriched")
+    sinks.write_staging(staged, source, "one", n=4)
+    rows = enrichment.enrich(tables.read_staging(spark, source))
+    load = f"{source}/load_id=one"
+    limits = ranges.bounds(spark, [load], "name", 6)
+    assert len(limits) == 5 and limits == sorted(limits)
+    dealt = ranges.deal(rows, ranges.sort_number(F.lit(0), F.ltrim("ndc_description")), limits)
+    plan = dealt._jdf.queryExecution().executedPlan().toString()
+    assert "passthrough" in plan.lower() and "rangepartitioning" not in plan
+    sinks.write_enriched(rows, target, "a", n=6, sources=[load])
+    assert spark.read.parquet(target).count() == staged.count()
+    spans = []
+    for f in glob.glob(f"{target}/load_id=a/enriched_date=*/*.parquet"):
+        part = spark.read.parquet(f)
+        low, high, n = part.agg(F.min("drug_name"), F.max("drug_name"), F.count(F.lit(1))).first()
+        assert n < 0.5 * staged.count()
+        spans.append((low or "", high or ""))
+    spans.sort()
+    assert len(spans) == 6
+    assert all(a[1][:6] <= b[0][:6] or a[1].startswith(b[0][:6]) for a, b in zip(spans, spans[1:]))
+    # The second staging load is placed by the first one's sketch.
+    sinks.write_staging(staged, source, "two", n=4)
+    codes = [
+        spark.read.parquet(f).agg(F.min(F.col("ndc").cast("long")), F.max(F.col("ndc").cast("long"))).first()
+        for f in sorted(glob.glob(f"{source}/load_id=two/*.parquet"))
+    ]
+    assert len(codes) == 4 and all(a[1] // 10**6 <= b[0] // 10**6 for a, b in zip(codes, codes[1:]))
+
+
+def test_a_hot_value_gets_several_ranges(spark):
+    rows = spark.range(3000).select(F.when(F.col("id") % 3 > 0, F.col("id")).otherwise(F.lit(1500)).alias("x"))
+    limits = [250, 500, 750, 1500, 1500, 1500, 2250]
+    got = ranges.deal(rows.repartition(6), F.col("x"), limits).withColumn("p", F.spark_partition_id())
+    parts = {r.p: (r.n, r.low, r.high) for r in got.groupBy("p").agg(
+        F.count(F.lit(1)).alias("n"), F.min("x").alias("low"), F.max("x").alias("high")).collect()}
+    assert sum(n for n, _, _ in parts.values()) == 3000
+    for p, (n, low, high) in parts.items():
+        assert all(b <= low for b in limits[: min(p, 3)]) and n < 1200, (p, n, low, high)
+    hot = {p: n for p, (n, low, high) in parts.items() if low == 1500 == high}
+    assert len(hot) >= 2
 
 
 def test_sensor_job(spark, tmp_path):
