@@ -122,6 +122,38 @@ def test_rollup_follows_the_documents(spark, docs, tmp_path):
     assert got == want
 
 
+def test_a_batch_counts_whole_or_not_at_all(spark, tmp_path, monkeypatch):
+    """Totals between the two halves of a commit, and of a fold, with folded batches sent again."""
+    table = str(tmp_path / "rollup")
+    rows = lambda n: spark.createDataFrame([("s", "en", "v", 1, n, 3 * n)], token_counts.TABLE)
+    total = lambda: [r.n_tokens for r in token_counts.totals(spark, table).collect()]
+    assert total() == []
+    for k in range(4):
+        token_counts.commit(rows(10**k), table, f"b{k}")
+    assert total() == [1111]
+    seen = []
+    publish = token_counts.storage.publish
+
+    def watched(spark_, made, target):
+        seen.append(total())
+        publish(spark_, made, target)
+        seen.append(total())
+
+    monkeypatch.setattr(token_counts.storage, "publish", watched)
+    token_counts.commit(rows(5000), table, "b3")  # a repeated batch, counted anew
+    assert seen == [[1111], [5111]]
+    seen.clear()
+    with monkeypatch.context() as patch:  # ends before the old folders are removed
+        patch.setattr(token_counts.storage, "remove", lambda *_: 0)
+        first = token_counts.fold(spark, table, ["b0", "b1", "missing"])
+    assert seen == [[5111], [5111]] and total() == [5111]
+    token_counts.commit(rows(1), table, "b0")
+    assert total() == [5111]
+    assert token_counts.fold(spark, table, [first, "b2"]) and total() == [5111]
+    token_counts.commit(rows(10), table, "b1")
+    assert total() == [5111] and token_counts.fold(spark, table, ["b0", "b1", "b2"]) is None
+
+
 def test_rollup_edge_cases(spark, edge, empty, clashing, tmp_path):
     for name, frame in (("edge", edge), ("empty", empty), ("clashing", clashing)):
         token_counts.commit(token_counts.inserts(token_counts.counted(frame, "v1")), str(tmp_path / name), "a-1")
