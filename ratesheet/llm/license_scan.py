@@ -96,7 +96,7 @@ def _detected(lowered: str) -> list[tuple[int, int, Rule]]:
             if rule.keyword not in known:
                 known[rule.keyword] = rule.keyword in lowered
             if known[rule.keyword]:
-                found += [(m.start(), m.end(), rule) for m in rule.pattern.finditer(lowered)]
+                found += [(*m.span(rule.pattern.groups), rule) for m in rule.pattern.finditer(lowered)]
     found.sort(key=lambda d: (d[2].priority, d[0] - d[1], d[0], d[2].label))
     taken: list[tuple[int, int, Rule]] = []
     starts: list[int] = []  # of the widest intervals taken; none lies in another, so their
