@@ -2,28 +2,37 @@
 
 Texts become root frequencies of hashed letter n-grams (one to three letters, words kept apart)
 over the whole text, in Unicode lower case. A linear machine for each family is trained against
-the other families; inside a family each language gets one against its relatives. Machines are
-fitted by stochastic subgradient steps on the hinge loss with averaging, on a bounded sample.
-A family's and a language's margins become shares by a softmax, and their product is the score.
+the other families; inside a family each pair of languages has a machine of its own, and the
+language with the most votes wins. Machines are fitted by stochastic subgradient steps on the hinge
+loss with averaging, each by one task, on a bounded sample: at most ``TRAIN_EACH`` documents of a
+language, those with the smallest hashes of their ids, and for a family at most ``FAMILY_SIDE`` of
+each side. Any number of languages can be learned: the driver holds 32 KB a machine.
+
+A family's margins become shares by a softmax. A language's share is the mean over its relatives of
+the logistic of their machine's margin; the product of both is the score. Ties of votes go to the
+larger sum of margins, then to the first name.
 
 A null text and a text without letters are ``und`` with score 0. Without anything to learn from,
-all texts are. Only doc_id and text are inputs of a prediction; lang is read for training alone.
+all texts are. Rows that share a doc_id and a language are all learned from if the id is; repeated
+rows get equal predictions. Only doc_id and text are inputs of a prediction; lang is read for
+training alone.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ratesheet.llm.common import bucket_of, over_texts
+from ratesheet.llm.common import bucket_of, importable, over_texts, written
 
 UNKNOWN = "und"
 HELD_OUT_OF, HELD_OUT = 4, 2
-#: Documents of each language to learn from, at most, and languages, at most.
-TRAIN_EACH, LANGUAGES = 800, 64
+#: Documents of each language to learn from, at most, and of each side of a family's machine.
+TRAIN_EACH, FAMILY_SIDE = 800, 1_600
 WIDTH = 4_096
 STEPS, REGULARISE = 20, 1e-4
 #: Code points counted at a time, which bounds the memory a very long text takes.
@@ -91,79 +100,131 @@ def _softmax(v: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
+def _logistic(v: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(v, -60, 60)))
+
+
 @dataclass
 class Hierarchy:
-    families: list[str]
+    """Machines of the families, by name, and of pairs of languages (first, second): positive margins
+    are votes for the first."""
+
     languages: dict[str, list[str]]
-    machines: dict[str, np.ndarray]  # of the families (key "") and of each family's languages
+    families: dict[str, np.ndarray]
+    pairs: dict[tuple[str, str], np.ndarray]
 
-    def _shares(self, key: str, x: np.ndarray) -> np.ndarray:
-        w = self.machines[key]
-        if len(w) == 1:
+    def _family_shares(self, x: np.ndarray) -> np.ndarray:
+        if len(self.languages) == 1:
             return np.ones((len(x), 1))
+        w = np.stack([self.families[name] for name in self.languages])
         return _softmax(2 * (x @ w[:, :-1].T + w[:, -1]))
 
+    def _votes(self, names: list[str], x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(position of the winner among the names, its share) of each row."""
+        if len(names) == 1:
+            return np.zeros(len(x), dtype=int), np.ones(len(x))
+        votes, margins, shares = np.zeros((3, len(x), len(names)))
+        for i, j in combinations(range(len(names)), 2):
+            w = self.pairs[names[i], names[j]]
+            margin = x @ w[:-1] + w[-1]
+            for k, own in ((i, margin), (j, -margin)):
+                votes[:, k] += (own > 0) if k == i else (own >= 0)
+                margins[:, k] += own
+                shares[:, k] += _logistic(4 * own)
+        most = votes == votes.max(axis=1, keepdims=True)
+        winner = np.where(most, margins, -np.inf).argmax(axis=1)
+        return winner, shares[np.arange(len(x)), winner] / (len(names) - 1)
+
     def predict(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(language, score) of each row."""
-        shares = self._shares("", x)
+        shares = self._family_shares(x)
         which = shares.argmax(axis=1)
         lang, score = np.empty(len(x), dtype=object), shares.max(axis=1)
-        for k, name in enumerate(self.families):
+        for k, names in enumerate(self.languages.values()):
             at = np.nonzero(which == k)[0]
             if len(at):
-                inner = self._shares(name, x[at])
-                lang[at] = np.array(self.languages[name], dtype=object)[inner.argmax(axis=1)]
-                score[at] *= inner.max(axis=1)
+                winner, share = self._votes(names, x[at])
+                lang[at] = np.array(names, dtype=object)[winner]
+                score[at] *= share
         return lang, score
 
 
-def _against_the_rest(x: np.ndarray, names: np.ndarray, all_names: list[str]) -> np.ndarray:
-    if len(all_names) == 1:
-        return np.zeros((1, WIDTH + 1))
-    return np.stack([_machine(x, np.where(names == n, 1.0, -1.0), i) for i, n in enumerate(all_names)])
+def by_family(langs: list[str]) -> dict[str, list[str]]:
+    found: dict[str, list[str]] = {}
+    for lang in sorted(set(langs), key=lambda v: (family(v), v)):
+        found.setdefault(family(lang), []).append(lang)
+    return found
 
 
-def fit(x: np.ndarray, langs: np.ndarray) -> Hierarchy:
-    kin = np.array([family(v) for v in langs], dtype=object)
-    names = sorted(set(kin))
-    languages = {n: sorted(set(langs[kin == n])) for n in names}
-    machines = {"": _against_the_rest(x, kin, names)}
-    for n in names:
-        machines[n] = _against_the_rest(x[kin == n], langs[kin == n], languages[n])
-    return Hierarchy(names, languages, machines)
+def _roles(languages: dict[str, list[str]]) -> list[tuple[str, str, str, int, int]]:
+    """(machine, second, lang, sign, most): the rows of a language up to its rank ``most`` in its
+    family, and their side, in a family's machine (second is empty) or in that of a pair."""
+    out, every = [], [v for names in languages.values() for v in names]
+    other = max(1, FAMILY_SIDE // max(1, len(languages) - 1))
+    for name, own in languages.items():
+        if len(languages) > 1:
+            out += [(name, "", v, 1, FAMILY_SIDE) if v in own else (name, "", v, -1, other) for v in every]
+        for a, b in combinations(own, 2):
+            out += [(a, b, a, 1, 1 << 30), (a, b, b, -1, 1 << 30)]
+    return out
 
 
-def train(docs: DataFrame, allowed: Column | None = None, each: int = TRAIN_EACH) -> Hierarchy | None:
-    """Learns from at most ``each`` documents of each of at most ``LANGUAGES`` languages.
+def _trained(group: pd.DataFrame) -> pd.DataFrame:
+    rows = group.sort_values(["doc_id", "x"])
+    x = np.stack([np.frombuffer(v, dtype=np.float32) for v in rows["x"]])
+    w = _machine(x, rows["sign"].to_numpy(dtype=float), 0)
+    first = group[["machine", "second"]].iloc[0].tolist()
+    return pd.DataFrame([(*first, w.astype(np.float64).tobytes())], columns=["machine", "second", "w"])
 
-    A language's sample is the documents with the smallest hashes of their ids.
-    """
+
+def _sample(docs: DataFrame, allowed: Column | None, each: int) -> DataFrame:
+    """(doc_id, lang, family, rank, x): vectors of the documents to learn from."""
     known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull())
     if allowed is not None:
         known = known.where(allowed)
-    ids = known.select("doc_id", "lang")
-    langs = [r[0] for r in ids.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()]
-    picked = None
-    for lang in langs:
-        own = ids.where(F.col("lang") == lang).select("doc_id").distinct()
-        own = own.orderBy(F.xxhash64("doc_id"), "doc_id").limit(each).withColumn("_lang", F.lit(lang))
-        picked = own if picked is None else picked.unionByName(own)
-    if picked is None:
-        return None
-    sample = docs.select("doc_id", "text", F.col("lang").alias("_own")).join(F.broadcast(picked), "doc_id")
-    sample = sample.where("_own = _lang")
+    order = Window.partitionBy("_lang").orderBy(F.xxhash64("_id"), "_id")
+    picked = known.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang")).distinct()
+    picked = picked.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= each)
+    texts = docs.select("doc_id", "text", F.col("lang").alias("_own"))
+    # At most ``each`` ids a language: 16 bytes each.
+    sample = texts.join(F.broadcast(picked), (F.col("doc_id") == F.col("_id")) & (F.col("_own") == F.col("_lang")))
 
     def vectors(batch: pd.DataFrame) -> pd.DataFrame:
-        found = [(i, v, features(t)) for i, v, t in zip(batch["doc_id"], batch["_lang"], batch["text"])]
-        kept = [(i, v, x.astype(np.float32).tobytes()) for i, v, x in found if x is not None]
-        return pd.DataFrame(kept, columns=["doc_id", "lang", "x"])
+        found = [(i, v, family(v), n, features(t)) for i, v, n, t in zip(batch["doc_id"], batch["_lang"], batch["_n"], batch["text"])]
+        kept = [(i, v, kin, n, x.astype(np.float32).tobytes()) for i, v, kin, n, x in found if x is not None]
+        return pd.DataFrame(kept, columns=["doc_id", "lang", "family", "n", "x"])
+
+    schema = "doc_id bigint, lang string, family string, n int, x binary"
+    rows = written(over_texts(sample, ["doc_id", "text", "_lang", "_n"], schema, vectors), "language_sample")
+    # Relatives take turns, so that a family's side has as many of each.
+    turn = Window.partitionBy("family").orderBy("n", "lang", "doc_id", "x")
+    ranks = rows.withColumn("rank", F.row_number().over(turn))
+    return ranks.select("doc_id", "lang", "rank", "x")
 
-    rows = over_texts(sample, ["doc_id", "text", "_lang"], "doc_id bigint, lang string, x binary", vectors)
-    rows = rows.orderBy("doc_id", "x").limit(each * len(langs)).toPandas()
-    if rows.empty:
+
+def train(docs: DataFrame, allowed: Column | None = None, each: int = TRAIN_EACH) -> Hierarchy | None:
+    """Learns from at most ``each`` documents of each language. Each machine is fitted by a task."""
+    sample = _sample(docs, allowed, each)
+    languages = by_family([r.lang for r in sample.select("lang").distinct().collect()])
+    if not languages:
         return None
-    x = np.stack([np.frombuffer(v, dtype=np.float32) for v in rows["x"]]).astype(float)
-    return fit(x, rows["lang"].to_numpy(dtype=object))
+    roles = _roles(languages)
+    if not roles:
+        return Hierarchy(languages, {}, {})
+    schema = "machine string, second string, lang string, sign int, most int"
+    sides = docs.sparkSession.createDataFrame(roles, schema)
+    rows = sample.join(F.broadcast(sides), "lang").where("rank <= most").drop("rank", "most", "lang")
+    fitted = importable(rows).groupBy("machine", "second").applyInPandas(
+        _trained, "machine string, second string, w binary"
+    )
+    families, pairs = {}, {}
+    for r in fitted.collect():
+        w = np.frombuffer(r.w, dtype=np.float64)
+        if r.second:
+            pairs[r.machine, r.second] = w
+        else:
+            families[r.machine] = w
+    return Hierarchy(languages, families, pairs)
 
 
 def predicted(docs: DataFrame, model: Hierarchy | None) -> DataFrame:

@@ -1,7 +1,9 @@
 """Operators that judge or scan texts one by one, against plain versions and held-out rows."""
 
+import itertools
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -123,6 +125,59 @@ def test_language_on_held_out_rows(spark, learn_dir):
     assert np.mean([r.lang_pred == r.lang for r in held]) > 0.9
 
 
+def words_of(rng, letters, n=60):
+    return " ".join("".join(rng.choice(list(letters), rng.integers(2, 8))) for _ in range(n))
+
+
+def test_votes_of_pairs_against_plain(spark):
+    """Five relatives and a stranger: machines, votes and ties as a plain one-versus-one has them."""
+    rng = np.random.default_rng(4)
+    letters = {"en": "abcdefgh", "de": "cdefghij", "nl": "efghijkl", "sv": "ghijklmn", "da": "ijklmnop", "pl": "uvwxyz"}
+    rows = [(k, words_of(rng, letters[v]), v) for k, v in enumerate(v for v in letters for _ in range(24))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    model = language_id.train(docs)
+    vectors = {k: language_id.features(t).astype(np.float32) for k, t, _ in rows}
+    machines = {}
+    for a, b in itertools.combinations(sorted(set(letters) - {"pl"}), 2):
+        some = [(k, 1.0 if v == a else -1.0) for k, _, v in rows if v in (a, b)]
+        machines[a, b] = language_id._machine(np.stack([vectors[k] for k, _ in some]), np.array([s for _, s in some]), 0)
+    assert set(model.pairs) == set(machines) and set(model.families) == {"germanic", "slavic"}
+    assert all(np.allclose(model.pairs[p], machines[p]) for p in machines)
+    fresh = [(1000 + k, words_of(rng, letters[v], 4), v) for k, v in enumerate(v for v in letters for _ in range(30))]
+    got = {r.doc_id: r for r in language_id.predicted(spark.createDataFrame(fresh, "doc_id long, text string, lang string"), model).collect()}
+    right = 0
+    for k, text, lang in fresh:
+        x = language_id.features(text)
+        shares = [x @ model.families[f][:-1] + model.families[f][-1] for f in ("germanic", "slavic")]
+        if shares[1] > shares[0]:
+            assert got[k].lang_pred == "pl"
+            continue
+        votes, margins = Counter(), Counter()
+        for (a, b), w in machines.items():
+            margin = x @ w[:-1] + w[-1]
+            votes[a if margin > 0 else b] += 1
+            margins[a] += margin
+            margins[b] -= margin
+        most = max(votes.values())
+        want = max((v for v in votes if votes[v] == most), key=lambda v: margins[v])
+        assert got[k].lang_pred == want and 0 <= got[k].score <= 1
+        right += want == lang
+    assert right > 100
+
+
+def test_a_hundred_languages(spark):
+    """None is left out, and a language without relatives is a family by itself."""
+    rng = np.random.default_rng(9)
+    names = [f"x{k:02d}" for k in range(97)] + ["en", "de", "nl"]
+    alphabets = {v: rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6, replace=False) for v in names}
+    rows = [(k, words_of(rng, alphabets[v], 40), v) for k, v in enumerate(v for v in names for _ in range(5))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(8)
+    model = language_id.train(docs)
+    assert sum(map(len, model.languages.values())) == 100 and len(model.families) == 98 and len(model.pairs) == 3
+    got = {r.doc_id: r.lang_pred for r in language_id.predicted(docs, model).collect()}
+    assert np.mean([got[k] == v for k, _, v in rows]) > 0.9
+
+
 def test_grams_do_not_depend_on_the_parts(monkeypatch):
     text = "Größe und Länge, très bien! " * 40
     whole = language_id.features(text)
@@ -140,6 +195,47 @@ def test_license_base_and_labels(hard, docs):
             assert set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(",")) and 0 <= r.score <= 1
 
 
+FORMS = {
+    "licensed under apache-2.0": ["apache-2.0"],
+    "licensed under gpl-2.0-only": ["gpl-2.0"],
+    "licensed under the apache 2.0 license": ["apache-2.0"],
+    "mozilla public license 2.0": ["mpl-2.0"],
+    "gnu general public license 3": ["gpl-3.0"],
+    "bsd-3-clause": ["bsd-3-clause"],
+    "released under mit": ["mit"],
+    "a gpl-2.0x b": [],
+    "spdx-license-identifier: mit or apache-2.0": ["mit", "apache-2.0"],
+    "spdx-license-identifier: (mit or apache-2.0)": ["mit", "apache-2.0"],
+    "spdx-license-identifier: ((mit and isc) or (bsd-3-clause and zlib))": ["mit", "isc", "bsd-3-clause", "zlib"],
+    "license = gpl-2.0-or-later with classpath-exception-2.0": ["gpl-2.0"],
+    "this is free and unencumbered software released into the public domain": ["unlicense"],
+    "either version 2 of the license, or (at your option) any later version": ["gpl"],
+    "this software is provided 'as-is', without any express or implied warranty": ["zlib"],
+}
+
+
+@pytest.mark.parametrize("text", FORMS)
+def test_license_forms_of_today(text):
+    for around in ("{}", "x {} y", "// {}\n// next"):
+        found = [r.label for *_, r in license_scan.detections(around.format(text))]
+        assert found == FORMS[text], (around, found)
+
+
+def test_gates_hide_nothing(docs):
+    """All rules without their gates find what the scan finds."""
+    texts = [license_scan.lower_ascii(r.text) for r in docs.select("text").collect() if r.text]
+    for text in [*texts, *FORMS]:
+        whole = license_scan.folded(text)[0]
+        every = {(*m.span(r.pattern.groups), r.label) for r in license_rules.RULES for m in r.pattern.finditer(whole)}
+        tried = {
+            (*m.span(r.pattern.groups), r.label)
+            for r in license_rules.RULES
+            if r.gate in whole and r.keyword in whole
+            for m in r.pattern.finditer(whole)
+        }
+        assert every == tried
+
+
 def test_license_rules_and_their_gates():
     assert len(license_rules.RULES) > 300
     cases = {
