@@ -37,8 +37,9 @@ TOP_K = 5
 CRITERIA = {"drug_form": "CREAM 0.7%", "min_price": 905.0}
 CRITERIA_K = 25
 ROW_LIMITS = 100, 1_000_000_000
-#: Lists that the approximate search reads, of twenty.
-N_PROBE = 8
+#: Lists that the approximate search reads, of twenty. The given vectors hardly cluster: with 8 lists the
+#: measured recall is 0.74 to 0.76, with 13 0.89 to 0.92, with 15 0.94 to 0.95.
+N_PROBE = 15
 SOURCE_QUESTION = "hot gear, counted in ml"
 QUESTIONS = [
     "list every old bolt with a strength of 12 MG",
