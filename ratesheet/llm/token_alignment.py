@@ -12,9 +12,10 @@ The second pass aligns the documents again and looks the counts up, by slot and
 A block of at most ``BLOCK`` pairs (or one shard) is in memory at a time: with more pairs there are
 as many second passes as blocks, and their sums are added.
 
-Tokens are found for parts of texts between single spaces, which no token of either vocabulary
-crosses; the parts repeat and are remembered. Other texts are encoded as a whole. The offsets of some
-megabytes of text are then compared at once.
+Texts are cut into parts at single spaces between visible characters, which no token of either
+vocabulary crosses. Parts repeat: a task aligns each once, thousands at a time, numbers it and keeps
+its links and groups; a text is then the row of its parts' numbers. Texts with other spaces are parts
+by themselves.
 
 Rules: a null or empty text, and one that the tokens of either side do not spell out byte by byte
 (such as one holding U+2581), has no tokens. Its numbers are 0 and its digest is empty. Rows are
@@ -28,11 +29,10 @@ from __future__ import annotations
 import hashlib
 import re
 from array import array
-from collections import ChainMap
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
@@ -47,8 +47,8 @@ from ratesheet.llm import tokens
 from ratesheet.llm.common import importable, written
 from ratesheet.llm.perfect_hash import PerfectHash, build, shard_of
 
-#: Parts of texts that a task remembers, then it starts anew; longer ones are not remembered.
-PART_CACHE, LONGEST_CACHED = 500_000, 48
+#: Parts of texts that a task keeps, and links of them; beyond either it starts anew.
+PART_CACHE, KEPT_LINKS = 500_000, 8_000_000
 #: Characters of texts that are aligned at once (or a single text).
 AT_ONCE = 2_000_000
 #: Distinct pairs of a block: 64 MB of keys and counts.
@@ -80,137 +80,177 @@ class Aligned:
     groups: list[bytes]
 
 
-def _bytes_of(encoding) -> list[bytes]:
-    return [encoding.decode_single_token_bytes(i) for i in range(encoding.n_vocab)]
+class _Numbers(dict):
+    """A number for each part, given when it is first looked up."""
+
+    def __missing__(self, part: str) -> int:
+        number = self[part] = len(self)
+        return number
+
+
+def _joined(lists: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """All ids behind each other, and how many each list has."""
+    ids = np.frombuffer(b"".join(lists), dtype=np.uint32).astype(np.int64)
+    return ids, np.array([len(x) // 4 for x in lists], dtype=np.int64)
 
 
 class Aligner:
     def __init__(self, a_path: str, b_path: str):
-        self.a = tokens.encoder(a_path)
+        self.a = tokens.encoder(a_path).encoding
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [
             bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(_MARK, " ").encode()
             for i, p in enumerate(pieces)
         ]
-        self.a_length = np.array(list(map(len, _bytes_of(self.a.encoding))), dtype=np.int64)
+        a_bytes = [self.a.decode_single_token_bytes(i) for i in range(self.a.n_vocab)]
+        self.a_length = np.array(list(map(len, a_bytes)), dtype=np.int64)
         self.b_length = np.array(list(map(len, self.b_bytes)), dtype=np.int64)
         self.by_parts = not any(_MARK in p.lstrip(_MARK) for p in pieces)
         # What stands behind a token: another of its side, the other side, the next group, nothing.
-        self.told = [b"%d%s" % (i, mark) for n in (len(self.a_length), len(pieces)) for i in range(n) for mark in (b",", b"|", b";", b"")]
-        self.parts: dict[str, tuple[bytes, bytes | None]] = {}
+        marks = (b",", b"|", b";", b"")
+        self.told = [b"%d%s" % (i, mark) for n in (len(a_bytes), len(pieces)) for i in range(n) for mark in marks]
+        self.forget()
 
-    def _spelt(self, text: str, ids: list[int]) -> bytes | None:
-        """The ids as 32-bit integers, if their bytes are a space and the text."""
-        told = b"".join(map(self.b_bytes.__getitem__, ids))
-        same = told == (" " + text).encode("utf-8", "surrogatepass")
-        return array("I", ids).tobytes() if same else None
+    def forget(self) -> None:
+        self.numbers = _Numbers()
+        self.counts = np.empty((3, 0), dtype=np.int64)  # A tokens, B tokens, groups; 0 where there are none
+        self.links, self.link_at = np.empty(0, dtype=np.int64), np.zeros(1, dtype=np.int64)
+        self.groups: list[bytes] = []
+
+    # --- parts -------------------------------------------------------------------------
 
-    def _cut(self, text: str) -> list[str] | None:
-        """The parts of a text between single spaces; None if it has other spaces."""
+    def _cut(self, text: str) -> list[str]:
         if not self.by_parts or text[-1] == " " or _ODD_SPACE.search(" " + text):
-            return None
+            return [text]
         return text.split(" ")
 
-    def _learn(self, parts: list[str]) -> dict[str, tuple[bytes, bytes | None]]:
-        """A and B ids of parts that end in a visible character, encoded in one call each."""
+    def _spelt(self, text: str, ids: list[int]) -> bytes:
+        """The ids as 32-bit integers, none if their bytes are not a space and the text."""
+        told = b"".join(map(self.b_bytes.__getitem__, ids))
+        same = told == (" " + text).encode("utf-8", "surrogatepass")
+        return array("I", ids).tobytes() if same else b""
+
+    def _alone(self, text: str) -> tuple[bytes, bytes]:
+        a = array("I", self.a.encode_ordinary(" " + text)).tobytes()
+        return a, self._spelt(text, self.b.encode(text))
+
+    def _together(self, parts: list[str]) -> tuple[list[bytes], list[bytes]]:
+        """A and B ids of parts without spaces that end in a visible character, encoded in one call each."""
         text = " " + " ".join(parts)
         raw = text.encode("utf-8", "surrogatepass")
         ends = np.cumsum([len(p.encode("utf-8", "surrogatepass")) + 1 for p in parts])
-        a = np.array(self.a.encoding.encode_ordinary(text), dtype=np.uint32)
+        a = np.array(self.a.encode_ordinary(text), dtype=np.uint32)
         at = np.cumsum(self.a_length[a])
         cut = np.minimum(np.searchsorted(at, ends), len(at) - 1)
         lists = self.b.encode(parts)
         b = list(chain.from_iterable(lists))
         if (at[cut] != ends).any() or b"".join(map(self.b_bytes.__getitem__, b)) != raw:
-            return {p: self._alone(p) for p in parts}
+            return tuple(map(list, zip(*map(self._alone, parts))))
         a_ids, b_ids = a.tobytes(), array("I", b).tobytes()
         cut_a, cut_b = (4 * (cut + 1)).tolist(), (4 * np.cumsum(list(map(len, lists)))).tolist()
-        cuts_a, cuts_b = zip([0, *cut_a], cut_a), zip([0, *cut_b], cut_b)
-        return {p: (a_ids[i:j], b_ids[k:m]) for p, (i, j), (k, m) in zip(parts, cuts_a, cuts_b)}
-
-    def _alone(self, text: str) -> tuple[bytes, bytes | None]:
-        a = array("I", self.a.encoding.encode_ordinary(" " + text)).tobytes()
-        return a, self._spelt(text, self.b.encode(text))
-
-    def _ids(self, texts: list[str]) -> tuple[list[bytes], list[bytes]]:
-        """A and B ids of each text; no B ids where they do not spell it out. New parts are encoded
-        in one call."""
-        cut = [self._cut(t) for t in texts]
-        if len(self.parts) > PART_CACHE:
-            self.parts.clear()
-        new = {p for parts in cut if parts for p in parts} - self.parts.keys()
-        known: Mapping = self.parts
-        if new:
-            plain = [p for p in new if not p[-1].isspace()]
-            fresh = self._learn(plain) if plain else {}
-            fresh |= {p: self._alone(p) for p in new if p[-1].isspace()}
-            long = {p: fresh.pop(p) for p in new if len(p) > LONGEST_CACHED}
-            self.parts.update(fresh)
-            known = ChainMap(long, self.parts) if long else known
-        a_each, b_each = [], []
-        for text, parts in zip(texts, cut):
-            found = [self._alone(text)] if parts is None else list(map(known.__getitem__, parts))
-            a, b = zip(*found)
-            a_each.append(b"".join(a))
-            b_each.append(b"" if None in b else b"".join(b))
-        return a_each, b_each
-
-    def align(self, texts: list[str], told: bool) -> Aligned | None:
-        """The texts aligned, none of which is empty; None if the tokens of one do not spell it out.
+        return (
+            [a_ids[i:j] for i, j in zip([0, *cut_a], cut_a)],
+            [b_ids[i:j] for i, j in zip([0, *cut_b], cut_b)],
+        )
+
+    def _learn(self, parts: list[str]) -> None:
+        """Aligns parts that are new and keeps what comes of them, in the order of their numbers."""
+        odd = [k for k, p in enumerate(parts) if p[-1].isspace() or " " in p]
+        a_each, b_each = [b""] * len(parts), [b""] * len(parts)
+        plain = sorted(set(range(len(parts))) - set(odd)) if odd else range(len(parts))
+        if plain:
+            for k, a, b in zip(plain, *self._together([parts[k] for k in plain])):
+                a_each[k], b_each[k] = a, b
+        for k in odd:
+            a_each[k], b_each[k] = self._alone(parts[k])
+        found = self._align(parts, a_each, b_each)
+        counts = np.stack([found.n_a, found.n_b, found.n_groups])
+        order = np.argsort(found.text_of_link, kind="stable")
+        ends = np.cumsum(np.bincount(found.text_of_link, minlength=len(parts)))
+        self.counts = np.concatenate([self.counts, counts], axis=1)
+        self.link_at = np.concatenate([self.link_at, len(self.links) + ends])
+        self.links = np.concatenate([self.links, found.links[order]])
+        self.groups += found.groups
+
+    def _align(self, parts: list[str], a_each: list[bytes], b_each: list[bytes]) -> Aligned:
+        """Alignments of parts by their ids. One whose tokens do not spell it out has none.
 
         A tokens stand for the bytes they were cut from, so their lengths tell whether all are there.
-        The groups are written out if they are to be ``told``.
         """
-        raw = [(" " + t).encode("utf-8", "surrogatepass") for t in texts]
-        a_each, b_each = self._ids(texts)
-        a, b = (np.frombuffer(b"".join(x), dtype=np.uint32).astype(np.int64) for x in (a_each, b_each))
-        n_a, n_b = (np.array([len(x) // 4 for x in each], dtype=np.int64) for each in (a_each, b_each))
+        size = np.array([len(p.encode("utf-8", "surrogatepass")) + 1 for p in parts], dtype=np.int64)
+        a, n_a = _joined(a_each)
+        whole = np.bincount(np.repeat(np.arange(len(parts)), n_a), self.a_length[a], len(parts)) == size
+        sound = whole & np.array(list(map(bool, b_each)))
+        if not sound.all():
+            a_each, b_each = ([x if ok else b"" for x, ok in zip(each, sound)] for each in (a_each, b_each))
+            a, n_a = _joined(a_each)
+        b, n_b = _joined(b_each)
         a_end, b_end = np.cumsum(self.a_length[a]), np.cumsum(self.b_length[b])
-        ends = np.cumsum([len(r) for r in raw])
-        cuts_a, cuts_b = np.cumsum(n_a), np.cumsum(n_b)
-        if not (n_a.all() and n_b.all() and (a_end[cuts_a - 1] == ends).all() and (b_end[cuts_b - 1] == ends).all()):
-            return None
         at_b, at_a = np.searchsorted(b_end, a_end), np.searchsorted(a_end, b_end)
         a_last, b_last = b_end[at_b] == a_end, a_end[at_a] == b_end
         # Each stretch between two ends of either side lies in one token of A and one of B.
-        text_a, text_b = (np.repeat(np.arange(len(texts)), n) for n in (n_a, n_b))
+        part_a, part_b = (np.repeat(np.arange(len(parts)), n) for n in (n_a, n_b))
         inner = ~b_last
         links = np.concatenate([a << 32 | b[at_b], a[at_a[inner]] << 32 | b[inner]])
-        text_of_link = np.concatenate([text_a, text_b[inner]])
-        n_groups = np.bincount(text_a[a_last], minlength=len(texts))
-        groups = self._groups(a, b, a_last, b_last, cuts_a, cuts_b) if told else []
-        return Aligned(n_a, n_b, n_groups, links, text_of_link, groups)
+        n_groups = np.bincount(part_a[a_last], minlength=len(parts))
+        groups = self._groups(a, b, a_last, b_last, np.cumsum(n_a), np.cumsum(n_b))
+        return Aligned(n_a, n_b, n_groups, links, np.concatenate([part_a, part_b[inner]]), groups)
 
     def _groups(self, a, b, a_last, b_last, cuts_a, cuts_b) -> list[bytes]:
-        """``a1,a2|b1;a3|b2`` of each text: A and B tokens of a group, then the next group."""
+        """``a1,a2|b1;a3|b2`` of each part: A and B tokens of a group, then the next group."""
         group_a, group_b = np.cumsum(a_last) - a_last, np.cumsum(b_last) - b_last
         b_start = np.concatenate([[0], np.flatnonzero(b_last) + 1])
         a_stop = np.flatnonzero(a_last) + 1
         told = np.empty(len(a) + len(b), dtype=np.int64)
         told[np.arange(len(a)) + b_start[group_a]] = 4 * a + a_last
         behind_b = 2 * b_last
-        behind_b[cuts_b - 1] = 3
+        behind_b[cuts_b[np.diff(cuts_b, prepend=0) > 0] - 1] = 3
         told[np.arange(len(b)) + a_stop[group_b]] = 4 * (len(self.a_length) + b) + behind_b
         cuts = [0, *(cuts_a + cuts_b).tolist()]
         words = list(map(self.told.__getitem__, told.tolist()))
         return [b"".join(words[low:high]) for low, high in zip(cuts, cuts[1:])]
 
-    def over(self, texts: list[str | None], told: bool = True) -> Iterator[tuple[list[int], Aligned]]:
-        """(positions, alignment) of the texts that have tokens, some megabytes at a time."""
+    # --- texts -------------------------------------------------------------------------
+
+    def _texts(self, texts: list[str], told: bool) -> tuple[np.ndarray, Aligned]:
+        """(whether it has tokens, alignment) of texts, none of which is empty."""
+        cut = list(map(self._cut, texts))
+        if len(self.numbers) > PART_CACHE or len(self.links) > KEPT_LINKS:
+            self.forget()
+        known, sizes = len(self.numbers), np.array(list(map(len, cut)), dtype=np.int64)
+        each = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(cut)), np.int64, sizes.sum())
+        if len(self.numbers) > known:
+            self._learn(list(islice(self.numbers, known, None)))
+        starts = np.cumsum(sizes) - sizes
+        n_a, n_b, n_groups = np.add.reduceat(self.counts[:, each], starts, axis=1)
+        sound = np.logical_and.reduceat(self.counts[0, each] > 0, starts)
+        if not sound.all():
+            each = each[np.repeat(sound, sizes)]
+            n_a, n_b, n_groups, sizes = n_a[sound], n_b[sound], n_groups[sound], sizes[sound]
+        low = self.link_at[each]
+        many = self.link_at[each + 1] - low
+        at = np.repeat(low - (np.cumsum(many) - many), many) + np.arange(many.sum())
+        text_of_link = np.repeat(np.repeat(np.arange(len(sizes)), sizes), many)
+        groups = []
+        if told:
+            words = list(map(self.groups.__getitem__, each.tolist()))
+            cuts = [0, *np.cumsum(sizes).tolist()]
+            groups = [b";".join(words[i:j]) for i, j in zip(cuts, cuts[1:])]
+        return sound, Aligned(n_a, n_b, n_groups, self.links[at], text_of_link, groups)
+
+    def over(self, texts: list[str | None], told: bool = True) -> Iterator[tuple[np.ndarray, Aligned]]:
+        """(positions, alignment) of the texts that have tokens, some megabytes at a time. The
+        groups are written out if they are to be ``told``."""
         held, size = [], 0
         for at, text in enumerate(texts):
             if text:
                 held.append(at)
                 size += len(text)
             if held and (size >= AT_ONCE or at + 1 == len(texts)):
-                found = self.align([texts[k] for k in held], told)
-                if found:
-                    yield held, found
-                else:
-                    for k in held:
-                        if found := self.align([texts[k]], told):
-                            yield [k], found
+                sound, found = self._texts([texts[k] for k in held], told)
+                if sound.any():
+                    yield np.array(held)[sound], found
                 held, size = [], 0
 
 
@@ -379,7 +419,7 @@ def _looked_up(
             sums = np.zeros(len(at), dtype=np.int64)
             np.add.at(sums, found.text_of_link, counts)
             count_sum[at] = sums
-            for k, told in zip(at, found.groups):
+            for k, told in zip(at.tolist(), found.groups):
                 digests[k] = hashlib.sha256(told).hexdigest()
         columns = [batch.column("doc_id"), n_a, n_b, n_groups, lengths, n_best, count_sum, digests]
         kinds = [pa.int64()] * 7 + [pa.string()]
