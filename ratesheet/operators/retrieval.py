@@ -180,7 +180,7 @@ def topk(
         for batch in chain(batches, [None]):
             if batch is not None and batch.num_rows:
                 ids.append(batch.column("id").to_numpy(zero_copy_only=False))
-                rows.append(vb._matrix(batch.column("vector"), dim)[0])
+                rows.append(vb.matrix_of(batch.column("vector"), dim)[0])
                 held += rows[-1].nbytes
             if held and (batch is None or held >= block_bytes):
                 matrix = np.concatenate(rows)

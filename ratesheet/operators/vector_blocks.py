@@ -46,7 +46,7 @@ def _opened(uri: str):
     return files.open_input_file(path)
 
 
-def _matrix(lists: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
+def matrix_of(lists: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
     """Rows of the lists that are ``dim`` long without nulls, and which these are."""
     lengths = lists.value_lengths().fill_null(-1).to_numpy(zero_copy_only=False)
     flat = lists.flatten()
@@ -74,7 +74,7 @@ def question_blocks(files: list[str], dim: int, rows: int) -> Iterator[Questions
         source = pq.ParquetFile(_opened(uri))
         names = [n for n in ("question_id", "vector", "floor") if n in source.schema_arrow.names]
         for batch in source.iter_batches(batch_size=rows, columns=names):
-            matrix, sound = _matrix(batch.column("vector"), dim)
+            matrix, sound = matrix_of(batch.column("vector"), dim)
             if not len(matrix):
                 continue
             ids = batch.column("question_id").to_numpy(zero_copy_only=False)[sound]

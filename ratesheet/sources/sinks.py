@@ -41,11 +41,14 @@ def _ranges(df: DataFrame, n: int | None) -> int:
     return n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _clustered(df: DataFrame, keys: list[str], n: int, number: Column, limits: list[int] | None) -> DataFrame:
+def _clustered(
+    df: DataFrame, keys: list[str], n: int | None, number: Column, limits: list[int] | None
+) -> DataFrame:
     if limits is not None:
         return ranges.deal(df, number, limits).sortWithinPartitions(*keys)
-    spread = df.withColumn("_task", F.spark_partition_id())
-    return spread.repartitionByRange(n, *keys, "_task").sortWithinPartitions(*keys).drop("_task")
+    spread, columns = df.withColumn("_task", F.spark_partition_id()), [*keys, "_task"]
+    ranged = spread.repartitionByRange(n, *columns) if n else spread.repartitionByRange(*columns)
+    return ranged.sortWithinPartitions(*keys).drop("_task")
 
 
 def load_dir(path: str, load_id: str) -> str:
@@ -89,8 +92,7 @@ def write_enriched(
         laid_out, name, number = df.withColumn(by, F.to_date("enriched_timestamp")), "name", _by_name
     else:
         laid_out, name, number = with_quarter(df), "price_key", _by_price_key
-    n = _ranges(df, n)
-    limits = ranges.bounds(spark, sources or [], name, n)
+    limits = ranges.bounds(spark, sources or [], name, _ranges(df, n))
     rows = _clustered(laid_out, [by, *ENRICHED_CLUSTERING], n, number("ndc_description"), limits)
     if counts is not None:
         rows = rows.observe(counts, F.count(F.lit(1)).alias("rows_written"))
@@ -123,9 +125,9 @@ def write_staging(df: DataFrame, path: str, load_id: str, n: int | None = None)
     keys = ["ndc_bucket", *STAGING_CLUSTERING]
     placed = df.withColumn("ndc_bucket", values.ndc_range_bucket(F.col("ndc")))
     by_code = ranges.sort_number(F.col("ndc_bucket"), F.col("ndc_description"), text_bytes=5)
-    n = _ranges(df, n)
-    latest = sorted(storage.folders(spark, path), key=lambda found: found[1])[-1:]
-    limits = ranges.bounds(spark, [f"{path}/{name}" for name, _ in latest], "code", n)
+    loads = [found for found in storage.folders(spark, path) if found[0].startswith(f"{LOAD}=")]
+    latest = [f"{path}/{name}" for name, _ in sorted(loads, key=lambda found: found[1])[-1:]]
+    limits = ranges.bounds(spark, latest, "code", _ranges(df, n))
     sketches = Observation("sketches")
     rows = _clustered(placed, keys, n, by_code, limits).observe(
         sketches,
