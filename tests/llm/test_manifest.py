@@ -3,7 +3,6 @@
 import hashlib
 import zlib
 
-import pytest
 from oracle import connect, difference
 from pyspark.sql import functions as F
 
@@ -92,10 +91,13 @@ def test_ids_of_any_size_and_names_in_byte_order(spark):
     assert ours(spark.createDataFrame(rows, SCHEMA).repartition(5)) == plain(rows)
 
 
-@pytest.mark.parametrize("n", [1, 2, 3, 4, 9, 10, 28])
-def test_levels_of_small_trees(spark, n):
-    rows = [(k * 7, "s", None, 1, "a\nb") for k in range(n)]
+def test_levels_of_small_trees(spark):
+    """Sources of one leaf, of full and of broken runs; then fewer sources, down to one."""
+    sizes = [1, 2, 3, 4, 9, 10, 28]
+    rows = [(k * 7, f"s{n:02d}", None, 1, "a\nb") for n in sizes for k in range(n)]
     assert ours(spark.createDataFrame(rows, SCHEMA)) == plain(rows)
+    for some in ([(5, "s", None, 1, "a\nb")], rows[:3]):
+        assert ours(spark.createDataFrame(some, SCHEMA)) == plain(some)
 
 
 def test_hot_ids_and_copies(spark):

@@ -1,14 +1,16 @@
 """Tokens, packing, rollups and the pipeline."""
 
+import itertools
 import zlib
 
 import numpy as np
+import plain
 import public_tokenizers
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from ratesheet.llm import packing, quality_rules, token_counts
+from ratesheet.llm import license_scan, packing, quality_rules, token_counts
 from ratesheet.llm.tokens import Encoder, vocabulary
 
 ODD = [
@@ -181,6 +183,56 @@ def test_pipeline_stage_by_stage(spark, docs, sf_dir):
     assert run.exceptAll(last).count() == 0 and run.count() == last.count()
 
 
+def near_classes(texts: dict[int, str]) -> dict[int, int]:
+    """Smallest id reachable over a Jaccard similarity of 0.8 or more on five-word shingles."""
+    sets = {}
+    for k, text in texts.items():
+        words = plain.spark_words(license_scan.lower_ascii(text))
+        width = min(5, len(words))
+        sets[k] = {tuple(words[i : i + width]) for i in range(len(words) - width + 1)} if words else set()
+    links = [
+        (a, b)
+        for a, b in itertools.combinations(sorted(k for k in sets if sets[k]), 2)
+        if 100 * (met := len(sets[a] & sets[b])) >= 80 * (len(sets[a]) + len(sets[b]) - met)
+    ]
+    return plain.components(sorted(sets), links)
+
+
+def test_pipeline_stages_against_plain(spark, docs, sf_dir):
+    """Each stage on its own input, against plain statements of what it decides."""
+    items = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text").collect()]
+    now = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before = {r.doc_id: r for r in now.collect()}
+        now = corpus_pipeline.written(stage(spark, now, sf_dir), "stage")
+        after = {r.doc_id: r for r in now.collect()}
+        assert set(after) <= set(before)
+        assert all(r.n_chars == len(r.text) for r in after.values() if r.text is not None)
+        if name != "line_dedup":
+            assert all(tuple(r) == tuple(before[k]) for k, r in after.items())
+        if name == "quality_rules":
+            for r in after.values():
+                counts = plain.quality_counts(r.text)
+                assert counts["n_words"] >= 50 and counts["n_repeat_words"] * 2 <= counts["n_words"]
+        elif name == "line_dedup":
+            lines = [n for r in after.values() for x in r.text.split("\n") if (n := plain.normal_line(x))]
+            assert len(lines) == len(set(lines))
+            first = {}
+            for k in sorted(before):
+                for x in before[k].text.split("\n"):
+                    first.setdefault(plain.normal_line(x), k)
+            for k, r in after.items():
+                old = iter(before[k].text.split("\n"))
+                assert all(x in old for x in r.text.split("\n"))  # in their order
+                assert all(first[n] == k for x in r.text.split("\n") if (n := plain.normal_line(x)))
+        elif name == "minhash_near_dedup":
+            classes = near_classes({k: r.text or "" for k, r in before.items()})
+            assert set(after) == {k for k in before if classes[k] == k}
+        else:
+            found = {d for d, *_ in plain.containment([(k, r.text) for k, r in before.items()], items)}
+            assert set(after) == set(before) - found
+
+
 def test_pipeline_of_an_empty_table(spark, empty, sf_dir):
     now = empty
     for _, stage in corpus_pipeline.STAGES:
