@@ -20,6 +20,7 @@ training alone.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from itertools import combinations
 
@@ -76,11 +77,18 @@ def features(text: str) -> np.ndarray | None:
     return root / np.sqrt(total.sum())
 
 
-def _machine(x: np.ndarray, sign: np.ndarray, seed: int) -> np.ndarray:
+def _with_offset(vectors: Sequence[np.ndarray]) -> np.ndarray:
+    """The vectors as rows in single precision, with a one behind each."""
+    rows = np.ones((len(vectors), WIDTH + 1), dtype=np.float32)
+    for k, x in enumerate(vectors):
+        rows[k, :-1] = x
+    return rows
+
+
+def _machine(rows: np.ndarray, sign: np.ndarray, seed: int = 0) -> np.ndarray:
     """Weights (the last one is the offset) of a linear machine; both sides weigh the same."""
     rng = np.random.default_rng(seed)
-    rows = np.hstack([x, np.ones((len(x), 1))])
-    share = np.where(sign > 0, 0.5 / max((sign > 0).sum(), 1), 0.5 / max((sign < 0).sum(), 1)) * len(x)
+    share = np.where(sign > 0, 0.5 / max((sign > 0).sum(), 1), 0.5 / max((sign < 0).sum(), 1)) * len(rows)
     w, mean, t = np.zeros(rows.shape[1]), np.zeros(rows.shape[1]), 0
     for _ in range(STEPS):
         order = rng.permutation(len(rows))
@@ -170,10 +178,11 @@ def _roles(languages: dict[str, list[str]]) -> list[tuple[str, str, str, int, in
 
 
 def _trained(group: pd.DataFrame) -> pd.DataFrame:
-    rows = group.sort_values(["doc_id", "x"])
-    x = np.stack([np.frombuffer(v, dtype=np.float32) for v in rows["x"]])
-    w = _machine(x, rows["sign"].to_numpy(dtype=float), 0)
     first = group[["machine", "second"]].iloc[0].tolist()
+    group = group.sort_values(["doc_id", "x"])
+    sign = group["sign"].to_numpy(dtype=float)
+    rows = _with_offset([np.frombuffer(v, dtype=np.float32) for v in group.pop("x")])
+    w = _machine(rows, sign)
     return pd.DataFrame([(*first, w.astype(np.float64).tobytes())], columns=["machine", "second", "w"])
 
 

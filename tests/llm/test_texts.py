@@ -140,7 +140,9 @@ def test_votes_of_pairs_against_plain(spark):
     machines = {}
     for a, b in itertools.combinations(sorted(set(letters) - {"pl"}), 2):
         some = [(k, 1.0 if v == a else -1.0) for k, _, v in rows if v in (a, b)]
-        machines[a, b] = language_id._machine(np.stack([vectors[k] for k, _ in some]), np.array([s for _, s in some]), 0)
+        machines[a, b] = language_id._machine(
+            language_id._with_offset([vectors[k] for k, _ in some]), np.array([s for _, s in some])
+        )
     assert set(model.pairs) == set(machines) and set(model.families) == {"germanic", "slavic"}
     assert all(np.allclose(model.pairs[p], machines[p]) for p in machines)
     fresh = [(1000 + k, words_of(rng, letters[v], 4), v) for k, v in enumerate(v for v in letters for _ in range(30))]
