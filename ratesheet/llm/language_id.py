@@ -181,7 +181,7 @@ def _trained(group: pd.DataFrame) -> pd.DataFrame:
     first = group[["machine", "second"]].iloc[0].tolist()
     group = group.sort_values(["doc_id", "x"])
     sign = group["sign"].to_numpy(dtype=float)
-    rows = _with_offset([np.frombuffer(v, dtype=np.float32) for v in group.pop("x")])
+    rows = _with_offset([np.frombuffer(v, dtype=np.float16) for v in group.pop("x")])
     w = _machine(rows, sign)
     return pd.DataFrame([(*first, w.astype(np.float64).tobytes())], columns=["machine", "second", "w"])
 
@@ -191,16 +191,22 @@ def _sample(docs: DataFrame, allowed: Column | None, each: int) -> DataFrame:
     known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull())
     if allowed is not None:
         known = known.where(allowed)
-    order = Window.partitionBy("_lang").orderBy(F.xxhash64("_id"), "_id")
-    picked = known.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang")).distinct()
-    picked = picked.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= each)
+    ids = known.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"), F.xxhash64("doc_id").alias("_h"))
+    # Hashes are even, so the smallest ``each`` lie below twice their share: a language with a third
+    # of all documents passes on about as many ids as any other.
+    many = ids.groupBy("_lang").agg(F.count(F.lit(1)).alias("_many"))
+    share = (F.col("_h") / float(1 << 63) + 1) / 2
+    few = ids.join(F.broadcast(many), "_lang").where(share * F.col("_many") <= 2 * each + 64)
+    order = Window.partitionBy("_lang").orderBy("_h", "_id")
+    picked = few.select("_id", "_lang", "_h").distinct()
+    picked = picked.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= each).drop("_h")
     texts = docs.select("doc_id", "text", F.col("lang").alias("_own"))
     # At most ``each`` ids a language: 16 bytes each.
     sample = texts.join(F.broadcast(picked), (F.col("doc_id") == F.col("_id")) & (F.col("_own") == F.col("_lang")))
 
     def vectors(batch: pd.DataFrame) -> pd.DataFrame:
         found = [(i, v, family(v), n, features(t)) for i, v, n, t in zip(batch["doc_id"], batch["_lang"], batch["_n"], batch["text"])]
-        kept = [(i, v, kin, n, x.astype(np.float32).tobytes()) for i, v, kin, n, x in found if x is not None]
+        kept = [(i, v, kin, n, x.astype(np.float16).tobytes()) for i, v, kin, n, x in found if x is not None]
         return pd.DataFrame(kept, columns=["doc_id", "lang", "family", "n", "x"])
 
     schema = "doc_id bigint, lang string, family string, n int, x binary"

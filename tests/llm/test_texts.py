@@ -136,7 +136,7 @@ def test_votes_of_pairs_against_plain(spark):
     rows = [(k, words_of(rng, letters[v]), v) for k, v in enumerate(v for v in letters for _ in range(24))]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
     model = language_id.train(docs)
-    vectors = {k: language_id.features(t).astype(np.float32) for k, t, _ in rows}
+    vectors = {k: language_id.features(t).astype(np.float16) for k, t, _ in rows}
     machines = {}
     for a, b in itertools.combinations(sorted(set(letters) - {"pl"}), 2):
         some = [(k, 1.0 if v == a else -1.0) for k, _, v in rows if v in (a, b)]
