@@ -246,12 +246,13 @@ def predicted(docs: DataFrame, model: Hierarchy | None) -> DataFrame:
     """(doc_id, lang_pred, score) of every row."""
 
     def run(batch: pd.DataFrame) -> pd.DataFrame:
-        found = [features(t) if isinstance(t, str) and model else None for t in batch["text"]]
         lang, score = np.full(len(batch), UNKNOWN, dtype=object), np.zeros(len(batch))
-        at = [i for i, x in enumerate(found) if x is not None]
-        for k in range(0, len(at), 256):  # bounded stacks of vectors
-            some = at[k : k + 256]
-            lang[some], score[some] = model.predict(np.stack([found[i] for i in some]))
+        texts = batch["text"].tolist()
+        for k in range(0, len(texts) if model else 0, 256):  # bounded stacks of vectors
+            found = [features(t) if isinstance(t, str) else None for t in texts[k : k + 256]]
+            some = [k + i for i, x in enumerate(found) if x is not None]
+            if some:
+                lang[some], score[some] = model.predict(np.stack([x for x in found if x is not None]))
         ids = batch["doc_id"].astype("Int64").to_numpy()
         return pd.DataFrame({"doc_id": ids, "lang_pred": lang, "score": score})
 
