@@ -60,6 +60,8 @@ SELECT CAST(user_id AS VARCHAR(19)) AS sensor_id, ts AS reading_ts,
  CAST(850 + event_id % 300 AS DOUBLE) AS pressure, event_type AS location FROM {events}
 """
 
+#: Price rows that one task makes.
+ROWS_PER_TASK = 250_000
 RUN_TS = dt.datetime(2024, 1, 31, 6, 0, 0)
 EXTRACTED_AT = dt.datetime(2024, 1, 31, 5, 0, 0)
 SENSOR_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -74,9 +76,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def nadac_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fixture's rows, dealt out: its file may be a single row group, which one task reads."""
+    """The fixture's rows, dealt out: its file may be a single row group, which one task reads, and a
+    row becomes ten times as long on the way. The number of tasks follows the number of rows."""
     rows = table(spark, sf_dir, "lineitem").select(*LINE_COLUMNS)
-    dealt = rows.repartition(spark.sparkContext.defaultParallelism)
+    n = max(spark.sparkContext.defaultParallelism, -(-rows.count() // ROWS_PER_TASK))
+    dealt = rows.repartition(n)
     return spark.sql(NADAC_RAW_SQL, lineitem=dealt, part=table(spark, sf_dir, "part"))
 
 
@@ -151,19 +155,21 @@ def events_as_of(spark: SparkSession, sf_dir: str) -> dt.datetime:
 # --- pages -----------------------------------------------------------------------------
 
 
-def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _page_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     extracted_at = F.lit(EXTRACTED_AT.isoformat(sep=" ")).cast("timestamp_ntz")
-    return paging.page_envelopes(
-        nadac_raw(spark, sf_dir), schemas.STAGING_COLUMNS, extracted_at
-    )
+    return paging.page_parts(nadac_raw(spark, sf_dir), schemas.STAGING_COLUMNS, extracted_at)
+
+
+def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paging.with_bodies(_page_parts(spark, sf_dir))
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The page envelopes, written once."""
+    """The page envelopes, written once, without the bodies that repeat their records."""
     path = stored(
-        spark, sf_dir, "envelopes", lambda p: envelopes(spark, sf_dir).write.parquet(p)
+        spark, sf_dir, "envelopes", lambda p: sinks.write_pages(_page_parts(spark, sf_dir), p)
     )
-    return spark.read.parquet(path)
+    return paging.with_bodies(spark.read.parquet(path))
 
 
 def arrived_path(spark: SparkSession, sf_dir: str) -> str:

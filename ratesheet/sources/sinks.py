@@ -33,6 +33,8 @@ LOAD = "load_id"
 #: Where loads are made, and where a load keeps the names of those it was made of.
 INCOMING, SOURCES = "_incoming", "_sources"
 LEDGER = "source string"
+#: Pages in a row group of a table of pages.
+PAGE_GROUP_ROWS = 8
 ENRICHED_CLUSTERING = ["drug_name", "ndc", "drug_strength", "drug_form"]
 STAGING_CLUSTERING = ["ndc_description", "pricing_unit", "otc", "classification_for_rate_setting"]
 
@@ -152,6 +154,11 @@ def write_daily(df: DataFrame, path: str, day_col: str = "date") -> None:
     writer.mode("overwrite").parquet(path)
 
 
+def write_pages(parts: DataFrame, path: str) -> None:
+    """Page parts as a table. A page is megabytes of text, and readers take a row group at a time."""
+    parts.write.option("parquet.block.row.count.limit", PAGE_GROUP_ROWS).parquet(path)
+
+
 def land_pages(pages: DataFrame, path: str, column: str = "body", landing: str | None = None) -> int:
     """Page files by their own names (``file_name``) in a folder of this landing; the number landed.
 

@@ -127,3 +127,36 @@ def test_stage_and_conform(spark):
     staged = stage_transform(raw)
     assert staged.dtypes == [(f.name, f.dataType.simpleString()) for f in schemas.STAGING.fields]
     assert [(r.ndc, str(r.effective_date)) for r in staged.collect()] == [("01", "2024-01-05")]
+
+
+def test_texts_move_once(spark):
+    """Blocks of whole pages, pages at their edges and pages of one record: nothing is lost or placed elsewhere."""
+    df = records(spark, 900, copies=61)
+    rows = df.select(paging.record_json(schemas.STAGING_COLUMNS).alias("r"), F.md5("r").alias("k")).orderBy("k").collect()
+    for heavy in (20, 10_000):
+        made = paging.page_contents(df, schemas.STAGING_COLUMNS, 10, heavy=heavy)
+        pages_ = {p.page_number: (p.records_count, json.loads(p.records)) for p in made.collect()}
+        whole = [json.loads(r.r) for r in rows]
+        assert pages_ == {i // 10 + 1: (len(whole[i : i + 10]), whole[i : i + 10]) for i in range(0, len(whole), 10)}
+    runs = paging.block_runs(df, schemas.STAGING_COLUMNS, 4, 200, 20)
+    moved = [r for r in runs.select("block", "block_start", "block_end").distinct().collect()]
+    assert len(moved) > 3 and all(r.block_end - r.block_start > 100 for r in moved[:-1])
+    # Most pages lie inside their block: their texts go nowhere else.
+    inside = sum(r.block_end // 10 - -(-r.block_start // 10) for r in moved)
+    assert inside >= 0.7 * len(pages_)
+
+
+def test_pages_are_stored_in_small_groups(spark, tmp_path):
+    """A row group of a table of pages is not a hundred pages long, and the bodies are not in it."""
+    import pyarrow.parquet as pq
+
+    parts = spark.range(0, 40, 1, 1).select(
+        "id", F.repeat(F.sha2(F.col("id").cast("string"), 512), 16384).alias("records")
+    )
+    sinks.write_pages(parts, f"{tmp_path}/pages")
+    (file,) = [pq.ParquetFile(f) for f in (tmp_path / "pages").glob("*.parquet")]
+    assert file.metadata.num_rows == 40 and file.metadata.num_row_groups == 5
+    envelopes = paging.page_parts(records(spark, 25), schemas.STAGING_COLUMNS, at(), 10)
+    assert "body" not in envelopes.columns
+    made = paging.page_envelopes(records(spark, 25), schemas.STAGING_COLUMNS, at(), 10)
+    assert made.exceptAll(paging.with_bodies(envelopes)).isEmpty()
