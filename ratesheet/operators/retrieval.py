@@ -32,6 +32,8 @@ from ratesheet.sources import storage
 
 #: Bytes of vectors, and of questions, that a task holds at a time.
 BLOCK_BYTES = 64 << 20
+#: Bytes of the questions that a task takes through an index: it holds some ten arrays of this size.
+ASKED_BYTES = 16 << 20
 #: Vectors of a matrix block of a store or an index.
 BLOCK_ROWS = 16384
 DEFAULT_DIM = 256
@@ -344,7 +346,7 @@ def _visit(
     id_type = spark.read.parquet(f"{path}/ids").schema["id"].dataType
     schema = _hit_schema(questions.schema["question_id"].dataType, id_type)
     hit_schema = to_arrow_schema(schema)
-    at_once = max(1, BLOCK_BYTES // (8 * max(dim, len(centres))))
+    at_once = max(1, ASKED_BYTES // (8 * max(dim, len(centres))))
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [row for batch in batches for row in batch.to_pylist()]

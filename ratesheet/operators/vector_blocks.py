@@ -2,9 +2,9 @@
 
 Questions stay in Parquet files in the shared folder; a scan task walks through them block by block,
 so no question passes the driver and no vector is copied for a block. Vectors of a store or an index
-are laid out once as matrix blocks (Arrow files with ids, rows and lengths) named by a manifest
+are laid out once as matrix blocks (packed Arrow files with ids, rows and lengths) named by a manifest
 table. Blocks on a mounted file system are mapped into memory, so the pages of those in use stay in
-the machine's cache between searches.
+the machine's cache between searches; each is unpacked by the task that scores it.
 
 Files are opened with ``pyarrow.fs``: the shared folder and the tables must be on a file system
 that it knows (mounted folders, HDFS, S3, GCS).
@@ -29,6 +29,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 PLACES = 6
 #: Cells of a score matrix that are computed at once.
 SCORE_CELLS = 1 << 22
+#: Pairs that are scored again at once.
+EXACT_PAIRS = 1 << 14
 #: How far a single-precision similarity may be from the exact one.
 COARSE_SLACK = 1e-4
 #: More candidates than this many times ``k`` a question: the whole slice is scored exactly.
@@ -101,7 +103,8 @@ def write_block(folder: str, ids: pa.Array, rows: np.ndarray) -> str:
     name = f"{uuid.uuid4().hex}.arrow"
     flat = pa.FixedSizeListArray.from_arrays(pa.array(rows.ravel()), rows.shape[1])
     batch = pa.RecordBatch.from_arrays([ids, flat, pa.array(lengths_of(rows))], ["id", "vector", "length"])
-    with files.open_output_stream(f"{base}/{name}") as out, pa.ipc.new_file(out, batch.schema) as writer:
+    packed = pa.ipc.IpcWriteOptions(compression="zstd")
+    with files.open_output_stream(f"{base}/{name}") as out, pa.ipc.new_file(out, batch.schema, options=packed) as writer:
         writer.write_batch(batch)
     return name
 
@@ -142,7 +145,10 @@ def trim(question: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> n
 
 
 def _exact(unit: np.ndarray, block: Block, q: np.ndarray, v: np.ndarray) -> np.ndarray:
-    dots = np.einsum("ij,ij->i", unit[q], block.rows[v].astype(np.float64))
+    dots = np.empty(len(q))
+    for low in range(0, len(q), EXACT_PAIRS):
+        some = slice(low, low + EXACT_PAIRS)
+        dots[some] = np.einsum("ij,ij->i", unit[q[some]], block.rows[v[some]].astype(np.float64))
     return np.round(dots / block.lengths[v], PLACES) + 0.0
 
 
