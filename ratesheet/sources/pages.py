@@ -60,12 +60,14 @@ def records_text(data: Column, raw_response: Column, results: Column) -> Column:
     )
 
 
+def page_records() -> Column:
+    """The records of a page, in the first payload shape that is a list."""
+    return F.from_json(records_text(F.col("data"), F.col("raw_response"), F.col("results")), RECORDS)
+
+
 def extract_records(pages: DataFrame, *keep: str) -> DataFrame:
     """One row per record of every page, plus the ``keep`` columns of the page."""
-    found = records_text(F.col("data"), F.col("raw_response"), F.col("results"))
-    return pages.select(*keep, F.explode(F.from_json(found, RECORDS)).alias("r")).select(
-        *keep, "r.*"
-    )
+    return pages.select(*keep, F.explode(page_records()).alias("r")).select(*keep, "r.*")
 
 
 def locate_records(replies: DataFrame, body: str, *keep: str) -> DataFrame:

@@ -52,19 +52,25 @@ def stage_arrivals(
     """Records of every new page file to staging, unreadable files to quarantine, once.
 
     Each batch is one load of each table, named after the stream and the batch, so a batch that
-    is repeated replaces what it left. ``handled_dir`` lists the files for ``archive_handled``.
+    is repeated replaces what it left. A page is parsed once: its records are kept as columns until
+    all three are written, not its text. ``handled_dir`` lists the files for ``archive_handled``.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         load_id = stream_load_id(batch.sparkSession, checkpoint_dir, batch_id)
-        kept = batch.persist()
         broken = F.col(CORRUPT).isNotNull()
-        records = pages.extract_records(kept.where(~broken))
+        parsed = batch.select(
+            "file_path", "page_number", CORRUPT, F.explode_outer(F.when(~broken, pages.page_records())).alias("record")
+        )
+        place = f"{staging_dir}/{sinks.INCOMING}/{load_id}.parsed"
+        parsed.write.mode("overwrite").parquet(place)
+        kept = batch.sparkSession.read.schema(parsed.schema).parquet(place)
+        records = kept.where(F.col("record").isNotNull()).select("record.*")
         sinks.write_staging(stage_transform(records), staging_dir, load_id)
         texts = kept.where(broken).select("file_path", "page_number", F.col(CORRUPT).alias("body"))
         sinks.write_load(texts, quarantine_dir, load_id)
         sinks.write_load(kept.select("file_path").distinct(), handled_dir, load_id)
-        kept.unpersist()
+        storage.remove(batch.sparkSession, [place])
 
     return (
         page_stream(spark, root, whole_file, files_per_batch)
