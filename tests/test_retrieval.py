@@ -3,6 +3,7 @@
 import uuid
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import DataFrame, functions as F
 
@@ -286,3 +287,26 @@ def test_turn_numbers_with_gaps_and_ties(spark):
     assert got[2, None] == (0, [""])
     last = {r.text: r.context.split("\n") for r in conversation_context(df, history=2).collect()}
     assert last["text 5"] == ["user: text 2", "user: text 3", "user: text 4"]
+
+
+def test_blocks_are_packed(tmp_path):
+    """Vectors that are mostly zeros take little room, and come back as they were."""
+    rows = np.zeros((4096, 256), dtype=np.float32)
+    rows[np.arange(4096), np.arange(4096) % 256] = np.arange(4096)
+    ids = pa.array([f"id{i}" for i in range(4096)])
+    name = vector_blocks.write_block(tmp_path.as_uri(), ids, rows)
+    assert (tmp_path / name).stat().st_size < rows.nbytes / 8
+    block = vector_blocks.read_block(f"{tmp_path.as_uri()}/{name}")
+    assert (block.rows == rows).all() and list(block.ids) == ids.to_pylist()
+
+
+def test_exact_scores_in_parts(monkeypatch):
+    """Pairs scored a few at a time give the scores of one go."""
+    rng = np.random.default_rng(1)
+    rows = rng.normal(size=(60, 8))
+    block = vector_blocks.Block(np.arange(60), rows, vector_blocks.lengths_of(rows))
+    asked = vector_blocks.Questions(np.arange(60), vector_blocks.units(rows), np.full(60, -2.0))
+    whole = vector_blocks.best(asked, block, 5, True)
+    monkeypatch.setattr(vector_blocks, "EXACT_PAIRS", 7)
+    for a, b in zip(whole, vector_blocks.best(asked, block, 5, True)):
+        assert (a == b).all()

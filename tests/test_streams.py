@@ -6,7 +6,7 @@ import json
 import os
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ratesheet.operators.staging import stage_transform
 from ratesheet.plans import views
@@ -191,3 +191,18 @@ def test_alerts(spark, tmp_path):
             "NOTIFICATION [HIGH]: disk - full",
             "NOTIFICATION [INFO]: general - No message provided",
         ]
+
+
+def test_a_batch_is_not_held_as_text(spark, tmp_path, monkeypatch):
+    """Records, broken texts and handled names come from one pass that keeps no page; it leaves nothing."""
+    raw = tmp_path / "bucket" / "drug_data" / "raw"
+    raw.mkdir(parents=True)
+    (raw / "a.json").write_text('{"data": {"results": [{"ndc": "1"}, {"ndc": "2"}, null]}}')
+    (raw / "b.json").write_text('{"data": {"results": []}}')
+    (raw / "c.json").write_text('{"data": {"results": [')
+    monkeypatch.setattr(DataFrame, "persist", None)
+    places = [f"{tmp_path}/{name}" for name in ("staging", "quarantine", "handled", "checkpoint")]
+    arrivals.stage_arrivals(spark, f"{tmp_path}/bucket", *places).awaitTermination()
+    assert sorted(r.ndc for r in spark.read.parquet(places[0]).collect()) == ["1", "2"]
+    assert spark.read.parquet(places[1]).count() == 1 and spark.read.parquet(places[2]).count() == 3
+    assert not list((tmp_path / "staging").glob("_incoming/*"))
