@@ -11,6 +11,9 @@ from ratesheet.operators.enrichment import enrich
 from ratesheet.session import build_session
 from ratesheet.sources import sinks, storage, tables
 
+#: Rows of a range of the output, which a task sorts at once.
+ROWS_PER_RANGE = 500_000
+
 
 def pending(spark: SparkSession, staging_path: str, enriched_path: str) -> list[str]:
     """Staging loads that the ledger of the enriched table does not have."""
@@ -38,8 +41,8 @@ def run(
     published with the rows, so a run that breaks off leaves neither, and a run that finds nothing
     new adds nothing. A load is named after its run time unless the caller names it.
 
-    The output is cut into as many ranges as the input has splits, so the size of a range
-    follows the split size whatever the table size is.
+    The output is cut into as many ranges as the input has splits, or into more where these hold
+    more than ``ROWS_PER_RANGE`` rows: files are packed, and a task sorts rows unpacked.
     """
     loads = pending(spark, staging_path, enriched_path)
     if not loads:
@@ -49,7 +52,7 @@ def run(
     run_ts = run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     clock = F.lit(run_ts.isoformat(sep=" ")).cast("timestamp")
     load_id = load_id or f"{run_ts:%Y%m%dT%H%M%S.%f}"
-    n = staged.rdd.getNumPartitions()
+    n = max(staged.rdd.getNumPartitions(), -(-staged.count() // ROWS_PER_RANGE))
     rows = enrich(staged, clock)
     sinks.write_enriched(rows, enriched_path, load_id, by=by, n=n, counts=counts, sources=loads)
     return counts.get

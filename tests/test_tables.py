@@ -263,3 +263,13 @@ def test_shared_dir_follows_the_session():
     assert shared_dir(Session("local[2]")).startswith("/tmp/run-")
     with pytest.raises(ValueError):
         shared_dir(Session("yarn"))
+
+
+def test_ranges_follow_the_rows(spark, staged, tmp_path, monkeypatch):
+    """The rows that one task sorts are bounded, however few splits the packed files make."""
+    source, asked, write = str(tmp_path / "staging"), [], sinks.write_enriched
+    sinks.write_staging(staged.limit(60).coalesce(1), source, "one", n=1)
+    monkeypatch.setattr(enrichment_job, "ROWS_PER_RANGE", 4)
+    monkeypatch.setattr(sinks, "write_enriched", lambda *a, **b: (asked.append(b["n"]), write(*a, **b)))
+    done = enrichment_job.run(spark, source, str(tmp_path / "enriched"), dt.datetime(2024, 5, 1))
+    assert done == {"rows_written": 60} and asked == [15]
