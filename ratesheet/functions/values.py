@@ -45,8 +45,10 @@ def parse_date(c: Column) -> Column:
     text once, and nothing fails by exception on the way. Days that a 64-bit count of
     nanoseconds can't hold are no dates, as in the source's conversion.
     """
-    iso = F.regexp_replace(strip(c), r"^(\d{1,2})/(\d{1,2})/(\d{4})$", "$3-$1-$2")
-    iso = F.regexp_replace(iso, r"^(\d{4})/(\d{1,2})/(\d{1,2})$", "$1-$2-$3")
+    plain = strip(c)
+    slashed = F.regexp_replace(plain, r"^(\d{1,2})/(\d{1,2})/(\d{4})$", "$3-$1-$2")
+    slashed = F.regexp_replace(slashed, r"^(\d{4})/(\d{1,2})/(\d{1,2})$", "$1-$2-$3")
+    iso = F.when(F.contains(c, F.lit("/")), slashed).otherwise(plain)
     day = F.regexp_extract(iso, _ISO_DAY, 1).try_cast("date")
     return F.when(day.between(*map(F.lit, fv.DATE_RANGE)), day)
 

@@ -2,12 +2,16 @@
 
 A sort number stands for the leading sort columns. While a load is written, sketches of its sort
 numbers are observed and stored beside it. Merged sketches of earlier loads give the bounds of the
-ranges that a later write deals its rows to. Bounds decide where rows lie, never which are written:
+ranges that a later write deals its rows to; without any, the rows' own sort numbers are sketched
+first, in a pass that makes no other column. Bounds decide where rows lie, never which are written:
 from sketches that do not fit the data any more come uneven ranges, not wrong ones.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
+
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ratesheet.sources import storage
@@ -16,14 +20,13 @@ from ratesheet.sources import storage
 TEXT_BYTES = 6
 SKETCH_FOLDER = "_sketches"
 SKETCHES = "name string, sketch binary"
-_TOP = (1 << 63) - 1
 
 
 def sort_number(leading: Column, text: Column, text_bytes: int = TEXT_BYTES) -> Column:
     """Orders rows by ``leading`` (0 and up; null first), then by the first bytes of ``text``."""
     most = F.lit((1 << (63 - 8 * text_bytes)) - 1)
     lead = F.least(F.greatest(F.coalesce(leading.cast("bigint"), F.lit(0)), F.lit(0)), most)
-    head = F.hex(F.substring(F.encode(F.coalesce(text, F.lit("")), "UTF-8"), 1, text_bytes))
+    head = F.hex(F.substring(F.coalesce(text, F.lit("")).cast("binary"), 1, text_bytes))
     number = F.conv(F.rpad(head, 2 * text_bytes, "0"), 16, 10).cast("bigint")
     return lead * F.lit(1 << (8 * text_bytes)) + number
 
@@ -59,16 +62,41 @@ def bounds(spark: SparkSession, loads: list[str], name: str, n: int) -> list[int
     return list(merged.bounds) if merged else None
 
 
-def _below(df: DataFrame, name: str, number: Column, limits: list[int], at_least: bool) -> DataFrame:
-    """Adds the number of limits below (or at) the number: a binary search in single steps."""
-    steps = max(1, len(limits).bit_length())
-    padded = F.array(*[F.lit(b) for b in limits + [_TOP] * ((1 << steps) - len(limits))])
-    df = df.withColumns({"_limits": padded, name: F.lit(0)})
-    for k in reversed(range(steps)):
-        limit = F.element_at("_limits", F.col(name) + F.lit(1 << k))
-        passed = limit <= number if at_least else limit < number
-        df = df.withColumn(name, F.col(name) + F.when(passed, F.lit(1 << k)).otherwise(F.lit(0)))
-    return df.drop("_limits")
+def measured(df: DataFrame, number: Column, n: int, least: int = 1) -> list[int] | None:
+    """Bounds of ``n`` even ranges of the rows themselves; None if there is nothing to cut.
+
+    A pass over all rows that makes the columns of the sort number only. The sketch grows with the
+    ranges, so that its error stays a small part of one. Fewer ranges, if they would hold less than
+    ``least`` rows.
+    """
+    if n < 2:
+        return None
+    k, ranks = min(max(200, 8 * n), 65_535), F.array(*[F.lit(i / n) for i in range(1, n)])
+    found = (
+        df.agg(F.kll_sketch_agg_bigint(number, k).alias("whole"), F.count(F.lit(1)).alias("many"))
+        .where("many > 0")
+        .select("many", F.kll_sketch_get_quantile_bigint("whole", ranks).alias("bounds"))
+        .first()
+    )
+    fewer = min(n, -(-found.many // least)) if found else 1
+    return [found.bounds[i * n // fewer - 1] for i in range(1, fewer)] or None
+
+
+def _placed(df: DataFrame, limits: list[int]) -> DataFrame:
+    """Adds how many limits lie below ``_number`` (``_low``), and how many below or at it (``_high``).
+
+    One call a row finds its place. A search in steps, each a column, makes a method that the JVM
+    leaves uncompiled where there are many limits.
+    """
+    rounded = sorted(map(float, limits))
+    marks = sorted(set(rounded))
+    upto = F.array(*[F.lit(k) for k in (0, *(bisect_right(rounded, m) for m in marks))])
+    splits = [float("-inf"), *marks, float("inf")]
+    found = Bucketizer(splits=splits, inputCol="_number", outputCol="_place").transform(df)
+    place = F.col("_place").cast("int")
+    at_mark = F.get(F.array(*map(F.lit, marks)), place - 1) == F.col("_number")
+    low = F.get(upto, F.when(at_mark, place - 1).otherwise(place))
+    return found.withColumns({"_high": F.get(upto, place), "_low": low}).drop("_place")
 
 
 def deal(df: DataFrame, number: Column, limits: list[int]) -> DataFrame:
@@ -79,9 +107,7 @@ def deal(df: DataFrame, number: Column, limits: list[int]) -> DataFrame:
     the same again when a lost task is repeated.
     """
     n = len(limits) + 1
-    rows = df.withColumns({"_number": number, "_task": F.spark_partition_id()})
-    rows = _below(rows, "_low", F.col("_number"), limits, at_least=False)
-    rows = _below(rows, "_high", F.col("_number"), limits, at_least=True)
+    rows = _placed(df.withColumns({"_number": number.cast("double"), "_task": F.spark_partition_id()}), limits)
     turn = F.pmod(F.xxhash64("_task", F.monotonically_increasing_id() % 1024), F.col("_high") - F.col("_low") + 1)
     rows = rows.withColumn("_range", (F.col("_low") + turn).cast("int"))
     return rows.repartitionById(n, F.col("_range")).drop("_number", "_task", "_low", "_high", "_range")

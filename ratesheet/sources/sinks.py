@@ -5,8 +5,8 @@ one replaces what its first try left. A load is made aside and published with on
 see all of it or none. Partition columns inside a load are dates or quarters, never product codes.
 
 Rows are placed by ranges of the clustering columns, whose bounds come from sketches that earlier
-loads left (``ranges``): the rows are then read and parsed once. Without any, the range shuffle
-samples its input in a pass of its own. Either way a clustering key (or a group of equal rows)
+loads left (``ranges``). Without any, a pass of its own makes the sort numbers of the rows and no
+other column. Either way rows are made and parsed whole once, and a clustering key (or a group of equal rows)
 holding a large share of the data is cut into several ranges by the task its rows come from, which
 is the same again when a lost task is repeated.
 
@@ -35,6 +35,8 @@ INCOMING, SOURCES = "_incoming", "_sources"
 LEDGER = "source string"
 #: Pages in a row group of a table of pages.
 PAGE_GROUP_ROWS = 8
+#: Rows of a range below which a write takes fewer ranges, unless told how many.
+LEAST_ROWS = 20_000
 ENRICHED_CLUSTERING = ["drug_name", "ndc", "drug_strength", "drug_form"]
 STAGING_CLUSTERING = ["ndc_description", "pricing_unit", "otc", "classification_for_rate_setting"]
 
@@ -46,6 +48,8 @@ def _ranges(df: DataFrame, n: int | None) -> int:
 def _clustered(
     df: DataFrame, keys: list[str], n: int | None, number: Column, limits: list[int] | None
 ) -> DataFrame:
+    if limits is None:
+        limits = ranges.measured(df, number, _ranges(df, n), 1 if n else LEAST_ROWS)
     if limits is not None:
         return ranges.deal(df, number, limits).sortWithinPartitions(*keys)
     spread, columns = df.withColumn("_task", F.spark_partition_id()), [*keys, "_task"]

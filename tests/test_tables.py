@@ -3,6 +3,7 @@
 import datetime as dt
 import glob
 import json
+import re
 import os
 import time
 
@@ -183,6 +184,61 @@ def test_sketches_place_rows_without_a_sample(spark, staged, tmp_path, monkeypat
     assert len(codes) == 4 and all(a[1] // 10**6 <= b[0] // 10**6 for a, b in zip(codes, codes[1:]))
 
 
+def test_a_first_load_is_made_once(spark, tmp_path, monkeypatch):
+    """Without sketches the bounds come from a pass that makes the sort number alone."""
+    monkeypatch.setattr(DataFrame, "repartitionByRange", None)  # that one would make all columns twice
+    made = spark.sparkContext.accumulator(0)
+
+    def seen(text):
+        made.add(1)
+        return text
+
+    names = [f"{'abcdefgh'[k % 8]} drug {k}" for k in range(400)]
+    rows = [(n, str(10**6 * (k % 40) + 7), None) for k, n in enumerate(names)] + [(None, "7", None)] * 3
+    df = spark.createDataFrame(rows, "ndc_description string, ndc string, nadac_per_unit string").repartition(3)
+    staged = stage_transform(df.withColumn("otc", F.udf(seen)("ndc_description")))
+    path, target = str(tmp_path / "staging"), str(tmp_path / "enriched")
+    sinks.write_staging(staged, path, "one", n=5)
+    stored = tables.read_staging(spark, path)
+    assert made.value == 403
+    assert stored.exceptAll(staged).count() == 0 and stored.count() == 403
+    files = [spark.read.parquet(f).agg(F.count(F.lit(1)), F.min(F.col("ndc").cast("long")), F.max(F.col("ndc").cast("long"))).first()
+             for f in sorted(glob.glob(f"{path}/load_id=one/*.parquet"))]
+    assert len(files) == 5 and all(a[2] <= b[1] for a, b in zip(files, files[1:]))
+    assert all(60 <= f[0] <= 100 for f in files)
+    sinks.write_enriched(enrichment.enrich(stored), target, "a", n=4)  # no staging load named
+    assert spark.read.parquet(target).count() == 403
+    assert len(glob.glob(f"{target}/load_id=a/enriched_date=*/*.parquet")) == 4
+    sinks.write_enriched(enrichment.enrich(stored), target, "b")  # few rows, one range
+    assert len(glob.glob(f"{target}/load_id=b/enriched_date=*/*.parquet")) == 1
+
+
+def test_measured_bounds(spark):
+    number = F.col("id")
+    limits = ranges.measured(spark.range(1000), number, 4)
+    assert len(limits) == 3 and all(abs(a - b) < 20 for a, b in zip(limits, (250, 500, 750)))
+    assert len(ranges.measured(spark.range(1000), number, 100, least=250)) == 3
+    assert ranges.measured(spark.range(1000), number, 8, least=1000) is None
+    assert ranges.measured(spark.range(0), number, 4) is None and ranges.measured(spark.range(9), number, 1) is None
+
+
+def test_dealing_stays_compiled(spark, sf_dir):
+    """No method of a staging write grows with the ranges over the 8,000 bytes that the JVM compiles."""
+    placed = stage_transform(views.nadac_raw(spark, sf_dir)).withColumn("ndc_bucket", F.col("ndc").try_cast("bigint"))
+    by_code = ranges.sort_number(F.col("ndc_bucket"), F.col("ndc_description"), text_bytes=5)
+    dealt = ranges.deal(placed, by_code, [k << 40 for k in range(1, 1000)])
+    modes = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")
+    try:
+        text = dealt._jdf.queryExecution().explainString(modes)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+    assert sizes and max(sizes) < 8000
+
+
 def test_a_hot_value_gets_several_ranges(spark):
     rows = spark.range(3000).select(F.when(F.col("id") % 3 > 0, F.col("id")).otherwise(F.lit(1500)).alias("x"))
     limits = [250, 500, 750, 1500, 1500, 1500, 2250]
