@@ -12,7 +12,7 @@ from __future__ import annotations
 from bisect import bisect_right
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from ratesheet.sources import storage
 
@@ -31,9 +31,14 @@ def sort_number(leading: Column, text: Column, text_bytes: int = TEXT_BYTES) ->
     return lead * F.lit(1 << (8 * text_bytes)) + number
 
 
-def observed(name: str, number: Column) -> Column:
-    """The sketch as a measure to observe on rows that are being written."""
-    return F.kll_sketch_agg_bigint(number).alias(name)
+def observed(df: DataFrame, numbers: dict[str, Column], into: Observation) -> DataFrame:
+    """``df``, whose sort numbers are sketched on their way to the files.
+
+    They are made as columns first: columns are compiled, what stands inside a measure is not.
+    """
+    made = {f"_sketch_{name}": number for name, number in numbers.items()}
+    measures = [F.kll_sketch_agg_bigint(f"_sketch_{name}").alias(name) for name in numbers]
+    return df.withColumns(made).observe(into, *measures).drop(*made)
 
 
 def keep_sketches(spark: SparkSession, load: str, measured: dict[str, object]) -> None:
@@ -73,7 +78,8 @@ def measured(df: DataFrame, number: Column, n: int, least: int = 1) -> list[int]
         return None
     k, ranks = min(max(200, 8 * n), 65_535), F.array(*[F.lit(i / n) for i in range(1, n)])
     found = (
-        df.agg(F.kll_sketch_agg_bigint(number, k).alias("whole"), F.count(F.lit(1)).alias("many"))
+        df.select(number.alias("_number"))  # a column of its own is compiled, inside the sketch it is not
+        .agg(F.kll_sketch_agg_bigint("_number", k).alias("whole"), F.count(F.lit(1)).alias("many"))
         .where("many > 0")
         .select("many", F.kll_sketch_get_quantile_bigint("whole", ranks).alias("bounds"))
         .first()

@@ -135,12 +135,12 @@ def write_staging(df: DataFrame, path: str, load_id: str, n: int | None = None)
     latest = [f"{path}/{name}" for name, _ in sorted(loads, key=lambda found: found[1])[-1:]]
     limits = ranges.bounds(spark, latest, "code", _ranges(df, n))
     sketches = Observation("sketches")
-    rows = _clustered(placed, keys, n, by_code, limits).observe(
-        sketches,
-        ranges.observed("code", by_code),
-        ranges.observed("name", _by_name("ndc_description")),
-        ranges.observed("price_key", _by_price_key("ndc_description")),
-    )
+    numbers = {
+        "code": by_code,
+        "name": _by_name("ndc_description"),
+        "price_key": _by_price_key("ndc_description"),
+    }
+    rows = ranges.observed(_clustered(placed, keys, n, by_code, limits), numbers, sketches)
     made = f"{path}/{INCOMING}/{load_id}"
     rows.drop("ndc_bucket").write.mode("overwrite").parquet(made)
     ranges.keep_sketches(spark, made, sketches.get)

@@ -8,7 +8,7 @@ import os
 import time
 
 import pytest
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from ratesheet import schemas
 from ratesheet.operators import enrichment, quality, reports, sensor
@@ -239,6 +239,38 @@ def test_dealing_stays_compiled(spark, sf_dir):
     assert sizes and max(sizes) < 8000
 
 
+def test_raw_rows_are_dealt_without_a_sort(spark, tmp_path):
+    """A row's turn is its place in its split: even shares, the same each time, and no row sorted for it."""
+    n = 4000
+    lines = spark.range(n, numPartitions=1).selectExpr(
+        "1 l_orderkey", "1L l_partkey", "1 l_suppkey", "1 l_linenumber", "date'2024-01-31' l_shipdate",
+        "'O' l_linestatus", "'R' l_returnflag",
+    )
+    parts = spark.sql("SELECT 1L p_partkey, 'ring' p_name, 7 p_size, 'tin' p_type, 2.5D p_retailprice")
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    parts.write.parquet(f"{tmp_path}/part.parquet")
+    raw = views.nadac_raw(spark, str(tmp_path))
+    assert "RoundRobin" not in raw._jdf.queryExecution().executedPlan().toString()
+    shares = raw.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n"))
+    assert [r.n for r in shares.collect()] == [n / spark.sparkContext.defaultParallelism] * spark.sparkContext.defaultParallelism
+
+
+def test_sort_numbers_are_columns_when_sketched(spark):
+    """A number that stands inside a sketch is interpreted for each row; as a column it is compiled."""
+    rows = spark.createDataFrame([(k, None if k % 7 == 0 else f" name {k:03}") for k in range(100)], "k long, t string")
+    numbers = {"k": F.col("k"), "t": ranges.sort_number(F.lit(0), F.ltrim("t"))}
+    sketches = Observation("test")
+    seen = ranges.observed(rows, numbers, sketches)
+    plan = seen._jdf.queryExecution().optimizedPlan().toString()
+    (line,) = [text for text in plan.splitlines() if "CollectMetrics" in text]
+    assert "conv(" not in line and "conv(" in plan
+    assert sorted(seen.collect()) == sorted(rows.collect()) and seen.columns == rows.columns
+    for name, number in numbers.items():
+        plain = rows.agg(F.kll_sketch_to_string_bigint(F.kll_sketch_agg_bigint(number))).first()[0]
+        got = spark.createDataFrame([(bytes(sketches.get[name]),)], "s binary")
+        assert got.select(F.kll_sketch_to_string_bigint("s")).first()[0] == plain
+
+
 def test_a_hot_value_gets_several_ranges(spark):
     rows = spark.range(3000).select(F.when(F.col("id") % 3 > 0, F.col("id")).otherwise(F.lit(1500)).alias("x"))
     limits = [250, 500, 750, 1500, 1500, 1500, 2250]
