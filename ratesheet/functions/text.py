@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 from ratesheet import fixed_values as fv
@@ -69,7 +71,8 @@ def description_fields(cut: Column, c: Column) -> dict[str, Column]:
     word, following, second, before = (F.get(cut, F.lit(i)) for i in range(4))
     found = word.rlike(DIGIT)
     percent = F.contains(word, F.lit("%"))
-    name = F.when(before != "", F.trim(F.regexp_replace(before, " +", " "))).otherwise(word)
+    single = F.when(F.contains(before, F.lit("  ")), F.regexp_replace(before, " +", " ")).otherwise(before)
+    name = F.when(before != "", F.trim(single)).otherwise(word)
     form = F.when(percent, blank_to_null(following)).otherwise(blank_to_null(second))
     return {
         "drug_name": F.when(found, name).otherwise(blank_to_null(strip(c))),
@@ -110,8 +113,13 @@ def lookup(names: dict[str, str]) -> Column:
 def explain_codes(c: Column) -> Column:
     """Texts of the known codes, in order and with repeats; null when none is known."""
     names = lookup(fv.EXPLANATION_CODES)
-    known = F.filter(F.transform(code_list(c), lambda code: names[code]), lambda t: t.isNotNull())
-    return blank_to_null(F.array_join(known, fv.EXPLANATION_SEPARATOR))
+
+    def texts(stripped: Callable[[Column], Column]) -> Column:
+        # Joining leaves out what has no text, blank codes among it.
+        known = F.transform(F.split(c, ","), lambda code: names[stripped(code)])
+        return F.array_join(known, fv.EXPLANATION_SEPARATOR)
+
+    return blank_to_null(F.when(c.rlike(_UNUSUAL), texts(strip)).otherwise(texts(F.trim)))
 
 
 def _decode(c: Column, names: dict[str, str]) -> Column:

@@ -42,14 +42,17 @@ def parse_date(c: Column) -> Column:
 
     Month-first and slash forms are rewritten to ISO, then the ISO day is cut out: a whole
     text of that form, or the first ten characters of a longer one. Each step reads the
-    text once, and nothing fails by exception on the way. Days that a 64-bit count of
-    nanoseconds can't hold are no dates, as in the source's conversion.
+    text once, and nothing fails by exception on the way. A text of ten bytes with hyphens in their
+    places and a digit at its end can only be an ISO day or none, and skips the steps. Days that a
+    64-bit count of nanoseconds can't hold are no dates, as in the source's conversion.
     """
+    hyphens = (F.substring(c, 5, 1) == "-") & (F.substring(c, 8, 1) == "-")
+    in_form = (F.octet_length(c) == 10) & hyphens & F.substring(c, 10, 1).between("0", "9")
     plain = strip(c)
     slashed = F.regexp_replace(plain, r"^(\d{1,2})/(\d{1,2})/(\d{4})$", "$3-$1-$2")
     slashed = F.regexp_replace(slashed, r"^(\d{4})/(\d{1,2})/(\d{1,2})$", "$1-$2-$3")
     iso = F.when(F.contains(c, F.lit("/")), slashed).otherwise(plain)
-    day = F.regexp_extract(iso, _ISO_DAY, 1).try_cast("date")
+    day = F.when(in_form, c).otherwise(F.regexp_extract(iso, _ISO_DAY, 1)).try_cast("date")
     return F.when(day.between(*map(F.lit, fv.DATE_RANGE)), day)
 
 

@@ -127,6 +127,29 @@ def test_dates(spark):
     assert apply(spark, values.parse_date, list(cases)) == list(cases.values())
 
 
+def test_plain_texts_take_short_ways(spark):
+    """Days in plain ISO form, codes without odd characters and names without runs of spaces skip steps."""
+    days = {
+        "2024-01-31": "2024-01-31", "2023-02-29": None, "0000-01-01": None, "2024-01-5 ": "2024-01-05",
+        "2024-01-5T": None, "2024-01-5\x00": None, " 024-01-02": None, "+123-01-02": None, "2262-04-12": None,
+        "2024-1-\u06610": None, "2024-01-\u0661": None, "2024-01-31T1": "2024-01-31",
+    }
+    assert apply(spark, lambda c: values.parse_date(c).cast("string"), list(days)) == list(days.values())
+    one, five = fv.EXPLANATION_CODES["1"], fv.EXPLANATION_CODES["5"]
+    codes = {
+        "1, 5": f"{one} | {five}", " 5 ,,\t1\u00a0,x": f"{five} | {one}", ",": None, "99": None, "": None, None: None,
+        "1,1": f"{one} | {one}", "1 5": None,
+    }
+    assert apply(spark, text.explain_codes, list(codes)) == list(codes.values())
+    plan = spark.range(1).select(text.explain_codes(F.col("id").cast("string")))._jdf.queryExecution().analyzed().toString()
+    assert "filter(" not in plan
+    names = {"RED  RING 5 MG": "RED RING", "RED RING 5 MG": "RED RING", "5 MG": "5", " A \t B 5": "A B"}
+    cut = spark.createDataFrame(list(enumerate(names)), "i int, c string").withColumn("k", text.cut_description(F.col("c")))
+    found = cut.select("i", text.description_fields(F.col("k"), F.col("c"))["drug_name"].alias("name")).orderBy("i")
+    assert [r.name for r in found.collect()] == list(names.values())
+
+
+
 def test_ndc(spark):
     cases = {"00123-0456-01": "00123045601", " - ": None, "": None, None: None}
     assert apply(spark, values.ndc_digits, list(cases)) == list(cases.values())
