@@ -1,7 +1,9 @@
 """Line dedup, MinHash near-duplicates, components: against plain versions."""
 
+import os
 import random
 from collections import Counter
+from pathlib import Path
 
 import duckdb
 import plain
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ratesheet.llm import expected, graph, line_dedup, minhash_dedup, queries
-from ratesheet.llm.common import with_maybe
+from ratesheet.llm.common import dropped, with_maybe, written
 
 
 def test_components_of_chains_stars_and_loops(spark):
@@ -187,3 +189,40 @@ def test_line_dedup_of_edge_cases(edge, empty, clashing):
 def test_line_dedup_runs_in_the_jvm_only(docs):
     plan = line_dedup.summary(docs)._jdf.queryExecution().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
+
+
+def _shuffle_files(spark):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {str(f) for d in folders for f in Path(d).rglob("shuffle_*.data")}
+
+
+def test_written_tables_leave_no_shuffle_files_and_only_they_are_dropped(spark, tmp_path):
+    before = _shuffle_files(spark)
+    table = written(spark.range(1_000).groupBy((F.col("id") % 7).alias("k")).count(), "counts")
+    assert _shuffle_files(spark) <= before
+    assert table.count() == 7
+    spark.range(5).write.parquet(str(tmp_path / "given"))
+    given = spark.read.parquet(str(tmp_path / "given"))
+    files = [f.removeprefix("file://") for f in table.inputFiles()]
+    dropped(given, table)
+    assert given.count() == 5
+    assert not any(os.path.exists(f) for f in files)
+
+
+def test_line_dedup_keeps_no_table_that_is_done_with(spark, monkeypatch):
+    """The key lists and what finding links took are gone once the groups are written."""
+    rng = random.Random(3)
+    rows = [(k, f"{' '.join(f'w{rng.randrange(900)}' for _ in range(20))} number{k}") for k in range(30)]
+    rows += [(100 + k, text + "s") for k, text in rows]
+    files = {}
+
+    def noted(df, name):
+        table = written(df, name)
+        files.setdefault(name, []).extend(f.removeprefix("file://") for f in table.inputFiles())
+        return table
+
+    for module in (line_dedup, graph):
+        monkeypatch.setattr(module, "written", noted)
+    groups = line_dedup.line_groups(spark.createDataFrame(rows, "doc_id bigint, text string"), bits=None)
+    assert {n for n, found in files.items() if any(map(os.path.exists, found))} == {"line_groups"}
+    assert groups.where("kept").count() == 30 and groups.count() == 60
