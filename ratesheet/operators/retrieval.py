@@ -40,6 +40,8 @@ DEFAULT_DIM = 256
 BOUND_SLACK = 1e-5
 #: Texts an embedder gets at once, unless the caller says otherwise.
 EMBED_BATCH = 256
+#: Rows with one text from which on several tasks share them.
+HOT_ROWS = 10_000
 #: Groups that the hits of one question are merged in before the final merge.
 MERGE_WAYS = 32
 #: Largest table of centres, in bytes: every task holds it.
@@ -139,7 +141,8 @@ def _keep_best(hits: DataFrame, k: int) -> DataFrame:
 def _kept(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back, so that it is evaluated once."""
     path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    with storage.freed_shuffles(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -403,68 +406,119 @@ def build_store(
     embedder: Embedder = hashed_words,
     batch_size: int = EMBED_BATCH,
     cache: str | None = None,
+    hot: int = HOT_ROWS,
 ) -> None:
     """Embed and write documents, one entry for each row, ordered by ``doc_id`` in each file.
 
-    Vectors are kept by the 128-bit hash of their text in the table ``cache``, which outlives the
-    build: a text that is in it is not embedded again. Rows are counted and numbered by hashes
-    alone, and join their vectors by them; the texts move once, to their place (and once more, the
-    new ones, to the embedder). ``doc_id`` is a hash of the text columns and a number that tells
-    rows apart which agree in all of them, by price and then by copy. The vectors are also laid
-    out as matrix blocks for ``Searcher``.
+    Rows move once, without vector, to the task of their text, which numbers them and embeds the text
+    once. A text of ``hot`` rows or more is spread over several tasks, one for each ``hot`` rows, that
+    embed it once each; equal rows of it move as one line. The table ``cache``, which outlives the
+    build, keeps vectors by the 128-bit hash of their text: a text that is in it is not embedded again.
+    ``doc_id`` is a hash of the text columns and a number that tells rows apart which agree in all of
+    them, by price and then by copy. The vectors are also laid out as matrix blocks for ``Searcher``.
     """
     spark, columns = documents.sparkSession, documents.columns
-    cache = cache or shared_dir(spark, "text_vectors")
     body = [c for c in columns if c != "price"]
-    keyed = documents.withColumns(
-        {
-            "_key": F.md5(F.concat_ws("\n", *[F.coalesce(c, F.lit("")) for c in body])),
-            "_row": F.md5(F.to_json(F.struct(*body))),
-            "_text": F.md5(F.coalesce("text", F.lit(""))),
-        }
+    text = F.md5(F.coalesce("text", F.lit("")))
+    key = F.md5(F.concat_ws("\n", *[F.coalesce(c, F.lit("")) for c in body]))
+    spread = documents.groupBy(text.alias("_text")).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= hot)
+    # One row for each ``hot`` rows at most, so the broadcasts are bounded.
+    spread = _kept(spread.select("_text", F.expr(f"_n div {hot} + 1").alias("_ways")), "hot_texts")
+    alone = [F.lit(n).cast("bigint").alias(c) for c, n in (("_copies", 1), ("_way", 0))]
+    rows = documents.select(*columns, *alone)
+    if not spread.isEmpty():
+        both = documents.withColumn("_text", text).join(F.broadcast(spread), "_text", "left")
+        equal = both.where("_ways is not null").groupBy(*columns, "_ways").agg(F.count(F.lit(1)).alias("_copies"))
+        shared = equal.select(*columns, "_copies", F.pmod(F.xxhash64(key), "_ways").alias("_way"))
+        rows = both.where("_ways is null").select(*columns, *alone).unionByName(shared)
+    known = _known_vectors(spark, cache)
+    if known is not None:
+        rows = rows.join(known, text == F.col("_text"), "left").drop("_text")
+    # As many parts as the cluster is set to: vectors make rows ten times as long behind the shuffle, and
+    # the hashes are made again there.
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.repartition(n, text, F.col("_way")).withColumns(
+        {"_text": text, "_key": key, "_row": F.md5(F.to_json(F.struct(*body)))}
     )
-    light = _kept(keyed.select("_key", "_row", "_text", "price"), "keys")
-    vectors = _cached_vectors(keyed, light, cache, embedder, batch_size)
-    before = Window.partitionBy("_key").orderBy("price", "_row").rowsBetween(Window.unboundedPreceding, -1)
-    numbered = (
-        light.groupBy("_key", "_row", "_text", "price")
-        .agg(F.count(F.lit(1)).alias("_copies"))
-        .withColumn("_first", F.coalesce(F.sum("_copies").over(before), F.lit(0)))
-        .join(vectors, "_text")
-        .drop("_text")
-    )
-    bodies = keyed.groupBy("_row").agg(*[F.any_value(c).alias(c) for c in body])
-    copies = F.explode(F.sequence("_first", F.col("_first") + F.col("_copies") - 1))
+    before = Window.partitionBy("_text", "_way", "_key").orderBy("price", "_row").rowsBetween(Window.unboundedPreceding, -1)
+    first = F.coalesce(F.sum("_copies").over(before), F.lit(0))
+    one_text = Window.partitionBy("_text", "_way")
+    again = F.min("_key").over(one_text) != F.max("_key").over(one_text)
     doc_id = F.concat_ws("-", "_key", F.lpad(F.col("_copy").cast("string"), 12, "0"))
     placed = (
-        bodies.join(numbered, "_row")
-        .withColumn("_copy", copies)
-        .select(*columns, doc_id.alias("doc_id"), "vector")
-        .sortWithinPartitions("doc_id")
+        dealt.withColumns({"_first": first, "_again": again})
+        .withColumn("_copy", F.explode(F.sequence("_first", F.col("_first") + F.col("_copies") - 1)))
+        .select(*columns, doc_id.alias("doc_id"), "_again", *(["vector"] if known is not None else []))
+        .sortWithinPartitions("doc_id")  # without the vectors, which make rows several times as long
     )
-    placed.write.mode("overwrite").parquet(f"{path}/documents")
+    laid = _embed_once(placed, embedder, batch_size)
+    with storage.freed_shuffles(spark):
+        laid.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/documents")
+    if cache is not None:
+        _keep_vectors(load_store(spark, path), known, cache)
     rows = load_store(spark, path).select(
         F.col("doc_id").alias("id"), "vector", F.lit(0).alias("cell"), F.lit(0.0).alias("angle")
     )
     _write_blocks(rows, path, BLOCK_ROWS)
 
 
-def _cached_vectors(
-    keyed: DataFrame, light: DataFrame, cache: str, embedder: Embedder, batch_size: int
-) -> DataFrame:
-    """(_text, vector) of all texts, after embedding those whose hash the cache does not have."""
-    spark, schema = keyed.sparkSession, "_text string, vector array<float>"
-    wanted = light.select("_text").distinct()
-    if storage.folders(spark, cache):
-        known = spark.read.schema(schema).parquet(cache).select("_text")
-        wanted = wanted.join(known, "_text", "left_anti")
-    wanted = _kept(wanted, "wanted")
-    if not wanted.isEmpty():
-        texts = keyed.select("_text", F.coalesce("text", F.lit("")).alias("text")).dropDuplicates(["_text"])
-        fresh = embed(texts.join(wanted, "_text", "left_semi"), "text", embedder, batch_size)
-        fresh.select("_text", "vector").write.parquet(f"{cache}/load_id={uuid.uuid4().hex}")
-    # Two builds at once may both have embedded a text: one of its vectors counts.
-    return spark.read.schema(schema).parquet(cache).select("_text", "vector").dropDuplicates(["_text"])
+def _embed_once(df: DataFrame, embedder: Embedder, batch_size: int) -> DataFrame:
+    """``df`` with ``vector`` as its last column; a task embeds a text once, if rows that are equal in it
+    follow each other or have ``_again`` set. Rows that have a vector keep it."""
+    names = [c for c in df.columns if c not in ("vector", "_again")]
+    vector = T.StructField("vector", T.ArrayType(T.FloatType()), True)
+    schema = T.StructType([*df.select(*names).schema.fields, vector])
+
+    def add_vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, np.ndarray] = {}
+        last: dict[str, np.ndarray] = {}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            texts = ["" if t is None else t for t in batch.column("text").to_pylist()]
+            numbers, distinct = pd.factorize(np.array(texts, dtype=object))
+            firsts = np.unique(numbers, return_index=True)[1].tolist()
+            found = [held.get(t, last.get(t)) for t in distinct]
+            if "vector" in batch.schema.names:
+                given = batch.column("vector")
+                found = [given[k].values.to_numpy() if given[k].is_valid else v for k, v in zip(firsts, found)]
+            fresh = [k for k, v in enumerate(found) if v is None]
+            for low in range(0, len(fresh), batch_size):
+                part = fresh[low : low + batch_size]
+                matrix = np.asarray(embedder([distinct[k] for k in part]), dtype=np.float32)
+                for k, row in zip(part, matrix):
+                    found[k] = row
+            again = batch.column("_again")
+            held.update({distinct[n]: found[n].copy() for n, k in enumerate(firsts) if again[k].as_py()})
+            last = {texts[-1]: found[numbers[-1]].copy()}
+            matrix = np.stack(found)[numbers]
+            offsets = np.arange(0, matrix.size + 1, matrix.shape[1], dtype=np.int32)
+            vectors = pa.ListArray.from_arrays(pa.array(offsets), pa.array(matrix.ravel()))
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], vectors], [*names, "vector"])
+
+    return df.mapInArrow(add_vectors, schema)
+
+
+CACHE_SCHEMA = "_text string, vector array<float>"
+
+
+def _known_vectors(spark: SparkSession, cache: str | None) -> DataFrame | None:
+    """(_text, vector) of the cache; None if there is none yet. Two builds at once may both have
+    embedded a text: one of its vectors counts."""
+    if cache is None or not storage.folders(spark, cache):
+        return None
+    return spark.read.schema(CACHE_SCHEMA).parquet(cache).select("_text", "vector").dropDuplicates(["_text"])
+
+
+def _keep_vectors(store: DataFrame, known: DataFrame | None, cache: str) -> None:
+    """Adds the vectors of a store to the cache, those that it does not have."""
+    texts = store.select(F.md5(F.coalesce("text", F.lit(""))).alias("_text"), "vector").dropDuplicates(["_text"])
+    if known is not None:
+        texts = texts.join(known.select("_text"), "_text", "left_anti")
+    fresh = _kept(texts, "fresh_vectors")
+    if not fresh.isEmpty():
+        with storage.freed_shuffles(store.sparkSession):
+            fresh.write.parquet(f"{cache}/load_id={uuid.uuid4().hex}")
 
 
 def load_store(spark: SparkSession, path: str) -> DataFrame:
@@ -474,9 +528,10 @@ def load_store(spark: SparkSession, path: str) -> DataFrame:
 def search(store: DataFrame, questions: DataFrame, k: int = 5) -> DataFrame:
     """Stored documents of the ``k`` best hits of each question of a table.
 
-    The ranking reads ids and vectors only; the documents of the hits are joined by id.
+    The ranking reads ids and vectors only; the documents of the hits are joined by id. The hits are
+    made first, so that few of them go to the documents and not these to them.
     """
-    hits = topk(store.select(F.col("doc_id").alias("id"), "vector"), questions, k)
+    hits = _kept(topk(store.select(F.col("doc_id").alias("id"), "vector"), questions, k), "hits")
     return store.drop("vector").join(hits.withColumnRenamed("id", "doc_id"), "doc_id")
 
 

@@ -17,7 +17,7 @@ from ratesheet.operators import documents, enrichment, paging, retrieval, sensor
 from ratesheet.operators.staging import stage_transform
 from ratesheet.plans import enrichment_job, sensor_jobs
 from ratesheet.session import shared_dir
-from ratesheet.sources import messages, sinks, tables
+from ratesheet.sources import messages, sinks, storage, tables
 from ratesheet.streaming import arrivals, topics
 
 # One text for both engines; {lineitem}, {part} and {events} name the inputs.
@@ -101,7 +101,8 @@ def stored(
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _written:
         path = shared_dir(spark, name)
-        write(path)
+        with storage.freed_shuffles(spark):
+            write(path)
         _written[key] = path
     return _written[key]
 

@@ -238,6 +238,33 @@ def test_second_build_embeds_only_new_texts(spark, tmp_path):
     assert build(15) == sorted(f"text {k}" for k in range(15))
 
 
+def test_store_build_leaves_the_store_alone(spark, tmp_path, monkeypatch):
+    """Without a cache of the caller's a vector is written with its document and nowhere aside."""
+    made = []
+    monkeypatch.setattr(retrieval, "shared_dir", lambda spark, *parts: made.append(parts[-1]) or str(tmp_path / uuid.uuid4().hex / parts[-1]))
+    rows = [(str(i), float(i % 7), f"word{i % 13} size{i}") for i in range(200)]
+    retrieval.build_store(spark.createDataFrame(rows, "ndc string, price double, text string"), str(tmp_path / "store"))
+    assert made == ["hot_texts"]
+    store = retrieval.load_store(spark, str(tmp_path / "store"))
+    assert {tuple(r.vector) for r in store.where("ndc = '7'").collect()} == {tuple(retrieval.hashed_words(["word7 size7"])[0])}
+    hits = retrieval.search(store, retrieval.question_table(spark, ["word3", "size9"]), 3)
+    assert made[1:] == ["questions", "hits"] and hits.count() == 6
+
+
+def test_hot_texts_are_shared_by_tasks(spark, tmp_path):
+    """Texts of many rows, rows with copies, null and empty texts: the same entries however they are dealt."""
+    rows = [(f"n{i % 3}" if i % 5 else None, float(i % 4), ("same", None, "", f"other {i}")[i % 4 if i % 7 else 0]) for i in range(300)]
+    df = spark.createDataFrame(rows, "ndc string, price double, text string").repartition(5)
+    told = []
+    for hot in (10_000, 20):
+        retrieval.build_store(df, str(tmp_path / f"{hot}"), hot=hot)
+        store = retrieval.load_store(spark, str(tmp_path / f"{hot}"))
+        told.append(sorted(str(r) for r in store.select("ndc", "price", "text", "doc_id", "vector").collect()))
+        assert store.select("doc_id").distinct().count() == 300
+        assert all(f.doc_id == sorted(f.doc_id) for f in store.groupBy("_metadata.file_path").agg(F.collect_list("doc_id").alias("doc_id")).collect())
+    assert told[0] == told[1]
+
+
 def test_criteria_text():
     assert retrieval.criteria_text() == "all drugs"
     assert retrieval.criteria_text("SALVE", max_price=3) == "Drug name: SALVE Price under $3"
