@@ -406,7 +406,7 @@ def archive_path(spark, sf):
 def read_pages(spark, sf):
     """Page files landed one by one and read back whole."""
     path = views.stored(
-        spark, sf, "page_files", lambda p: sinks.land_pages(views.pages(spark, sf), p)
+        spark, sf, "page_files", lambda p: sinks.land_pages(views.pages(spark, sf), p, packed=True)
     )
     landed = pages.read_pages(spark, path)
     found = pages.records_text(F.col("data"), F.col("raw_response"), F.col("results"))
@@ -443,7 +443,7 @@ def extract_records(spark, sf):
     ]
 
     def land(path):
-        sinks.land_page_lines(_shapes(spark, sf, shapes), path)
+        sinks.land_page_lines(_shapes(spark, sf, shapes), path, packed=True)
 
     path = views.stored(spark, sf, "shaped_pages", land)
     return pages.extract_records(pages.read_pages(spark, path, whole_file=False))

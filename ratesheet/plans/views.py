@@ -179,7 +179,7 @@ def arrived_path(spark: SparkSession, sf_dir: str) -> str:
     """Staging table of the landed page files, filled by the arrival job."""
 
     def run(path: str) -> None:
-        sinks.land_pages(pages(spark, sf_dir), f"{path}/bucket/{fv.RAW_PREFIX}")
+        sinks.land_pages(pages(spark, sf_dir), f"{path}/bucket/{fv.RAW_PREFIX}", packed=True)
         places = [f"{path}/{name}" for name in ("staging", "quarantine", "handled", "checkpoint")]
         arrivals.stage_arrivals(spark, f"{path}/bucket", *places).awaitTermination()
         arrivals.archive_handled(spark, f"{path}/bucket", f"{path}/handled", f"{path}/journal")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gzip
 import sys
 import uuid
 from collections.abc import Iterator
@@ -17,11 +18,13 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Where files stand until all of a landing are there.
 LANDING = "_landing"
+#: Level of packing: page files are read soon, so speed goes before size.
+PACKING = 1
 MOVES = "old string, new string, moved boolean"
 
 
 class NamedFiles(DataSource):
-    """Rows (name, text) as files of a landing: ``path``/``landing``/name.
+    """Rows (name, text) as files of a landing: ``path``/``landing``/name, and ``.gz`` if they are packed.
 
     Tasks write each file under a hidden name and then give it its own, so a repeated task replaces
     what a lost one left, with the same bytes. The commit moves the whole landing into place at once.
@@ -32,12 +35,12 @@ class NamedFiles(DataSource):
         return "named_files"
 
     def writer(self, schema, overwrite: bool) -> DataSourceArrowWriter:
-        return _Writer(self.options["path"], self.options["landing"])
+        return _Writer(self.options["path"], self.options["landing"], self.options.get("packed") == "true")
 
 
 class _Writer(DataSourceArrowWriter):
-    def __init__(self, path: str, landing: str):
-        self.path, self.landing = path, landing
+    def __init__(self, path: str, landing: str, packed: bool):
+        self.path, self.landing, self.packed = path, landing, packed
 
     def _places(self):
         files, base = pyarrow.fs.FileSystem.from_uri(self.path)
@@ -50,8 +53,9 @@ class _Writer(DataSourceArrowWriter):
             for name, text in zip(*(batch.column(k).to_pylist() for k in (0, 1))):
                 part = f"{made}/.{uuid.uuid4().hex}"
                 with files.open_output_stream(part) as out:
-                    out.write((text or "").encode() + b"\n")
-                files.move(part, f"{made}/{name}")
+                    body = (text or "").encode() + b"\n"
+                    out.write(gzip.compress(body, PACKING, mtime=0) if self.packed else body)
+                files.move(part, f"{made}/{name}.gz" if self.packed else f"{made}/{name}")
         return WriterCommitMessage()
 
     def commit(self, messages: list[WriterCommitMessage | None]) -> None:

@@ -160,12 +160,16 @@ def write_daily(df: DataFrame, path: str, day_col: str = "date") -> None:
 
 def write_pages(parts: DataFrame, path: str) -> None:
     """Page parts as a table. A page is megabytes of text, and readers take a row group at a time."""
-    parts.write.option("parquet.block.row.count.limit", PAGE_GROUP_ROWS).parquet(path)
+    writer = parts.write.option("parquet.block.row.count.limit", PAGE_GROUP_ROWS)
+    writer.option("compression", "zstd").parquet(path)
 
 
-def land_pages(pages: DataFrame, path: str, column: str = "body", landing: str | None = None) -> int:
+def land_pages(
+    pages: DataFrame, path: str, column: str = "body", landing: str | None = None, packed: bool = False
+) -> int:
     """Page files by their own names (``file_name``) in a folder of this landing; the number landed.
 
+    ``packed`` files have ``.gz`` behind their names; readers unpack them as they go.
     Tasks write the files; all of them appear with one move. A landing of the same name is replaced.
     Masses of small pages go into few files with ``land_page_lines``.
     """
@@ -177,14 +181,18 @@ def land_pages(pages: DataFrame, path: str, column: str = "body", landing: str |
         .mode("append")
         .option("path", storage.qualified(spark, path))
         .option("landing", landing or uuid.uuid4().hex)
+        .option("packed", str(packed).lower())
         .save()
     )
     return landed.get["n"]
 
 
-def land_page_lines(pages: DataFrame, path: str, column: str = "body") -> None:
+def land_page_lines(pages: DataFrame, path: str, column: str = "body", packed: bool = False) -> None:
     """Page bodies as lines, many to a file."""
-    pages.select(column).write.text(path)
+    writer = pages.select(column).write
+    if packed:
+        writer = writer.option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED")
+    writer.text(path)
 
 
 def land_lines(lines: DataFrame, path: str) -> None:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ratesheet.operators.staging import stage_transform
 from ratesheet.plans import views
-from ratesheet.sources import pages, sinks, tables
+from ratesheet.sources import pages, sinks, storage, tables
 from ratesheet.streaming import arrivals, topics
 
 
@@ -117,6 +117,18 @@ def test_landed_pages_arrive(spark, tmp_path, sf_dir):
     assert spark.read.parquet(bad).count() == 0
 
 
+def test_stored_pages_are_packed_and_their_shuffles_go(spark, sf_dir, monkeypatch):
+    """The page files that the registered queries land are packed, arrive and are archived under their
+    names; shuffle files of a stored table go with its write."""
+    monkeypatch.setattr(views, "_written", {})
+    seen = []
+    views.stored(spark, sf_dir, "probe", lambda p: seen.append(spark.conf.get(storage.CLEAN_UP)))
+    assert seen == ["true"] != [spark.conf.get(storage.CLEAN_UP)]
+    bucket = views.arrived_path(spark, sf_dir).rsplit("/", 1)[0] + "/bucket"
+    files = [f for f in glob.glob(f"{bucket}/**/*", recursive=True) if os.path.isfile(f) and "/processed/" in f]
+    assert len(files) == views.pages(spark, sf_dir).count() and all(f.endswith(".json.gz") for f in files)
+
+
 def message(**fields):
     return base64.b64encode(json.dumps(fields).encode()).decode()
 
