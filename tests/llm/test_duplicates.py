@@ -226,3 +226,44 @@ def test_line_dedup_keeps_no_table_that_is_done_with(spark, monkeypatch):
     groups = line_dedup.line_groups(spark.createDataFrame(rows, "doc_id bigint, text string"), bits=None)
     assert {n for n, found in files.items() if any(map(os.path.exists, found))} == {"line_groups"}
     assert groups.where("kept").count() == 30 and groups.count() == 60
+
+
+def test_parts_of_the_pairs_find_the_same_links(spark, monkeypatch):
+    """However many parts the pairs between components are made in: the components of all links."""
+    draw = random.Random(5)
+    # Nodes of one key are linked if their numbers share the last digit; most keys hold several such groups.
+    nodes = [(k, node) for node in range(1, 400) for k in {draw.randrange(40), draw.randrange(40), 41}]
+    rows = [(k, node, 1, 1, 1, 0) for k, node in nodes]
+    members = spark.createDataFrame(rows, "key long, node long, low long, high long, size long, apart int")
+    linked = lambda pairs: pairs.where("a % 10 = b % 10")
+    names, told = [], []
+    kept = graph.written
+    monkeypatch.setattr(graph, "written", lambda df, name: names.append(name) or kept(df, name))
+    for at_once in (graph.PAIRS_AT_ONCE, 1):
+        names.clear()
+        monkeypatch.setattr(graph, "PAIRS_AT_ONCE", at_once)
+        told.append((sorted(map(tuple, graph.linked_components(members, linked).collect())), names.count("links")))
+    want = sorted((node, (node - 1) % 10 + 1) for node in range(1, 400))
+    assert told[0][0] == told[1][0] == want
+    assert told[0][1] == 2 and told[1][1] > 3
+
+
+def test_pieces_bound_the_distance(spark):
+    """Pieces never come below the edit distance, know most links of long lines, and decide none wrongly."""
+    draw = random.Random(8)
+    rows = []
+    for k in range(60):
+        line = "".join(draw.choice("abcdefgh äö日") for _ in range(draw.randrange(130, 700)))
+        other = "".join(c if draw.random() > k % 12 / 40 else draw.choice(["", "x", c + "y"]) for c in line)
+        rows += [(line, other), (line, line[::-1]), (line[:80], other[:80])]
+    df = spark.createDataFrame(rows, "a string, b string")
+    a, b = F.col("a"), F.col("b")
+    longer = F.greatest(F.length(a), F.length(b))
+    most = F.floor(longer * (100 - line_dedup.PERCENT) / 100)
+    got = df.select(
+        line_dedup._at_most(a, b).alias("bound"), F.levenshtein(a, b).alias("d"), most.alias("most"),
+        line_dedup._similar(a, b).alias("similar"),
+    ).collect()
+    assert all(r.bound >= r.d and r.similar == (r.d <= r.most) for r in got)
+    links = [r for r in got if r.d <= r.most and r.most > 24]
+    assert sum(r.bound <= r.most for r in links) > 0.8 * len(links) > 0
