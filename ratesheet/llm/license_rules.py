@@ -187,7 +187,7 @@ _TEXTS = [
     ("wtfpl", "what the fuck", "public license", r"do what the fuck you want to(?: public license)?", 0.95),
     ("beerware", "beer", "in return", r"you can buy me a beer in return", 0.9),
     ("json", "good, not evil", "software", r"the software shall be used for good,? not evil", 0.9),
-    ("isc", "permission", "with or without fee", r"purpose with or without fee is hereby granted,? provided that the above copyright notice", 0.9),
+    ("isc", "permission", "with or without fee", r"(?<!permission to use, copy, modify, and distribute this software for any )(?<!permission to use, copy, modify, and/or distribute this software for any )purpose with or without fee is hereby granted,? provided that the above copyright notice", 0.9),
     ("bsd-4-clause", "advertising materials", "acknowledg", r"all advertising materials mentioning features or use of this software must display the following acknowledge?ment", 0.95),
     ("bsd-3-clause", "endorse", "specific prior", r"may (?:not )?be used to endorse or promote products derived from this software without specific prior written permission", 0.8),
     ("bsd", "redistributions", "source code must retain", r"redistributions of source code must retain the above copyright notice", 0.7),
